@@ -1,0 +1,185 @@
+"""Registered queries: name -> (Spark builder, DuckDB oracle SQL or None).
+
+Each builder takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
+whole driver tables (or tables Spark derives from them). The oracle is an
+independent ANSI-SQL formulation, written in the reference's literal shape
+(joins of per-step subqueries, unions of padded aggregates) wherever the
+Spark side uses a one-pass rewrite, so the check also proves the rewrite.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from .operators import behavior, reports
+from .sources import driver
+
+Builder = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Builder] = {}
+ORACLES: dict[str, str] = {}
+
+
+def register(name: str, oracle: str | None = None):
+    def deco(fn: Builder) -> Builder:
+        if name in QUERIES:
+            raise ValueError(f"duplicate query {name}")
+        QUERIES[name] = fn
+        if oracle is not None:
+            ORACLES[name] = oracle
+        return fn
+    return deco
+
+
+def _log(spark, sf):
+    return driver.behavior_log(driver.table(spark, sf, "events"))
+
+
+def _detail(spark, sf):
+    return driver.paper_detail(driver.table(spark, sf, "lineitem"), driver.table(spark, sf, "orders"))
+
+
+LOG_CTE = f"WITH log AS ({driver.behavior_log_sql()})\n"
+DETAIL_CTE = f"WITH detail AS ({driver.paper_detail_sql()})\n"
+
+# ---------------------------------------------------------------- behaviour
+
+register("video_feedback", LOG_CTE + """
+SELECT CAST(sum(watch_video_count) AS BIGINT) AS watch_video_count,
+       CAST(sum(complete_video_count) AS BIGINT) AS complete_video_count, dt
+FROM (SELECT count(DISTINCT uid) AS watch_video_count, 0 AS complete_video_count, dt
+      FROM log WHERE event_key = 'startVideo' GROUP BY dt
+      UNION ALL
+      SELECT 0 AS watch_video_count, count(DISTINCT uid) AS complete_video_count, dt
+      FROM log WHERE event_key = 'endVideo' AND (end_video_time - start_video_time) >= video_length
+      GROUP BY dt) t1
+GROUP BY dt""")(lambda spark, sf: behavior.video_feedback(_log(spark, sf)))
+
+register("version_access", LOG_CTE + """
+SELECT os, version, count(1) AS access_count, dt FROM log GROUP BY os, version, dt""")(
+    lambda spark, sf: behavior.version_access(_log(spark, sf)))
+
+register("channel_new_users", LOG_CTE + """
+SELECT channel, count(DISTINCT uid) AS new_user_count, dt
+FROM log WHERE event_key = 'registerAccount' GROUP BY channel, dt""")(
+    lambda spark, sf: behavior.channel_new_users(_log(spark, sf)))
+
+register("access_bands", LOG_CTE + """
+, ac AS (SELECT uid, count(1) AS access_count, dt FROM log GROUP BY uid, dt)
+SELECT count(1) AS le_two, 0 AS le_four, 0 AS gt_four, dt FROM ac WHERE access_count <= 2 GROUP BY dt
+UNION ALL
+SELECT 0 AS le_two, count(1) AS le_four, 0 AS gt_four, dt FROM ac WHERE access_count <= 4 GROUP BY dt
+UNION ALL
+SELECT 0 AS le_two, 0 AS le_four, count(1) AS gt_four, dt FROM ac WHERE access_count > 4 GROUP BY dt""")(
+    lambda spark, sf: behavior.access_bands(_log(spark, sf)))
+
+register("study_funnel", LOG_CTE + """
+SELECT count(DISTINCT t1.uid) AS start_app_count,
+       count(DISTINCT t2.uid) AS start_video_count,
+       count(DISTINCT t3.uid) AS complete_video_count,
+       count(DISTINCT t4.uid) AS start_homework_count,
+       count(DISTINCT t5.uid) AS complete_homework_count,
+       t1.dt AS dt
+FROM (SELECT DISTINCT uid, dt FROM log WHERE event_key = 'startApp') t1
+LEFT JOIN (SELECT DISTINCT uid, dt FROM log WHERE event_key = 'startVideo') t2
+  ON t1.uid = t2.uid AND t1.dt = t2.dt
+LEFT JOIN (SELECT DISTINCT uid, dt FROM log WHERE event_key = 'endVideo'
+           AND (end_video_time - start_video_time) >= video_length) t3
+  ON t2.uid = t3.uid AND t2.dt = t3.dt
+LEFT JOIN (SELECT DISTINCT uid, dt FROM log WHERE event_key = 'startHomework') t4
+  ON t3.uid = t4.uid AND t3.dt = t4.dt
+LEFT JOIN (SELECT DISTINCT uid, dt FROM log WHERE event_key = 'completeHomework') t5
+  ON t4.uid = t5.uid AND t4.dt = t5.dt
+GROUP BY t1.dt""")(lambda spark, sf: behavior.study_funnel(_log(spark, sf)))
+
+_RATE_SQL = ",\n".join(
+    f"  max(CASE WHEN day_interval = {i} THEN retained_rate ELSE 0 END) AS {c}"
+    for i, c in enumerate(behavior.RATE_COLUMNS))
+
+register("retention_7d", LOG_CTE + f"""
+, t1 AS (SELECT uid, dt AS register_day, event_time FROM log WHERE event_key = 'registerAccount')
+, t2 AS (SELECT uid, dt AS active_day, max(event_time) AS event_time FROM log GROUP BY uid, dt)
+, ret AS (
+  SELECT register_day, day_interval, count(1) AS retained
+  FROM (SELECT t1.register_day,
+               date_diff('day', CAST(make_timestamp(t1.event_time * 1000000) AS DATE),
+                                CAST(make_timestamp(t2.event_time * 1000000) AS DATE)) AS day_interval
+        FROM t1 LEFT JOIN t2 ON t1.uid = t2.uid) t3
+  WHERE day_interval >= 0
+  GROUP BY register_day, day_interval)
+, rc AS (SELECT dt, count(1) AS register_count FROM log WHERE event_key = 'registerAccount' GROUP BY dt)
+, rate AS (SELECT ret.register_day, ret.day_interval,
+                  round(ret.retained / rc.register_count, 4) AS retained_rate
+           FROM ret LEFT JOIN rc ON ret.register_day = rc.dt)
+SELECT register_day,
+{_RATE_SQL},
+  CAST((SELECT max(dt) FROM log) AS INTEGER) AS dt
+FROM rate GROUP BY register_day""")(lambda spark, sf: behavior.retention_7d(_log(spark, sf)))
+
+# ---------------------------------------------------------------- reports
+
+register("paper_avg", DETAIL_CTE + """
+SELECT paperviewid, paperviewname,
+       CAST(avg(score) AS DECIMAL(4,1)) AS score,
+       CAST(avg(spendtime) AS DECIMAL(10,2)) AS spendtime, dt, dn
+FROM detail GROUP BY paperviewid, paperviewname, dt, dn
+ORDER BY score DESC, spendtime DESC""")(lambda spark, sf: reports.paper_avg(_detail(spark, sf)))
+
+register("paper_min_max", DETAIL_CTE + """
+SELECT paperviewid, paperviewname,
+       CAST(max(score) AS DECIMAL(4,1)) AS max_score,
+       CAST(min(score) AS DECIMAL(4,1)) AS min_score, dt, dn
+FROM detail GROUP BY paperviewid, paperviewname, dt, dn""")(
+    lambda spark, sf: reports.paper_min_max(_detail(spark, sf)))
+
+_NAMES = ", ".join(reports.NAME_COLUMNS)
+register("paper_top3", DETAIL_CTE + f"""
+SELECT * FROM (
+  SELECT userid, {_NAMES}, score,
+         dense_rank() OVER (PARTITION BY paperviewid ORDER BY score DESC) AS rk, dt, dn
+  FROM detail) t
+WHERE rk < 4""")(lambda spark, sf: reports.paper_top3(_detail(spark, sf)))
+
+register("paper_low3", DETAIL_CTE + f"""
+SELECT * FROM (
+  SELECT userid, {_NAMES}, score,
+         dense_rank() OVER (PARTITION BY paperviewid, dt ORDER BY score ASC) AS rk, dt, dn
+  FROM detail) t
+WHERE rk < 4""")(lambda spark, sf: reports.paper_low3(_detail(spark, sf)))
+
+register("paper_bands", DETAIL_CTE + """
+SELECT paperviewid, paperviewname, score_segment,
+       string_agg(CAST(userid AS VARCHAR), ',' ORDER BY userid) AS userids, dt, dn
+FROM (SELECT paperviewid, paperviewname, userid,
+             CASE WHEN score >= 0 AND score <= 20 THEN '0-20'
+                  WHEN score > 20 AND score <= 40 THEN '20-40'
+                  WHEN score > 40 AND score <= 60 THEN '40-60'
+                  WHEN score > 60 AND score <= 80 THEN '60-80'
+                  WHEN score > 80 AND score <= 100 THEN '80-100' END AS score_segment,
+             dt, dn
+      FROM detail) t
+GROUP BY paperviewid, paperviewname, score_segment, dt, dn
+ORDER BY paperviewid, score_segment""")(lambda spark, sf: reports.paper_bands(_detail(spark, sf)))
+
+register("paper_pass_rate", DETAIL_CTE + """
+SELECT t.paperviewid, t.paperviewname, t.countdetail, t.dt, t.dn, t.passcount,
+       CAST(t.passcount / (t.passcount + t.countdetail) AS DECIMAL(4,2)) AS rate
+FROM (SELECT a.paperviewid, a.paperviewname, a.countdetail, a.dt, a.dn, b.passcount
+      FROM (SELECT paperviewid, paperviewname, count(*) AS countdetail, dt, dn
+            FROM detail WHERE score BETWEEN 0 AND 60
+            GROUP BY paperviewid, paperviewname, dt, dn) a
+      JOIN (SELECT paperviewid, count(*) AS passcount, dt, dn
+            FROM detail WHERE score > 60 GROUP BY paperviewid, dt, dn) b
+        ON a.paperviewid = b.paperviewid AND a.dt = b.dt AND a.dn = b.dn) t""")(
+    lambda spark, sf: reports.paper_pass_rate(_detail(spark, sf)))
+
+register("question_error_rate", DETAIL_CTE + """
+SELECT a.questionid, a.errcount, a.dt, a.dn, b.rightcount,
+       CAST(a.errcount / (a.errcount + b.rightcount) AS DECIMAL(4,2)) AS rate
+FROM (SELECT questionid, count(*) AS errcount, dt, dn FROM detail
+      WHERE user_question_answer = 0 GROUP BY questionid, dt, dn) a
+JOIN (SELECT questionid, count(*) AS rightcount, dt, dn FROM detail
+      WHERE user_question_answer = 1 GROUP BY questionid, dt, dn) b
+  ON a.questionid = b.questionid AND a.dt = b.dt AND a.dn = b.dn
+ORDER BY errcount DESC""")(lambda spark, sf: reports.question_error_rate(_detail(spark, sf)))
