@@ -183,3 +183,108 @@ JOIN (SELECT questionid, count(*) AS rightcount, dt, dn FROM detail
       WHERE user_question_answer = 1 GROUP BY questionid, dt, dn) b
   ON a.questionid = b.questionid AND a.dt = b.dt AND a.dn = b.dn
 ORDER BY errcount DESC""")(lambda spark, sf: reports.question_error_rate(_detail(spark, sf)))
+
+# ---------------------------------------------------------------- cleaning
+
+from .functions import text as TX  # noqa: E402
+from .operators import cleaning  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+_JT = r"regexp_replace({x}, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')"
+
+
+def _jtrim_sql(x: str) -> str:
+    return _JT.format(x=x)
+
+
+def _blank_sql(x: str) -> str:
+    return f"({x} IS NULL OR length({_jtrim_sql(x)}) = 0)"
+
+
+def _mask_sql(x: str, filler: str, keep_blank: bool) -> str:
+    masked = f"substring({x}, 1, 3) || '{filler}' || substring({x}, 8, 4)"
+    blank = f"WHEN {_blank_sql(x)} THEN {x} " if keep_blank else ""
+    return f"CASE {blank}WHEN length({x}) >= 11 THEN {masked} ELSE NULL END"
+
+
+def _fieldcount_sql(x: str) -> str:
+    return f"len(string_split(regexp_replace({x}, chr(9) || '+$', ''), chr(9)))"
+
+
+LINES_CTE = f"WITH lines AS ({driver.behavior_lines_sql()})\n"
+
+
+def _lines(spark, sf):
+    return driver.behavior_lines(driver.table(spark, sf, "events"))
+
+
+register("clean_validate_fields", LINES_CTE + f"""
+SELECT value, CAST({_fieldcount_sql('value')} AS INTEGER) AS n_fields,
+       {_fieldcount_sql('value')} = 17 AS valid
+FROM lines""")(lambda spark, sf: _lines(spark, sf).select(
+    "value", TX.field_count("value").alias("n_fields"), TX.field_count_ok("value", 17).alias("valid")))
+
+register("clean_mask_phone", LINES_CTE + f"""
+SELECT phone, {_blank_sql('phone')} AS blank,
+       {_mask_sql('phone', 'xxxx', True)} AS phone_a,
+       {_mask_sql('phone', '*****', False)} AS phone_b
+FROM (SELECT string_split(value, chr(9))[10] AS phone FROM lines
+      WHERE {_fieldcount_sql('value')} = 17) t""")(
+    lambda spark, sf: _lines(spark, sf).where(TX.field_count_ok("value"))
+    .select(TX.split_fields("value").getItem(9).alias("phone"))
+    .select("phone", TX.is_blank("phone").alias("blank"),
+            TX.mask_phone("phone").alias("phone_a"),
+            TX.mask_phone("phone", "*****", keep_blank=False).alias("phone_b")))
+
+register("clean_strip_newline", LINES_CTE + f"""
+SELECT username, {_jtrim_sql("replace(username, chr(10), '')")} AS clean_username
+FROM (SELECT string_split(value, chr(9))[2] AS username FROM lines
+      WHERE {_fieldcount_sql('value')} = 17) t""")(
+    lambda spark, sf: _lines(spark, sf).where(TX.field_count_ok("value"))
+    .select(TX.split_fields("value").getItem(1).alias("username"))
+    .select("username", TX.java_trim(TX.strip_newlines("username")).alias("clean_username")))
+
+
+def _clean_sql(good: bool) -> str:
+    from .sources.driver import BEHAVIOR_COLUMNS as BC
+    f = lambda i: f"f[{i + 1}]"
+    phone = _mask_sql(f(9), "xxxx", True)
+    reason = (f"CASE WHEN NOT (regexp_full_match({f(0)}, '[+-]?[0-9]+') "
+              f"AND try_cast({f(0)} AS INTEGER) IS NOT NULL) THEN 'bad_uid' "
+              f"WHEN ({phone}) IS NULL AND NOT {_blank_sql(f(9))} THEN 'bad_phone' END")
+    cols = [f"try_cast({f(0)} AS INTEGER) AS uid"]
+    for i, name in enumerate(BC[1:], start=1):
+        v = f(i)
+        if name == "username":
+            v = f"replace({v}, chr(10), '')"
+        elif name == "phone":
+            v = f"({phone})"
+        cols.append(f"{_jtrim_sql(v)} AS {name}")
+    body = f"""
+SELECT value AS line, {', '.join(cols)}, {reason} AS reject_reason
+FROM (SELECT value, string_split(value, chr(9)) AS f FROM lines
+      WHERE {_fieldcount_sql('value')} = 17) t"""
+    if good:
+        return LINES_CTE + f", p AS ({body})\nSELECT {', '.join(BC)} FROM p WHERE reject_reason IS NULL"
+    return LINES_CTE + f", p AS ({body})\nSELECT line, reject_reason FROM p WHERE reject_reason IS NOT NULL"
+
+
+register("clean_behavior", _clean_sql(True))(
+    lambda spark, sf: cleaning.clean_behavior(_lines(spark, sf)))
+register("clean_rejects", _clean_sql(False))(
+    lambda spark, sf: cleaning.behavior_rejects(_lines(spark, sf)))
+
+register("mask_name", """
+SELECT c_custkey,
+       CASE WHEN length(c_name) >= 1 THEN substring(c_name, 1, 1) || 'xx' END AS fullname,
+       '******' AS password
+FROM customer""")(lambda spark, sf: driver.table(spark, sf, "customer").select(
+    "c_custkey", TX.mask_name("c_name").alias("fullname"), TX.redact().alias("password")))
+
+register("code_label", """
+SELECT o_orderkey, substring(o_orderpriority, 1, 1) AS regsource,
+       CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 'PC' WHEN '2' THEN 'Mobile'
+            WHEN '3' THEN 'App' WHEN '4' THEN 'WeChat' ELSE 'other' END AS regsourcename
+FROM orders""")(lambda spark, sf: driver.table(spark, sf, "orders").select(
+    "o_orderkey", F.substring("o_orderpriority", 1, 1).alias("regsource"))
+    .withColumn("regsourcename", TX.code_label("regsource")))

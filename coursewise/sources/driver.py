@@ -116,7 +116,7 @@ def behavior_log_sql(keep_event_id: bool = False) -> str:
     WITH b AS (
       SELECT {"event_id," if keep_event_id else ""} user_id AS uid,
              CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-             epoch_ms(ts) // 1000 AS event_time,
+             epoch_us(ts) // 1000000 AS event_time,
              event_type = 'view' AS is_view,
              CAST(floor(value) AS BIGINT) AS watched,
              CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS INTEGER) AS dt,
@@ -167,19 +167,22 @@ def behavior_lines(events: DataFrame) -> DataFrame:
     r = F.col("event_id") % 50
     s = {c: F.col(c).cast("string") for c in BEHAVIOR_COLUMNS}
     s["uid"] = F.when(r == 37, F.concat(F.lit(" "), s["uid"])).otherwise(s["uid"])
-    s["username"] = F.when(r == 41, F.concat(F.lit("  "), s["username"], F.lit("\n x \t"))).otherwise(s["username"])
+    s["username"] = F.when(r == 41, F.concat(F.lit("  "), s["username"], F.lit("\n x \r"))).otherwise(s["username"])
     s["phone"] = (F.when(r == 29, F.lit("   "))
                   .when(r == 33, F.substring(s["phone"], 1, 5))
                   .when(r == 45, F.concat(s["phone"], F.lit("99")))
                   .otherwise(s["phone"]))
     s["net_config"] = F.when(r == 49, F.lit("")).otherwise(s["net_config"])
-    full = F.concat_ws("\t", *[s[c] for c in BEHAVIOR_COLUMNS])
-    short = F.concat_ws("\t", *[s[c] for c in BEHAVIOR_COLUMNS[:-1]])
+    # the 17 texts as one array column, so each line shape below reuses it
+    fields = log.select("event_id", F.array(*[s[c] for c in BEHAVIOR_COLUMNS]).alias("_a"))
+    r = F.col("event_id") % 50
+    full = F.array_join("_a", "\t")
+    short = F.array_join(F.slice("_a", 1, len(BEHAVIOR_COLUMNS) - 1), "\t")
     line = (F.when(r == 7, short)
             .when(r == 13, F.concat(short, F.lit("\t")))
             .when(r == 21, F.concat(full, F.lit("\t")))
             .otherwise(full))
-    return log.select(line.alias("value"))
+    return fields.select(line.alias("value"))
 
 
 def behavior_lines_sql() -> str:
@@ -187,7 +190,7 @@ def behavior_lines_sql() -> str:
     cols = {c: f"CAST({c} AS VARCHAR)" for c in BEHAVIOR_COLUMNS}
     r = "(event_id % 50)"
     cols["uid"] = f"CASE WHEN {r} = 37 THEN ' ' || {cols['uid']} ELSE {cols['uid']} END"
-    cols["username"] = (f"CASE WHEN {r} = 41 THEN '  ' || username || chr(10) || ' x ' || chr(9) "
+    cols["username"] = (f"CASE WHEN {r} = 41 THEN '  ' || username || chr(10) || ' x ' || chr(13) "
                         f"ELSE username END")
     cols["phone"] = (f"CASE WHEN {r} = 29 THEN '   ' WHEN {r} = 33 THEN substring(phone, 1, 5) "
                      f"WHEN {r} = 45 THEN phone || '99' ELSE phone END")
