@@ -11,8 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Java's String.trim removes every char <= U+0020 (controls and space);
-# Spark's trim removes spaces only.
-_JAVA_WS = r"^[\x00-\x20]+|[\x00-\x20]+$"
+# Spark's plain trim removes spaces only, so trim this set explicitly.
+_JAVA_WS = "".join(chr(i) for i in range(0x21))
 
 
 def _c(c) -> Column:
@@ -21,7 +21,7 @@ def _c(c) -> Column:
 
 def java_trim(c) -> Column:
     """Trim every character <= U+0020 from both ends."""
-    return F.regexp_replace(_c(c), _JAVA_WS, "")
+    return F.btrim(_c(c), F.lit(_JAVA_WS))
 
 
 def is_blank(c) -> Column:

@@ -288,3 +288,27 @@ SELECT o_orderkey, substring(o_orderpriority, 1, 1) AS regsource,
 FROM orders""")(lambda spark, sf: driver.table(spark, sf, "orders").select(
     "o_orderkey", F.substring("o_orderpriority", 1, 1).alias("regsource"))
     .withColumn("regsourcename", TX.code_label("regsource")))
+
+# ---------------------------------------------------------------- JSON feeds
+
+from .sources import feeds as FD, ods  # noqa: E402
+
+
+def _feed_query(feed: str):
+    return lambda spark, sf: FD.ingest(ods.ods_lines(spark, sf, feed), FD.FEEDS[feed])
+
+
+for _feed, _spec in FD.FEEDS.items():
+    register(f"feed_{_spec.target[len('dwd_'):]}", ods.expected_sql(_feed))(_feed_query(_feed))
+
+
+def _line_counts(spark, sf):
+    parts = [FD.object_line_counts(ods.ods_lines(spark, sf, f)).select(F.lit(f).alias("feed"), "lines", "kept")
+             for f in FD.FEEDS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+register("json_object_filter", "\nUNION ALL\n".join(ods.line_counts_sql(f) for f in FD.FEEDS))(_line_counts)
