@@ -12,7 +12,8 @@ Defects are injected by fixed rules on a per-row key ``rk``:
 * ``rk % 23 = 5``: the line is damaged, kind ``((rk - 5) / 23) % 6``:
   0 not JSON, 1 empty, 2 array, 3 scalar, 4 cut-off object, 5 empty object
   (only kind 5 survives, with every field at its default);
-* ``(rk + position) % 29 = 0``: that key is left out of the object;
+* ``(rk + position) % 29 = 0``: that key is left out of the object (not for
+  ids and partition columns);
 * int fields at odd positions are written as JSON text ("12"), not numbers.
 
 Columns without a listed expression get a generic value from ``rk``.
@@ -159,7 +160,8 @@ def _expr(spec: FeedSpec, pos: int, col, key: str, rk: str) -> str:
 
 
 def _missing(rk: str, pos: int, name: str) -> str:
-    if name in ("dt", "dn"):
+    # ids (join keys) and partition columns are always present
+    if name in ("dt", "dn") or name.endswith("id"):
         return "false"
     return f"((({rk}) + {pos}) % {MISSING_MOD} = 0)"
 
