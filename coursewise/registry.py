@@ -245,7 +245,7 @@ FROM (SELECT string_split(value, chr(9))[2] AS username FROM lines
     .select("username", TX.java_trim(TX.strip_newlines("username")).alias("clean_username")))
 
 
-def _clean_sql(good: bool) -> str:
+def _clean_sql(good: bool, lines_cte: str | None = None) -> str:
     from .sources.driver import BEHAVIOR_COLUMNS as BC
     f = lambda i: f"f[{i + 1}]"
     phone = _mask_sql(f(9), "xxxx", True)
@@ -264,9 +264,10 @@ def _clean_sql(good: bool) -> str:
 SELECT value AS line, {', '.join(cols)}, {reason} AS reject_reason
 FROM (SELECT value, string_split(value, chr(9)) AS f FROM lines
       WHERE {_fieldcount_sql('value')} = 17) t"""
+    cte = lines_cte or LINES_CTE
     if good:
-        return LINES_CTE + f", p AS ({body})\nSELECT {', '.join(BC)} FROM p WHERE reject_reason IS NULL"
-    return LINES_CTE + f", p AS ({body})\nSELECT line, reject_reason FROM p WHERE reject_reason IS NOT NULL"
+        return cte + f", p AS ({body})\nSELECT {', '.join(BC)} FROM p WHERE reject_reason IS NULL"
+    return cte + f", p AS ({body})\nSELECT line, reject_reason FROM p WHERE reject_reason IS NOT NULL"
 
 
 register("clean_behavior", _clean_sql(True))(
@@ -543,3 +544,118 @@ SELECT event_id, props, COALESCE(cardinality(CAST(json(props) AS MAP(VARCHAR, IN
 FROM events""")(lambda spark, sf: driver.table(spark, sf, "events").select(
     "event_id", "props",
     EM.map_empty(F.from_json("props", "map<string,int>")).alias("props_empty")))
+
+# ---------------------------------------------------------------- sinks and pipeline
+# These write under the session's shared folder and read the result back.
+
+from .operators import cleaning as CL  # noqa: E402
+from .plans import sinks as SK  # noqa: E402
+from .plans.pipeline import Warehouse  # noqa: E402
+from .session import scratch_path  # noqa: E402
+
+
+def _sink_orc(spark, sf):
+    src = SK.write_lines(_lines(spark, sf), scratch_path(spark, "ods_behavior"))
+    out = SK.write_orc(CL.clean_behavior(SK.read_lines(spark, src)), scratch_path(spark, "behavior_clean"),
+                       files=3)
+    return spark.read.orc(out)
+
+
+# a text file splits a value at every line break (\n, \r, \r\n) on the way back
+_TEXT_LINES_CTE = (f"WITH raw_lines AS ({driver.behavior_lines_sql()}),\n"
+                   "lines AS (SELECT unnest(regexp_split_to_array(value, '\r\n|\r|\n')) AS value FROM raw_lines)\n")
+register("sink_orc", _clean_sql(True, _TEXT_LINES_CTE))(_sink_orc)
+
+
+def _sink_append(spark, sf):
+    path = scratch_path(spark, "dwd_qz_point_question")
+    df = _dwd(spark, sf, "QzPointQuestion")
+    SK.append_partitioned(df, path)
+    SK.append_partitioned(df, path)
+    return SK.read_table(spark, path).select(*df.columns)
+
+
+_PQ = ods.expected_sql("QzPointQuestion")
+register("sink_append", f"{_PQ}\nUNION ALL\n{_PQ}")(_sink_append)
+
+
+def _sink_overwrite(spark, sf):
+    path = scratch_path(spark, "dwd_member")
+    df = _dwd(spark, sf, "member")
+    SK.overwrite_partitions(df, path)
+    changed = (df.where(F.col("dt") == "20190722")
+               .withColumn("memberlevel", F.concat(F.lit("v2-"), F.col("memberlevel"))))
+    SK.overwrite_partitions(changed, path)
+    return SK.read_table(spark, path).select(*df.columns)
+
+
+_MEM = FD.FEEDS["member"]
+register("sink_dynamic_overwrite", f"""
+SELECT {', '.join("CASE WHEN dt = '20190722' THEN 'v2-' || memberlevel ELSE memberlevel END AS memberlevel"
+                  if c.name == 'memberlevel' else c.name for c in _MEM.cols)}
+FROM ({ods.expected_sql('member')}) t""")(_sink_overwrite)
+
+
+def _sink_tsv(spark, sf):
+    df = behavior.retention_7d(_log(spark, sf))
+    path = SK.write_tsv(df, scratch_path(spark, "retention_tsv"))
+    return SK.read_tsv(spark, path, df.schema)
+
+
+register("sink_tsv", ORACLES["retention_7d"])(_sink_tsv)
+
+
+def _sink_ctas(spark, sf):
+    name = "tmp_app_access_count_" + scratch_path(spark, "x").rsplit("-", 1)[1]
+    counts = _log(spark, sf).groupBy("uid", "dt").agg(F.count(F.lit(1)).alias("access_count"))
+    SK.save_table(counts, name, scratch_path(spark, name))
+    t = spark.table(name)
+    per_day = t.groupBy("dt").agg(
+        F.count(F.when(F.col("access_count") <= 2, 1)).alias("n2"),
+        F.count(F.when(F.col("access_count") <= 4, 1)).alias("n4"),
+        F.count(F.when(F.col("access_count") > 4, 1)).alias("n5"))
+    z = F.lit(0).cast("bigint")
+    parts = [per_day.where(F.col(n) > 0).select(*[F.col(n).alias(c) if c == tgt else z.alias(c)
+                                                  for c in ("le_two", "le_four", "gt_four")], "dt")
+             for n, tgt in (("n2", "le_two"), ("n4", "le_four"), ("n5", "gt_four"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+register("sink_ctas", ORACLES["access_bands"])(_sink_ctas)
+
+
+def _partition_copy(spark, sf):
+    src = SK.overwrite_partitions(_log(spark, sf), scratch_path(spark, "user_behavior"), ("dt",))
+    dst = SK.copy_partitions(spark, src, scratch_path(spark, "user_behavior_copy"))
+    return spark.read.parquet(dst)
+
+
+register("partition_copy", f"SELECT * FROM ({driver.behavior_log_sql()}) t")(_partition_copy)
+
+
+def _pipeline(spark, sf):
+    wh = Warehouse(spark)
+    for feed in FD.FEEDS:
+        wh.ingest(feed, ods.ods_lines(spark, sf, feed))
+    return wh
+
+
+def _paper_report_pipeline(spark, sf):
+    wh = _pipeline(spark, sf)
+    wh.build_quiz()
+    return reports.paper_avg(wh.paper_detail())
+
+
+register("paper_report_pipeline", _DETAIL_SQL.replace("\nSELECT " + ", ".join(QZ.PAPER_DETAIL), "\n, detail AS (SELECT " + ", ".join(QZ.PAPER_DETAIL), 1) + """)
+SELECT paperviewid, paperviewname,
+       CAST(avg(score) AS DECIMAL(4,1)) AS score,
+       CAST(avg(spendtime) AS DECIMAL(10,2)) AS spendtime, dt, dn
+FROM detail GROUP BY paperviewid, paperviewname, dt, dn""")(_paper_report_pipeline)
+
+
+def _member_pipeline(spark, sf):
+    wh = _pipeline(spark, sf)
+    return wh.table("dws", "dws_member") if wh.build_member() else None
+
+
+register("member_wide_pipeline", _M1_SQL)(_member_pipeline)
