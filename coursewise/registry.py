@@ -659,3 +659,20 @@ def _member_pipeline(spark, sf):
 
 
 register("member_wide_pipeline", _M1_SQL)(_member_pipeline)
+
+# ---------------------------------------------------------------- streaming run of a feed
+
+from .streaming import feed_stream as FS  # noqa: E402
+
+
+def _feed_stream(spark, sf):
+    feed = "QzMemberPaperQuestion"
+    landing = SK.write_lines(ods.ods_lines(spark, sf, feed), scratch_path(spark, "landing"))
+    target, ckpt = scratch_path(spark, "dwd_stream"), scratch_path(spark, "ckpt")
+    q = FS.start_feed_ingest(spark, feed, landing, target, ckpt)
+    q.awaitTermination()
+    spec = FD.FEEDS[feed]
+    return SK.read_table(spark, target, spec.partition).select(*[c.name for c in spec.cols])
+
+
+register("feed_stream_ingest", ods.expected_sql("QzMemberPaperQuestion"))(_feed_stream)
