@@ -633,15 +633,15 @@ def _partition_copy(spark, sf):
 register("partition_copy", f"SELECT * FROM ({driver.behavior_log_sql()}) t")(_partition_copy)
 
 
-def _pipeline(spark, sf):
+def _pipeline(spark, sf, feeds):
     wh = Warehouse(spark)
-    for feed in FD.FEEDS:
+    for feed in feeds:
         wh.ingest(feed, ods.ods_lines(spark, sf, feed))
     return wh
 
 
 def _paper_report_pipeline(spark, sf):
-    wh = _pipeline(spark, sf)
+    wh = _pipeline(spark, sf, _CH_FEEDS + _CO_FEEDS + _MA_FEEDS + _PA_FEEDS + _QU_FEEDS + ("QzMemberPaperQuestion",))
     wh.build_quiz()
     return reports.paper_avg(wh.paper_detail())
 
@@ -654,7 +654,7 @@ FROM detail GROUP BY paperviewid, paperviewname, dt, dn""")(_paper_report_pipeli
 
 
 def _member_pipeline(spark, sf):
-    wh = _pipeline(spark, sf)
+    wh = _pipeline(spark, sf, _MB_FEEDS)
     return wh.table("dws", "dws_member") if wh.build_member() else None
 
 

@@ -184,7 +184,10 @@ def _derived(rule: str, parsed: dict) -> Column:
 
 def ingest(lines: DataFrame, spec: FeedSpec, col: str = "value") -> DataFrame:
     """Raw feed lines -> typed DWD rows (columns in table order)."""
-    objs = lines.select(json_object(col).alias("_m")).where(F.col("_m").isNotNull())
+    # parse once: a plain filter on the parsed map would be pushed below the
+    # projection and parse every line twice; exploding the (0 or 1 element)
+    # compacted array drops non-objects without a separate filter
+    objs = lines.select(F.explode(F.array_compact(F.array(json_object(col)))).alias("_m"))
     m = F.col("_m")
     # every column read from the line, including the raw inputs of masks
     parsed = {c.name: _typed(m, c) for c in spec.cols

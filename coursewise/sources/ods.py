@@ -178,7 +178,7 @@ def ods_lines(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
     """The raw lines (column ``value``) of one feed."""
     spec = FEEDS[feed]
     table, rk, _, extra = SOURCES[feed]
-    src = driver.table(spark, sf_dir, table)
+    src = driver.spread(driver.table(spark, sf_dir, table))
     fields = []
     for pos, col, key, kind in _emitted(spec):
         e = _expr(spec, pos, col, key, rk)
