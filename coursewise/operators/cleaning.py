@@ -37,9 +37,13 @@ def parse_behavior(lines: DataFrame, col: str = "value") -> DataFrame:
         elif name == "phone":
             v = phone
         out.append(T.java_trim(v).alias(name))
-    return (lines.where(T.field_count_ok(col, len(BEHAVIOR_COLUMNS)))
-            .select(F.col(col), T.split_fields(col).alias("_f"))
-            .select(F.col(col).alias("line"), *out, reason.alias("reject_reason")))
+    # keep lines of the right length through a 0/1-element explode: a plain
+    # filter would be pushed below a computed input and re-evaluate it
+    n = len(BEHAVIOR_COLUMNS)
+    valid = F.explode(F.filter(F.array(F.col(col)), lambda v: T.field_count_ok(v, n))).alias("line")
+    return (lines.select(valid)
+            .select("line", T.split_fields("line").alias("_f"))
+            .select("line", *out, reason.alias("reject_reason")))
 
 
 def clean_behavior(lines: DataFrame, col: str = "value") -> DataFrame:
