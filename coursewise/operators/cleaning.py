@@ -56,3 +56,21 @@ def behavior_rejects(lines: DataFrame, col: str = "value") -> DataFrame:
     """Rows the reference would have failed on: (line, reject_reason)."""
     return (parse_behavior(lines, col).where(F.col("reject_reason").isNotNull())
             .select("line", "reject_reason"))
+
+
+# Documented types of the behaviour table (everything else is text).
+BEHAVIOR_TYPES = {"uid": "bigint", "level": "int", "is_vip": "int", "video_id": "int", "video_length": "int",
+                  "start_video_time": "bigint", "end_video_time": "bigint", "event_time": "bigint"}
+
+
+def typed_behavior(clean: DataFrame, tz: str = "UTC") -> DataFrame:
+    """Cleaned text rows -> the typed behaviour table with its ``dt`` day key.
+
+    Numbers that do not parse become NULL (``try_cast``); ``dt`` is the
+    8-digit day of ``event_time`` read in zone ``tz``.
+    """
+    from ..functions.timecols import day_key, epoch_to_local_ntz
+    cols = [F.col(c).try_cast(BEHAVIOR_TYPES[c]).alias(c) if c in BEHAVIOR_TYPES else F.col(c)
+            for c in BEHAVIOR_COLUMNS]
+    typed = clean.select(*cols)
+    return typed.withColumn("dt", day_key(epoch_to_local_ntz(F.col("event_time"), tz)))

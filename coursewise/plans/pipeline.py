@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import cleaning as CL
 from ..operators import member as MB
 from ..operators import quiz as QZ
 from ..sources import feeds as FD
@@ -51,6 +52,20 @@ class Warehouse:
         spec = FD.FEEDS[feed]
         return self.table("dwd", spec.target, spec.partition)
 
+    def load_behavior(self, lines: DataFrame, tz: str = "UTC") -> str:
+        """B0 + load: raw log lines -> cleaned, typed ``user_behavior`` table by ``dt``.
+
+        Analyses reading it get partition pruning on ``dt`` and the event-key
+        filters pushed into the parquet scan.
+        """
+        typed = CL.typed_behavior(CL.clean_behavior(lines), tz)
+        return self._write(typed, "dwd", "user_behavior", ("dt",))
+
+    def behavior(self) -> DataFrame:
+        from pyspark.sql import functions as F
+        t = self.spark.read.parquet(self.path("dwd", "user_behavior"))
+        return t.withColumn("dt", F.col("dt").cast("int"))
+
     # ------------------------------------------------------------ DWS
     def build_quiz(self, dt=None) -> dict:
         """Q1-Q6 from the DWD tables of day ``dt`` (every day when None)."""

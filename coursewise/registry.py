@@ -676,3 +676,35 @@ def _feed_stream(spark, sf):
 
 
 register("feed_stream_ingest", ods.expected_sql("QzMemberPaperQuestion"))(_feed_stream)
+
+
+# ---------------------------------------------------------------- behaviour analyses on the stored table
+
+def _stored_log(spark, sf):
+    wh = Warehouse(spark)
+    src = SK.write_lines(_lines(spark, sf), scratch_path(spark, "ods_behavior"))
+    wh.load_behavior(SK.read_lines(spark, src))
+    return wh.behavior()
+
+
+# the good rows of the text round trip, as CTE ``cleaned``
+_STORED_LOG_CTE = _clean_sql(True, _TEXT_LINES_CTE).replace(
+    "\nSELECT " + ", ".join(driver.BEHAVIOR_COLUMNS) + " FROM p WHERE reject_reason IS NULL",
+    ", cleaned AS (SELECT * FROM p WHERE reject_reason IS NULL)")
+
+
+def _stored_sql(analysis_sql: str) -> str:
+    from .operators.cleaning import BEHAVIOR_TYPES
+    from .sources.driver import BEHAVIOR_COLUMNS as BC
+    dtypes = {"bigint": "BIGINT", "int": "INTEGER"}
+    cols = [f"TRY_CAST({c} AS {dtypes[BEHAVIOR_TYPES[c]]}) AS {c}" if c in BEHAVIOR_TYPES else c for c in BC]
+    log = (", log AS (SELECT " + ", ".join(cols) + ", CAST(strftime(make_timestamp("
+           "TRY_CAST(event_time AS BIGINT) * 1000000), '%Y%m%d') AS INTEGER) AS dt FROM cleaned)\n")
+    body = analysis_sql[len(LOG_CTE):]
+    return _STORED_LOG_CTE + log + body
+
+
+register("behavior_table_funnel", _stored_sql(ORACLES["study_funnel"]))(
+    lambda spark, sf: behavior.study_funnel(_stored_log(spark, sf)))
+register("behavior_table_retention", _stored_sql(ORACLES["retention_7d"]))(
+    lambda spark, sf: behavior.retention_7d(_stored_log(spark, sf)))

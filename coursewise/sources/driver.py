@@ -39,8 +39,12 @@ def spread(df: DataFrame) -> DataFrame:
     so no shuffle is added at scale. (Round-robin repartitioning sorts first,
     so a retried task sees the same rows.)
     """
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    try:
+        n = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: leave the plan as it is
+        return df
+    return df.repartition(n) if parts < n else df
 
 
 # ---------------------------------------------------------------------------

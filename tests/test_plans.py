@@ -40,3 +40,17 @@ def test_day_filter_pushed_to_scan(spark):
     li = driver.table(spark, SF, "lineitem").where(F.col("l_returnflag") == "R")
     p = plan(reports.paper_avg(driver.paper_detail(li, driver.table(spark, SF, "orders"))))
     assert "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)" in p
+
+
+def test_stored_behavior_table_prunes_and_pushes(spark):
+    from coursewise.operators import behavior
+    from coursewise.plans import sinks as S
+    from coursewise.plans.pipeline import Warehouse
+    from coursewise.sources import driver
+    from coursewise.session import scratch_path
+    wh = Warehouse(spark)
+    src = S.write_lines(driver.behavior_lines(driver.table(spark, SF, "events")), scratch_path(spark, "ods"))
+    wh.load_behavior(S.read_lines(spark, src))
+    p = plan(behavior.channel_new_users(wh.behavior(), day=20240105))
+    assert "PartitionFilters: [isnotnull(dt" in p and "20240105" in p
+    assert "EqualTo(event_key,registerAccount)" in p
