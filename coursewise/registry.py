@@ -708,3 +708,28 @@ register("behavior_table_funnel", _stored_sql(ORACLES["study_funnel"]))(
     lambda spark, sf: behavior.study_funnel(_stored_log(spark, sf)))
 register("behavior_table_retention", _stored_sql(ORACLES["retention_7d"]))(
     lambda spark, sf: behavior.retention_7d(_stored_log(spark, sf)))
+
+
+# ---------------------------------------------------------------- single-operator views
+
+register("clean_typed_projection", _STORED_LOG_CTE + "".join(
+    [", log AS (SELECT "] + [", ".join(
+        (f"TRY_CAST({c} AS {dict(bigint='BIGINT', int='INTEGER')[CL.BEHAVIOR_TYPES[c]]}) AS {c}"
+         if c in CL.BEHAVIOR_TYPES else c) for c in driver.BEHAVIOR_COLUMNS)]
+    + [", CAST(strftime(make_timestamp(TRY_CAST(event_time AS BIGINT) * 1000000), '%Y%m%d') AS INTEGER) AS dt"
+       " FROM cleaned)\nSELECT * FROM log"]))(
+    lambda spark, sf: CL.typed_behavior(CL.clean_behavior(
+        SK.read_lines(spark, SK.write_lines(_lines(spark, sf), scratch_path(spark, "ods_behavior"))))))
+
+
+def _feed_columns(feed: str, cols):
+    # the ingest projected to a few columns; Catalyst prunes the other lookups
+    return lambda spark, sf: FD.ingest(ods.ods_lines(spark, sf, feed), FD.FEEDS[feed]).select(*cols)
+
+
+for _name, _feed, _cols in (
+        ("json_int_default", "QzQuestion", ("questionid", "parentid", "questypeid", "optnum")),
+        ("json_string", "QzQuestion", ("questionid", "content", "answer", "creator", "dt", "dn")),
+        ("json_decimal_half_up", "QzPoint", ("pointid", "score")),
+        ("json_decimal_default_zero", "QzQuestion", ("questionid", "score", "splitscore"))):
+    register(_name, f"SELECT {', '.join(_cols)} FROM ({ods.expected_sql(_feed)}) t")(_feed_columns(_feed, _cols))
