@@ -545,12 +545,12 @@ FROM events""")(lambda spark, sf: driver.table(spark, sf, "events").select(
     "event_id", "props",
     EM.map_empty(F.from_json("props", "map<string,int>")).alias("props_empty")))
 
-# ---------------------------------------------------------------- sinks and pipeline
+# ---------------------------------------------------------------- sinks and layered runs
 # These write under the session's shared folder and read the result back.
 
 from .operators import cleaning as CL  # noqa: E402
 from .plans import sinks as SK  # noqa: E402
-from .plans.pipeline import Warehouse  # noqa: E402
+from .plans.warehouse import Warehouse  # noqa: E402
 from .session import scratch_path  # noqa: E402
 
 
@@ -633,32 +633,32 @@ def _partition_copy(spark, sf):
 register("partition_copy", f"SELECT * FROM ({driver.behavior_log_sql()}) t")(_partition_copy)
 
 
-def _pipeline(spark, sf, feeds):
+def _layers(spark, sf, feeds):
     wh = Warehouse(spark)
     for feed in feeds:
         wh.ingest(feed, ods.ods_lines(spark, sf, feed))
     return wh
 
 
-def _paper_report_pipeline(spark, sf):
-    wh = _pipeline(spark, sf, _CH_FEEDS + _CO_FEEDS + _MA_FEEDS + _PA_FEEDS + _QU_FEEDS + ("QzMemberPaperQuestion",))
+def _paper_report_layered(spark, sf):
+    wh = _layers(spark, sf, _CH_FEEDS + _CO_FEEDS + _MA_FEEDS + _PA_FEEDS + _QU_FEEDS + ("QzMemberPaperQuestion",))
     wh.build_quiz()
     return reports.paper_avg(wh.paper_detail())
 
 
-register("paper_report_pipeline", _DETAIL_SQL.replace("\nSELECT " + ", ".join(QZ.PAPER_DETAIL), "\n, detail AS (SELECT " + ", ".join(QZ.PAPER_DETAIL), 1) + """)
+register("paper_report_layered", _DETAIL_SQL.replace("\nSELECT " + ", ".join(QZ.PAPER_DETAIL), "\n, detail AS (SELECT " + ", ".join(QZ.PAPER_DETAIL), 1) + """)
 SELECT paperviewid, paperviewname,
        CAST(avg(score) AS DECIMAL(4,1)) AS score,
        CAST(avg(spendtime) AS DECIMAL(10,2)) AS spendtime, dt, dn
-FROM detail GROUP BY paperviewid, paperviewname, dt, dn""")(_paper_report_pipeline)
+FROM detail GROUP BY paperviewid, paperviewname, dt, dn""")(_paper_report_layered)
 
 
-def _member_pipeline(spark, sf):
-    wh = _pipeline(spark, sf, _MB_FEEDS)
+def _member_layered(spark, sf):
+    wh = _layers(spark, sf, _MB_FEEDS)
     return wh.table("dws", "dws_member") if wh.build_member() else None
 
 
-register("member_wide_pipeline", _M1_SQL)(_member_pipeline)
+register("member_wide_layered", _M1_SQL)(_member_layered)
 
 # ---------------------------------------------------------------- streaming run of a feed
 

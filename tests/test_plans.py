@@ -7,7 +7,8 @@ import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
 SIDE_EFFECTS = {"sink_orc", "sink_append", "sink_dynamic_overwrite", "sink_tsv", "sink_ctas", "partition_copy",
-                "paper_report_pipeline", "member_wide_pipeline", "feed_stream_ingest", "member_wide_views"}
+                "paper_report_layered", "member_wide_layered", "feed_stream_ingest", "member_wide_views",
+                "behavior_table_funnel", "behavior_table_retention", "clean_typed_projection"}
 
 
 def plan(df) -> str:
@@ -45,7 +46,7 @@ def test_day_filter_pushed_to_scan(spark):
 def test_stored_behavior_table_prunes_and_pushes(spark):
     from coursewise.operators import behavior
     from coursewise.plans import sinks as S
-    from coursewise.plans.pipeline import Warehouse
+    from coursewise.plans.warehouse import Warehouse
     from coursewise.sources import driver
     from coursewise.session import scratch_path
     wh = Warehouse(spark)
