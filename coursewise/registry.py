@@ -137,14 +137,14 @@ _NAMES = ", ".join(reports.NAME_COLUMNS)
 register("paper_top3", DETAIL_CTE + f"""
 SELECT * FROM (
   SELECT userid, {_NAMES}, score,
-         dense_rank() OVER (PARTITION BY paperviewid ORDER BY score DESC) AS rk, dt, dn
+         CAST(dense_rank() OVER (PARTITION BY paperviewid ORDER BY score DESC) AS INTEGER) AS rk, dt, dn
   FROM detail) t
 WHERE rk < 4""")(lambda spark, sf: reports.paper_top3(_detail(spark, sf)))
 
 register("paper_low3", DETAIL_CTE + f"""
 SELECT * FROM (
   SELECT userid, {_NAMES}, score,
-         dense_rank() OVER (PARTITION BY paperviewid, dt ORDER BY score ASC) AS rk, dt, dn
+         CAST(dense_rank() OVER (PARTITION BY paperviewid, dt ORDER BY score ASC) AS INTEGER) AS rk, dt, dn
   FROM detail) t
 WHERE rk < 4""")(lambda spark, sf: reports.paper_low3(_detail(spark, sf)))
 
@@ -492,7 +492,8 @@ def _calendar(spark, sf):
 _HT = "lpad(CAST(hour(ts) AS VARCHAR), 2, '0')"
 register("calendar", f"""
 SELECT event_id, strftime(ts, '%Y%m%d') AS day_key, strftime(ts, '%Y-%m-%d') AS day_text,
-       epoch_us(ts) // 1000 AS epoch_ms, hour(ts) AS hour, minute(ts) AS minute, second(ts) AS second,
+       epoch_us(ts) // 1000 AS epoch_ms, CAST(hour(ts) AS INTEGER) AS hour,
+       CAST(minute(ts) AS INTEGER) AS minute, CAST(second(ts) AS INTEGER) AS second,
        CAST(isodow(ts) AS INTEGER) AS iso_weekday, isodow(ts) >= 6 AS is_weekend,
        CAST(CAST(ts AS DATE) AS TIMESTAMP) AS day_start,
        CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY - INTERVAL 1 MILLISECOND AS day_end,
