@@ -85,21 +85,35 @@ def score_band(score) -> F.Column:
     return expr
 
 
-def paper_bands(detail: DataFrame, dt=None) -> DataFrame:
+def paper_bands(detail: DataFrame, dt=None, user_block: int | None = 1000,
+                question_block: int | None = 1000) -> DataFrame:
     """A5: comma-joined user ids per paper and score band.
 
-    The list keeps one entry per detail row (like ``collect_list``) and is
-    sorted by user id so the text is stable. Scores outside [0,100] form the
-    NULL band.
+    The list keeps one entry per detail row (like ``collect_list``), sorted
+    by user id. Scores outside [0,100] form the NULL band.
+
+    A band of a popular paper can hold any number of answers, so by default
+    its list is split over rows by ``user_block = userid div user_block`` and
+    ``question_block = questionid div question_block``: each row then holds
+    the answers of at most ``user_block`` users on ``question_block``
+    questions, and the rows of a group together hold its whole list. Passing
+    ``user_block=None`` gives the reference's single row per group, whose
+    size grows with the group.
     """
-    return (_day(detail, dt)
-            .select("paperviewid", "paperviewname", score_band("score").alias("score_segment"),
-                    "userid", "dt", "dn")
-            .groupBy("paperviewid", "paperviewname", "score_segment", "dt", "dn")
+    d = _day(detail, dt).select("paperviewid", "paperviewname", score_band("score").alias("score_segment"),
+                                "userid", "questionid", "dt", "dn")
+    keys = ["paperviewid", "paperviewname", "score_segment"]
+    if user_block:
+        d = d.withColumn("user_block", F.floor(F.col("userid") / user_block))
+        keys.append("user_block")
+        if question_block:
+            d = d.withColumn("question_block", F.floor(F.col("questionid") / question_block))
+            keys.append("question_block")
+    return (d.groupBy(*keys, "dt", "dn")
             .agg(F.array_join(F.transform(F.sort_array(F.collect_list("userid")),
                                           lambda u: u.cast("string")), ",").alias("userids"))
-            .select("paperviewid", "paperviewname", "score_segment", "userids", "dt", "dn")
-            .orderBy("paperviewid", "score_segment"))
+            .select(*keys, "userids", "dt", "dn")
+            .orderBy(*keys))
 
 
 def paper_pass_rate(detail: DataFrame, dt=None) -> DataFrame:

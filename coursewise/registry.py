@@ -149,9 +149,11 @@ SELECT * FROM (
 WHERE rk < 4""")(lambda spark, sf: reports.paper_low3(_detail(spark, sf)))
 
 register("paper_bands", DETAIL_CTE + """
-SELECT paperviewid, paperviewname, score_segment,
+SELECT paperviewid, paperviewname, score_segment, user_block, question_block,
        string_agg(CAST(userid AS VARCHAR), ',' ORDER BY userid) AS userids, dt, dn
 FROM (SELECT paperviewid, paperviewname, userid,
+             CAST(floor(userid / 1000) AS BIGINT) AS user_block,
+             CAST(floor(questionid / 1000) AS BIGINT) AS question_block,
              CASE WHEN score >= 0 AND score <= 20 THEN '0-20'
                   WHEN score > 20 AND score <= 40 THEN '20-40'
                   WHEN score > 40 AND score <= 60 THEN '40-60'
@@ -159,7 +161,7 @@ FROM (SELECT paperviewid, paperviewname, userid,
                   WHEN score > 80 AND score <= 100 THEN '80-100' END AS score_segment,
              dt, dn
       FROM detail) t
-GROUP BY paperviewid, paperviewname, score_segment, dt, dn
+GROUP BY paperviewid, paperviewname, score_segment, user_block, question_block, dt, dn
 ORDER BY paperviewid, score_segment""")(lambda spark, sf: reports.paper_bands(_detail(spark, sf)))
 
 register("paper_pass_rate", DETAIL_CTE + """

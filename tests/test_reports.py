@@ -22,10 +22,20 @@ BAND_ROWS = [(i, 1, 1, s, 60, 1, "d1", "x") for i, s in
 
 
 def test_bands(spark):
-    out = {r.score_segment: r.userids for r in R.paper_bands(detail(spark, BAND_ROWS)).collect()}
+    one_row = R.paper_bands(detail(spark, BAND_ROWS), user_block=None)
+    out = {r.score_segment: r.userids for r in one_row.collect()}
     assert out == {"0-20": "0,1", "20-40": "2", "40-60": "3", "60-80": "4", "80-100": "5", None: "6,7,8"}
 
 
+def test_bands_split_rows_hold_the_whole_list(spark):
+    rows = [(u, 1, q, 50, 60, 1, "d1", "x") for u in range(0, 5000, 7) for q in (1, 1500)]
+    split = R.paper_bands(detail(spark, rows), user_block=1000, question_block=1000).collect()
+    whole = R.paper_bands(detail(spark, rows), user_block=None).collect()
+    assert len(whole) == 1 and len(split) == 10
+    assert sorted(int(x) for r in split for x in r.userids.split(",")) == \
+        sorted(int(x) for x in whole[0].userids.split(","))
+
+
 def test_avg_and_min_max(spark):
     d = detail(spark, [(1, 1, 1, 10, 60, 1, "d1", "x"), (2, 1, 1, 15, 90, 1, "d1", "x"),
                        (3, 2, 1, 50, 30, 1, "d1", "x")])
