@@ -129,20 +129,22 @@ def retention_7d(log: DataFrame, start_day=None, end_day=None, tz: str = "UTC")
     """Seven-day retention rates per registration day.
 
     For every registration row (event ``registerAccount``; rows, not distinct
-    users, as in the reference) and every later day the same user was
-    active, ``day_interval`` is the whole-day distance between the two
-    events' dates (epoch seconds read in zone ``tz``). ``retained`` counts
-    such pairs per (register_day, day_interval), the rate divides by the
-    registration rows of that day, and intervals 0..6 are pivoted into
-    columns (a missing interval is 0, intervals past 6 only keep the row).
-    ``dt`` is ``end_day`` (default: the last day in the table).
-
-    Without a window (``start_day``/``end_day`` None) the whole table is used.
-
-    Scale: registrations are pre-aggregated to one row per (uid, day) with a
-    row count and activity to one row per (uid, day) before the join on
-    uid, so even a user holding a third of all rows contributes at most
-    days x days pairs.
+    users, as in the reference) and every day the same user was active,
+    ``day_interval`` is the whole-day distance between the two events' dates
+    (epoch seconds read in zone ``tz``). The rate of interval k (0..6) is the
+    number of (registration row, active day k days later) pairs over the
+    registration rows of that day; a missing interval is 0. A registration
+    day has a row when some registration of that day has an active day on or
+    after it (later intervals only keep the row, as in the reference).
+    ``dt`` is ``end_day`` (default: the last day in the table). Without a
+    window (``start_day``/``end_day`` None) the whole table is used.
+
+    Scale: no (registration x activity) pairs are formed. Registrations are
+    reduced to one row per (user, day) with a row count and expanded to their
+    seven candidate days, which are equi-joined to the one-row-per-(user, day)
+    activity; the row-keeping test needs one "last active day" per user. A
+    user holding a third of all events is therefore spread over (user, day)
+    keys and never meets all of their own days in one task.
     """
     scoped = log
     if start_day is not None:
@@ -156,18 +158,30 @@ def retention_7d(log: DataFrame, start_day=None, end_day=None, tz: str = "UTC")
            .agg(F.count(F.lit(1)).alias("n_reg")))
     active = (scoped.groupBy("uid", "dt").agg(F.max("event_time").alias("last_time"))
               .select("uid", epoch_to_date("last_time", tz).alias("act_date")))
-    pairs = (reg.join(active, "uid")
-             .select("register_day", "n_reg",
-                     F.datediff("act_date", "reg_date").alias("day_interval"))
-             .where(F.col("day_interval") >= 0))
-    retained = pairs.groupBy("register_day", "day_interval").agg(F.sum("n_reg").alias("retained"))
-    reg_count = reg.groupBy("register_day").agg(F.sum("n_reg").alias("register_count"))
-    rates = (retained.join(reg_count, "register_day", "left")
+
+    # registrations x intervals 0..6 -> candidate active dates, equi-joined
+    cand = reg.select("uid", "register_day", "n_reg", "reg_date",
+                      F.explode(F.sequence(F.lit(0), F.lit(len(RATE_COLUMNS) - 1))).alias("day_interval"))
+    cand = cand.withColumn("act_date", F.date_add("reg_date", F.col("day_interval")))
+    hits = cand.join(active, ["uid", "act_date"])
+    retained = hits.groupBy("register_day", "day_interval").agg(F.sum("n_reg").alias("retained"))
+
+    # which registration days have a row, and their registration row counts
+    last = active.groupBy("uid").agg(F.max("act_date").alias("last_date"))
+    days = (reg.join(last, "uid", "left")
+            .groupBy("register_day")
+            .agg(F.sum("n_reg").alias("register_count"),
+                 F.max(F.coalesce(F.col("last_date") >= F.col("reg_date"), F.lit(False))).alias("keep"))
+            .where(F.col("keep")))
+
+    rates = (retained.join(days, "register_day")
              .select("register_day", "day_interval",
                      F.round(F.try_divide(F.col("retained"), F.col("register_count")), 4).alias("rate")))
-    current = (F.lit(int(end_day)) if end_day is not None
-               else scoped.agg(F.max("dt")).scalar())
     piv = rates.groupBy("register_day").agg(*[
         F.max(F.when(F.col("day_interval") == i, F.col("rate")).otherwise(F.lit(0.0))).alias(name)
         for i, name in enumerate(RATE_COLUMNS)])
-    return piv.select("register_day", *RATE_COLUMNS, current.cast("int").alias("dt"))
+    current = (F.lit(int(end_day)) if end_day is not None
+               else scoped.agg(F.max("dt")).scalar())
+    out = days.select("register_day").join(piv, "register_day", "left")
+    return out.select("register_day", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in RATE_COLUMNS],
+                      current.cast("int").alias("dt"))
