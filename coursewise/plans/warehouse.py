@@ -18,6 +18,7 @@ from ..operators import member as MB
 from ..operators import quiz as QZ
 from ..sources import feeds as FD
 from ..session import scratch_path
+from ..sources.driver import spread
 from . import sinks
 
 
@@ -26,17 +27,28 @@ class Warehouse:
         self.spark = spark
         self.root = (root or scratch_path(spark, "warehouse")).rstrip("/")
         self.mode = mode
+        self._schemas: dict = {}   # path -> schema written by this run (partition columns as text)
 
     # ------------------------------------------------------------ storage
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
     def table(self, layer: str, table: str, partition_cols=("dt", "dn")) -> DataFrame:
-        return sinks.read_table(self.spark, self.path(layer, table), partition_cols)
+        p = self.path(layer, table)
+        if p in self._schemas:   # known layout: no schema inference pass over the folder
+            df = self.spark.read.schema(self._schemas[p]).parquet(p)
+        else:
+            df = sinks.read_table(self.spark, p, partition_cols)
+        # a small layer table may be one file / one row group: spread it so
+        # the joins and writes above it use every core (no-op at scale)
+        return spread(df)
 
     def _write(self, df: DataFrame, layer: str, table: str, partition_cols, mode: str | None = None) -> str:
         mode = mode or self.mode
         p = self.path(layer, table)
+        from pyspark.sql import types as T
+        data = [f for f in df.schema.fields if f.name not in partition_cols]
+        self._schemas[p] = T.StructType(data + [T.StructField(c, T.StringType(), True) for c in partition_cols])
         if mode == "append":
             return sinks.append_partitioned(df, p, partition_cols)
         return sinks.overwrite_partitions(df, p, partition_cols)
