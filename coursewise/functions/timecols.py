@@ -90,6 +90,25 @@ def same_day(start, end) -> Column:
     return elapsed_days(start, end) == 0
 
 
+DEFAULT_FORMAT = "yyyy-MM-dd HH:mm:ss"
+
+
+def make_ts(year, month, day, hour=0, minute=0, second=0) -> Column:
+    """Zone-less timestamp from its parts (the reference's date builders)."""
+    lit = lambda v: _c(v) if not isinstance(v, int) else F.lit(v)
+    return F.make_timestamp_ntz(lit(year), lit(month), lit(day), lit(hour), lit(minute), lit(second))
+
+
+def format_ts(ts, fmt: str = DEFAULT_FORMAT) -> Column:
+    """Timestamp -> text (default 'yyyy-MM-dd HH:mm:ss')."""
+    return F.date_format(_c(ts), fmt)
+
+
+def text_to_epoch_millis(text, pattern: str = "yyyy-MM-dd", tz: str = "UTC") -> Column:
+    """Date/time text in ``pattern`` read as wall time in ``tz`` -> epoch ms (NULL if it does not parse)."""
+    return ntz_epoch_millis(F.try_to_timestamp(_c(text), F.lit(pattern)).cast("timestamp_ntz"), tz)
+
+
 def calendar(df, ts: str = "ts", tz: str = "UTC"):
     """H1: calendar columns of a zone-less timestamp column, added to ``df``."""
     c = F.col(ts)
@@ -104,4 +123,7 @@ def calendar(df, ts: str = "ts", tz: str = "UTC"):
         add_zero(F.hour(c)).alias("hour_text"),
         del_zero(add_zero(F.hour(c))).alias("hour_back"),
         dash_to_compact(F.date_format(c, "yyyy-MM-dd")).alias("day_key_from_text"),
+        format_ts(c).alias("formatted"),
+        make_ts(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c), F.second(c)).alias("rebuilt"),
+        text_to_epoch_millis(F.date_format(c, "yyyy-MM-dd"), "yyyy-MM-dd", tz).alias("day_epoch_ms"),
     )

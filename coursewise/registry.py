@@ -487,6 +487,7 @@ def _calendar(spark, sf):
     cal = TC.calendar(ev, "ts")
     return cal.select("event_id", "day_key", "day_text", "epoch_ms", "hour", "minute", "second", "iso_weekday",
                       "is_weekend", "day_start", "day_end", "hour_text", "hour_back", "day_key_from_text",
+                      "formatted", "rebuilt", "day_epoch_ms",
                       TC.elapsed_days("ts", "later").alias("elapsed_days"),
                       TC.same_day("ts", "later").alias("same_day"))
 
@@ -502,6 +503,9 @@ SELECT event_id, strftime(ts, '%Y%m%d') AS day_key, strftime(ts, '%Y-%m-%d') AS
        {_HT} AS hour_text,
        CASE WHEN {_HT} = '0' THEN {_HT} ELSE regexp_replace({_HT}, '^0', '') END AS hour_back,
        strftime(ts, '%Y%m%d') AS day_key_from_text,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS formatted,
+       make_timestamp(year(ts), month(ts), day(ts), hour(ts), minute(ts), CAST(second(ts) AS DOUBLE)) AS rebuilt,
+       epoch_ms(CAST(CAST(ts AS DATE) AS TIMESTAMP)) AS day_epoch_ms,
        CAST((epoch_us(later) - epoch_us(ts)) // 86400000000 AS INTEGER) AS elapsed_days,
        (epoch_us(later) - epoch_us(ts)) // 86400000000 = 0 AS same_day
 FROM (SELECT *, ts + to_seconds(CAST(floor(value * 3600) AS BIGINT)) AS later FROM events) e""")(_calendar)

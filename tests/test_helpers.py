@@ -68,3 +68,12 @@ def test_emptiness(spark):
                                "s string, a array<int>, m map<string,int>")
     r = df.select(E.string_empty("s"), E.array_empty("a"), E.map_empty("m")).collect()
     assert [tuple(x) for x in r] == [(True, True, True), (True, True, True), (False, False, False)]
+
+
+def test_build_format_parse(spark):
+    df = spark.createDataFrame([("2019-04-13", "2019-13-01")], "a string, b string")
+    r = df.select(T.make_ts(2019, 4, 13, 8, 5, 9).alias("t"), T.format_ts(T.make_ts(2019, 4, 13, 8, 5, 9)).alias("f"),
+                  T.text_to_epoch_millis("a").alias("ms"), T.text_to_epoch_millis("b").alias("bad"),
+                  T.text_to_epoch_millis("a", tz="Asia/Shanghai").alias("sh")).collect()[0]
+    assert r.t == dt.datetime(2019, 4, 13, 8, 5, 9) and r.f == "2019-04-13 08:05:09"
+    assert r.ms == 1555113600000 and r.bad is None and r.sh == 1555113600000 - 8 * 3600 * 1000
