@@ -31,9 +31,18 @@ from .sources import feeds as FD
 
 def clean_log(spark, input_path: str, output_path: str) -> str:
     """Raw behaviour text -> cleaned ORC (fails if the output exists); rejects beside it."""
-    lines = S.read_lines(spark, input_path)
-    S.write_orc(CL.clean_behavior(lines), output_path, files=None)
-    S.write_orc(CL.behavior_rejects(lines), output_path.rstrip("/") + "_rejects")
+    from pyspark import StorageLevel
+    from pyspark.sql import functions as F
+    from .sources.driver import BEHAVIOR_COLUMNS
+    # parse the raw log once for both outputs; disk-backed, so a lost
+    # executor's blocks are simply recomputed from the input
+    parsed = CL.parse_behavior(S.read_lines(spark, input_path)).persist(StorageLevel.DISK_ONLY)
+    try:
+        S.write_orc(parsed.where(F.col("reject_reason").isNull()).select(*BEHAVIOR_COLUMNS), output_path)
+        S.write_orc(parsed.where(F.col("reject_reason").isNotNull()).select("line", "reject_reason"),
+                    output_path.rstrip("/") + "_rejects")
+    finally:
+        parsed.unpersist()
     return output_path
 
 
