@@ -105,3 +105,8 @@ def cache_small(*dfs: DataFrame) -> None:
     """Cache dimension tables that several joins reuse."""
     for df in dfs:
         df.cache()
+
+
+def preview(df: DataFrame, n: int = 20) -> None:
+    """Print the first rows (a driver-side look, never a data path)."""
+    df.show(n, truncate=False)

@@ -613,7 +613,8 @@ register("sink_tsv", ORACLES["retention_7d"])(_sink_tsv)
 
 
 def _sink_ctas(spark, sf):
-    name = "tmp_app_access_count_" + scratch_path(spark, "x").rsplit("-", 1)[1]
+    import uuid
+    name = "tmp_app_access_count_" + uuid.uuid4().hex[:12]
     counts = _log(spark, sf).groupBy("uid", "dt").agg(F.count(F.lit(1)).alias("access_count"))
     SK.save_table(counts, name, scratch_path(spark, name))
     t = spark.table(name)
