@@ -117,17 +117,22 @@ def reader_sql(name: str, table: str, keep_dt: bool = True) -> str:
 
 
 # the good rows of the text round trip, as CTE ``cleaned``
-STORED_LOG_CTE = clean_sql(True, TEXT_LINES_CTE).replace(
-    "\nSELECT " + ", ".join(driver.BEHAVIOR_COLUMNS) + " FROM p WHERE reject_reason IS NULL",
-    ", cleaned AS (SELECT * FROM p WHERE reject_reason IS NULL)")
+def _typed_log_cte() -> str:
+    """The good rows of the text round trip, typed and keyed by day, as CTE ``log``."""
+    from ..operators.cleaning import BEHAVIOR_TYPES
+    dtypes = {"bigint": "BIGINT", "int": "INTEGER"}
+    cols = [f"TRY_CAST({c} AS {dtypes[BEHAVIOR_TYPES[c]]}) AS {c}" if c in BEHAVIOR_TYPES else c
+            for c in driver.BEHAVIOR_COLUMNS]
+    cleaned = clean_sql(True, TEXT_LINES_CTE).replace(
+        "\nSELECT " + ", ".join(driver.BEHAVIOR_COLUMNS) + " FROM p WHERE reject_reason IS NULL",
+        ", cleaned AS (SELECT * FROM p WHERE reject_reason IS NULL)")
+    return (cleaned + ", log AS (SELECT " + ", ".join(cols) + ", CAST(strftime(make_timestamp("
+            "TRY_CAST(event_time AS BIGINT) * 1000000), '%Y%m%d') AS INTEGER) AS dt FROM cleaned)\n")
+
+
+STORED_LOG_CTE = _typed_log_cte()
 
 
 def stored_sql(analysis_sql: str) -> str:
-    from ..operators.cleaning import BEHAVIOR_TYPES
-    from ..sources.driver import BEHAVIOR_COLUMNS as BC
-    dtypes = {"bigint": "BIGINT", "int": "INTEGER"}
-    cols = [f"TRY_CAST({c} AS {dtypes[BEHAVIOR_TYPES[c]]}) AS {c}" if c in BEHAVIOR_TYPES else c for c in BC]
-    log = (", log AS (SELECT " + ", ".join(cols) + ", CAST(strftime(make_timestamp("
-           "TRY_CAST(event_time AS BIGINT) * 1000000), '%Y%m%d') AS INTEGER) AS dt FROM cleaned)\n")
-    body = analysis_sql[len(LOG_CTE):]
-    return STORED_LOG_CTE + log + body
+    """An oracle written over ``LOG_CTE``, re-aimed at the stored (cleaned, typed) log."""
+    return STORED_LOG_CTE + analysis_sql[len(LOG_CTE):]

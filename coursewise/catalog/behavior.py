@@ -8,6 +8,7 @@ from ..plans.warehouse import Warehouse
 from ..session import scratch_path
 from .base import LOG_CTE, ORACLES, behavior_input, lines_input, register, stored_sql
 
+
 register("video_feedback", LOG_CTE + """
 SELECT CAST(sum(watch_video_count) AS BIGINT) AS watch_video_count,
        CAST(sum(complete_video_count) AS BIGINT) AS complete_video_count, dt

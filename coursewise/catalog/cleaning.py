@@ -60,11 +60,6 @@ FROM orders""")(lambda spark, sf: driver.table(spark, sf, "orders").select(
     .withColumn("regsourcename", TX.code_label("regsource")))
 
 
-register("clean_typed_projection", STORED_LOG_CTE + "".join(
-    [", log AS (SELECT "] + [", ".join(
-        (f"TRY_CAST({c} AS {dict(bigint='BIGINT', int='INTEGER')[CL.BEHAVIOR_TYPES[c]]}) AS {c}"
-         if c in CL.BEHAVIOR_TYPES else c) for c in driver.BEHAVIOR_COLUMNS)]
-    + [", CAST(strftime(make_timestamp(TRY_CAST(event_time AS BIGINT) * 1000000), '%Y%m%d') AS INTEGER) AS dt"
-       " FROM cleaned)\nSELECT * FROM log"]))(
+register("clean_typed_projection", STORED_LOG_CTE + "SELECT * FROM log")(
     lambda spark, sf: CL.typed_behavior(CL.clean_behavior(
         SK.read_lines(spark, SK.write_lines(lines_input(spark, sf), scratch_path(spark, "ods_behavior"))))))

@@ -11,6 +11,7 @@ from ..sources import ods
 from ..streaming import feed_stream as FS
 from .base import register
 
+
 def _feed_query(feed: str):
     return lambda spark, sf: FD.ingest(ods.ods_lines(spark, sf, feed), FD.FEEDS[feed])
 

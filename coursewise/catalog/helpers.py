@@ -12,6 +12,7 @@ from ..functions import timecols as TC
 from ..sources import driver
 from .base import LINES_CTE, blank_sql, fieldcount_sql, lines_input, register
 
+
 def _calendar(spark, sf):
     ev = driver.table(spark, sf, "events").select(
         "event_id", "ts", F.timestamp_add("SECOND", F.floor(F.col("value") * 3600), F.col("ts")).alias("later"))

@@ -13,6 +13,7 @@ from ..sources import feeds as FD
 from ..sources import ods
 from .base import ORACLES, TEXT_LINES_CTE, behavior_input, clean_sql, dwd_input, lines_input, register
 
+
 def _sink_orc(spark, sf):
     src = SK.write_lines(lines_input(spark, sf), scratch_path(spark, "ods_behavior"))
     out = SK.write_orc(CL.clean_behavior(SK.read_lines(spark, src)), scratch_path(spark, "behavior_clean"),

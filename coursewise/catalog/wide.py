@@ -9,6 +9,7 @@ from ..plans.warehouse import Warehouse
 from ..sources import ods
 from .base import dwd_ctes, dwd_input, reader_sql, register
 
+
 def _q_chapter(spark, sf):
     d = lambda f: dwd_input(spark, sf, f)
     return QZ.chapter_wide(d("QzChapter"), d("QzChapterList"), d("QzPoint"), d("QzPointQuestion"))
