@@ -141,13 +141,13 @@ def member_join(member, regtype, base_ad, website, paymoney, vip_level, dt=None)
     ``siteid`` and ``vip_id`` are the left side's (USING semantics), so they
     stay set when the dimension has no match. The reference forces a
     broadcast of four tables; payments grow with the data, so here the
-    planner decides from measured sizes, and the payment join is written
-    skew-safe (a hot member is split across tasks).
+    planner decides from measured sizes, and the registration and payment
+    joins are written skew-safe (a hot member is split across tasks).
     """
     mem = read_member(member)
     if dt is not None:
         mem = mem.where(F.col("dt") == F.lit(str(dt)))
-    j = (mem.join(read_member_regtype(regtype), ["uid", "dn"], "left")
+    j = (left_join_skew_safe(mem, read_member_regtype(regtype), ["uid", "dn"])
          .join(read_base_ad(base_ad), ["ad_id", "dn"], "left")
          .join(read_base_website(website), ["siteid", "dn"], "left"))
     j = left_join_skew_safe(j, read_paymoney(paymoney), ["uid", "dn"])

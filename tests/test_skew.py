@@ -68,3 +68,35 @@ def test_retention_hot_user(spark):
     for day, rates in got.items():
         for i in range(7):
             assert rates[i] == (round(ret[(day, i)] / cnt[day], 4) if ret[(day, i)] else 0.0)
+
+
+def _final_plan(df) -> str:
+    qe = df._jdf.queryExecution()
+    qe.executedPlan().execute().count()
+    return qe.executedPlan().toString()
+
+
+def test_aqe_splits_hot_key_in_skew_safe_form(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        left = spark.range(200).select((F.col("id") % 20).alias("k"), F.col("id").alias("l"))
+        # key 0 holds well over a third of the right side
+        right = spark.range(30000).select(F.when(F.col("id") < 15000, 0).otherwise(F.col("id") % 20).alias("k"),
+                                          F.col("id").alias("r"), F.lit("x" * 20).alias("pad"))
+        plain = _final_plan(left.join(right, ["k"], "left"))
+        safe = _final_plan(left_join_skew_safe(left, right, ["k"]))
+        assert "skew=true" not in plain          # outer join: the hot right side cannot be split
+        assert "skew=true" in safe               # inner part: the hot key is split over tasks
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
