@@ -152,8 +152,7 @@ LEFT JOIN (SELECT vip_id, vip_level, start_time AS vip_start_time, end_time AS v
 
 def _layers(spark, sf, feeds):
     wh = Warehouse(spark)
-    for feed in feeds:
-        wh.ingest(feed, ods.ods_lines(spark, sf, feed))
+    wh.ingest_all({feed: ods.ods_lines(spark, sf, feed) for feed in feeds})
     return wh
 
 

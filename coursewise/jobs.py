@@ -63,11 +63,8 @@ def behavior_reports(spark, root: str, day: int, output: str, start=None, end=No
 def dwd(spark, root: str, ods_dir: str, feeds=None) -> dict:
     """Every feed file under ODS_DIR into its detail table."""
     wh = Warehouse(spark, root)
-    done = {}
-    for feed in feeds or FD.FEEDS:
-        path = os.path.join(ods_dir, f"{feed}.log")
-        done[feed] = wh.ingest(feed, S.read_lines(spark, path))
-    return done
+    lines = {feed: S.read_lines(spark, os.path.join(ods_dir, f"{feed}.log")) for feed in feeds or FD.FEEDS}
+    return wh.ingest_all(lines)
 
 
 def ads_quiz(spark, root: str, dt, output: str) -> dict:

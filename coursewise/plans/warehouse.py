@@ -60,6 +60,18 @@ class Warehouse:
         mode = "overwrite" if spec.mode == "overwrite" else self.mode
         return self._write(FD.ingest(lines, spec), "dwd", spec.target, spec.partition, mode)
 
+    def ingest_all(self, lines_by_feed: dict, parallel: int = 4) -> dict:
+        """Run independent feed jobs concurrently (one Spark job per feed).
+
+        The feeds do not depend on each other; submitting several at once
+        keeps the cluster busy while the small dimension feeds run. Only job
+        submission happens on the driver threads, never data.
+        """
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            futures = {feed: pool.submit(self.ingest, feed, lines) for feed, lines in lines_by_feed.items()}
+            return {feed: f.result() for feed, f in futures.items()}
+
     def dwd(self, feed: str) -> DataFrame:
         spec = FD.FEEDS[feed]
         return self.table("dwd", spec.target, spec.partition)
@@ -92,8 +104,12 @@ class Warehouse:
                                                    d("QzPaper"), dt)),
             ("dws_qz_question", lambda: QZ.question_wide(d("QzQuestion"), d("QzQuestionType"), dt)),
         ]
-        for name, build in steps:
-            out[name] = self._write(build(), "dws", name, ("dt", "dn"))
+        from concurrent.futures import ThreadPoolExecutor
+        # the five wide tables are independent of each other: build them concurrently
+        with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+            futures = {name: pool.submit(lambda b=build, n=name: self._write(b(), "dws", n, ("dt", "dn")))
+                       for name, build in steps}
+            out.update({name: f.result() for name, f in futures.items()})
         t = lambda n: self.table("dws", n)
         detail = QZ.user_paper_detail(d("QzMemberPaperQuestion"), t("dws_qz_chapter"), t("dws_qz_course"),
                                       t("dws_qz_major"), t("dws_qz_paper"), t("dws_qz_question"), dt)
