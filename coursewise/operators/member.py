@@ -122,12 +122,10 @@ def member_wide(member, regtype, base_ad, website, paymoney, vip_level, dt=None)
 def member_wide_views(spark, member, regtype, base_ad, website, paymoney, vip_level, dt=None) -> DataFrame:
     """M2: the same rows, with the inputs registered as temp views and the
     small dimension tables cached first (the reference's variant)."""
-    for name, df in (("dwd_member", member), ("dwd_member_regtype", regtype)):
-        df.createOrReplaceTempView(name)
-    for name, df in (("dwd_base_ad", base_ad), ("dwd_base_website", website), ("dwd_vip_level", vip_level)):
-        df.cache()
-        df.createOrReplaceTempView(name)
-    paymoney.createOrReplaceTempView("dwd_pcentermempaymoney")
+    from ..plans.sinks import cache_small, register_views
+    cache_small(base_ad, website, vip_level)
+    register_views({"dwd_member": member, "dwd_member_regtype": regtype, "dwd_base_ad": base_ad,
+                    "dwd_base_website": website, "dwd_pcentermempaymoney": paymoney, "dwd_vip_level": vip_level})
     return member_wide(spark.table("dwd_member"), spark.table("dwd_member_regtype"), spark.table("dwd_base_ad"),
                        spark.table("dwd_base_website"), spark.table("dwd_pcentermempaymoney"),
                        spark.table("dwd_vip_level"), dt)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -69,10 +68,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         base = base[len("file:"):]
     path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
     return path
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

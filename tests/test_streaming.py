@@ -33,3 +33,13 @@ def test_overwrite_feed_stream_replaces_partitions(spark):
     got = S.read_table(spark, target, ("dn",)).collect()
     assert [(r.adid, r.adname) for r in got] == [(2, "b")]
     assert FD.FEEDS["baseadlog"].mode == "overwrite"
+
+
+def test_behavior_clean_stream(spark):
+    from coursewise.sources.driver import BEHAVIOR_COLUMNS
+    landing, target, ckpt = (scratch_path(spark, n) for n in ("landing", "clean", "ckpt"))
+    good = "\t".join("7" if c == "uid" else ("18701420007" if c == "phone" else "v") for c in BEHAVIOR_COLUMNS)
+    write_batch(spark, landing, [good, "too\tshort"])
+    FS.start_behavior_clean(spark, landing, target, ckpt).awaitTermination()
+    got = spark.read.orc(target).collect()
+    assert [(r.uid, r.phone) for r in got] == [(7, "187xxxx0007")]
