@@ -7,6 +7,7 @@
     python -m coursewise.jobs dws-quiz ROOT [DT]
     python -m coursewise.jobs dws-member ROOT [DT]
     python -m coursewise.jobs ads-quiz ROOT DT OUTPUT
+    python -m coursewise.jobs copy-partition SRC DST DT [--column dt]
 
 ROOT is the warehouse folder (tables under ROOT/dwd, ROOT/dws). An ODS folder
 holds one text file (or folder) per feed, named ``<feed>.log`` as in the
@@ -93,6 +94,8 @@ def main(argv=None) -> None:
         a = sub.add_parser(name); a.add_argument("root"); a.add_argument("dt", nargs="?")  # noqa: E702
     a = sub.add_parser("ads-quiz"); a.add_argument("root"); a.add_argument("dt")  # noqa: E702
     a.add_argument("output")
+    a = sub.add_parser("copy-partition"); a.add_argument("src"); a.add_argument("dst")  # noqa: E702
+    a.add_argument("dt"); a.add_argument("--column", default="dt")  # noqa: E702
     args = p.parse_args(argv)
 
     spark = build_session(app=f"coursewise-{args.job}")
@@ -110,6 +113,8 @@ def main(argv=None) -> None:
         Warehouse(spark, args.root).build_member(args.dt)
     elif args.job == "ads-quiz":
         ads_quiz(spark, args.root, args.dt, args.output)
+    elif args.job == "copy-partition":
+        S.copy_partitions(spark, args.src, args.dst, args.dt, args.column)
     spark.stop()
 
 
