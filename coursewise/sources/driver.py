@@ -10,8 +10,12 @@ rebuild derives the same logical tables from the generated parquet tables:
 * ``paper_detail``  : the exam-answer wide table the reports read, from
   ``lineitem`` joined to ``orders``.
 
-All of them are lazy column expressions over the scans, so Catalyst prunes
-columns and pushes filters into the parquet reader.
+All of them are lazy column expressions over the scans, so Catalyst reads
+only the columns a query needs and pushes filters on source columns into the
+parquet reader. Filters on derived columns (such as the event key) cannot
+reach the files; the stored, ``dt``-partitioned behaviour table
+(``plans.warehouse.Warehouse.load_behavior``) gives those pushdown and
+partition pruning.
 """
 
 from __future__ import annotations
@@ -192,7 +196,6 @@ def behavior_lines(events: DataFrame) -> DataFrame:
     s["net_config"] = F.when(r == 49, F.lit("")).otherwise(s["net_config"])
     # the 17 texts as one array column, so each line shape below reuses it
     fields = log.select("event_id", F.array(*[s[c] for c in BEHAVIOR_COLUMNS]).alias("_a"))
-    r = F.col("event_id") % 50
     full = F.array_join("_a", "\t")
     short = F.array_join(F.slice("_a", 1, len(BEHAVIOR_COLUMNS) - 1), "\t")
     line = (F.when(r == 7, short)
