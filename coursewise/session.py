@@ -50,11 +50,14 @@ def shared_dir(spark: SparkSession) -> str:
     private folder (as in tests), which is then registered as its checkpoint
     directory so ``DataFrame.checkpoint()`` uses the same place.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # e.g. Spark Connect: only the configuration is visible
+        sc = None
+    d = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d.rstrip("/")
-    if not sc.master.startswith("local"):
+    if sc is None or not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this job")
     d = tempfile.mkdtemp(prefix="coursewise-ckpt-")
     sc.setCheckpointDir(d)
