@@ -59,3 +59,12 @@ def test_column_order_and_partitions(spark):
     assert len(FD.FEEDS) == 23
     assert [c.name for c in FD.FEEDS["QzChapter"].cols].count("status") == 0
     assert "discountval" not in [c.name for c in FD.FEEDS["pcenterMemViplevel"].cols]
+
+
+def test_decimal_text_nested_values_and_key_precedence(spark):
+    out = ingest(spark, "QzQuestion", ['{"questionid": 1, "score": "2.45", "splitscore": "x", "content": {"a": [1, 2]},'
+                                       ' "answer": null}'])[0]
+    assert out.score == Decimal("2.5") and out.splitscore == Decimal("0.0")   # not numeric -> default
+    assert out.content == '{"a":[1,2]}' and out.answer is None
+    both = ingest(spark, "QzCourse", ['{"courseid": 1, "sequnece": "first", "sequence": "second"}'])[0]
+    assert both.sequence == "first"

@@ -55,3 +55,17 @@ def test_shared_dir_comes_from_session(spark):
     from coursewise.session import shared_dir
     assert shared_dir(spark) == spark.sparkContext.getCheckpointDir().rstrip("/")
     assert scratch_path(spark, "x").startswith(shared_dir(spark).replace("file:", ""))
+
+
+def test_warehouse_rerun_is_idempotent_unless_append(spark):
+    from coursewise.plans.warehouse import Warehouse
+    lines = spark.createDataFrame([('{"pointid": 1, "questionid": 2, "dt": "20190722", "dn": "w"}',),
+                                   ('{"pointid": 3, "questionid": 4, "dt": "20190723", "dn": "w"}',)], "value string")
+    wh = Warehouse(spark)                       # default: dynamic partition overwrite
+    wh.ingest("QzPointQuestion", lines)
+    wh.ingest("QzPointQuestion", lines)         # re-run of the same day(s)
+    assert wh.dwd("QzPointQuestion").count() == 2
+    old = Warehouse(spark, mode="append")       # the reference's behaviour
+    old.ingest("QzPointQuestion", lines)
+    old.ingest("QzPointQuestion", lines)
+    assert old.dwd("QzPointQuestion").count() == 4
