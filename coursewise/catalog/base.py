@@ -136,3 +136,36 @@ STORED_LOG_CTE = _typed_log_cte()
 def stored_sql(analysis_sql: str) -> str:
     """An oracle written over ``LOG_CTE``, re-aimed at the stored (cleaned, typed) log."""
     return STORED_LOG_CTE + analysis_sql[len(LOG_CTE):]
+
+
+# ---------------------------------------------------------------- Spark's rounding in oracle SQL
+# Spark turns a double into a decimal (casts, ``round``) through the double's
+# shortest decimal text and rounds that half up (so 23/40 = 0.575 -> 0.58),
+# while DuckDB rounds the binary value (0.5749999... -> 0.57). The oracles
+# state Spark's rule explicitly.
+
+def spark_decimal_sql(double_expr: str, p: int, s: int) -> str:
+    """CAST(double AS DECIMAL(p,s)) the way Spark does it."""
+    return f"CAST(CAST(CAST(({double_expr}) AS DOUBLE) AS VARCHAR) AS DECIMAL({p},{s}))"
+
+
+def spark_round_sql(double_expr: str, digits: int) -> str:
+    """round(double, digits) the way Spark does it (result double)."""
+    return (f"CAST(round(CAST(CAST(CAST(({double_expr}) AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), {digits})"
+            f" AS DOUBLE)")
+
+
+def spark_avg_decimal_sql(col: str, scale: int, out_p: int, out_s: int) -> str:
+    """CAST(avg(decimal(., scale) col) AS DECIMAL(out_p, out_s)) the way Spark does it.
+
+    Spark averages decimals exactly and rounds half up to ``scale + 4``
+    places, then the cast rounds half up again to ``out_s`` places. Done in
+    integer units: S = sum * 10^scale, n = count.
+    """
+    up = 10 ** 4                        # extra places of the average
+    step = 10 ** (scale + 4 - out_s)    # units of the average per output unit
+    s_units = f"CAST(sum({col}) * {10 ** scale} AS HUGEINT)"
+    n = f"count({col})"
+    avg_units = f"sign({s_units}) * ((2 * abs({s_units}) * {up} + {n}) // (2 * {n}))"
+    out_units = f"sign({avg_units}) * ((2 * abs({avg_units}) + {step}) // (2 * {step}))"
+    return f"CAST({out_units} / {10 ** out_s}.0 AS DECIMAL({out_p},{out_s}))"

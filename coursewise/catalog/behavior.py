@@ -6,7 +6,7 @@ from ..operators import behavior
 from ..plans import sinks as SK
 from ..plans.warehouse import Warehouse
 from ..session import scratch_path
-from .base import LOG_CTE, ORACLES, behavior_input, lines_input, register, stored_sql
+from .base import LOG_CTE, ORACLES, behavior_input, lines_input, register, spark_round_sql, stored_sql
 
 
 register("video_feedback", LOG_CTE + """
@@ -74,7 +74,7 @@ register("retention_7d", LOG_CTE + f"""
   GROUP BY register_day, day_interval)
 , rc AS (SELECT dt, count(1) AS register_count FROM log WHERE event_key = 'registerAccount' GROUP BY dt)
 , rate AS (SELECT ret.register_day, ret.day_interval,
-                  round(ret.retained / rc.register_count, 4) AS retained_rate
+                  {spark_round_sql('ret.retained / rc.register_count', 4)} AS retained_rate
            FROM ret LEFT JOIN rc ON ret.register_day = rc.dt)
 SELECT register_day,
 {_RATE_SQL},

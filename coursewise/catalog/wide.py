@@ -8,6 +8,7 @@ from ..operators import reports
 from ..plans.warehouse import Warehouse
 from ..sources import ods
 from .base import dwd_ctes, dwd_input, reader_sql, register
+from .reports import AVG_SQL
 
 
 def _q_chapter(spark, sf):
@@ -162,16 +163,15 @@ def _paper_report_layered(spark, sf):
     return reports.paper_avg(wh.paper_detail())
 
 
-register("paper_report_layered", _DETAIL_SQL.replace("\nSELECT " + ", ".join(QZ.PAPER_DETAIL), "\n, detail AS (SELECT " + ", ".join(QZ.PAPER_DETAIL), 1) + """)
-SELECT paperviewid, paperviewname,
-       CAST(avg(score) AS DECIMAL(4,1)) AS score,
-       CAST(avg(spendtime) AS DECIMAL(10,2)) AS spendtime, dt, dn
-FROM detail GROUP BY paperviewid, paperviewname, dt, dn""")(_paper_report_layered)
+register("paper_report_layered", _DETAIL_SQL.replace(
+    "\nSELECT " + ", ".join(QZ.PAPER_DETAIL), "\n, detail AS (SELECT " + ", ".join(QZ.PAPER_DETAIL), 1)
+    + ")" + AVG_SQL)(_paper_report_layered)
 
 
 def _member_layered(spark, sf):
     wh = _layers(spark, sf, _MB_FEEDS)
-    return wh.table("dws", "dws_member") if wh.build_member() else None
+    wh.build_member()
+    return wh.table("dws", "dws_member")
 
 
 register("member_wide_layered", _M1_SQL)(_member_layered)

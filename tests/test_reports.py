@@ -76,3 +76,11 @@ def test_question_error_rate(spark):
 def test_top3_plan_prunes_before_shuffle(spark):
     plan = R.paper_top3(detail(spark, BAND_ROWS))._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_rate_rounds_like_spark_on_binary_boundaries(spark):
+    # 23 / 40 = 0.575 is 0.57499999... as a double; Spark (and the reference's
+    # Spark 2.1) rounds its decimal text half up: 0.58
+    rows = [(i, 1, 1, 70 if i < 23 else 10, 60, 1, "d1", "x") for i in range(40)]
+    r = R.paper_pass_rate(detail(spark, rows)).collect()[0]
+    assert (r.passcount, r.countdetail, r.rate) == (23, 17, Decimal("0.58"))
