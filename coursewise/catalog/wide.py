@@ -147,7 +147,8 @@ LEFT JOIN (SELECT uid, TRY_CAST(paymoney AS DECIMAL(10,4)) AS paymoney, vip_id,
            FROM dwd_pcentermempaymoney) e USING (uid, dn)
 LEFT JOIN (SELECT vip_id, vip_level, start_time AS vip_start_time, end_time AS vip_end_time,
                   last_modify_time AS vip_last_modify_time, max_free AS vip_max_free, min_free AS vip_min_free,
-                  next_level AS vip_next_level, operator AS vip_operator, dn FROM dwd_vip_level) f USING (vip_id, dn)""")(
+                  next_level AS vip_next_level, operator AS vip_operator, dn
+           FROM dwd_vip_level) f USING (vip_id, dn)""")(
     lambda spark, sf: MB.member_join(*_mb_inputs(spark, sf)))
 
 

@@ -13,7 +13,8 @@ def detail(spark, rows):
     full = [(u, p, f"pv{p}", q, None if s is None else Decimal(str(s)), t, a, dt, dn) + tuple(f"{n}{p}" for n in NAMES)
             for u, p, q, s, t, a, dt, dn in rows]
     schema = ("userid bigint, paperviewid bigint, paperviewname string, questionid bigint, score decimal(4,1), "
-              "spendtime int, user_question_answer int, dt string, dn string, " + ", ".join(f"{n} string" for n in NAMES))
+              "spendtime int, user_question_answer int, dt string, dn string, "
+              + ", ".join(f"{n} string" for n in NAMES))
     return spark.createDataFrame(full, schema)
 
 

@@ -17,42 +17,57 @@ def test_skew_safe_left_join_equals_left_join(spark):
     assert got == want
 
 
+INT_COLUMNS = {"uid", "websiteid", "adid", "siteid", "delete", "vip_id", "ad_id"}
+
+
+def empty_table(spark, cols):
+    """An empty detail table with the given columns (ids int, the rest text)."""
+    schema = ", ".join(f"{c} int" if c in INT_COLUMNS else f"{c} string" for c in cols)
+    return spark.createDataFrame([], schema)
+
+
+def with_text_columns(df, cols):
+    for c in cols:
+        if c not in df.columns:
+            df = df.withColumn(c, F.lit(None).cast("string"))
+    return df
+
+
 def test_member_wide_with_hot_member(spark):
     n = 3000
     member = spark.createDataFrame([(u, 1, "d", "w") for u in range(1, 11)], "uid int, ad_id int, dt string, dn string")
-    for c in MB.MEMBER_COLS:
-        if c not in member.columns:
-            member = member.withColumn(c, F.lit(None).cast("string"))
-    member = member.withColumn("email", F.lit(None).cast("string"))
-    empty = lambda cols: spark.createDataFrame([], ", ".join(f"{c} string" if c not in ("uid", "websiteid", "adid", "siteid", "delete", "vip_id") else f"{c} int" for c in cols))  # noqa
-    reg = empty(["uid", "appkey", "appregurl", "bdp_uuid", "createtime", "isranreg", "regsource", "regsourcename",
-                 "websiteid", "dn"])
-    ad = empty(["adid", "adname", "dn"])
-    site = empty(["siteid", "sitename", "siteurl", "delete", "createtime", "creator", "dn"])
+    member = with_text_columns(member, MB.MEMBER_COLS + ("email",))
+    reg = empty_table(spark, ["uid", "appkey", "appregurl", "bdp_uuid", "createtime", "isranreg", "regsource",
+                              "regsourcename", "websiteid", "dn"])
+    ad = empty_table(spark, ["adid", "adname", "dn"])
+    site = empty_table(spark, ["siteid", "sitename", "siteurl", "delete", "createtime", "creator", "dn"])
     # member 1 holds a third of the payments
-    pay = spark.range(3 * n).select(F.when(F.col("id") < n, 1).otherwise(F.col("id") % 10 + 1).cast("int").alias("uid"),
-                                    F.lit("1.5").alias("paymoney"), (F.col("id") % 3).cast("int").alias("vip_id"),
-                                    F.lit("w").alias("dn"))
-    vip = spark.createDataFrame([(0, "a", "w"), (0, "b", "w"), (1, "c", "w")], "vip_id int, vip_level string, dn string")
-    for c in ("start_time", "end_time", "last_modify_time", "max_free", "min_free", "next_level", "operator"):
-        vip = vip.withColumn(c, F.lit(None).cast("string"))
+    hot_uid = F.when(F.col("id") < n, 1).otherwise(F.col("id") % 10 + 1).cast("int")
+    pay = spark.range(3 * n).select(hot_uid.alias("uid"), F.lit("1.5").alias("paymoney"),
+                                    (F.col("id") % 3).cast("int").alias("vip_id"), F.lit("w").alias("dn"))
+    vip = spark.createDataFrame([(0, "a", "w"), (0, "b", "w"), (1, "c", "w")],
+                                "vip_id int, vip_level string, dn string")
+    vip = with_text_columns(vip, ("start_time", "end_time", "last_modify_time", "max_free", "min_free",
+                                  "next_level", "operator"))
     out = {r.uid: r.paymoney for r in MB.member_wide(member, reg, ad, site, pay, vip).collect()}
     # literal join: rows per payment = number of vip rows matching (at least 1)
-    mult = pay.join(vip.groupBy("vip_id", "dn").count(), ["vip_id", "dn"], "left") \
-        .select("uid", (F.col("paymoney").cast("decimal(10,4)") * F.coalesce("count", F.lit(1))).alias("v")) \
-        .groupBy("uid").agg(F.sum("v").alias("s"))
+    vip_rows = vip.groupBy("vip_id", "dn").count()
+    mult = (pay.join(vip_rows, ["vip_id", "dn"], "left")
+            .select("uid", (F.col("paymoney").cast("decimal(10,4)") * F.coalesce("count", F.lit(1))).alias("v"))
+            .groupBy("uid").agg(F.sum("v").alias("s")))
     want = {r.uid: r.s for r in mult.collect()}
     assert {k: float(v) for k, v in out.items()} == {k: float(v) for k, v in want.items()}
 
 
 def test_retention_hot_user(spark):
     # one user with many events every day next to ordinary users
-    hot = spark.range(5000).select(F.lit(1).cast("bigint").alias("uid"),
-                                   F.when(F.col("id") % 50 == 0, "registerAccount").otherwise("startApp").alias("event_key"),
+    key = F.when(F.col("id") % 50 == 0, "registerAccount").otherwise("startApp")
+    hot = spark.range(5000).select(F.lit(1).cast("bigint").alias("uid"), key.alias("event_key"),
                                    (F.lit(1555113600) + (F.col("id") % 5) * 86400 + F.col("id")).alias("event_time"))
     cold = spark.createDataFrame([(2, "registerAccount", 1555113600), (2, "startApp", 1555113600 + 86400)],
                                  "uid bigint, event_key string, event_time bigint")
-    log = hot.unionByName(cold).withColumn("dt", F.date_format(F.timestamp_seconds("event_time"), "yyyyMMdd").cast("int"))
+    day = F.date_format(F.timestamp_seconds("event_time"), "yyyyMMdd").cast("int")
+    log = hot.unionByName(cold).withColumn("dt", day)
     got = {r.register_day: tuple(r)[1:8] for r in B.retention_7d(log).collect()}
     # brute force: every registration row x every active day of that user
     regs = [(r.uid, r.dt) for r in log.where("event_key = 'registerAccount'").collect()]
