@@ -119,6 +119,7 @@ def study_funnel(log: DataFrame, day=None) -> DataFrame:
             .select(*names, "dt"))
 
 
+# The retention table's rate columns, intervals 0 to 6 in order.
 RATE_COLUMNS = ("zero_interval_retained_rate", "one_interval_retained_rate",
                 "two_interval_retained_rate", "three_interval_retained_rate",
                 "four_interval_retained_rate", "five_interval_retained_rate",

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# The name columns the top / bottom reports return, in order.
 NAME_COLUMNS = ("paperviewname", "chaptername", "pointname", "sitecoursename", "coursename",
                 "majorname", "shortname", "sitename", "papername")
 
@@ -72,6 +73,7 @@ def paper_low3(detail: DataFrame, dt=None) -> DataFrame:
     return _ranked(_day(detail, dt), ["paperviewid"], ascending=True)
 
 
+# Score bands (low, high, label); the first band includes its low end.
 BANDS = ((0, 20, "0-20"), (20, 40, "20-40"), (40, 60, "40-60"), (60, 80, "60-80"), (80, 100, "80-100"))
 
 

@@ -69,6 +69,7 @@ OSES = ("ios", "android")
 VERSIONS = ("1.0", "1.1", "2.0", "2.1")
 VIDEO_LENGTH = 60
 
+# The behaviour log's 17 fields, in line order.
 BEHAVIOR_COLUMNS = ("uid", "username", "gender", "level", "is_vip", "os", "channel",
                     "net_config", "ip", "phone", "video_id", "video_length",
                     "start_video_time", "end_video_time", "version", "event_key", "event_time")
