@@ -46,14 +46,24 @@ def paper_min_max(detail: DataFrame, dt=None) -> DataFrame:
 
 
 def _ranked(detail: DataFrame, keys, ascending: bool) -> DataFrame:
+    """Rows whose score is among the three best (or worst) distinct scores of their group.
+
+    This is ``dense_rank() over (partition by keys order by score) < 4``. The
+    rank is computed over each group's *distinct* scores (bounded by the
+    score domain, not by the number of answers), which Spark prunes with a
+    ``WindowGroupLimit``, and the top ranks are equi-joined back to the
+    answers (NULL-safe on the score). A popular paper whose best score is
+    shared by a huge number of answers is then an ordinary inner-join key
+    that AQE can split, instead of one window partition in one task.
+    """
     order = F.col("score").asc() if ascending else F.col("score").desc()
     w = Window.partitionBy(*keys).orderBy(order)
-    # dense_rank + rk < 4 is planned as a WindowGroupLimit: each task keeps
-    # only its own top ranks before the shuffle, so a hot paper ships a
-    # handful of rows per task, not all of its answers.
-    return (detail.select("userid", *NAME_COLUMNS, "score", "paperviewid", "dt", "dn",
-                          F.dense_rank().over(w).alias("rk"))
-            .where(F.col("rk") < 4)
+    top = (detail.select(*keys, "score").distinct()
+           .select(*[F.col(k).alias(f"top_{k}") for k in keys], F.col("score").alias("top_score"),
+                   F.dense_rank().over(w).alias("rk"))
+           .where(F.col("rk") < 4))
+    cond = [F.col(k) == F.col(f"top_{k}") for k in keys] + [F.col("score").eqNullSafe(F.col("top_score"))]
+    return (detail.join(top, cond)
             .select("userid", *NAME_COLUMNS, "score", "rk", "dt", "dn"))
 
 

@@ -85,3 +85,15 @@ def test_rate_rounds_like_spark_on_binary_boundaries(spark):
     rows = [(i, 1, 1, 70 if i < 23 else 10, 60, 1, "d1", "x") for i in range(40)]
     r = R.paper_pass_rate(detail(spark, rows)).collect()[0]
     assert (r.passcount, r.countdetail, r.rate) == (23, 17, Decimal("0.58"))
+
+
+def test_top3_matches_literal_window_with_null_scores(spark):
+    from pyspark.sql import Window, functions as F
+    rows = [(1, 1, 1, 90, 60, 1, "d1", "x"), (2, 1, 1, 90, 60, 1, "d1", "x"), (3, 1, 1, 80, 60, 1, "d1", "x"),
+            (4, 1, 1, None, 60, 1, "d1", "x"), (5, 2, 1, None, 60, 1, "d1", "x")]
+    d = detail(spark, rows)
+    w = Window.partitionBy("paperviewid").orderBy(F.col("score").desc())
+    literal = d.select("userid", F.dense_rank().over(w).alias("rk")).where("rk < 4")
+    got = sorted((r.userid, r.rk) for r in R.paper_top3(d).collect())
+    assert got == sorted((r.userid, r.rk) for r in literal.collect())
+    assert (4, 3) in got and (5, 1) in got
