@@ -1,6 +1,6 @@
 """coursewise: learning-platform warehouse jobs on PySpark.
 
-Every operator is a plain function from DataFrame(s) to DataFrame built on
+Every operator is a plain function from DataFrame to DataFrame built on
 Spark's own column functions, so Catalyst plans, prunes and pushes down the
 whole job. Sub-packages:
 
@@ -8,8 +8,8 @@ whole job. Sub-packages:
   casts, URL codec, emptiness tests)
 * ``sources``    driver-table loaders, derived logs/feeds, JSON feed ingest
 * ``operators``  behaviour analyses, member and quiz wide tables, exam reports
-* ``plans``      sinks, table maintenance and lineage cuts
-* ``streaming``  incremental (file-stream) run of the feed ingest
+* ``plans``      sinks, table maintenance and the layered warehouse runner
+* ``streaming``  incremental (file-stream) runs of the ingest and the cleaner
+* ``catalog``    every registered query with its DuckDB oracle
+* ``jobs``       command-line entry points (``python -m coursewise.jobs``)
 """
-
-__all__ = ["session"]
