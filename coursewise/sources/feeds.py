@@ -8,7 +8,7 @@ and every output column is a typed lookup into that map:
 * C5  only lines that parse to a JSON *object* are kept (``{}`` included);
       garbage, empty lines, arrays and scalars give NULL and are dropped
 * C6  ``i``   int: missing / null / empty -> 0; numeric text accepted;
-      decimals truncate (3.7 -> 3); non-numeric -> 0
+      decimals truncate (3.7 -> 3); true / false -> 1 / 0; non-numeric -> 0
 * C7  ``s``   string: missing -> NULL; numbers come out as text
 * C8  ``d1``  decimal, one place, half up (0.25 -> 0.3, -0.25 -> -0.3);
       missing -> NULL.  ``d1z``: missing -> 0.0 (getDoubleValue feeds)
@@ -143,9 +143,10 @@ def json_object(line) -> Column:
 
 
 def json_int(m: Column, *keys: str) -> Column:
-    """Int value, 0 when missing, null, empty or not numeric."""
+    """Int value, 0 when missing, null, empty or not numeric; booleans 1 / 0."""
     v = F.coalesce(*[m.getItem(k) for k in keys]) if len(keys) > 1 else m.getItem(keys[0])
-    return F.coalesce(v.try_cast("decimal(38,6)").try_cast("int"), F.lit(0))
+    number = v.try_cast("decimal(38,6)").try_cast("int")
+    return F.coalesce(F.when(v == "true", 1).when(v == "false", 0).otherwise(number), F.lit(0))
 
 
 def json_string(m: Column, *keys: str) -> Column:

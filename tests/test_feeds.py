@@ -68,3 +68,8 @@ def test_decimal_text_nested_values_and_key_precedence(spark):
     assert out.content == '{"a":[1,2]}' and out.answer is None
     both = ingest(spark, "QzCourse", ['{"courseid": 1, "sequnece": "first", "sequence": "second"}'])[0]
     assert both.sequence == "first"
+
+
+def test_json_booleans_as_ints(spark):
+    out = ingest(spark, "QzQuestion", ['{"questionid": true, "parentid": false, "optnum": "true"}'])[0]
+    assert (out.questionid, out.parentid, out.optnum) == (1, 0, 1)
