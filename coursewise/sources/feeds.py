@@ -10,8 +10,11 @@ and every output column is a typed lookup into that map:
 * C6  ``i``   int: missing / null / empty -> 0; numeric text accepted;
       decimals truncate (3.7 -> 3); true / false -> 1 / 0; non-numeric -> 0
 * C7  ``s``   string: missing -> NULL; numbers come out as text
-* C8  ``d1``  decimal, one place, half up (0.25 -> 0.3, -0.25 -> -0.3);
-      missing -> NULL.  ``d1z``: missing -> 0.0 (getDoubleValue feeds)
+* C8  ``d1``  decimal, one place, half up (0.25 -> 0.3, -0.25 -> -0.3), from
+      the exact text; missing -> NULL. ``d1d`` / ``d1dz``: the same through a
+      double first (the point and question scores are read that way, so
+      digits beyond a double's precision are lost before rounding); ``d1dz``
+      gives 0.0 when missing
 
 Feed-specific rules (registration-source label, name/phone masks, the
 password redaction, misspelt keys) are extra column expressions on the
@@ -34,7 +37,7 @@ DEC1 = "decimal(10,1)"
 @dataclass(frozen=True)
 class Col:
     name: str
-    kind: str                 # 'i' | 's' | 'd1' | 'd1z'
+    kind: str                 # 'i' | 's' | 'd1' | 'd1d' | 'd1dz'
     keys: tuple = ()          # JSON keys to read, first present wins (default: name)
 
     @property
@@ -53,7 +56,7 @@ class FeedSpec:
 
 
 def _spec(feed, target, layout, partition=("dt", "dn"), mode="append", derived=None, keys=None):
-    """layout: 'name:kind name:kind ...' (kind i/s/d1/d1z); keys: {col: (json keys)}."""
+    """layout: 'name:kind name:kind ...' (kind i/s/d1/d1d/d1dz); keys: {col: (json keys)}."""
     keys = keys or {}
     cols = []
     for tok in layout.split():
@@ -89,7 +92,7 @@ FEEDS = {s.feed: s for s in [
     _spec("QzPoint", "dwd_qz_point",
           "pointid:i courseid:i pointname:s pointyear:s chapter:s creator:s createtime:s status:s "
           "modifystatus:s excisenum:i pointlistid:i chapterid:i sequence:s pointdescribe:s pointlevel:s "
-          "typelist:s score:d1 thought:s remid:s pointnamelist:s typelistids:s pointlist:s"),
+          "typelist:s score:d1d thought:s remid:s pointnamelist:s typelistids:s pointlist:s"),
     _spec("QzPointQuestion", "dwd_qz_point_question",
           "pointid:i questionid:i questype:i creator:s createtime:s", keys={"questype": ("questtype",)}),
     _spec("QzSiteCourse", "dwd_qz_site_course",
@@ -123,7 +126,7 @@ FEEDS = {s.feed: s for s in [
           "creator:s createtime:s sequence:s provideuser:s centerviewtype:s stage:s"),
     _spec("QzQuestion", "dwd_qz_question",
           "questionid:i parentid:i questypeid:i quesviewtype:i content:s answer:s analysis:s "
-          "limitminute:s score:d1z splitscore:d1z status:s optnum:i lecture:s creator:s createtime:s "
+          "limitminute:s score:d1dz splitscore:d1dz status:s optnum:i lecture:s creator:s createtime:s "
           "modifystatus:s attanswer:s questag:s vanalysisaddr:s difficulty:s quesskill:s vdeoaddr:s"),
     _spec("QzQuestionType", "dwd_qz_question_type",
           "quesviewtype:i viewtypename:s questypeid:i description:s status:s creator:s createtime:s "
@@ -154,9 +157,12 @@ def json_string(m: Column, *keys: str) -> Column:
     return F.coalesce(*[m.getItem(k) for k in keys]) if len(keys) > 1 else m.getItem(keys[0])
 
 
-def json_decimal1(m: Column, *keys: str, missing_zero: bool = False) -> Column:
-    """One-decimal value rounded half up from the decimal text."""
+def json_decimal1(m: Column, *keys: str, missing_zero: bool = False, via_double: bool = False) -> Column:
+    """One-decimal value rounded half up from the decimal text (or from
+    the text of the value as a double, ``via_double``)."""
     v = json_string(m, *keys)
+    if via_double:
+        v = v.try_cast("double").cast("string")
     d = F.round(v.try_cast("decimal(38,18)"), 1).try_cast(DEC1)
     return F.coalesce(d, F.lit(0).cast(DEC1)) if missing_zero else d
 
@@ -166,8 +172,8 @@ def _typed(m: Column, c: Col) -> Column:
         return json_int(m, *c.json_keys)
     if c.kind == "s":
         return json_string(m, *c.json_keys)
-    if c.kind in ("d1", "d1z"):
-        return json_decimal1(m, *c.json_keys, missing_zero=c.kind == "d1z")
+    if c.kind in ("d1", "d1d", "d1dz"):
+        return json_decimal1(m, *c.json_keys, missing_zero=c.kind == "d1dz", via_double=c.kind != "d1")
     raise ValueError(c.kind)
 
 

@@ -156,7 +156,7 @@ def _expr(spec: FeedSpec, pos: int, col, key: str, rk: str) -> str:
         return src[key]
     if col.kind == "i":
         return f"(({rk}) + {pos}) % 50"
-    if col.kind in ("d1", "d1z"):
+    if col.kind in ("d1", "d1d", "d1dz"):
         return f"(({rk}) % 40) / 4.0"
     return f"concat('{col.name}-', CAST(({rk}) % 97 AS STRING))"
 
@@ -207,7 +207,7 @@ def _typed_sql(kind: str, e: str) -> str:
 
 def _default_sql(kind: str) -> str:
     return {"i": "0", "s": "CAST(NULL AS VARCHAR)", "d1": "CAST(NULL AS DECIMAL(10,1))",
-            "d1z": "CAST(0 AS DECIMAL(10,1))"}[kind]
+            "d1d": "CAST(NULL AS DECIMAL(10,1))", "d1dz": "CAST(0 AS DECIMAL(10,1))"}[kind]
 
 
 def expected_sql(feed: str) -> str:

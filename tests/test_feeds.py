@@ -26,7 +26,7 @@ def test_int_string_decimal_rules(spark):
     a, b = out[12], out[13]
     assert a.parentid == 3 and a.optnum == 0 and a.content == "5"
     assert a.score == Decimal("0.3") and a.splitscore == Decimal("-0.3")
-    assert b.score == Decimal("0.2") and b.splitscore == Decimal("0.0")   # missing -> 0.0 (d1z)
+    assert b.score == Decimal("0.2") and b.splitscore == Decimal("0.0")   # missing -> 0.0 (d1dz)
     assert b.parentid == 0 and b.optnum == 0 and b.answer is None        # missing int 0, string NULL
 
 
@@ -73,3 +73,11 @@ def test_decimal_text_nested_values_and_key_precedence(spark):
 def test_json_booleans_as_ints(spark):
     out = ingest(spark, "QzQuestion", ['{"questionid": true, "parentid": false, "optnum": "true"}'])[0]
     assert (out.questionid, out.parentid, out.optnum) == (1, 0, 1)
+
+
+def test_decimal_via_double_or_text(spark):
+    long_text = "1234567.0499999999999"         # exact as text; 1234567.05 as a double
+    pt = ingest(spark, "QzPoint", [f'{{"pointid": 1, "score": {long_text}}}'])[0]
+    mp = ingest(spark, "QzMemberPaperQuestion", [f'{{"userid": 1, "score": "{long_text}"}}'])[0]
+    assert pt.score == Decimal("1234567.1")    # via double (point score)
+    assert mp.score == Decimal("1234567.0")    # from the exact text (answer score)

@@ -8,7 +8,7 @@ from coursewise.sources import feeds as FD
 
 def dwd(spark, feed, rows):
     spec = FD.FEEDS[feed]
-    types = {"i": "int", "s": "string", "d1": "decimal(10,1)", "d1z": "decimal(10,1)"}
+    types = {"i": "int", "s": "string", "d1": "decimal(10,1)", "d1d": "decimal(10,1)", "d1dz": "decimal(10,1)"}
     schema = ", ".join(f"`{c.name}` {types[c.kind]}" for c in spec.cols)
     names = [c.name for c in spec.cols]
     full = [tuple(r.get(n) for n in names) for r in rows]
