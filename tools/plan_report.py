@@ -30,7 +30,8 @@ def final_plan(df) -> str:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else os.environ.get("PLAN_SF_DIR", "/root/testdata/sf0.1")
     spark = build_session("local[8]", shuffle_partitions=16,
-                          extra={"spark.ui.enabled": "false", "spark.driver.memory": "12g"})
+                          extra={"spark.ui.enabled": "false", "spark.driver.memory": "12g",
+                                 "spark.sql.maxMetadataStringLength": "10000"})
     print("# PLANS — executed plan shape of every registered query\n")
     print(f"Generated by `tools/plan_report.py` at `{sf}` on `local[8]` (AQE final plans; "
           "queries that write tables show the plan of their final read).\n")
