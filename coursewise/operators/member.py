@@ -97,7 +97,7 @@ def member_wide(member, regtype, base_ad, website, paymoney, vip_level, dt=None)
 
     # payments per (uid, dn, vip_id) first: a hot member shrinks to a few rows
     pay = (read_paymoney(paymoney).groupBy("uid", "dn", "vip_id")
-           .agg(F.sum("paymoney").alias("pay_sum"), F.count(F.lit(1)).alias("n_pay")))
+           .agg(F.sum("paymoney").alias("pay_sum")))
     vip = (read_vip_level(vip_level).groupBy("vip_id", "dn")
            .agg(F.count(F.lit(1)).alias("n_vip"),
                 *[F.max(c).alias(c) for c in VIP_MAX], *[F.min(c).alias(c) for c in VIP_MIN]))
