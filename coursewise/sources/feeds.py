@@ -2,8 +2,8 @@
 
 Every feed is one flat JSON object per line. The reference parses each line
 twice with a JSON library inside RDD closures; here each line is parsed once
-by ``from_json`` into a ``map<string,string>`` (numbers arrive as their text)
-and every output column is a typed lookup into that map:
+by ``from_json`` into an all-text struct of the feed's keys (numbers arrive
+as their text), and every output column is a typed field of it:
 
 * C5  only lines that parse to a JSON *object* are kept (``{}`` included);
       garbage, empty lines, arrays and scalars give NULL and are dropped
@@ -147,14 +147,14 @@ def json_object(line) -> Column:
 
 def json_int(m: Column, *keys: str) -> Column:
     """Int value, 0 when missing, null, empty or not numeric; booleans 1 / 0."""
-    v = F.coalesce(*[m.getItem(k) for k in keys]) if len(keys) > 1 else m.getItem(keys[0])
+    v = F.coalesce(*[m[k] for k in keys]) if len(keys) > 1 else m[keys[0]]
     number = v.try_cast("decimal(38,6)").try_cast("int")
     return F.coalesce(F.when(v == "true", 1).when(v == "false", 0).otherwise(number), F.lit(0))
 
 
 def json_string(m: Column, *keys: str) -> Column:
-    """Text value, NULL when missing."""
-    return F.coalesce(*[m.getItem(k) for k in keys]) if len(keys) > 1 else m.getItem(keys[0])
+    """Text value, NULL when missing (``m`` is the parsed line, struct or map)."""
+    return F.coalesce(*[m[k] for k in keys]) if len(keys) > 1 else m[keys[0]]
 
 
 def json_decimal1(m: Column, *keys: str, missing_zero: bool = False, via_double: bool = False) -> Column:
@@ -189,19 +189,40 @@ def _derived(rule: str, parsed: dict) -> Column:
     raise ValueError(rule)
 
 
+BAD_LINE = "_corrupt_line"   # holds the text of a line that is not a JSON object
+
+
+def line_schema(spec: FeedSpec) -> T.StructType:
+    """All-text struct of every JSON key the feed reads (numbers arrive as their
+    text), plus the corrupt-record column that flags lines that are not objects."""
+    keys = []
+    for c in spec.cols:
+        if spec.derived.get(c.name) == "regsource_label":
+            continue
+        keys.extend(k for k in c.json_keys if k not in keys)
+    return T.StructType([T.StructField(k, T.StringType()) for k in keys] + [T.StructField(BAD_LINE, T.StringType())])
+
+
 def ingest(lines: DataFrame, spec: FeedSpec, col: str = "value") -> DataFrame:
-    """Raw feed lines -> typed DWD rows (columns in table order)."""
-    # parse once: a plain filter on the parsed map would be pushed below the
-    # projection and parse every line twice; exploding the (0 or 1 element)
-    # compacted array drops non-objects without a separate filter
-    objs = lines.select(F.explode(F.array_compact(F.array(json_object(col)))).alias("_m"))
+    """Raw feed lines -> typed DWD rows (columns in table order).
+
+    Each line is parsed once, straight into a struct of the feed's keys (field
+    access, not a key search per column). A line that is not a JSON object
+    fills the corrupt-record column instead and is dropped, as are empty
+    lines; ``{}`` is an object and is kept. The drop happens inside a
+    0/1-element ``explode``: a plain filter on the parsed value would be
+    pushed below the projection and parse every line twice.
+    """
+    parsed = F.from_json(F.col(col), line_schema(spec), {"columnNameOfCorruptRecord": BAD_LINE})
+    objs = lines.select(F.explode(F.filter(F.array(parsed),
+                                           lambda s: s.isNotNull() & s[BAD_LINE].isNull())).alias("_m"))
     m = F.col("_m")
     # every column read from the line, including the raw inputs of masks
-    parsed = {c.name: _typed(m, c) for c in spec.cols
-              if spec.derived.get(c.name) != "regsource_label"}
+    parsed_cols = {c.name: _typed(m, c) for c in spec.cols
+                   if spec.derived.get(c.name) != "regsource_label"}
     out = []
     for c in spec.cols:
-        expr = _derived(spec.derived[c.name], parsed) if c.name in spec.derived else parsed[c.name]
+        expr = _derived(spec.derived[c.name], parsed_cols) if c.name in spec.derived else parsed_cols[c.name]
         out.append(expr.alias(c.name))
     return objs.select(*out)
 
