@@ -55,3 +55,9 @@ def test_stored_behavior_table_prunes_and_pushes(spark):
     p = plan(behavior.channel_new_users(wh.behavior(), day=20240105))
     assert "PartitionFilters: [isnotnull(dt" in p and "20240105" in p
     assert "EqualTo(event_key,registerAccount)" in p
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - SIDE_EFFECTS))
+def test_result_columns_are_unique(spark, name):
+    cols = E.queries()[name](spark, SF).columns
+    assert len(cols) == len(set(cols)), cols
