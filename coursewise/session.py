@@ -66,8 +66,4 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder."""
-    base = shared_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-    return path
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
