@@ -82,18 +82,25 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-_POW: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """r**i and r**-i modulo 2**64 for i < n (kept for the largest n so far)."""
-    have = _POW.get(0)
-    if have is None or len(have[0]) < n:
-        size = max(n, CHUNK_BYTES + 1)
-        up, down = np.full(size, _R), np.full(size, _R_INV)
-        up[0] = down[0] = 1
-        have = _POW[0] = np.cumprod(up), np.cumprod(down)
-    return have
+class Powers:
+    """r**i and r**-i modulo 2**64 for i < n, kept for the largest n so far; travels to workers empty."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(0, np.uint64)
+
+    def __reduce__(self):
+        return Powers, ()
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            size = max(n, CHUNK_BYTES + 1)
+            up, down = np.full(size, _R), np.full(size, _R_INV)
+            up[0] = down[0] = 1
+            self.up, self.down = np.cumprod(up), np.cumprod(down)
+        return self.up, self.down
+
+
+powers = Powers()
 
 
 class Words:
