@@ -6,7 +6,8 @@ from coursewise.llm.fm_dedup import op7_fm_dedup
 from coursewise.llm.hilbert_shards import op9_hilbert_shards
 from coursewise.llm.packing import op3_reduced_packing
 from coursewise.llm.simhash_pivot import op6_simhash_pivot
+from coursewise.llm.warc import op1_warc_salvage
 
-QUERIES = {f.__name__: f for f in (op3_reduced_packing, op6_simhash_pivot, op7_fm_dedup, op9_hilbert_shards)}
+QUERIES = {f.__name__: f for f in (op1_warc_salvage, op3_reduced_packing, op6_simhash_pivot, op7_fm_dedup, op9_hilbert_shards)}
 
 ORACLES: dict[str, str] = {}
