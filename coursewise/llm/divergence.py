@@ -106,7 +106,7 @@ def distance(counts: Column, reference: list[float]) -> Column:
             lambda v: part(v["p"], (v["p"] + v["q"]) / 2) + part(v["q"], (v["p"] + v["q"]) / 2))),
             F.lit(0.0), lambda a, x: a + x) / 2
 
-    return F.when(total > 0, sums(F.when(total > 0, total).otherwise(F.lit(1.0)))).otherwise(F.lit(1.0))
+    return _let(total, lambda n: F.when(n > 0, sums(n)).otherwise(F.lit(1.0)))
 
 
 def references(made: DataFrame, out: str, lang_col: str, only: Column) -> dict[str, tuple[list[float], list[float]]]:
