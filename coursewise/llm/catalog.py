@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from coursewise.llm.divergence import op2_distribution_divergence
+from coursewise.llm.factorization import op8_factorization_machine
 from coursewise.llm.fm_dedup import op7_fm_dedup
 from coursewise.llm.hilbert_shards import op9_hilbert_shards
+from coursewise.llm.language_mixture import op5_language_mixture
 from coursewise.llm.packing import op3_reduced_packing
 from coursewise.llm.simhash_pivot import op6_simhash_pivot
 from coursewise.llm.warc import op1_warc_salvage
 
-QUERIES = {f.__name__: f for f in (op1_warc_salvage, op2_distribution_divergence, op3_reduced_packing, op6_simhash_pivot, op7_fm_dedup, op9_hilbert_shards)}
+QUERIES = {f.__name__: f for f in (
+    op1_warc_salvage, op2_distribution_divergence, op3_reduced_packing, op5_language_mixture,
+    op6_simhash_pivot, op7_fm_dedup, op8_factorization_machine, op9_hilbert_shards)}
 
 ORACLES: dict[str, str] = {}
