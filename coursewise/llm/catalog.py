@@ -7,12 +7,14 @@ from coursewise.llm.factorization import op8_factorization_machine
 from coursewise.llm.fm_dedup import op7_fm_dedup
 from coursewise.llm.hilbert_shards import op9_hilbert_shards
 from coursewise.llm.language_mixture import op5_language_mixture
+from coursewise.llm.latent_leaks import op4_latent_leaks
 from coursewise.llm.packing import op3_reduced_packing
 from coursewise.llm.simhash_pivot import op6_simhash_pivot
+from coursewise.llm.trie_tokens import op10_trie_token_counts
 from coursewise.llm.warc import op1_warc_salvage
 
 QUERIES = {f.__name__: f for f in (
-    op1_warc_salvage, op2_distribution_divergence, op3_reduced_packing, op5_language_mixture,
-    op6_simhash_pivot, op7_fm_dedup, op8_factorization_machine, op9_hilbert_shards)}
+    op1_warc_salvage, op2_distribution_divergence, op3_reduced_packing, op4_latent_leaks, op5_language_mixture,
+    op6_simhash_pivot, op7_fm_dedup, op8_factorization_machine, op9_hilbert_shards, op10_trie_token_counts)}
 
 ORACLES: dict[str, str] = {}
