@@ -1,8 +1,10 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-1. Passages are windows of documents; the benchmark's items are passages too.
-   Their TF-IDF runs over the rarest words of every item, with document
-   frequencies counted over all passages.
+1. Passages are windows of documents; the benchmark's items are passages too,
+   and weigh as much as the corpus together, so that the leading dimensions
+   tell them apart. TF-IDF runs over the rarest words of every item, with
+   document frequencies counted over all passages; a passage with fewer than
+   two of them is near no item.
 2. A randomised SVD of the passage matrix A: every task adds up its passages'
    share of Y = A'(A W) for a fixed random W; Y and W'Y give the leading right
    singular vectors (Nystroem's form, so one pass over the corpus does).
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +30,8 @@ from pyspark.sql import functions as F
 
 PASSAGE, STRIDE = 64, 32
 #: Items in a block, rare words kept of each, latent dimensions and the sketch's extra ones.
-BLOCK, RARE, RANK, EXTRA = 1000, 12, 96, 16
-MIN_COSINE, MIN_LCS, MIN_LCS_WITH_ANSWER, MIN_ANSWER, ANSWER_WORDS = 0.45, 0.8, 0.6, 0.75, 8
+BLOCK, RARE, RANK, EXTRA = 200, 8, 224, 16
+MIN_COSINE, MIN_LCS, MIN_LCS_WITH_ANSWER, MIN_ANSWER, ANSWER_WORDS = 0.25, 0.8, 0.6, 0.75, 8
 
 #: ASCII letters and digits and all bytes of other scripts stay; all else parts words.
 _FOLD = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -67,8 +70,7 @@ def common_subsequence(masks: dict[bytes, int], length: int, words: list[bytes])
 
 
 def _numbers(words: list[bytes], number: dict[bytes, int]) -> np.ndarray:
-    get = number.get
-    return np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+    return np.fromiter(map(number.get, words, repeat(-1)), np.int64, len(words))
 
 
 def _strides(n: int) -> int:
@@ -101,11 +103,12 @@ def passages(numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndar
 class Weights:
     """TF-IDF over the kept words: rows of unit length."""
 
-    def __init__(self, number: dict[bytes, int], idf: np.ndarray):
-        self.number, self.idf = number, idf
+    def __init__(self, number: dict[bytes, int], idf: np.ndarray, least: int):
+        self.number, self.idf, self.least = number, idf, least
 
-    def rows(self, numbers: list[np.ndarray], least: int):
+    def rows(self, numbers: list[np.ndarray], least: int | None = None):
         """(row, word, weight, passage of each row, text of each passage): passages with ``least`` different words or more."""
+        least = least or self.least
         passage, word, count, text = passages(numbers)
         first = np.flatnonzero(np.diff(passage, prepend=-1))
         many = np.diff(np.append(first, len(passage)))
@@ -154,7 +157,7 @@ def _sketch(weights: Weights, test: np.ndarray):
         y = np.zeros(test.shape, np.float64)
         for b in batches:
             for _, texts in _batches(b, 0):
-                row, word, x, which, _ = weights.rows([_numbers(w, weights.number) for w in texts], 2)
+                row, word, x, which, _ = weights.rows([_numbers(w, weights.number) for w in texts])
                 z = _project(row, word, x, len(which), test)
                 _add(y, row, word, x, z)
         some = np.flatnonzero(np.abs(y).sum(axis=1))
@@ -197,14 +200,16 @@ def latent_space(docs: DataFrame, items: Items, text_col: str) -> tuple[Weights,
     held = np.array([seen.get(k, 0) + 1 for k in range(len(items.number))])
     rare = sorted({w for words in items.words for w in sorted(set(words), key=lambda w: (held[items.number[w]], w))[:RARE]})
     idf = np.log((1 + total) / held[[items.number[w] for w in rare]]) if rare else np.zeros(0)
-    weights = Weights({w: k for k, w in enumerate(rare)}, idf)
+    short = any(len(set(words)) < 4 for words in items.words)
+    weights = Weights({w: k for k, w in enumerate(rare)}, idf, 1 if short else 2)
     test = np.random.default_rng(11).standard_normal((len(rare), min(len(rare), RANK + EXTRA))).astype(np.float32)
     y = np.zeros(test.shape)
     for r in _summed(text.mapInArrow(_sketch(weights, test), "word long, vector binary")).collect():  # a row for each word
         y[r.word] += np.frombuffer(r.vector, "<f4")
     row, word, x, which, _ = weights.rows([_numbers(w, weights.number) for w in items.words], 1)
-    _add(y, row, word, x, _project(row, word, x, len(which), test))
-    return weights, _vectors(y, test)
+    share = np.zeros(test.shape)
+    _add(share, row, word, x, _project(row, word, x, len(which), test))
+    return weights, _vectors(y + share * (total / max(1, len(which))), test)
 
 
 def _vectors(y: np.ndarray, test: np.ndarray, rank: int = RANK) -> np.ndarray:
@@ -238,8 +243,8 @@ def candidates(docs: DataFrame, items: Items, weights: Weights, vectors: np.ndar
     def run(batches):
         for b in batches:
             for part, texts in _batches(b, 2):
-                row, word, x, which, text = weights.rows([_numbers(w, weights.number) for w in texts], 2)
-                z = _unit(_project(row, word, x, len(which), vectors))
+                row, word, x, which, text = weights.rows([_numbers(w, weights.number) for w in texts])
+                z = _project(row, word, x, len(which), vectors)  # of rows of unit length
                 first = np.searchsorted(text, text)  # of each passage's text, its first passage
                 ids, keys, out = part.column(0).to_pylist(), part.column(1).to_pylist(), [[] for _ in names]
                 for at in range(0, len(z), 2048):
