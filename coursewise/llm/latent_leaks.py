@@ -293,6 +293,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
             .select("doc_id", "xh", "item_id", (-F.col("b.s")).cast("int").alias("start"), "b.cosine", "b.lcs", "b.answer"))
 
 
+def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text holds no item of ``benchmark``; rows with null texts stay."""
+    found = leaks(docs, benchmark, id_col, text_col).select(F.col("xh").alias("_leak_xh")).distinct()
+    return docs.join(found, F.xxhash64(F.col(text_col).cast("string")) == F.col("_leak_xh"), "left_anti")
+
+
 def op4_latent_leaks(spark, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, in its words or nearly."""
     found = leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

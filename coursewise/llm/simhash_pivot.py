@@ -60,14 +60,15 @@ def fingerprint(data: bytes | None, shingle: int = 4, seed: int = 42) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint of every text as a signed long."""
+    """(doc_id, xh, fp): a hash and the fingerprint of every text as signed longs."""
     def run(batches):
         for b in batches:
-            fp = np.array([fingerprint(t, shingle, seed) for t in texts(b.column(1))], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], ["doc_id", "fp"])
+            fp = np.array([fingerprint(t, shingle, seed) for t in texts(b.column(2))], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(fp)], ["doc_id", "xh", "fp"])
 
-    one = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return one.mapInArrow(run, "doc_id long, fp long")
+    text = F.col(text_col).cast("string")
+    one = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("xh"), text.alias("text"))
+    return one.mapInArrow(run, "doc_id long, xh long, fp long")
 
 
 def _blocks(bits: list[int], n: int) -> list[list[int]]:
@@ -192,10 +193,10 @@ def links(fps: DataFrame, max_bits: int = 4, max_group: int = 4096, levels: int
 
 def simhash_components(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed: int = 42,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id) of every row.
+    """(doc_id, xh, fp, component, component_id) of every row.
 
-    ``component_id`` is the smallest doc_id reachable through links, the row's
-    own included. A null or empty text has fingerprint zero and links like any
+    ``component`` names the component, ``component_id`` is the smallest doc_id
+    reachable through links, the row's own included; ``xh`` is a hash of the text. A null or empty text has fingerprint zero and links like any
     other; repeated rows get equal rows; a null id counts in no minimum (a
     component of null ids only has component_id null). Other columns of
     ``docs`` are not looked at. An empty table gives an empty result.
@@ -206,7 +207,23 @@ def simhash_components(docs: DataFrame, shingle: int = 4, max_bits: int = 4, see
     of = distinct.join(found, distinct.fp == found.v, "left").select(
         "fp", "rep", F.coalesce("label", "fp").alias("label"))
     low = of.groupBy("label").agg(F.min("rep").alias("component_id"))
-    return fps.join(of.join(low, "label").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    of = of.join(low, "label").select("fp", F.col("label").alias("component"), "component_id")
+    return fps.join(of, "fp").select("doc_id", "xh", "fp", "component", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` less all but one of each component: that with the smallest id stays.
+
+    Rows with a null id stay only where no other row of theirs has an id; of
+    rows with equal ids that with the smallest text hash, of equal rows one.
+    """
+    of = written(simhash_components(docs, shingle, max_bits, id_col=id_col, text_col=text_col), "simhash-components")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "xh")).alias("s")
+    stay = of.groupBy("component").agg(first).select(F.col("s.doc_id").alias("_stay_id"), F.col("s.xh").alias("_stay_xh"))
+    key = [F.col(id_col).cast("long"), F.xxhash64(F.col(text_col).cast("string"))]
+    kept = docs.join(stay, key[0].eqNullSafe(F.col("_stay_id")) & (key[1] == F.col("_stay_xh")), "left_semi")
+    again = of.groupBy("doc_id", "xh").count().where("count > 1").limit(1).count()
+    return kept.dropDuplicates([id_col, text_col]) if again else kept
 
 
 def op6_simhash_pivot(spark, sf_dir: str) -> DataFrame:
