@@ -8,7 +8,8 @@ a smaller id; windows are judged on the input, not on what is left.
   hash it contains as its anchor, so equal windows have equal anchors. Anchors
   seen in one document only are done with; what remains meets by anchor.
 * A context is the part of a document that the windows of one anchor occupy.
-  Equal contexts are one, known by the smallest id that has them.
+  Equal contexts are one, known by the smallest id that has them; a document
+  that repeats one lists the places.
 * A shard indexes the contexts of its anchors: the symbols of each context,
   taken every ``gram`` words in ``gram`` interleaved sequences, form the text;
   an FM-index (Burrows-Wheeler transform in a wavelet tree over packed bits)
@@ -63,62 +64,78 @@ def anchors(hashes: np.ndarray, first: np.ndarray, window: int, gram: int) -> np
 
 
 def _anchor_rows(window: int, gram: int):
+    """(h, doc_id, xh): the different anchors of each text."""
     def run(batches):
         for b in batches:
             ids, keys = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for c in chunks(b.column(2)):
                 w = Words(c)
                 at = anchors(w.hash, w.first, window, gram)
-                doc = np.searchsorted(w.first, at, "right") - 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(run_hashes(w.hash, gram)[at].view(np.int64)), pa.array(ids[c.row + doc]),
-                     pa.array(keys[c.row + doc]), pa.array((at - w.first[doc]).astype(np.int32))],
-                    ["h", "doc_id", "xh", "pos"])
+                found = np.stack([run_hashes(w.hash, gram)[at].view(np.int64), np.searchsorted(w.first, at, "right") - 1], 1)
+                found = np.unique(found, axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(ids[c.row + found[:, 1]]),
+                                                  pa.array(keys[c.row + found[:, 1]])], ["h", "doc_id", "xh"])
     return run
 
 
 # ---- contexts --------------------------------------------------------------
 
-def _context_rows(window: int, gram: int, single: bool):
-    """Contexts of a document's anchors; ``single``: each window of an anchor on its own.
+CONTEXT = "h long, digest long, doc_id long, xh long, starts array<int>, length int, words binary"
+
+
+def _context_rows(window: int, gram: int):
+    """The different contexts of each document's shared anchors, with their places.
 
     The words of a context are sent once by each task and after that only its digest.
     """
     reach = window - gram
+    kinds = [pa.int64()] * 4 + [pa.list_(pa.int32()), pa.int32(), pa.binary()]
+    names = [c.split()[0] for c in CONTEXT.split(", ")]
 
     def run(batches):
         sent: set[int] = set()
         for b in batches:
-            out: list[list] = [[] for _ in range(7)]
-            for doc, key, text, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts(b.column(2)),
-                                             b.column(3).to_pylist(), strict=True):
-                word = (Words(_whole(text)).hash >> np.uint64(32)).astype("<u4")
-                for at in found:
-                    pos, h = at["pos"], at["h"]
-                    a, z = max(0, pos - reach), min(len(word), pos + window)
-                    spans = [(s, s + window) for s in range(a, z - window + 1)] if single else [(a, z)]
-                    for a, z in spans:
+            for at in range(0, b.num_rows, 500):
+                part, out = b.slice(at, 500), []
+                for doc, key, text, shared in zip(part.column(0).to_pylist(), part.column(1).to_pylist(),
+                                                  texts(part.column(2)), part.column(3), strict=True):
+                    whole = _whole(text)
+                    w = Words(whole)
+                    places = anchors(w.hash, w.first, window, gram)
+                    symbol = run_hashes(w.hash, gram)[places].view(np.int64) if len(places) else np.zeros(0, np.int64)
+                    word = (w.hash >> np.uint64(32)).astype("<u4")
+                    here: dict[int, tuple] = {}
+                    keep = np.isin(symbol, shared.values.to_numpy())
+                    for pos, h in zip(places[keep].tolist(), symbol[keep].tolist(), strict=True):
+                        a, z = max(0, pos - reach), min(len(word), pos + window)
                         words = word[a:z].tobytes()
                         digest = xxhash.xxh3_64_intdigest(words, h & (2**63 - 1)) - 2**63
-                        if len(sent) > 200_000:
-                            sent.clear()
-                        for column, v in zip(out, (h, digest, doc, key, a, z - a, None if digest in sent else words), strict=True):
-                            column.append(v)
-                        sent.add(digest)
-                if len(out[0]) > 20_000:
-                    yield _batch(out)
-                    out = [[] for _ in range(7)]
-            yield _batch(out)
+                        if digest in here:
+                            here[digest][4].append(a)
+                        else:
+                            here[digest] = (h, digest, doc, key, [a], z - a, None if digest in sent else words)
+                    if len(sent) > 200_000:
+                        sent.clear()
+                    sent.update(here)
+                    out += here.values()
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 7, kinds, strict=True)], names)
     return run
 
 
-CONTEXT = "h long, digest long, doc_id long, xh long, start int, length int, words binary"
-
-
-def _batch(out: list[list]) -> pa.RecordBatch:
-    kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
-                                      [c.split()[0] for c in CONTEXT.split(", ")])
+def _windows(window: int):
+    """(h, digest, owner, start, piece, words): each window of a context on its own."""
+    def run(batches):
+        for b in batches:
+            for row in b.to_pylist():
+                n = len(row["words"]) // 4
+                words = [row["words"][4 * s:4 * (s + window)] for s in range(n - window + 1)]
+                k = len(words)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row[c]] * k, pa.int64()) for c in ("h", "digest", "owner")]
+                    + [pa.array(range(k), pa.int32()),
+                       pa.array([xxhash.xxh3_64_intdigest(w) - 2**63 for w in words], pa.int64())],
+                    ["h", "digest", "owner", "start", "piece"])
+    return run
 
 
 def _whole(text: bytes | None) -> Chunk:
@@ -174,6 +191,7 @@ class FMIndex:
         matched = np.zeros(n, np.int64)
         live = np.arange(n)
         for k in range(m - 1, -1, -1):
+            live = live[patterns[live, k] < len(self.base)]
             c = patterns[live, k]
             a = self.before[c] + self.rank(c, low[live])
             z = self.before[c] + self.rank(c, high[live])
@@ -262,7 +280,7 @@ def _shard_spans(window: int, gram: int):
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_rows: int = 8000,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, xh, spans): for each text with something to remove, the word spans [a, z) that go.
+    """(doc_id, xh, spans): for each text with something to remove, spans [a, z) of words relative to places.
 
     ``xh`` is a hash of the text, so repeated ids with different texts stay
     apart. ``shard_rows`` sizes the shards (contexts in one index) and decides
@@ -272,40 +290,54 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shar
         raise ValueError("window must be a multiple of gram, two grams at least")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("xh"),
                        F.col(text_col).cast("string").alias("text")).where("doc_id is not null and text is not null")
-    seen = written(rows.mapInArrow(_anchor_rows(window, gram), "h long, doc_id long, xh long, pos int"), "fm-anchors")
-    shared = seen.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n"))
-    shared = shared.where("lo < hi").select("h", "n")
-    found = written(seen.join(shared, "h"), "fm-shared")
-    # an anchor with very many contexts is split into its windows, which spread by their own digests
-    limit = 4 * shard_rows
-    made = None
-    for single, some in ((False, f"n <= {limit}"), (True, f"n > {limit}")):
-        at = found.where(some).groupBy("doc_id", "xh").agg(F.collect_set(F.struct("pos", "h")).alias("found"))
-        one = rows.join(at, ["doc_id", "xh"]).select("doc_id", "xh", "text", "found").mapInArrow(
-            _context_rows(window, gram, single), CONTEXT).withColumn("shard", F.col("digest" if single else "h"))
-        if not single or found.where(some).limit(1).count():
-            made = one if made is None else made.union(one)
-    made = written(made, "fm-contexts")
-    shards = max(1, math.ceil(made.where("words is not null").count() / shard_rows))
-    distinct = made.groupBy("h", "digest", "shard").agg(F.min("doc_id").alias("owner"),
-                                                         F.first("words", ignorenulls=True).alias("words"))
-    spans = distinct.repartition(shards, "shard").mapInArrow(
-        _shard_spans(window, gram), "h long, digest long, owner long, spans array<struct<a:int,z:int>>")
+    seen = written(rows.mapInArrow(_anchor_rows(window, gram), "h long, doc_id long, xh long"), "fm-anchors")
+    shared = written(seen.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h"),
+                     "fm-shared")
+    of_text = seen.join(shared, "h").groupBy("doc_id", "xh").agg(F.collect_set("h").alias("shared"))
+    made = written(rows.join(of_text, ["doc_id", "xh"]).select("doc_id", "xh", "text", "shared")
+                   .mapInArrow(_context_rows(window, gram), CONTEXT), "fm-contexts")
+    distinct = written(made.groupBy("h", "digest").agg(F.min("doc_id").alias("owner"),
+                                                       F.first("words", ignorenulls=True).alias("words")), "fm-distinct")
+    spans = _spans(distinct, window, gram, shard_rows)
     whole = F.array(F.struct(F.lit(0).alias("a"), F.col("length").alias("z")))
-    out = (made.select("h", "digest", "doc_id", "xh", "start", "length").join(spans, ["h", "digest"])
+    out = (made.select("h", "digest", "doc_id", "xh", "starts", "length").join(spans, ["h", "digest"])
            .withColumn("spans", F.when(F.col("doc_id") > F.col("owner"), whole).otherwise(F.col("spans")))
-           .where("size(spans) > 0")
-           .select("doc_id", "xh", F.explode("spans").alias("s"), "start")
-           .select("doc_id", "xh", (F.col("start") + F.col("s.a")).alias("a"), (F.col("start") + F.col("s.z")).alias("z")))
-    return written(out.groupBy("doc_id", "xh").agg(F.collect_set(F.struct("a", "z")).alias("spans")), "fm-spans")
-
-
-def covered(n: int, spans: list | None) -> np.ndarray:
-    """Mask of the words in any of the spans."""
-    mark = np.zeros(n + 1, np.int32)
-    for s in spans or ():
-        mark[s["a"]] += 1
-        mark[s["z"]] -= 1
+           .where("size(spans) > 0"))
+    return written(out.groupBy("doc_id", "xh").agg(F.collect_list(F.struct("starts", "spans")).alias("spans")), "fm-spans")
+
+
+def _spans(distinct: DataFrame, window: int, gram: int, shard_rows: int) -> DataFrame:
+    """(h, digest, owner, spans) of each distinct context, its spans held by a smaller owner too.
+
+    Anchors meet whole in one shard. An anchor with more contexts than several
+    shards hold is split instead: its windows are told apart by digests of
+    their own, which spread, and the smallest owner of each is looked up.
+    """
+    schema = "h long, digest long, owner long, spans array<struct<a:int,z:int>>"
+    many = written(distinct.groupBy("h").count().where(F.col("count") > 4 * shard_rows).select("h"), "fm-many")
+    split = many.limit(1).count() > 0
+    some = distinct.join(many, "h", "left_anti") if split else distinct
+    shards = max(1, math.ceil(distinct.count() / shard_rows))
+    out = some.repartition(shards, "h").select("h", "digest", "owner", "words").mapInArrow(_shard_spans(window, gram), schema)
+    if split:
+        pieces = written(distinct.join(many, "h").select("h", "digest", "owner", "words").mapInArrow(
+            _windows(window), "h long, digest long, owner long, start int, piece long"), "fm-pieces")
+        lowest = pieces.groupBy("piece").agg(F.min("owner").alias("lowest"))
+        repeats = pieces.join(lowest, "piece").where("lowest < owner").groupBy("h", "digest", "owner").agg(
+            F.collect_list(F.struct(F.col("start").alias("a"), (F.col("start") + window).alias("z"))).alias("spans"))
+        rest = distinct.join(many, "h").select("h", "digest", "owner").join(repeats, ["h", "digest", "owner"], "left")
+        out = out.union(rest.select("h", "digest", "owner", F.coalesce("spans", F.array().cast("array<struct<a:int,z:int>>"))))
+    return out
+
+
+def covered(n: int, found: list | None) -> np.ndarray:
+    """Mask of the words in any span of any of its context's places."""
+    mark = np.zeros(n + 1, np.int64)
+    for f in found or ():
+        starts = np.array(f["starts"], np.int64)
+        for s in f["spans"]:
+            np.add.at(mark, starts + s["a"], 1)
+            np.add.at(mark, starts + s["z"], -1)
     return np.cumsum(mark[:-1]) > 0
 
 
@@ -344,6 +376,38 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
         _cut, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
 
 
+def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id",
+                    text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """``docs`` with the repeated passages taken out of the texts, all columns and rows kept.
+
+    A text that loses words becomes its kept words joined by one space (empty
+    if none is left) and ``chars_col``, where it exists, its new length; all
+    other texts stay as they are.
+    """
+    spans = repeated_spans(docs, window, gram, id_col=id_col, text_col=text_col)
+    spans = spans.select(F.col("doc_id").alias("_gone_id"), F.col("xh").alias("_gone_xh"), F.col("spans").alias("_gone"))
+    text = F.col(text_col).cast("string")
+    joined = docs.join(spans, (F.col(id_col).cast("long") == F.col("_gone_id")) & (F.xxhash64(text) == F.col("_gone_xh")), "left")
+
+    @F.arrow_udf("string")
+    def kept(text: pa.Array, found: pa.Array) -> pa.Array:
+        out = []
+        for t, f in zip(texts(text), found.to_pylist(), strict=True):
+            if not f:
+                out.append(None)
+                continue
+            words = (t or b"").split()
+            gone = covered(len(words), f)
+            out.append(b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g).decode())
+        return pa.array(out, pa.string())
+
+    joined = joined.withColumn("_kept", kept(text, F.col("_gone")))
+    new = {text_col: F.coalesce("_kept", text)}
+    if chars_col in docs.columns:
+        new[chars_col] = F.when(F.col("_kept").isNotNull(), F.length("_kept")).otherwise(F.col(chars_col)).cast(docs.schema[chars_col].dataType)
+    return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+
+
 def op7_fm_dedup(spark, sf_dir: str) -> DataFrame:
     """What repeated passages of 50 words leave of every document."""
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("kept_text")
