@@ -26,6 +26,13 @@ COMMON_WORDS = {
 BINS = sorted({w for words in COMMON_WORDS.values() for w in words})
 #: Ends of words that don't count when a common word is looked up.
 MARKS = ".,;:!?"
+
+
+def variants() -> list[str]:
+    """Forms in which a common word is looked up: as it is or capitalised, alone or before a mark."""
+    return sorted({v + m for w in BINS for v in (w, w.capitalize()) for m in ("", ".", ",")})
+
+
 SPACES = r"[\x20\x09-\x0D]"
 
 #: Distances (not squared) over which a document is rejected, and guards.
@@ -69,7 +76,6 @@ def _repeat_words(words: Column) -> Column:
 def features(docs: DataFrame, text_col: str, out: str) -> DataFrame:
     """``docs`` with struct ``out``: the base counts and the histograms ``chars`` and ``words``."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    variants = sorted({v + m for w in BINS for v in (w, w.capitalize()) for m in ("", ".", ",")})
     w, t = F.col(f"{out}_w"), F.col(f"{out}_t")
     split = docs.withColumn(f"{out}_t", text).withColumn(f"{out}_w", F.array_remove(F.split(t, f"{SPACES}+"), ""))
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -81,7 +87,7 @@ def features(docs: DataFrame, text_col: str, out: str) -> DataFrame:
         f"{out}_u": F.regexp_count(t, F.lit(r"\p{Lu}")).cast("long"),
         f"{out}_n": F.regexp_count(t, F.lit(r"[0-9]")).cast("long"),
         f"{out}_p": F.regexp_count(t, F.lit(r"[.,;:!?'\"()-]")).cast("long"),
-        f"{out}_h": F.transform(F.filter(w, lambda x: x.isin(variants)), lambda x: F.lower(F.rtrim(x, F.lit(MARKS)))),
+        f"{out}_h": F.transform(F.filter(w, lambda x: x.isin(variants())), lambda x: F.lower(F.rtrim(x, F.lit(MARKS)))),
     })
     c, d, r, s, u, n, p, h = (F.col(f"{out}_{x}") for x in "cdrsunph")
     n_words = F.size(w).cast("long")

@@ -298,7 +298,7 @@ def read_archives(spark, path: str, payloads: bool = True) -> DataFrame:
                     yield batch(rows)
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
-    return files.repartition("path").mapInArrow(run, RECORDS)
+    return files.repartition(max(1, files.count()), "path").mapInArrow(run, RECORDS)
 
 
 def op1_warc_salvage(spark, sf_dir: str) -> DataFrame:
@@ -309,4 +309,4 @@ def op1_warc_salvage(spark, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "llm-warc")
     write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
     out = read_archives(spark, path, payloads=False).where("kind = 'record'")
-    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "uri")
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
