@@ -29,6 +29,17 @@ def register(name: str, oracle: str | None = None):
 
 
 
+_STORED: dict = {}
+
+
+def stored(spark, key, build):
+    """What ``build`` wrote for ``key``, built once for each application."""
+    key = (spark.sparkContext.applicationId, *key)
+    if key not in _STORED:
+        _STORED[key] = build()
+    return _STORED[key]
+
+
 def behavior_input(spark, sf):
     return driver.behavior_log(driver.table(spark, sf, "events"))
 

@@ -6,89 +6,96 @@ from ..operators import behavior
 from ..plans import sinks as SK
 from ..plans.warehouse import Warehouse
 from ..session import scratch_path
-from .base import LOG_CTE, ORACLES, behavior_input, lines_input, register, spark_round_sql, stored_sql
-
-
-register("video_feedback", LOG_CTE + """
-SELECT CAST(sum(watch_video_count) AS BIGINT) AS watch_video_count,
-       CAST(sum(complete_video_count) AS BIGINT) AS complete_video_count, dt
-FROM (SELECT count(DISTINCT uid) AS watch_video_count, 0 AS complete_video_count, dt
-      FROM log WHERE event_key = 'startVideo' GROUP BY dt
-      UNION ALL
-      SELECT 0 AS watch_video_count, count(DISTINCT uid) AS complete_video_count, dt
-      FROM log WHERE event_key = 'endVideo' AND (end_video_time - start_video_time) >= video_length
-      GROUP BY dt) t1
-GROUP BY dt""")(lambda spark, sf: behavior.video_feedback(behavior_input(spark, sf)))
-
-register("version_access", LOG_CTE + """
-SELECT os, version, count(1) AS access_count, dt FROM log GROUP BY os, version, dt""")(
+from .base import (LOG_CTE, ORACLES, TEXT_LINES_CTE, behavior_input, clean_sql, lines_input, register, spark_round_sql,
+                   stored, stored_sql)
+
+
+# a video counts as watched when the watch lasts its length
+_WATCHED = "event_key = 'endVideo' AND end_video_time - start_video_time >= video_length"
+VIDEO_SQL = f"""
+SELECT count(DISTINCT uid) FILTER (event_key = 'startVideo') AS watch_video_count,
+       count(DISTINCT uid) FILTER ({_WATCHED}) AS complete_video_count, dt
+FROM log WHERE event_key = 'startVideo' OR ({_WATCHED}) GROUP BY dt"""
+register("video_feedback", LOG_CTE + VIDEO_SQL)(lambda spark, sf: behavior.video_feedback(behavior_input(spark, sf)))
+
+VERSION_SQL = "SELECT os, version, count(*) AS access_count, dt FROM log GROUP BY os, version, dt"
+register("version_access", LOG_CTE + VERSION_SQL)(
     lambda spark, sf: behavior.version_access(behavior_input(spark, sf)))
 
-register("channel_new_users", LOG_CTE + """
+CHANNEL_SQL = """
 SELECT channel, count(DISTINCT uid) AS new_user_count, dt
-FROM log WHERE event_key = 'registerAccount' GROUP BY channel, dt""")(
+FROM log WHERE event_key = 'registerAccount' GROUP BY channel, dt"""
+register("channel_new_users", LOG_CTE + CHANNEL_SQL)(
     lambda spark, sf: behavior.channel_new_users(behavior_input(spark, sf)))
 
-register("access_bands", LOG_CTE + """
-, ac AS (SELECT uid, count(1) AS access_count, dt FROM log GROUP BY uid, dt)
-SELECT count(1) AS le_two, 0 AS le_four, 0 AS gt_four, dt FROM ac WHERE access_count <= 2 GROUP BY dt
-UNION ALL
-SELECT 0 AS le_two, count(1) AS le_four, 0 AS gt_four, dt FROM ac WHERE access_count <= 4 GROUP BY dt
-UNION ALL
-SELECT 0 AS le_two, 0 AS le_four, count(1) AS gt_four, dt FROM ac WHERE access_count > 4 GROUP BY dt""")(
-    lambda spark, sf: behavior.access_bands(behavior_input(spark, sf)))
-
-register("study_funnel", LOG_CTE + """
-SELECT count(DISTINCT t1.uid) AS start_app_count,
-       count(DISTINCT t2.uid) AS start_video_count,
-       count(DISTINCT t3.uid) AS complete_video_count,
-       count(DISTINCT t4.uid) AS start_homework_count,
-       count(DISTINCT t5.uid) AS complete_homework_count,
-       t1.dt AS dt
-FROM (SELECT DISTINCT uid, dt FROM log WHERE event_key = 'startApp') t1
-LEFT JOIN (SELECT DISTINCT uid, dt FROM log WHERE event_key = 'startVideo') t2
-  ON t1.uid = t2.uid AND t1.dt = t2.dt
-LEFT JOIN (SELECT DISTINCT uid, dt FROM log WHERE event_key = 'endVideo'
-           AND (end_video_time - start_video_time) >= video_length) t3
-  ON t2.uid = t3.uid AND t2.dt = t3.dt
-LEFT JOIN (SELECT DISTINCT uid, dt FROM log WHERE event_key = 'startHomework') t4
-  ON t3.uid = t4.uid AND t3.dt = t4.dt
-LEFT JOIN (SELECT DISTINCT uid, dt FROM log WHERE event_key = 'completeHomework') t5
-  ON t4.uid = t5.uid AND t4.dt = t5.dt
-GROUP BY t1.dt""")(lambda spark, sf: behavior.study_funnel(behavior_input(spark, sf)))
-
-_RATE_SQL = ",\n".join(
-    f"  max(CASE WHEN day_interval = {i} THEN retained_rate ELSE 0 END) AS {c}"
-    for i, c in enumerate(behavior.RATE_COLUMNS))
-
-register("retention_7d", LOG_CTE + f"""
-, t1 AS (SELECT uid, dt AS register_day, event_time FROM log WHERE event_key = 'registerAccount')
-, t2 AS (SELECT uid, dt AS active_day, max(event_time) AS event_time FROM log GROUP BY uid, dt)
-, ret AS (
-  SELECT register_day, day_interval, count(1) AS retained
-  FROM (SELECT t1.register_day,
-               date_diff('day', CAST(make_timestamp(t1.event_time * 1000000) AS DATE),
-                                CAST(make_timestamp(t2.event_time * 1000000) AS DATE)) AS day_interval
-        FROM t1 LEFT JOIN t2 ON t1.uid = t2.uid) t3
-  WHERE day_interval >= 0
-  GROUP BY register_day, day_interval)
-, rc AS (SELECT dt, count(1) AS register_count FROM log WHERE event_key = 'registerAccount' GROUP BY dt)
-, rate AS (SELECT ret.register_day, ret.day_interval,
-                  {spark_round_sql('ret.retained / rc.register_count', 4)} AS retained_rate
-           FROM ret LEFT JOIN rc ON ret.register_day = rc.dt)
-SELECT register_day,
-{_RATE_SQL},
-  CAST((SELECT max(dt) FROM log) AS INTEGER) AS dt
-FROM rate GROUP BY register_day""")(lambda spark, sf: behavior.retention_7d(behavior_input(spark, sf)))
+# days with their users by number of events, one row for each band that has any
+BANDS_SQL = """
+, users AS (SELECT dt, uid, count(*) AS n FROM log GROUP BY ALL)
+, days AS (SELECT dt, [count(*) FILTER (n <= 2), count(*) FILTER (n <= 4), count(*) FILTER (n > 4)] AS v
+           FROM users GROUP BY dt)
+SELECT CASE WHEN k = 1 THEN v[k] ELSE 0 END AS le_two, CASE WHEN k = 2 THEN v[k] ELSE 0 END AS le_four,
+       CASE WHEN k = 3 THEN v[k] ELSE 0 END AS gt_four, dt
+FROM days, range(1, 4) r(k) WHERE v[k] > 0"""
+register("access_bands", LOG_CTE + BANDS_SQL)(lambda spark, sf: behavior.access_bands(behavior_input(spark, sf)))
+
+# which steps each user took on a day; a step counts when all before it were taken too
+_STEPS = {"start_app": "event_key = 'startApp'", "start_video": "event_key = 'startVideo'", "complete_video": _WATCHED,
+          "start_homework": "event_key = 'startHomework'", "complete_homework": "event_key = 'completeHomework'"}
+FUNNEL_SQL = f"""
+, steps AS (SELECT dt, uid, {', '.join(f"bool_or({test}) AS {step}" for step, test in _STEPS.items())} FROM log GROUP BY dt, uid)
+SELECT {', '.join(f"count(uid) FILTER ({' AND '.join(list(_STEPS)[:k + 1])}) AS {step}_count" for k, step in enumerate(_STEPS))}, dt
+FROM steps GROUP BY dt HAVING bool_or(start_app)"""
+register("study_funnel", LOG_CTE + FUNNEL_SQL)(lambda spark, sf: behavior.study_funnel(behavior_input(spark, sf)))
+
+# a registration is retained k days later for each active day then; a day has a row if any of its users is active again
+_DAY = "CAST(make_timestamp({t} * 1000000) AS DATE)"
+_RATES = ", ".join(f"{spark_round_sql(f'count(*) FILTER (later = {k}) / any_value(registered)', 4)} AS {c}"
+                   for k, c in enumerate(behavior.RATE_COLUMNS))
+
+
+def retention_sql(where: str = "true", end: str = "(SELECT max(dt) FROM log)") -> str:
+    return f"""
+, scoped AS (SELECT * FROM log WHERE {where})
+, active AS (SELECT uid, {_DAY.format(t='max(event_time)')} AS day FROM scoped GROUP BY uid, dt)
+, registered AS (SELECT uid, dt, {_DAY.format(t='event_time')} AS day, count(*) OVER (PARTITION BY dt) AS registered
+                 FROM scoped WHERE event_key = 'registerAccount')
+, later AS (SELECT r.dt AS register_day, r.registered, date_diff('day', r.day, a.day) AS later
+            FROM registered r JOIN active a ON r.uid = a.uid AND a.day >= r.day)
+SELECT register_day, {_RATES}, CAST({end} AS INTEGER) AS dt FROM later GROUP BY register_day"""
+
+
+register("retention_7d", LOG_CTE + retention_sql())(lambda spark, sf: behavior.retention_7d(behavior_input(spark, sf)))
 
 
 def _stored_log(spark, sf):
+    """The stored log of ``sf``, loaded once in a session."""
+    return stored(spark, ("log", sf), lambda: _load_log(spark, sf)).behavior()
+
+
+def _load_log(spark, sf) -> Warehouse:
     wh = Warehouse(spark)
     src = SK.write_lines(lines_input(spark, sf), scratch_path(spark, "ods_behavior"))
     wh.load_behavior(SK.read_lines(spark, src))
-    return wh.behavior()
+    return wh
+
 
 register("behavior_table_funnel", stored_sql(ORACLES["study_funnel"]))(
     lambda spark, sf: behavior.study_funnel(_stored_log(spark, sf)))
 register("behavior_table_retention", stored_sql(ORACLES["retention_7d"]))(
     lambda spark, sf: behavior.retention_7d(_stored_log(spark, sf)))
+
+
+# one day, or a window of days, of the stored table: the partition filter prunes the folders
+DAY, WINDOW = 20240105, (20240102, 20240106)
+_ONE_DAY = stored_sql(LOG_CTE) + f", one AS (SELECT * FROM log WHERE dt = {DAY})"
+for _name, _fn, _sql in (("video_feedback", behavior.video_feedback, VIDEO_SQL),
+                         ("version_access", behavior.version_access, VERSION_SQL),
+                         ("channel_new_users", behavior.channel_new_users, CHANNEL_SQL),
+                         ("access_bands", behavior.access_bands, BANDS_SQL),
+                         ("study_funnel", behavior.study_funnel, FUNNEL_SQL)):
+    register(f"day_{_name}", _ONE_DAY + _sql.replace("FROM log", "FROM one"))(
+        lambda spark, sf, f=_fn: f(_stored_log(spark, sf), DAY))
+register("window_retention", stored_sql(LOG_CTE) + retention_sql(f"dt BETWEEN {WINDOW[0]} AND {WINDOW[1]}", str(WINDOW[1])))(
+    lambda spark, sf: behavior.retention_7d(_stored_log(spark, sf), *WINDOW))
+register("behavior_rejects", clean_sql(False, TEXT_LINES_CTE))(
+    lambda spark, sf: stored(spark, ("log", sf), lambda: _load_log(spark, sf)).behavior_rejects())

@@ -16,8 +16,7 @@ from .base import ORACLES, TEXT_LINES_CTE, behavior_input, clean_sql, dwd_input,
 
 def _sink_orc(spark, sf):
     src = SK.write_lines(lines_input(spark, sf), scratch_path(spark, "ods_behavior"))
-    out = SK.write_orc(CL.clean_behavior(SK.read_lines(spark, src)), scratch_path(spark, "behavior_clean"),
-                       files=3)
+    out = SK.write_orc(CL.clean_behavior(SK.read_lines(spark, src)), scratch_path(spark, "behavior_clean"))
     return spark.read.orc(out)
 
 register("sink_orc", clean_sql(True, TEXT_LINES_CTE))(_sink_orc)
@@ -88,3 +87,38 @@ def _partition_copy(spark, sf):
 
 
 register("partition_copy", f"SELECT * FROM ({driver.behavior_log_sql()}) t")(_partition_copy)
+
+
+def _key_copy(spark, sf):
+    # keys with leading zeros, two partition columns
+    log = behavior_input(spark, sf).select("uid", F.lpad((F.col("dt") % 100).cast("string"), 3, "0").alias("dt"),
+                                           F.col("channel").alias("dn"))
+    src = SK.overwrite_partitions(log, scratch_path(spark, "key_src"), ("dt", "dn"))
+    dst = SK.copy_partitions(spark, src, scratch_path(spark, "key_copy"), partition_cols=("dt", "dn"))
+    return SK.read_table(spark, dst, ("dt", "dn"))
+
+
+register("partition_copy_keys", f"""
+SELECT uid, lpad(CAST(dt % 100 AS VARCHAR), 3, '0') AS dt, channel AS dn FROM ({driver.behavior_log_sql()}) t""")(_key_copy)
+
+
+def _second_load(spark, sf):
+    # two loads of one day under the default mode: the second adds its rows
+    from ..plans.warehouse import Warehouse
+    wh = Warehouse(spark)
+    for _ in range(2):
+        wh.ingest("QzPointQuestion", ods.ods_lines(spark, sf, "QzPointQuestion"))
+    return wh.dwd("QzPointQuestion").select(*[c.name for c in FD.FEEDS["QzPointQuestion"].cols])
+
+
+register("append_second_load", f"{_PQ}\nUNION ALL\n{_PQ}")(_second_load)
+
+
+def _preview(spark, sf):
+    # S16 looks at the first rows and leaves the data as they are
+    df = driver.table(spark, sf, "region")
+    SK.preview(df, 3)
+    return df.select("r_regionkey", "r_name")
+
+
+register("preview_rows", "SELECT r_regionkey, r_name FROM region")(_preview)

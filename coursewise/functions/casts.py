@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .text import is_blank
 
-_INT_TEXT = r"^[+-]?[0-9]+$"
+_INT_TEXT = r"^[+-]?[0-9]+\z"
 
 
 def _c(c) -> Column:

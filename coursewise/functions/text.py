@@ -41,7 +41,7 @@ def field_count(line, sep: str = "\t") -> Column:
     Java drops trailing empty fields, so trailing separators are removed
     before splitting; ``a\\tb\\t\\t`` has 2 fields, not 4.
     """
-    return F.size(F.split(F.regexp_replace(_c(line), f"(?:{sep})+$", ""), sep, -1))
+    return F.size(F.split(F.regexp_replace(_c(line), f"(?:{sep})+\\z", ""), sep, -1))
 
 
 def field_count_ok(line, n: int = 17, sep: str = "\t") -> Column:
@@ -95,4 +95,4 @@ def code_label(c, labels: dict | None = None, default: str = "other") -> Column:
 def is_int_text(c) -> Column:
     """Text that Java ``Integer.parseInt`` accepts (sign + digits, int range)."""
     c = _c(c)
-    return c.rlike(r"^[+-]?[0-9]+$") & c.try_cast("int").isNotNull()
+    return c.rlike(r"^[+-]?[0-9]+\z") & c.try_cast("int").isNotNull()

@@ -7,13 +7,15 @@
     python -m coursewise.jobs dws-quiz ROOT [DT]
     python -m coursewise.jobs dws-member ROOT [DT]
     python -m coursewise.jobs ads-quiz ROOT DT OUTPUT
-    python -m coursewise.jobs copy-partition SRC DST DT [--column dt]
+    python -m coursewise.jobs copy-partition SRC DST DT [--columns dt,dn]
 
 ROOT is the warehouse folder (tables under ROOT/dwd, ROOT/dws). An ODS folder
 holds one text file (or folder) per feed, named ``<feed>.log`` as in the
 reference. Results of ``behavior`` and ``ads-quiz`` are written as
 tab-separated text folders under OUTPUT, one per report. The session is
-whatever ``spark-submit`` configures, plus the warehouse defaults.
+whatever ``spark-submit`` configures, plus the warehouse defaults. Before the
+job's name: ``--replace`` replaces the partitions a step writes instead of
+appending to them, ``--input-gb`` sets the width of shuffles.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from .operators import cleaning as CL
 from .operators import reports as R
 from .plans import sinks as S
 from .plans.warehouse import Warehouse
-from .session import build_session
+from .session import build_session, shuffle_width
 from .sources import feeds as FD
 
 
@@ -61,9 +63,9 @@ def behavior_reports(spark, root: str, day: int, output: str, start=None, end=No
     return {name: S.write_tsv(df, f"{output.rstrip('/')}/{name}_{day}") for name, df in out.items()}
 
 
-def dwd(spark, root: str, ods_dir: str, feeds=None) -> dict:
+def dwd(spark, root: str, ods_dir: str, feeds=None, mode: str = "append") -> dict:
     """Every feed file under ODS_DIR into its detail table."""
-    wh = Warehouse(spark, root)
+    wh = Warehouse(spark, root, mode)
     lines = {feed: S.read_lines(spark, os.path.join(ods_dir, f"{feed}.log")) for feed in feeds or FD.FEEDS}
     return wh.ingest_all(lines)
 
@@ -95,26 +97,29 @@ def main(argv=None) -> None:
     a = sub.add_parser("ads-quiz"); a.add_argument("root"); a.add_argument("dt")  # noqa: E702
     a.add_argument("output")
     a = sub.add_parser("copy-partition"); a.add_argument("src"); a.add_argument("dst")  # noqa: E702
-    a.add_argument("dt"); a.add_argument("--column", default="dt")  # noqa: E702
+    a.add_argument("dt"); a.add_argument("--columns", default="dt")  # noqa: E702
+    p.add_argument("--replace", action="store_true", help="replace the partitions a step writes instead of appending")
+    p.add_argument("--input-gb", type=float, help="size of the largest input, for the width of shuffles")
     args = p.parse_args(argv)
 
-    spark = build_session(app=f"coursewise-{args.job}")
+    spark = build_session(app=f"coursewise-{args.job}", shuffle_partitions=shuffle_width(args.input_gb))
+    mode = "overwrite" if args.replace else "append"
     if args.job == "clean-log":
         clean_log(spark, args.input, args.output)
     elif args.job == "load-log":
-        Warehouse(spark, args.root).load_behavior(S.read_lines(spark, args.input), args.tz)
+        Warehouse(spark, args.root, mode).load_behavior(S.read_lines(spark, args.input), args.tz)
     elif args.job == "behavior":
         behavior_reports(spark, args.root, args.day, args.output, args.start, args.end)
     elif args.job == "dwd":
-        dwd(spark, args.root, args.ods_dir, [f for f in args.feeds.split(",") if f] or None)
+        dwd(spark, args.root, args.ods_dir, [f for f in args.feeds.split(",") if f] or None, mode)
     elif args.job == "dws-quiz":
-        Warehouse(spark, args.root).build_quiz(args.dt)
+        Warehouse(spark, args.root, mode).build_quiz(args.dt)
     elif args.job == "dws-member":
-        Warehouse(spark, args.root).build_member(args.dt)
+        Warehouse(spark, args.root, mode).build_member(args.dt)
     elif args.job == "ads-quiz":
         ads_quiz(spark, args.root, args.dt, args.output)
     elif args.job == "copy-partition":
-        S.copy_partitions(spark, args.src, args.dst, args.dt, args.column)
+        S.copy_partitions(spark, args.src, args.dst, args.dt, tuple(args.columns.split(",")))
     spark.stop()
 
 

@@ -36,6 +36,11 @@ def _flag(cond: Column) -> Column:
     return F.max(F.when(cond, 1).otherwise(0))
 
 
+def _known_user() -> Column:
+    """1 for a known user: like ``count(distinct uid)``, NULL counts as nobody."""
+    return F.col("uid").isNotNull().cast("int")
+
+
 def video_feedback(log: DataFrame, day=None) -> DataFrame:
     """B1: users who started a video, users who watched one to the end.
 
@@ -49,7 +54,8 @@ def video_feedback(log: DataFrame, day=None) -> DataFrame:
                 .groupBy("dt", "uid")
                 .agg(_flag(started).alias("s"), _flag(done).alias("c")))
     return (per_user.groupBy("dt")
-            .agg(F.sum("s").alias("watch_video_count"), F.sum("c").alias("complete_video_count"))
+            .agg(F.sum(F.col("s") * _known_user()).alias("watch_video_count"),
+                 F.sum(F.col("c") * _known_user()).alias("complete_video_count"))
             .select("watch_video_count", "complete_video_count", "dt"))
 
 
@@ -113,7 +119,7 @@ def study_funnel(log: DataFrame, day=None) -> DataFrame:
     chain = None
     for i in range(len(steps)):
         chain = F.col(f"f{i}") if chain is None else chain * F.col(f"f{i}")
-        reached.append(chain.alias(f"r{i}"))
+        reached.append((chain * _known_user()).alias(f"r{i}"))
     return (flags.where(F.col("f0") == 1).select("dt", *reached)
             .groupBy("dt").agg(*[F.sum(f"r{i}").alias(n) for i, n in enumerate(names)])
             .select(*names, "dt"))

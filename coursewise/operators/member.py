@@ -9,12 +9,15 @@ fan-out: every side is first reduced to one row per join key with a row
 count, so the joined-row multiplicity that inflates ``sum(paymoney)`` in the
 reference is recomputed exactly as a product of counts. A member that owns
 a third of all payments then costs one pre-aggregated row per task, not a
-third of the data in one task. ``first`` is order-dependent in the
-reference; here it is ``min`` (a fixed pick among the same candidates).
+third of the data in one task. ``first`` takes some joined row in the
+reference; here it takes the smallest one (columns compared in the declared
+order, NULL first), so all columns of a result come from one joined row.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +33,7 @@ MEMBER_WIDE = ("uid", "ad_id", "fullname", "iconurl", "lastlogin", "mailaddr", "
                "vip_level", "vip_start_time", "vip_end_time", "vip_last_modify_time", "vip_max_free",
                "vip_min_free", "vip_next_level", "vip_operator", "dt", "dn")
 
+# The columns each side contributes, and the two rules of the VIP columns.
 MEMBER_COLS = ("ad_id", "fullname", "iconurl", "lastlogin", "mailaddr", "memberlevel", "password", "phone", "qq",
                "register", "regupdatetime", "unitname", "userip", "zipcode")
 REG_COLS = ("appkey", "appregurl", "bdp_uuid", "reg_createtime", "isranreg", "regsource", "regsourcename")
@@ -38,37 +42,33 @@ VIP_MAX = ("vip_level", "vip_end_time", "vip_last_modify_time", "vip_next_level"
 VIP_MIN = ("vip_start_time", "vip_max_free", "vip_min_free", "vip_operator")
 
 
-# ------------------------------------------------------------- readers R1-R6
-
-def read_member(df: DataFrame) -> DataFrame:  # R1
-    return df.select("uid", "ad_id", "email", "fullname", "iconurl", "lastlogin", "mailaddr", "memberlevel",
-                     "password", "phone", "qq", "register", "regupdatetime", "unitname", "userip", "zipcode",
-                     "dt", "dn")
-
-
-def read_member_regtype(df: DataFrame) -> DataFrame:  # R2
-    return df.select("uid", "appkey", "appregurl", "bdp_uuid", F.col("createtime").alias("reg_createtime"),
-                     "isranreg", "regsource", "regsourcename", F.col("websiteid").alias("siteid"), "dn")
-
+# Columns the readers R1-R6 take, as names or (source, alias).
+READ = {
+    "member": ("uid", "ad_id", "email", "fullname", "iconurl", "lastlogin", "mailaddr", "memberlevel", "password", "phone",
+               "qq", "register", "regupdatetime", "unitname", "userip", "zipcode", "dt", "dn"),  # R1
+    "regtype": ("uid", "appkey", "appregurl", "bdp_uuid", ("createtime", "reg_createtime"), "isranreg", "regsource",
+                "regsourcename", ("websiteid", "siteid"), "dn"),  # R2
+    "base_ad": (("adid", "ad_id"), "adname", "dn"),  # R3
+    "website": ("siteid", "sitename", "siteurl", ("delete", "site_delete"), ("createtime", "site_createtime"),
+                ("creator", "site_creator"), "dn"),  # R4
+    "vip_level": ("vip_id", "vip_level", ("start_time", "vip_start_time"), ("end_time", "vip_end_time"),
+                  ("last_modify_time", "vip_last_modify_time"), ("max_free", "vip_max_free"), ("min_free", "vip_min_free"),
+                  ("next_level", "vip_next_level"), ("operator", "vip_operator"), "dn"),  # R5
+    "paymoney": ("uid", "paymoney", "vip_id", "dn"),  # R6; the amount as decimal(10,4)
+}
 
-def read_base_ad(df: DataFrame) -> DataFrame:  # R3
-    return df.select(F.col("adid").alias("ad_id"), "adname", "dn")
 
+def pairs(name: str) -> list[tuple[str, str]]:
+    """(source, alias) of each column of a reader."""
+    return [(c, c) if isinstance(c, str) else c for c in READ[name]]
 
-def read_base_website(df: DataFrame) -> DataFrame:  # R4
-    return df.select("siteid", "sitename", "siteurl", F.col("delete").alias("site_delete"),
-                     F.col("createtime").alias("site_createtime"), F.col("creator").alias("site_creator"), "dn")
 
-
-def read_vip_level(df: DataFrame) -> DataFrame:  # R5
-    return df.select("vip_id", "vip_level", F.col("start_time").alias("vip_start_time"),
-                     F.col("end_time").alias("vip_end_time"), F.col("last_modify_time").alias("vip_last_modify_time"),
-                     F.col("max_free").alias("vip_max_free"), F.col("min_free").alias("vip_min_free"),
-                     F.col("next_level").alias("vip_next_level"), F.col("operator").alias("vip_operator"), "dn")
-
-
-def read_paymoney(df: DataFrame) -> DataFrame:  # R6
-    return df.select("uid", F.col("paymoney").try_cast(PAY).alias("paymoney"), "vip_id", "dn")
+def read(name: str, df: DataFrame) -> DataFrame:
+    """One of the readers R1-R6."""
+    cols = {alias: F.col(src).alias(alias) for src, alias in pairs(name)}
+    if name == "paymoney":
+        cols["paymoney"] = F.col("paymoney").try_cast(PAY).alias("paymoney")
+    return df.select(*cols.values())
 
 
 # ------------------------------------------------------------- M1 / M2
@@ -79,33 +79,32 @@ def member_wide(member, regtype, base_ad, website, paymoney, vip_level, dt=None)
     Only the member side is filtered by day; the other tables contribute all
     their days, as in the reference.
     """
-    mem = read_member(member)
+    mem = read("member", member)
     if dt is not None:
         mem = mem.where(F.col("dt") == F.lit(str(dt)))
 
     # registration x website, reduced to one row per (uid, dn)
     # (the website's own siteid is NULL when it does not match, as d.siteid)
-    reg = read_member_regtype(regtype).withColumnRenamed("siteid", "websiteid")
-    site = read_base_website(website).withColumn("websiteid", F.col("siteid"))
+    reg = read("regtype", regtype).withColumnRenamed("siteid", "websiteid")
+    site = read("website", website).withColumn("websiteid", F.col("siteid"))
     reg_site = (reg.join(site, ["websiteid", "dn"], "left")
                 .groupBy("uid", "dn")
-                .agg(F.count(F.lit(1)).alias("n_reg"),
-                     *[F.min(c).alias(c) for c in REG_COLS + SITE_COLS]))
+                .agg(F.count(F.lit(1)).alias("n_reg"), F.min(F.struct(*REG_COLS, *SITE_COLS)).alias("reg_site")))
 
-    ad = (read_base_ad(base_ad).groupBy("ad_id", "dn")
-          .agg(F.count(F.lit(1)).alias("n_ad"), F.min("adname").alias("adname")))
+    ad = (read("base_ad", base_ad).groupBy("ad_id", "dn")
+          .agg(F.count(F.lit(1)).alias("n_ad"), F.min(F.struct("adname"))["adname"].alias("adname")))
 
     # payments per (uid, dn, vip_id) first: a hot member shrinks to a few rows
-    pay = (read_paymoney(paymoney).groupBy("uid", "dn", "vip_id")
+    pay = (read("paymoney", paymoney).groupBy("uid", "dn", "vip_id")
            .agg(F.sum("paymoney").alias("pay_sum")))
-    vip = (read_vip_level(vip_level).groupBy("vip_id", "dn")
+    vip = (read("vip_level", vip_level).groupBy("vip_id", "dn")
            .agg(F.count(F.lit(1)).alias("n_vip"),
                 *[F.max(c).alias(c) for c in VIP_MAX], *[F.min(c).alias(c) for c in VIP_MIN]))
     pv = pay.join(vip.withColumn("vip_key", F.col("vip_id")), ["vip_id", "dn"], "left")
     mult = F.coalesce(F.col("n_vip"), F.lit(1))
     per_pay = (pv.groupBy("uid", "dn")
                .agg(F.sum(F.col("pay_sum") * mult).alias("pay_sum"),
-                    F.min("vip_key").alias("vip_id"),
+                    F.min(F.struct("vip_key"))["vip_key"].alias("vip_id"),
                     *[F.max(c).alias(c) for c in VIP_MAX], *[F.min(c).alias(c) for c in VIP_MIN]))
 
     rows = (mem.join(reg_site, ["uid", "dn"], "left")
@@ -113,22 +112,25 @@ def member_wide(member, regtype, base_ad, website, paymoney, vip_level, dt=None)
             .join(per_pay, ["uid", "dn"], "left"))
     weight = F.coalesce(F.col("n_reg"), F.lit(1)) * F.coalesce(F.col("n_ad"), F.lit(1))
     out = rows.groupBy("uid", "dn", "dt").agg(
-        *[F.min(c).alias(c) for c in MEMBER_COLS + REG_COLS + ("adname",) + SITE_COLS + ("vip_id",) + VIP_MIN],
-        *[F.max(c).alias(c) for c in VIP_MAX],
+        F.min(F.struct(F.struct(*MEMBER_COLS).alias("member"), "reg_site", "adname", "vip_id")).alias("row"),
+        *[F.min(c).alias(c) for c in VIP_MIN], *[F.max(c).alias(c) for c in VIP_MAX],
         F.sum(F.col("pay_sum") * weight).try_cast("decimal(20,4)").alias("paymoney"))
-    return out.select(*MEMBER_WIDE)
+    return out.select("uid", "dn", "dt", "paymoney", *VIP_MIN, *VIP_MAX, "row.member.*", "row.reg_site.*", "row.adname",
+                      "row.vip_id").select(*MEMBER_WIDE)
 
 
 def member_wide_views(spark, member, regtype, base_ad, website, paymoney, vip_level, dt=None) -> DataFrame:
-    """M2: the same rows, with the inputs registered as temp views and the
-    small dimension tables cached first (the reference's variant)."""
-    from ..plans.sinks import cache_small, register_views
-    cache_small(base_ad, website, vip_level)
-    register_views({"dwd_member": member, "dwd_member_regtype": regtype, "dwd_base_ad": base_ad,
-                    "dwd_base_website": website, "dwd_pcentermempaymoney": paymoney, "dwd_vip_level": vip_level})
-    return member_wide(spark.table("dwd_member"), spark.table("dwd_member_regtype"), spark.table("dwd_base_ad"),
-                       spark.table("dwd_base_website"), spark.table("dwd_pcentermempaymoney"),
-                       spark.table("dwd_vip_level"), dt)
+    """M2: the same rows, with the inputs registered as temp views first (the reference's variant).
+
+    Views get names of their own, so runs of one session don't see each other's.
+    """
+    from ..plans.sinks import register_views
+    mark = uuid.uuid4().hex[:8]
+    inputs = {f"{name}_{mark}": df for name, df in (
+        ("dwd_member", member), ("dwd_member_regtype", regtype), ("dwd_base_ad", base_ad), ("dwd_base_website", website),
+        ("dwd_pcentermempaymoney", paymoney), ("dwd_vip_level", vip_level))}
+    register_views(inputs)
+    return member_wide(*[spark.table(name) for name in inputs], dt)
 
 
 # ------------------------------------------------------------- M3
@@ -142,12 +144,12 @@ def member_join(member, regtype, base_ad, website, paymoney, vip_level, dt=None)
     planner decides from measured sizes, and the registration and payment
     joins are written skew-safe (a hot member is split across tasks).
     """
-    mem = read_member(member)
+    mem = read("member", member)
     if dt is not None:
         mem = mem.where(F.col("dt") == F.lit(str(dt)))
-    j = (left_join_skew_safe(mem, read_member_regtype(regtype), ["uid", "dn"])
-         .join(read_base_ad(base_ad), ["ad_id", "dn"], "left")
-         .join(read_base_website(website), ["siteid", "dn"], "left"))
-    j = left_join_skew_safe(j, read_paymoney(paymoney), ["uid", "dn"])
-    j = j.join(read_vip_level(vip_level), ["vip_id", "dn"], "left")
+    j = (left_join_skew_safe(mem, read("regtype", regtype), ["uid", "dn"])
+         .join(read("base_ad", base_ad), ["ad_id", "dn"], "left")
+         .join(read("website", website), ["siteid", "dn"], "left"))
+    j = left_join_skew_safe(j, read("paymoney", paymoney), ["uid", "dn"])
+    j = j.join(read("vip_level", vip_level), ["vip_id", "dn"], "left")
     return j.select(*MEMBER_WIDE)

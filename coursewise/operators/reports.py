@@ -28,13 +28,14 @@ def paper_avg(detail: DataFrame, dt=None) -> DataFrame:
     """A1: average score (decimal(4,1)) and time (decimal(10,2)) per paper.
 
     Averages run over the detail rows (one per answered question), as in
-    the reference. Ordered by score, then time, descending.
+    the reference. Ordered by score, then time, descending; the keys break ties,
+    so equal scores spread over the sort's tasks and the order is total.
     """
     return (_day(detail, dt).groupBy("paperviewid", "paperviewname", "dt", "dn")
             .agg(F.avg("score").try_cast("decimal(4,1)").alias("score"),
                  F.avg("spendtime").try_cast("decimal(10,2)").alias("spendtime"))
             .select("paperviewid", "paperviewname", "score", "spendtime", "dt", "dn")
-            .orderBy(F.desc("score"), F.desc("spendtime")))
+            .orderBy(F.desc("score"), F.desc("spendtime"), "paperviewid", "paperviewname", "dt", "dn"))
 
 
 def paper_min_max(detail: DataFrame, dt=None) -> DataFrame:
@@ -52,7 +53,7 @@ def _ranked(detail: DataFrame, keys, ascending: bool) -> DataFrame:
     rank is computed over each group's *distinct* scores (bounded by the
     score domain, not by the number of answers), which Spark prunes with a
     ``WindowGroupLimit``, and the top ranks are equi-joined back to the
-    answers (NULL-safe on the score). A popular paper whose best score is
+    answers (NULL-safe on keys and score, as a window keeps those groups). A popular paper whose best score is
     shared by a huge number of answers is then an ordinary inner-join key
     that AQE can split, instead of one window partition in one task.
     """
@@ -62,7 +63,7 @@ def _ranked(detail: DataFrame, keys, ascending: bool) -> DataFrame:
            .select(*[F.col(k).alias(f"top_{k}") for k in keys], F.col("score").alias("top_score"),
                    F.dense_rank().over(w).alias("rk"))
            .where(F.col("rk") < 4))
-    cond = [F.col(k) == F.col(f"top_{k}") for k in keys] + [F.col("score").eqNullSafe(F.col("top_score"))]
+    cond = [F.col(k).eqNullSafe(F.col(f"top_{k}")) for k in keys] + [F.col("score").eqNullSafe(F.col("top_score"))]
     return (detail.join(top, cond)
             .select("userid", *NAME_COLUMNS, "score", "rk", "dt", "dn"))
 
@@ -97,35 +98,24 @@ def score_band(score) -> F.Column:
     return expr
 
 
-def paper_bands(detail: DataFrame, dt=None, user_block: int | None = 1000,
-                question_block: int | None = 1000) -> DataFrame:
-    """A5: comma-joined user ids per paper and score band.
+def paper_bands(detail: DataFrame, dt=None, as_list: bool = False) -> DataFrame:
+    """A5: who answered in which score band: one row per paper, band and user, with the number of answers.
 
-    The list keeps one entry per detail row (like ``collect_list``), sorted
-    by user id. Scores outside [0,100] form the NULL band.
-
-    A band of a popular paper can hold any number of answers, so by default
-    its list is split over rows by ``user_block = userid div user_block`` and
-    ``question_block = questionid div question_block``: each row then holds
-    the answers of at most ``user_block`` users on ``question_block``
-    questions, and the rows of a group together hold its whole list. Passing
-    ``user_block=None`` gives the reference's single row per group, whose
-    size grows with the group.
+    Scores outside [0,100] form the NULL band. ``as_list`` gives the
+    reference's shape instead: one row per paper and band, the user ids joined
+    by commas, one entry per answer, sorted. Its rows grow with the answers of
+    a paper, so it is for small reports only.
     """
-    d = _day(detail, dt).select("paperviewid", "paperviewname", score_band("score").alias("score_segment"),
-                                "userid", "questionid", "dt", "dn")
     keys = ["paperviewid", "paperviewname", "score_segment"]
-    if user_block:
-        d = d.withColumn("user_block", F.floor(F.col("userid") / user_block))
-        keys.append("user_block")
-        if question_block:
-            d = d.withColumn("question_block", F.floor(F.col("questionid") / question_block))
-            keys.append("question_block")
-    return (d.groupBy(*keys, "dt", "dn")
-            .agg(F.array_join(F.transform(F.sort_array(F.collect_list("userid")),
-                                          lambda u: u.cast("string")), ",").alias("userids"))
-            .select(*keys, "userids", "dt", "dn")
-            .orderBy(*keys))
+    per_user = (_day(detail, dt).select("paperviewid", "paperviewname", score_band("score").alias("score_segment"),
+                                        "userid", "dt", "dn")
+                .groupBy(*keys, "userid", "dt", "dn").agg(F.count(F.lit(1)).alias("answers")))
+    if not as_list:
+        return per_user.select(*keys, "userid", "answers", "dt", "dn").orderBy(*keys, "userid", "dt", "dn")
+    ids = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("userid", "answers"))),
+                                lambda x: F.array_repeat(x["userid"].cast("string"), x["answers"].cast("int"))))
+    return (per_user.groupBy(*keys, "dt", "dn").agg(F.array_join(ids, ",").alias("userids"))
+            .select(*keys, "userids", "dt", "dn").orderBy(*keys, "dt", "dn"))
 
 
 def paper_pass_rate(detail: DataFrame, dt=None) -> DataFrame:
@@ -154,8 +144,8 @@ def question_error_rate(detail: DataFrame, dt=None, top: int | None = None) -> D
     """Wrong and right answers and error rate per question.
 
     Questions never answered wrong, or never right, are absent (inner join
-    in the reference). Ordered by errcount descending; ``top`` optionally
-    keeps the first n rows (the report comment's "top 3").
+    in the reference). Ordered by errcount descending, then question, day and
+    site; ``top`` optionally keeps the first n rows (the report comment's "top 3").
     """
     a = F.col("user_question_answer")
     out = (_day(detail, dt).where(a.isin(0, 1))
@@ -166,5 +156,5 @@ def question_error_rate(detail: DataFrame, dt=None, top: int | None = None) -> D
     rate = F.try_divide(F.col("errcount"), F.col("errcount") + F.col("rightcount"))
     out = (out.select("questionid", "errcount", "dt", "dn", "rightcount",
                       rate.try_cast("decimal(4,2)").alias("rate"))
-           .orderBy(F.desc("errcount")))
+           .orderBy(F.desc("errcount"), "questionid", "dt", "dn"))
     return out.limit(top) if top else out

@@ -5,13 +5,14 @@ column name (the reference's ``insertInto`` is positional). Paths should sit
 under the cluster's shared folder (see ``session.shared_dir``).
 
 File count: the reference ``coalesce``s to 1 or 3 files, which also squeezes
-the upstream stage to that many tasks. Here ``files=n`` hash-repartitions by
-the partition columns into ``n`` slices after the work is done, and the
-default asks AQE to rebalance to the advisory partition size instead.
+the upstream stage to that many tasks. Here AQE rebalances to the advisory
+partition size: small outputs become one file, large or hot partitions several.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,10 +30,8 @@ def read_table(spark: SparkSession, path: str, partition_cols=("dt", "dn"), fmt:
     return spark.read.format(fmt).schema(T.StructType(fields)).load(path)
 
 
-def compact(df: DataFrame, files: int | None = None, partition_cols=()) -> DataFrame:
+def compact(df: DataFrame, partition_cols=()) -> DataFrame:
     """Shape the output into few, well-sized files."""
-    if files:
-        return df.repartition(files, *partition_cols) if partition_cols else df.repartition(files)
     return df.hint("rebalance", *partition_cols) if partition_cols else df.hint("rebalance")
 
 
@@ -46,37 +45,37 @@ def write_lines(df: DataFrame, path: str, col: str = "value") -> str:
     return path
 
 
-def write_orc(df: DataFrame, path: str, files: int | None = None) -> str:
+def write_orc(df: DataFrame, path: str) -> str:
     """S5 (+S12): ORC, snappy, fails if the path exists (the reference's default)."""
-    compact(df, files).write.mode("errorifexists").option("compression", "snappy").orc(path)
+    compact(df).write.mode("errorifexists").option("compression", "snappy").orc(path)
     return path
 
 
-def append_partitioned(df: DataFrame, path: str, partition_cols=("dt", "dn"),
-                       files: int | None = None, fmt: str = "parquet") -> str:
+def append_partitioned(df: DataFrame, path: str, partition_cols=("dt", "dn"), fmt: str = "parquet") -> str:
     """Append rows under dynamic partitions (re-running a day duplicates it)."""
-    (compact(df, files, partition_cols).write.mode("append").partitionBy(*partition_cols)
+    (compact(df, partition_cols).write.mode("append").partitionBy(*partition_cols)
      .option("compression", "snappy").format(fmt).save(path))
     return path
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_cols=("dt", "dn"),
-                         files: int | None = None, fmt: str = "parquet") -> str:
+def overwrite_partitions(df: DataFrame, path: str, partition_cols=("dt", "dn"), fmt: str = "parquet") -> str:
     """Replace only the partitions present in ``df``; others stay."""
-    (compact(df, files, partition_cols).write.mode("overwrite").partitionBy(*partition_cols)
+    (compact(df, partition_cols).write.mode("overwrite").partitionBy(*partition_cols)
      .option("partitionOverwriteMode", "dynamic").option("compression", "snappy").format(fmt).save(path))
     return path
 
 
-def copy_partitions(spark: SparkSession, src: str, dst: str, dt=None, part_col: str = "dt",
+def copy_partitions(spark: SparkSession, src: str, dst: str, dt=None, partition_cols=("dt",),
                     fmt: str = "parquet") -> str:
     """Copy partition ``dt`` (every partition when None) of one table into
-    another, replacing the same partitions there. The filter on the partition
-    column prunes the source listing; columns are matched by name."""
-    df = spark.read.format(fmt).load(src)
+    another, replacing the same partitions there. ``partition_cols`` are all of
+    the source's, the day first: they are read as text, so keys keep their
+    leading zeros, and the copy is partitioned like the source. The filter on
+    the day prunes the source listing; columns are matched by name."""
+    df = read_table(spark, src, partition_cols, fmt)
     if dt is not None:
-        df = df.where(F.col(part_col) == F.lit(dt))
-    return overwrite_partitions(df, dst, (part_col,), fmt=fmt)
+        df = df.where(F.col(partition_cols[0]) == F.lit(str(dt)))
+    return overwrite_partitions(df, dst, tuple(partition_cols), fmt=fmt)
 
 
 def save_table(df: DataFrame, name: str, path: str, fmt: str = "parquet") -> str:
@@ -101,10 +100,16 @@ def register_views(views: dict) -> None:
         df.createOrReplaceTempView(name)
 
 
-def cache_small(*dfs: DataFrame) -> None:
-    """Cache dimension tables that several joins reuse."""
+@contextmanager
+def cached(*dfs: DataFrame):
+    """Dimension tables that several joins reuse stay cached within the block."""
     for df in dfs:
         df.cache()
+    try:
+        yield
+    finally:
+        for df in dfs:
+            df.unpersist()
 
 
 def preview(df: DataFrame, n: int = 20) -> None:

@@ -3,10 +3,10 @@
 ``Warehouse`` keeps every table as a partitioned parquet folder under one root
 in the cluster's shared folder. Each step reads its inputs from the layer
 below (partition pruning on ``dt``), writes its output, and so cuts the
-lineage: a lost executor only re-runs the current step, and a re-run of a
-step replaces the partitions it wrote (dynamic partition overwrite) instead
-of duplicating them, unless ``mode='append'`` asks for the reference's
-append behaviour.
+lineage: a lost executor only re-runs the current step. Tables that the
+reference appends to are appended to, so a second load of a day adds its rows;
+``mode='overwrite'`` asks for steps that replace the partitions they write
+(dynamic partition overwrite) and may be run again.
 """
 
 from __future__ import annotations
@@ -18,12 +18,11 @@ from ..operators import member as MB
 from ..operators import quiz as QZ
 from ..sources import feeds as FD
 from ..session import scratch_path
-from ..sources.driver import spread
 from . import sinks
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str | None = None, mode: str = "overwrite"):
+    def __init__(self, spark: SparkSession, root: str | None = None, mode: str = "append"):
         self.spark = spark
         self.root = (root or scratch_path(spark, "warehouse")).rstrip("/")
         self.mode = mode
@@ -39,9 +38,7 @@ class Warehouse:
             df = self.spark.read.schema(self._schemas[p]).parquet(p)
         else:
             df = sinks.read_table(self.spark, p, partition_cols)
-        # a small layer table may be one file / one row group: spread it so
-        # the joins and writes above it use every core (no-op at scale)
-        return spread(df)
+        return df
 
     def _write(self, df: DataFrame, layer: str, table: str, partition_cols, mode: str | None = None) -> str:
         mode = mode or self.mode
@@ -77,14 +74,21 @@ class Warehouse:
         return self.table("dwd", spec.target, spec.partition)
 
     def load_behavior(self, lines: DataFrame, tz: str = "UTC") -> str:
-        """B0 + load: raw log lines -> cleaned, typed ``user_behavior`` table by ``dt``.
+        """B0 + load: raw log lines -> cleaned, typed ``user_behavior`` table by ``dt``;
+        rejected lines go to ``user_behavior_rejects``.
 
         Analyses reading it get partition pruning on ``dt`` and the event-key
         filters pushed into the parquet scan.
         """
         typed = CL.typed_behavior(CL.clean_behavior(lines), tz)
+        rejects = sinks.compact(CL.behavior_rejects(lines)).write.mode(self.mode)
+        rejects.parquet(self.path("dwd", "user_behavior_rejects"))
         return self._write(typed, "dwd", "user_behavior", ("dt",))
 
+    def behavior_rejects(self) -> DataFrame:
+        """(line, reject_reason) of the raw lines that ``load_behavior`` kept out."""
+        return self.spark.read.parquet(self.path("dwd", "user_behavior_rejects"))
+
     def behavior(self) -> DataFrame:
         from pyspark.sql import functions as F
         t = self.spark.read.parquet(self.path("dwd", "user_behavior"))

@@ -25,6 +25,11 @@ DEFAULT_CONF = {
 }
 
 
+def shuffle_width(input_gb: float | None) -> int | None:
+    """Shuffle partitions for an input of that many GB: about 128 MB each, 200 at least; None leaves Spark's setting."""
+    return None if input_gb is None else max(200, round(input_gb * 8))
+
+
 def build_session(master: str | None = None, app: str = "coursewise",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the warehouse defaults."""

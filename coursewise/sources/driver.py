@@ -34,23 +34,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over all cores when it has fewer partitions than that.
-
-    A small parquet file is read as one task per row group (often 1-3), which
-    leaves the CPU-heavy per-row work of the derived logs and feeds on a few
-    cores. A large input already has many splits and is returned unchanged,
-    so no shuffle is added at scale. (Round-robin repartitioning sorts first,
-    so a retried task sees the same rows.)
-    """
-    try:
-        n = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a Spark Connect session: leave the plan as it is
-        return df
-    return df.repartition(n) if parts < n else df
-
-
 # ---------------------------------------------------------------------------
 # behaviour log
 # ---------------------------------------------------------------------------
@@ -99,7 +82,7 @@ def behavior_log(events: DataFrame, keep_event_id: bool = False) -> DataFrame:
     keys = keys.otherwise(F.array(other.otherwise(F.col("event_type"))))
 
     extra = [F.col("event_id")] if keep_event_id else []
-    base = spread(events.select("event_id", "ts", "user_id", "event_type", "value", "props")).select(
+    base = events.select("event_id", "ts", "user_id", "event_type", "value", "props").select(
         *extra, uid.alias("uid"), k.alias("k"), et.alias("event_time"), is_view.alias("is_view"),
         F.floor("value").cast("bigint").alias("watched"),
         (F.year("ts") * 10000 + F.month("ts") * 100 + F.dayofmonth("ts")).cast("int").alias("dt"),
@@ -242,7 +225,7 @@ def paper_detail(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                          "l_returnflag", "l_linestatus", "l_shipdate")
     od = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey"))
-    j = spread(li).join(od, "l_orderkey")
+    j = li.join(od, "l_orderkey")
     s = lambda p, c: F.concat(F.lit(p), c.cast("string"))
     return j.select(
         F.col("o_custkey").alias("userid"),

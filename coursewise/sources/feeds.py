@@ -139,10 +139,21 @@ FEEDS = {s.feed: s for s in [
 _MAP = T.MapType(T.StringType(), T.StringType())
 
 
-def json_object(line) -> Column:
-    """The line as a string map when it is a JSON object, else NULL."""
+def parsed_line(line, schema: T.DataType) -> Column:
+    """The line as ``schema`` when it is one JSON object and nothing else, as an array of it; else empty or NULL.
+
+    A JSON parser stops after the first value and ignores what follows, so
+    the line is read as the first of two elements of an array: any other
+    text in it breaks the array or changes its length.
+    """
     c = F.col(line) if isinstance(line, str) else line
-    return F.from_json(c, _MAP)
+    both = F.from_json(F.concat(F.lit("["), c, F.lit(",{}]")), T.ArrayType(schema))
+    return F.filter(both, lambda x, i: (i == 0) & x.isNotNull() & (F.size(both) == 2))
+
+
+def json_object(line) -> Column:
+    """The line as a string map when it is one JSON object, else NULL."""
+    return F.get(parsed_line(line, _MAP), F.lit(0))
 
 
 def json_int(m: Column, *keys: str) -> Column:
@@ -189,33 +200,26 @@ def _derived(rule: str, parsed: dict) -> Column:
     raise ValueError(rule)
 
 
-BAD_LINE = "_corrupt_line"   # holds the text of a line that is not a JSON object
-
-
 def line_schema(spec: FeedSpec) -> T.StructType:
-    """All-text struct of every JSON key the feed reads (numbers arrive as their
-    text), plus the corrupt-record column that flags lines that are not objects."""
+    """All-text struct of every JSON key the feed reads (numbers arrive as their text)."""
     keys = []
     for c in spec.cols:
         if spec.derived.get(c.name) == "regsource_label":
             continue
         keys.extend(k for k in c.json_keys if k not in keys)
-    return T.StructType([T.StructField(k, T.StringType()) for k in keys] + [T.StructField(BAD_LINE, T.StringType())])
+    return T.StructType([T.StructField(k, T.StringType()) for k in keys])
 
 
 def ingest(lines: DataFrame, spec: FeedSpec, col: str = "value") -> DataFrame:
     """Raw feed lines -> typed DWD rows (columns in table order).
 
-    Each line is parsed once, straight into a struct of the feed's keys (field
-    access, not a key search per column). A line that is not a JSON object
-    fills the corrupt-record column instead and is dropped, as are empty
-    lines; ``{}`` is an object and is kept. The drop happens inside a
-    0/1-element ``explode``: a plain filter on the parsed value would be
-    pushed below the projection and parse every line twice.
+    Each line is parsed straight into a struct of the feed's keys (field
+    access, not a key search per column). A line that is not one JSON object
+    is dropped (``rejects`` has it); ``{}`` is an object and is kept. The drop
+    happens inside a 0/1-element ``explode``: a plain filter on the parsed
+    value would be pushed below the projection and parse every line twice.
     """
-    parsed = F.from_json(F.col(col), line_schema(spec), {"columnNameOfCorruptRecord": BAD_LINE})
-    objs = lines.select(F.explode(F.filter(F.array(parsed),
-                                           lambda s: s.isNotNull() & s[BAD_LINE].isNull())).alias("_m"))
+    objs = lines.select(F.explode(parsed_line(col, line_schema(spec))).alias("_m"))
     m = F.col("_m")
     # every column read from the line, including the raw inputs of masks
     parsed_cols = {c.name: _typed(m, c) for c in spec.cols
@@ -227,6 +231,31 @@ def ingest(lines: DataFrame, spec: FeedSpec, col: str = "value") -> DataFrame:
     return objs.select(*out)
 
 
+def rejects(lines: DataFrame, spec: FeedSpec, col: str = "value") -> DataFrame:
+    """(line, reason) of what ``ingest`` drops or changes without a trace in its rows, a row for each reason.
+
+    ``not_an_object``: the line is dropped. ``bad_number:<key>``: an integer
+    field holds other text and became 0. ``short_phone`` and ``empty_name``:
+    the masked field became NULL.
+    """
+    m = F.get(F.col("_p"), F.lit(0))
+    found = [F.when(F.size("_p") == 1, F.lit(None)).otherwise(F.lit("not_an_object"))]
+    for c in spec.cols:
+        rule = spec.derived.get(c.name)
+        if c.kind == "i" and rule is None:
+            v = json_string(m, *c.json_keys)
+            number = v.try_cast("decimal(38,6)").try_cast("int")
+            found.append(F.when(number.isNull() & (F.trim(v) != "") & ~v.isin("true", "false"), F.lit(f"bad_number:{c.json_keys[0]}")))
+        elif rule == "mask_phone_b":
+            v = json_string(m, *c.json_keys)
+            found.append(F.when(F.length(v) < 11, F.lit("short_phone")))
+        elif rule == "mask_name":
+            v = json_string(m, *c.json_keys)
+            found.append(F.when(F.length(v) < 1, F.lit("empty_name")))
+    parsed = lines.select(F.col(col).alias("line"), F.coalesce(parsed_line(col, line_schema(spec)), F.array()).alias("_p"))
+    return parsed.select("line", F.explode(F.array_compact(F.array(*found))).alias("reason"))
+
+
 def object_line_counts(lines: DataFrame, col: str = "value") -> DataFrame:
     """(lines, kept): how many lines there are and how many are JSON objects."""
     return lines.agg(F.count(F.lit(1)).alias("lines"),

@@ -9,9 +9,10 @@ it the same way. The same description yields
 
 Defects are injected by fixed rules on a per-row key ``rk``:
 
-* ``rk % 23 = 5``: the line is damaged, kind ``((rk - 5) / 23) % 6``:
-  0 not JSON, 1 empty, 2 array, 3 scalar, 4 cut-off object, 5 empty object
-  (only kind 5 survives, with every field at its default);
+* ``rk % 23 = 5``: the line is damaged, kind ``((rk - 5) / 23) % 9``:
+  0 not JSON, 1 empty, 2 array, 3 scalar, 4 cut-off object, 5 object with text
+  after it, 6 two objects, 7 object and a bracket, 8 empty object (only kind 8
+  survives, with every field at its default);
 * ``(rk + position) % 29 = 0``: that key is left out of the object (not for
   ids and partition columns);
 * int fields at odd positions are written as JSON text ("12"), not numbers.
@@ -28,8 +29,6 @@ from . import driver
 from .feeds import FEEDS, FeedSpec
 
 QUIZ_DT, QUIZ_DN = "'20190722'", "'webA'"
-# nation and region have the same 25 / 5 rows at every scale factor
-FIXED_SIZE_TABLES = ("nation", "region")
 
 
 def _site(x: str) -> str:
@@ -136,7 +135,9 @@ SOURCES = {
 }
 
 # The damaged line texts, by damage kind 0-4 (kind 5 is '{}').
-BROKEN_LINES = ("this is not json", "", "[1, 2, 3]", '"just text"', '{"broken": ')
+BROKEN_LINES = ("this is not json", "", "[1, 2, 3]", '"just text"', '{"broken": ', '{"dn": "webA"} and more',
+                '{"dn": "webA"}{"dn": "webB"}', '{"dn": "webA"}]')
+KINDS = len(BROKEN_LINES) + 1   # the last kind is the empty object
 DAMAGE_MOD, DAMAGE_AT, MISSING_MOD = 23, 5, 29
 
 
@@ -173,7 +174,7 @@ def _damaged(rk: str) -> str:
 
 
 def _kind(rk: str) -> str:
-    return f"(CAST((({rk}) - {DAMAGE_AT}) / {DAMAGE_MOD} AS BIGINT) % 6)"
+    return f"(CAST((({rk}) - {DAMAGE_AT}) / {DAMAGE_MOD} AS BIGINT) % {KINDS})"
 
 
 def ods_lines(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
@@ -181,8 +182,6 @@ def ods_lines(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
     spec = FEEDS[feed]
     table, rk, _, extra = SOURCES[feed]
     src = driver.table(spark, sf_dir, table)
-    if table not in FIXED_SIZE_TABLES:   # CPU-heavy line building: use every core
-        src = driver.spread(src)
     fields = []
     for pos, col, key, kind in _emitted(spec):
         e = _expr(spec, pos, col, key, rk)
@@ -214,7 +213,7 @@ def expected_sql(feed: str) -> str:
     """DuckDB SQL of the rows ``ingest(ods_lines(feed))`` must give."""
     spec = FEEDS[feed]
     table, rk, _, _ = SOURCES[feed]
-    empty = f"({_damaged('_rk')} AND {_kind('_rk')} = 5)"
+    empty = f"({_damaged('_rk')} AND {_kind('_rk')} = {KINDS - 1})"
     raw = {}
     for pos, col, key, kind in _emitted(spec):
         e = _expr(spec, pos, col, key, "_rk").replace("_rk", "_rk")
@@ -238,12 +237,20 @@ def expected_sql(feed: str) -> str:
         out.append(f"{v} AS {c.name}")
     # the source columns are referenced by bare name; the row key is exposed as _rk
     return (f"SELECT {', '.join(out)} FROM (SELECT *, {rk} AS _rk FROM {table}) s "
-            f"WHERE NOT ({_damaged('_rk')} AND {_kind('_rk')} < 5)")
+            f"WHERE NOT ({_damaged('_rk')} AND {_kind('_rk')} < {KINDS - 1})")
 
 
 def line_counts_sql(feed: str) -> str:
     """DuckDB SQL of (feed, lines, kept) for one feed."""
     table, rk, _, _ = SOURCES[feed]
     return (f"SELECT '{feed}' AS feed, count(*) AS lines, "
-            f"CAST(sum(CASE WHEN {_damaged(rk)} AND {_kind(rk)} < 5 THEN 0 ELSE 1 END) AS BIGINT) AS kept "
+            f"CAST(sum(CASE WHEN {_damaged(rk)} AND {_kind(rk)} < {KINDS - 1} THEN 0 ELSE 1 END) AS BIGINT) AS kept "
             f"FROM {table}")
+
+
+def rejects_sql(feed: str) -> str:
+    """DuckDB SQL of the lines of one feed that are no object, with the reason."""
+    table, rk, _, _ = SOURCES[feed]
+    lines = ", ".join("'" + x + "'" for x in BROKEN_LINES)
+    return (f"SELECT [{lines}][CAST({_kind(rk)} AS INTEGER) + 1] AS line, 'not_an_object' AS reason FROM {table} "
+            f"WHERE {_damaged(rk)} AND {_kind(rk)} < {KINDS - 1}")

@@ -14,6 +14,8 @@ query. Checkpoints live in the shared folder.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,12 +32,17 @@ def _text_stream(spark: SparkSession, landing: str, max_files: int | None) -> Da
 
 
 def start_feed_ingest(spark: SparkSession, feed: str, landing: str, target: str, checkpoint: str,
-                      available_now: bool = True, max_files: int | None = None) -> StreamingQuery:
+                      available_now: bool = True, max_files: int | None = None,
+                      run: str | None = None) -> StreamingQuery:
     """Follow ``landing`` (raw lines of one feed) into the partitioned table ``target``.
 
-    Append-mode feeds go through the file sink (exactly-once appends);
-    overwrite-mode feeds (dimension snapshots) replace the partitions each
-    micro-batch touches.
+    Append-mode feeds go through the file sink (exactly-once appends).
+    Overwrite-mode feeds (dimension snapshots) replace the partitions that a
+    run touches, with all rows of the run, however many micro-batches it takes:
+    every batch is staged beside the checkpoint, and the partitions it touches
+    are replaced by what the run has staged for them so far. ``run`` names the
+    run (default: a new name each time); a run that was cut off goes on under
+    its old name.
     """
     spec = FD.FEEDS[feed]
     rows = FD.ingest(_text_stream(spark, landing, max_files), spec)
@@ -45,16 +52,32 @@ def start_feed_ingest(spark: SparkSession, feed: str, landing: str, target: str,
         return (w.format("parquet").partitionBy(*spec.partition).option("compression", "snappy")
                 .outputMode("append").start(target))
 
-    def replace(batch: DataFrame, _epoch: int) -> None:
-        sinks.overwrite_partitions(batch, target, spec.partition)
+    stage = f"{checkpoint.rstrip('/')}-staged/{run or uuid.uuid4().hex}"
+
+    def replace(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{stage}/batch={epoch}")  # a repeated batch replaces itself
+        spark_ = batch.sparkSession
+        touched = spark_.read.schema(batch.schema).parquet(f"{stage}/batch={epoch}").select(*spec.partition).distinct()
+        staged = spark_.read.schema(batch.schema).option("recursiveFileLookup", "true").parquet(stage)
+        same = [staged[c].eqNullSafe(touched[c]) for c in spec.partition]
+        sinks.overwrite_partitions(staged.join(touched, same, "left_semi"), target, spec.partition)
 
     return w.foreachBatch(replace).start()
 
 
 def start_behavior_clean(spark: SparkSession, landing: str, target: str, checkpoint: str,
                          available_now: bool = True) -> StreamingQuery:
-    """B0 incrementally: raw behaviour lines -> cleaned ORC files."""
-    good = cleaning.clean_behavior(_text_stream(spark, landing, None))
-    w = good.writeStream.option("checkpointLocation", checkpoint)
+    """B0 incrementally: raw behaviour lines -> cleaned ORC files (see ``start_behavior_rejects`` for the rest)."""
+    return _follow(cleaning.clean_behavior(_text_stream(spark, landing, None)), target, checkpoint, available_now)
+
+
+def start_behavior_rejects(spark: SparkSession, landing: str, target: str, checkpoint: str,
+                           available_now: bool = True) -> StreamingQuery:
+    """The lines that the cleaner keeps out, with the reason, as ORC files."""
+    return _follow(cleaning.behavior_rejects(_text_stream(spark, landing, None)), target, checkpoint, available_now)
+
+
+def _follow(rows: DataFrame, target: str, checkpoint: str, available_now: bool) -> StreamingQuery:
+    w = rows.writeStream.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.format("orc").option("compression", "snappy").outputMode("append").start(target)

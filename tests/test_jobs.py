@@ -47,7 +47,7 @@ def test_cli_copy_partition(spark, monkeypatch):
     src, dst = scratch_path(spark, "src"), scratch_path(spark, "dst")
     S.overwrite_partitions(spark.range(9).select(F.col("id"), (F.col("id") % 3).cast("string").alias("dt")), src,
                            ("dt",))
-    monkeypatch.setattr(jobs, "build_session", lambda app=None: spark)
+    monkeypatch.setattr(jobs, "build_session", lambda app=None, shuffle_partitions=None: spark)
     monkeypatch.setattr(spark, "stop", lambda: None)
     jobs.main(["copy-partition", src, dst, "1"])
     assert sorted(r.id for r in spark.read.parquet(dst).collect()) == [1, 4, 7]

@@ -4,6 +4,7 @@ nested-loop join, filters and column pruning reach the parquet scan."""
 import pytest
 
 import __spark_entry__ as E
+from coursewise import catalog
 
 SF = "/root/testdata/sf0.001"
 SIDE_EFFECTS = {"sink_orc", "sink_append", "sink_dynamic_overwrite", "sink_tsv", "sink_ctas", "partition_copy",
@@ -15,7 +16,7 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SIDE_EFFECTS))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - SIDE_EFFECTS))
 def test_no_slow_operators(spark, name):
     p = plan(E.queries()[name](spark, SF))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
@@ -57,7 +58,7 @@ def test_stored_behavior_table_prunes_and_pushes(spark):
     assert "EqualTo(event_key,registerAccount)" in p
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SIDE_EFFECTS))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - SIDE_EFFECTS))
 def test_result_columns_are_unique(spark, name):
     cols = E.queries()[name](spark, SF).columns
     assert len(cols) == len(set(cols)), cols

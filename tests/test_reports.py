@@ -23,18 +23,37 @@ BAND_ROWS = [(i, 1, 1, s, 60, 1, "d1", "x") for i, s in
 
 
 def test_bands(spark):
-    one_row = R.paper_bands(detail(spark, BAND_ROWS), user_block=None)
-    out = {r.score_segment: r.userids for r in one_row.collect()}
-    assert out == {"0-20": "0,1", "20-40": "2", "40-60": "3", "60-80": "4", "80-100": "5", None: "6,7,8"}
-
-
-def test_bands_split_rows_hold_the_whole_list(spark):
-    rows = [(u, 1, q, 50, 60, 1, "d1", "x") for u in range(0, 5000, 7) for q in (1, 1500)]
-    split = R.paper_bands(detail(spark, rows), user_block=1000, question_block=1000).collect()
-    whole = R.paper_bands(detail(spark, rows), user_block=None).collect()
-    assert len(whole) == 1 and len(split) == 10
-    assert sorted(int(x) for r in split for x in r.userids.split(",")) == \
-        sorted(int(x) for x in whole[0].userids.split(","))
+    out = R.paper_bands(detail(spark, BAND_ROWS)).collect()
+    got = {}
+    for r in out:
+        assert r.answers == 1
+        got.setdefault(r.score_segment, []).append(r.userid)
+    want = {"0-20": [0, 1], "20-40": [2], "40-60": [3], "60-80": [4], "80-100": [5], None: [6, 7, 8]}
+    assert got == want                                                            # ordered by band, then user
+    lists = {r.score_segment: r.userids for r in R.paper_bands(detail(spark, BAND_ROWS), as_list=True).collect()}
+    assert lists == {k: ",".join(map(str, v)) for k, v in want.items()}
+
+
+def test_band_list_has_an_entry_for_each_answer(spark):
+    rows = [(u, 1, q, 50, 60, 1, "d1", "x") for u in (3, 11, 2) for q in range(u)]
+    assert {r.userid: r.answers for r in R.paper_bands(detail(spark, rows)).collect()} == {2: 2, 3: 3, 11: 11}
+    one = R.paper_bands(detail(spark, rows), as_list=True).collect()
+    assert [r.userids for r in one] == [",".join(["2"] * 2 + ["3"] * 3 + ["11"] * 11)]
+
+
+def test_reports_come_in_full_order(spark):
+    rows = [(u, p, q, 50, 60, a, dt, "x") for u in (1, 2) for p in (3, 1, 2) for q in (9, 8) for a in (0, 1) for dt in ("d2", "d1")]
+    d = detail(spark, rows)
+    assert [(r.paperviewid, r.dt) for r in R.paper_avg(d).collect()] == [(p, dt) for p in (1, 2, 3) for dt in ("d1", "d2")]
+    assert [(r.questionid, r.dt) for r in R.question_error_rate(d).collect()] == [(q, dt) for q in (8, 9) for dt in ("d1", "d2")]
+    bands = [(r.paperviewid, r.userid, r.dt) for r in R.paper_bands(d).collect()]
+    assert bands == sorted(bands)
+
+
+def test_null_paper_keeps_its_group(spark):
+    rows = [(u, None, 1, s, 60, 1, "d1", "x") for u, s in [(1, 90), (2, 80), (3, 70), (4, 60)]]
+    assert sorted((r.userid, r.rk) for r in R.paper_top3(detail(spark, rows)).collect()) == [(1, 1), (2, 2), (3, 3)]
+    assert sorted((r.userid, r.rk) for r in R.paper_low3(detail(spark, rows)).collect()) == [(2, 3), (3, 2), (4, 1)]
 
 
 def test_avg_and_min_max(spark):

@@ -15,7 +15,7 @@ def frame(spark, n=10):
 
 def test_orc_fails_if_exists(spark):
     p = scratch_path(spark, "orc")
-    S.write_orc(frame(spark), p, files=3)
+    S.write_orc(frame(spark), p)
     assert spark.read.orc(p).count() == 10
     with pytest.raises(AnalysisException):
         S.write_orc(frame(spark), p)
@@ -54,18 +54,33 @@ def test_tsv_and_ctas_and_text(spark):
 def test_shared_dir_comes_from_session(spark):
     from coursewise.session import shared_dir
     assert shared_dir(spark) == spark.sparkContext.getCheckpointDir().rstrip("/")
-    assert scratch_path(spark, "x").startswith(shared_dir(spark).replace("file:", ""))
+    assert scratch_path(spark, "x").startswith(shared_dir(spark) + "/")   # the scheme is kept
 
 
-def test_warehouse_rerun_is_idempotent_unless_append(spark):
+def test_partition_copy_keeps_keys_and_layout(spark):
+    src, dst = scratch_path(spark, "src"), scratch_path(spark, "dst")
+    df = spark.createDataFrame([(1, "007", "01"), (2, "007", "x"), (3, "7", "01")], "k int, dt string, dn string")
+    S.overwrite_partitions(df, src, ("dt", "dn"))
+    S.copy_partitions(spark, src, dst, "007", ("dt", "dn"))
+    assert sorted(map(tuple, S.read_table(spark, dst).select("k", "dt", "dn").collect())) == [(1, "007", "01"), (2, "007", "x")]
+
+
+def test_cached_blocks_are_released(spark):
+    df = spark.range(5)
+    with S.cached(df):
+        assert df.storageLevel.useMemory
+    assert not df.storageLevel.useMemory
+
+
+def test_warehouse_appends_unless_asked_to_replace(spark):
     from coursewise.plans.warehouse import Warehouse
     lines = spark.createDataFrame([('{"pointid": 1, "questionid": 2, "dt": "20190722", "dn": "w"}',),
                                    ('{"pointid": 3, "questionid": 4, "dt": "20190723", "dn": "w"}',)], "value string")
-    wh = Warehouse(spark)                       # default: dynamic partition overwrite
+    wh = Warehouse(spark, mode="overwrite")     # dynamic partition overwrite
     wh.ingest("QzPointQuestion", lines)
     wh.ingest("QzPointQuestion", lines)         # re-run of the same day(s)
     assert wh.dwd("QzPointQuestion").count() == 2
-    old = Warehouse(spark, mode="append")       # the reference's behaviour
+    old = Warehouse(spark)                      # the reference's behaviour
     old.ingest("QzPointQuestion", lines)
     old.ingest("QzPointQuestion", lines)
     assert old.dwd("QzPointQuestion").count() == 4

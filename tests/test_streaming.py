@@ -35,6 +35,17 @@ def test_overwrite_feed_stream_replaces_partitions(spark):
     assert FD.FEEDS["baseadlog"].mode == "overwrite"
 
 
+def test_overwrite_feed_keeps_all_rows_of_a_run(spark):
+    landing, target, ckpt = (scratch_path(spark, n) for n in ("landing", "target", "ckpt"))
+    for i in (1, 2, 3):
+        write_batch(spark, landing, [f'{{"adid": {i}, "adname": "a{i}", "dn": "w"}}'])
+    FS.start_feed_ingest(spark, "baseadlog", landing, target, ckpt, max_files=1).awaitTermination()
+    assert sorted(r.adid for r in S.read_table(spark, target, ("dn",)).collect()) == [1, 2, 3]
+    write_batch(spark, landing, ['{"adid": 9, "adname": "b", "dn": "w"}'])
+    FS.start_feed_ingest(spark, "baseadlog", landing, target, ckpt, max_files=1).awaitTermination()
+    assert [r.adid for r in S.read_table(spark, target, ("dn",)).collect()] == [9]     # the next run replaces
+
+
 def test_behavior_clean_stream(spark):
     from coursewise.sources.driver import BEHAVIOR_COLUMNS
     landing, target, ckpt = (scratch_path(spark, n) for n in ("landing", "clean", "ckpt"))

@@ -1,4 +1,4 @@
-"""M1-M3 and Q1-Q6 on the test rows of FIXTURES.md 3, checked against the literal SQL."""
+"""M1-M3 and Q1-Q6 on the test rows of FIXTURES.md 3, M1 checked against nested loops."""
 
 from decimal import Decimal
 
@@ -20,8 +20,8 @@ def member_inputs(spark):
     member = dwd(spark, "member", [m(1, 1), m(2, 9), m(3, 1), m(4, 1)])
     reg = dwd(spark, "memberRegtype", [
         {"uid": 1, "appkey": "a", "websiteid": 1, "regsource": "1", "regsourcename": "PC", "dn": "w", "dt": "x"},
-        {"uid": 3, "appkey": "b", "websiteid": 1, "dn": "w", "dt": "x"},
-        {"uid": 3, "appkey": "c", "websiteid": 7, "dn": "w", "dt": "x"},          # two rows: sums double
+        {"uid": 3, "appkey": "b", "regsource": "9", "websiteid": 1, "dn": "w", "dt": "x"},
+        {"uid": 3, "appkey": "c", "regsource": "1", "websiteid": 7, "dn": "w", "dt": "x"},   # two rows: sums double
         {"uid": 4, "appkey": "d", "websiteid": 1, "dn": "other", "dt": "x"}])     # other site: no match
     ad = dwd(spark, "baseadlog", [{"adid": 1, "adname": "ad1", "dn": "w"}])
     site = dwd(spark, "baswewebsite", [{"siteid": 1, "sitename": "s1", "dn": "w"}])
@@ -35,35 +35,42 @@ def member_inputs(spark):
     return member, reg, ad, site, pay, vip
 
 
-M1_SQL = """
-select uid, first(ad_id) ad_id, sum(cast(paymoney as decimal(10,4))) paymoney, min(appkey) appkey,
-       min(adname) adname, min(siteid) siteid, min(vip_id) vip_id, max(vip_level) vip_level,
-       min(vip_start_time) vip_start_time, dt, dn
-from (select a.uid, a.ad_id, e.paymoney, a.dt, a.dn, b.appkey, c.adname, d.siteid, f.vip_id, f.vip_level,
-             f.start_time as vip_start_time
-      from m a left join r b on a.uid = b.uid and a.dn = b.dn
-      left join ad c on a.ad_id = c.adid and a.dn = c.dn
-      left join s d on b.websiteid = d.siteid and b.dn = d.dn
-      left join p e on a.uid = e.uid and a.dn = e.dn
-      left join v f on e.vip_id = f.vip_id and e.dn = f.dn) t
-group by uid, dn, dt"""
-
-
-def test_member_wide_matches_literal_sql(spark):
-    member, reg, ad, site, pay, vip = member_inputs(spark)
-    for n, df in dict(m=member, r=reg, ad=ad, s=site, p=pay, v=vip).items():
-        df.createOrReplaceTempView(n)
-    cols = ["uid", "ad_id", "paymoney", "appkey", "adname", "siteid", "vip_id", "vip_level", "vip_start_time",
-            "dt", "dn"]
-    want = {r.uid: tuple(r) for r in spark.sql(M1_SQL).select(*cols).collect()}
-    got = {r.uid: tuple(r) for r in MB.member_wide(member, reg, ad, site, pay, vip).select(*cols).collect()}
-    assert got.keys() == want.keys()
-    for uid in want:
-        assert got[uid][:2] + got[uid][3:] == want[uid][:2] + want[uid][3:]
-        assert got[uid][2] == want[uid][2], uid
-    assert got[1][2] == Decimal("22.2500")       # 10.5 x 2 vip rows + 1.25
-    assert got[3][2] == Decimal("400.0000")      # 100 x 2 reg rows x 2 vip rows
-    assert got[2][2] is None and got[2][4] is None and got[4][5] is None
+def brute_member_wide(inputs):
+    """Every joined row by nested loops: rows of (plain columns as a sort key, payment, vip level, vip start)."""
+    member, reg, ad, site, pay, vip = ([r.asDict() for r in df.collect()] for df in inputs)
+    pick = lambda rows, **at: [r for r in rows if all(v is not None and r[k] == v for k, v in at.items())] or [{}]
+    out = {}
+    for m in member:
+        for r in pick(reg, uid=m["uid"], dn=m["dn"]):
+            for s in pick(site, siteid=r.get("websiteid"), dn=r.get("dn")):
+                for a in pick(ad, adid=m["ad_id"], dn=m["dn"]):
+                    for p in pick(pay, uid=m["uid"], dn=m["dn"]):
+                        for v in pick(vip, vip_id=p.get("vip_id"), dn=p.get("dn")):
+                            plain = (m["ad_id"], r.get("appkey"), r.get("regsource"), s.get("siteid"), s.get("sitename"),
+                                     a.get("adname"), v.get("vip_id"))
+                            out.setdefault((m["uid"], m["dn"], m["dt"]), []).append(
+                                (plain, p.get("paymoney"), v.get("vip_level"), v.get("start_time")))
+    return out
+
+
+def test_member_wide_takes_one_joined_row(spark):
+    inputs = member_inputs(spark)
+    joined = brute_member_wide(inputs)
+    cols = ["ad_id", "appkey", "regsource", "siteid", "sitename", "adname", "vip_id"]
+    got = {(r.uid, r.dn, r.dt): r for r in MB.member_wide(*inputs).collect()}
+    assert got.keys() == joined.keys()
+    first = lambda rows: min((x[0] for x in rows), key=lambda t: [(v is not None, v) for v in t])
+    for key, rows in joined.items():
+        r = got[key]
+        assert tuple(r[c] for c in cols) == first(rows)                 # a row that exists
+        paid = [Decimal(x[1]) for x in rows if x[1] is not None]
+        assert r.paymoney == (sum(paid) if paid else None)
+        assert r.vip_level == max((x[2] for x in rows if x[2]), default=None)
+        assert r.vip_start_time == min((x[3] for x in rows if x[3]), default=None)
+    assert got[1, "w", "20190722"].paymoney == Decimal("22.2500")       # 10.5 x 2 vip rows + 1.25
+    assert got[3, "w", "20190722"].paymoney == Decimal("400.0000")      # 100 x 2 reg rows x 2 vip rows
+    three = got[3, "w", "20190722"]
+    assert (three.appkey, three.regsource, three.siteid) == ("b", "9", 1)
 
 
 def test_member_join_keeps_left_keys(spark):
