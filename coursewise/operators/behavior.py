@@ -17,7 +17,7 @@ feedback x2, bands x3) become one conditional aggregate.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timecols import epoch_to_date
@@ -146,12 +146,11 @@ def retention_7d(log: DataFrame, start_day=None, end_day=None, tz: str = "UTC")
     ``dt`` is ``end_day`` (default: the last day in the table). Without a
     window (``start_day``/``end_day`` None) the whole table is used.
 
-    Scale: no (registration x activity) pairs are formed. Registrations are
-    reduced to one row per (user, day) with a row count and expanded to their
-    seven candidate days, which are equi-joined to the one-row-per-(user, day)
-    activity; the row-keeping test needs one "last active day" per user. A
-    user holding a third of all events is therefore spread over (user, day)
-    keys and never meets all of their own days in one task.
+    Scale: one scan. Events shrink to a row per (user, day, date) before the
+    first shuffle, and a user's rows, as many as the table has days, meet in
+    one array; no (registration x activity) pairs are formed, and a user with
+    a third of all events is a few rows per task by then. What follows is a
+    sum per registration day.
     """
     scoped = log
     if start_day is not None:
@@ -159,36 +158,27 @@ def retention_7d(log: DataFrame, start_day=None, end_day=None, tz: str = "UTC")
     if end_day is not None:
         scoped = scoped.where(F.col("dt") <= F.lit(int(end_day)))
 
-    reg = (scoped.where(F.col("event_key") == "registerAccount")
-           .groupBy("uid", F.col("dt").alias("register_day"),
-                    epoch_to_date("event_time", tz).alias("reg_date"))
-           .agg(F.count(F.lit(1)).alias("n_reg")))
-    active = (scoped.groupBy("uid", "dt").agg(F.max("event_time").alias("last_time"))
-              .select("uid", epoch_to_date("last_time", tz).alias("act_date")))
-
-    # registrations x intervals 0..6 -> candidate active dates, equi-joined
-    cand = reg.select("uid", "register_day", "n_reg", "reg_date",
-                      F.explode(F.sequence(F.lit(0), F.lit(len(RATE_COLUMNS) - 1))).alias("day_interval"))
-    cand = cand.withColumn("act_date", F.date_add("reg_date", F.col("day_interval")))
-    hits = cand.join(active, ["uid", "act_date"])
-    retained = hits.groupBy("register_day", "day_interval").agg(F.sum("n_reg").alias("retained"))
-
-    # which registration days have a row, and their registration row counts
-    last = active.groupBy("uid").agg(F.max("act_date").alias("last_date"))
-    days = (reg.join(last, "uid", "left")
-            .groupBy("register_day")
-            .agg(F.sum("n_reg").alias("register_count"),
-                 F.max(F.coalesce(F.col("last_date") >= F.col("reg_date"), F.lit(False))).alias("keep"))
-            .where(F.col("keep")))
-
-    rates = (retained.join(days, "register_day")
-             .select("register_day", "day_interval",
-                     F.round(F.try_divide(F.col("retained"), F.col("register_count")), 4).alias("rate")))
-    piv = rates.groupBy("register_day").agg(*[
-        F.max(F.when(F.col("day_interval") == i, F.col("rate")).otherwise(F.lit(0.0))).alias(name)
-        for i, name in enumerate(RATE_COLUMNS)])
-    current = (F.lit(int(end_day)) if end_day is not None
-               else scoped.agg(F.max("dt")).scalar())
-    out = days.select("register_day").join(piv, "register_day", "left")
-    return out.select("register_day", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in RATE_COLUMNS],
-                      current.cast("int").alias("dt"))
+    per_day = scoped.groupBy("uid", "dt", epoch_to_date("event_time", tz).alias("date")).agg(
+        F.count(F.when(F.col("event_key") == "registerAccount", 1)).alias("registered"))
+    users = per_day.groupBy("uid").agg(F.collect_list(F.struct("dt", "date", "registered")).alias("days"),
+                                       F.max("dt").alias("last_dt"))
+    # the date a user was active on in a day of the table: that of the day's last event; nobody, for a NULL user
+    active = F.transform(F.array_distinct(F.transform("days", lambda x: x["dt"])), lambda dt: F.array_max(
+        F.transform(F.filter("days", lambda x: x["dt"] == dt), lambda x: x["date"])))
+    users = users.select("last_dt", F.explode_outer(F.filter("days", lambda x: x["registered"] > 0)).alias("reg"),
+                         F.when(F.col("uid").isNotNull(), active).otherwise(F.array().cast("array<date>")).alias("active"))
+
+    def is_later(k: int):
+        return lambda d: d == F.date_add(F.col("reg.date"), k)
+
+    n = F.col("reg.registered")
+    by_day = users.groupBy(F.col("reg.dt").alias("register_day")).agg(
+        F.max("last_dt").alias("last_dt"), F.sum(n).alias("register_count"),
+        F.max(F.exists("active", lambda d: d >= F.col("reg.date"))).alias("keep"),
+        *[F.sum(n * F.size(F.filter("active", is_later(k)))).alias(f"retained_{k}") for k in range(len(RATE_COLUMNS))])
+    # a row for each day, and one for users who never registered, whose days count for the last day
+    current = F.lit(int(end_day)) if end_day is not None else F.max("last_dt").over(
+        Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return (by_day.withColumn("current", current.cast("int")).where(F.col("register_day").isNotNull() & F.col("keep"))
+            .select("register_day", *[F.round(F.try_divide(F.col(f"retained_{k}"), F.col("register_count")), 4).alias(c)
+                                      for k, c in enumerate(RATE_COLUMNS)], F.col("current").alias("dt")))
