@@ -14,7 +14,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from coursewise import catalog  # noqa: E402
 from coursewise.session import build_session  # noqa: E402
 
 
@@ -38,11 +38,11 @@ def main() -> None:
     print("Reading guide: the behaviour analyses over the *derived* log (`video_feedback` ... `retention_7d`) "
           "filter on the event key, a column computed from `event_type`, so those filters run right after the "
           "scan rather than inside it. The same analyses over the stored, `dt`-partitioned table "
-          "(`behavior_table_*`) show the event-key filter in `PushedFilters` and partition pruning on `dt`. "
-          "Shuffle counts include the round-robin spread of the small driver files (a no-op at scale).\n")
+          "(`behavior_table_*`, `day_*`, `window_retention`) show the event-key filter in `PushedFilters` and the "
+          "day in `PartitionFilters`.\n")
     print("| query | shuffles | broadcasts | joins | notes |\n| --- | --- | --- | --- | --- |")
     scans = []
-    for name, build in E.queries().items():
+    for name, build in catalog.QUERIES.items():
         p = final_plan(build(spark, sf))
         c = lambda pat: len(re.findall(pat, p))
         joins = ", ".join(f"{k}×{c(k)}" for k in ("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin")
