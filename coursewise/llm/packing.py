@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
+from array import array
 from bisect import bisect_left
 
 import numpy as np
@@ -19,50 +21,101 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coursewise.llm.common import written
 from coursewise.llm.hilbert_shards import ranked
 
 CAPACITY, END = 1024, 2
+LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 
 
 # ---- tokens ----------------------------------------------------------------
 
-class TokenIds:
-    """Token ids of whole texts as little-endian unsigned 32-bit integers, with a memory of short parts.
+def _byte_alphabet() -> dict[int, str]:
+    """Character that stands for each byte in a byte-level vocabulary: printable ones for themselves, the rest from 256 up."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+class _Remembered(dict):
+    """Values that ``learn`` works out the first time a key is asked for."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, key):
+        value = self[key] = self.learn(key)
+        return value
 
-    No token of the byte-level pattern spans the place before a space that
-    follows a non-space (a single space opens the next token), nor either side
-    of a line break between non-spaces. A text is the concatenation of the
-    parts between such places, and parts recur, so each is encoded once while
-    it is remembered. The memory is emptied when it holds ``remember`` parts.
+
+class TokenIds:
+    """Token ids of whole texts as little-endian unsigned 32-bit integers, with a memory of words.
+
+    The tokenizer's pattern never matches across the place before a space that
+    follows a non-space (a single space opens the next match), either side of a
+    line break between non-spaces, or between a letter or digit and a mark. A
+    text is the concatenation of the parts between such places, and parts
+    recur, so each is encoded once while it is remembered. The memory is
+    emptied when it holds ``remember`` words.
     """
 
-    _SPECIAL = re.compile(r"\s\s|[^\S \n]|\0|^\s|\s$")
     _BEFORE_SPACE = re.compile(r"(?<=\S)(?= )")
+    _MARKS = ".,;:!?"
 
-    def __init__(self, path: str, remember: int = 400_000):
+    def __init__(self, path: str, remember: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {"": b""}
+        self.model, self.alphabet = self.tokenizer.model, _byte_alphabet()
+        self.space = self.alphabet[32]
         self.remember = remember
-
-    def parts(self, text: str) -> list[str]:
-        if self._SPECIAL.search(text):
-            return self._BEFORE_SPACE.split(text)
-        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > self.remember:
-            self.known = {"": b""}
-        known = self.known
-        split = [self.parts(t) for t in texts]
-        new = list({p for parts in split for p in parts if p not in known})
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            for part, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[part] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, parts)) for parts in split]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.parts = _Remembered(self._part)  # as they are
+        self.words = _Remembered(self._word)  # behind a space; or behind a line break, which then is the first character
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return array("I", ids).tobytes() if LITTLE else np.array(ids, "<u4").tobytes()
+
+    def _merged(self, letters: str, before: str) -> bytes:
+        """Ids of one match of the pattern: letters, or letters behind a space. Straight to the merges."""
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(self.alphabet)
+        return self._bytes([t.id for t in self.model.tokenize(before + letters)])
+
+    def _encoded(self, text: str) -> bytes:
+        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _part(self, text: str) -> bytes:
+        if text.isalpha():
+            return self._merged(text, "")
+        stem = text.rstrip(self._MARKS)
+        if stem != text and stem and stem[-1].isalnum():
+            return self.parts[stem] + self.parts[text[len(stem):]]
+        return self._encoded(text)
+
+    def _word(self, word: str) -> bytes:
+        if word.isalpha():
+            return self._merged(word, self.space)
+        if word[0] == "\n":
+            return self.parts["\n"] + self.parts[word[1:]]
+        stem = word.rstrip(self._MARKS)
+        if stem != word and stem and stem[-1].isalnum():
+            return self.words[stem] + self.parts[word[len(stem):]]
+        return self._encoded(" " + word)
+
+    def encode(self, text: str) -> bytes:
+        if len(self.words) + len(self.parts) > self.remember:
+            self._forget()
+        flat = text.replace("\n", " ")
+        # only single spaces and line breaks, and none at the ends
+        if flat.isprintable() and "  " not in flat and flat.strip(" ") == flat:
+            first, *words = text.replace("\n", " \n").split(" ")
+            return self.parts[first] + b"".join(map(self.words.__getitem__, words))
+        return b"".join(map(self.parts.__getitem__, self._BEFORE_SPACE.split(text)))
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END,
@@ -80,8 +133,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END,
             for at in range(0, b.num_rows, 200):
                 rows = b.slice(at, 200)
                 out: list[list] = [[], [], [], [], []]
-                for doc, ids in zip(rows.column(0).to_pylist(), coder.encode([t or "" for t in rows.column(1).to_pylist()]), strict=True):
-                    ids += close
+                for doc, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
+                    ids = coder.encode(text or "") + close
                     n = len(ids) // 4
                     first = n % capacity or capacity
                     a, k = 0, 0
@@ -223,7 +276,9 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end
     if capacity < 1:
         raise ValueError("capacity must be positive")
     path = path or public_tokenizers.path("byte_bpe_50k.json")
-    made, _ = ranked(pieces(docs, path, capacity, end, id_col, text_col), ["length", "doc_id", "piece"], "pieces")
+    # written before it is ranked: ranges are found by a pass of their own, which would encode everything again
+    cut = written(pieces(docs, path, capacity, end, id_col, text_col), "pieces")
+    made, _ = ranked(cut, ["length", "doc_id", "piece"], "pieces-ranked")
     counts = {r.length: r["count"] for r in made.groupBy("length").count().collect()}  # capacity rows at most
     length, first, bin_, per_bin, offset = Plan(counts, capacity).arrays()
     sizes = np.array(sorted(counts), np.int64)
