@@ -39,9 +39,9 @@ SPACES = r"[\x20\x09-\x0D]"
 CHARS_ALONE = 0.28  # of the character classes, alone
 CHARS_BOTH, WORDS_BOTH = 0.17, 0.17  # of characters and words, together
 NEAR_CHARS, NEAR_WORDS = 0.14, 0.25  # documents that make the second references
-MIN_CHARS, MIN_WORDS = 200, 50
+MIN_CHARS, MIN_WORDS = 200, 60
 #: Share of the word divergence that chance alone gives: this over the number of words.
-CHANCE = 3.5
+CHANCE = 4.0
 
 
 def _let(value: Column, body) -> Column:
