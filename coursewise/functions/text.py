@@ -1,6 +1,8 @@
 """String cleaning and masking columns.
 
-All are built-in expressions (codegen, no Python UDF). Where the reference's
+All are built-in expressions, no Python UDF. They run in generated code, but for
+the places that use them inside a ``filter`` lambda, which Spark evaluates
+expression by expression. Where the reference's
 Java helpers would throw on bad input, these return NULL so the caller can
 route the row to a reject output instead of failing the job.
 """
