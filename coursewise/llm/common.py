@@ -34,11 +34,6 @@ def written(df: DataFrame, name: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def text_key(id_col: str = "doc_id", text_col: str = "text"):
-    """Row identity that survives repeated ids: the id and a hash of the text."""
-    return F.col(id_col), F.xxhash64(F.col(text_col))
-
-
 def texts(column: pa.Array) -> list[bytes | None]:
     """A string column's values as UTF-8 bytes."""
     return column.cast(pa.large_string()).cast(pa.large_binary()).to_pylist()

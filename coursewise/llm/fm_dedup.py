@@ -123,18 +123,18 @@ def _context_rows(window: int, gram: int):
 
 
 def _windows(window: int):
-    """(h, digest, owner, start, piece, words): each window of a context on its own."""
+    """(h, digest, owner, start, piece): each window of a context on its own, by a digest of its words."""
     def run(batches):
         for b in batches:
-            for row in b.to_pylist():
-                n = len(row["words"]) // 4
-                words = [row["words"][4 * s:4 * (s + window)] for s in range(n - window + 1)]
-                k = len(words)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row[c]] * k, pa.int64()) for c in ("h", "digest", "owner")]
-                    + [pa.array(range(k), pa.int32()),
-                       pa.array([xxhash.xxh3_64_intdigest(w) - 2**63 for w in words], pa.int64())],
-                    ["h", "digest", "owner", "start", "piece"])
+            for at in range(0, b.num_rows, 500):
+                part = b.slice(at, 500)
+                words = part.column(3).to_pylist()
+                each = np.array([len(w) // 4 - window + 1 for w in words])
+                row = pa.array(np.repeat(np.arange(len(words)), each))
+                start = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+                piece = [xxhash.xxh3_64_intdigest(w[4 * s:4 * (s + window)]) - 2**63 for w, n in zip(words, each, strict=True) for s in range(n)]
+                yield pa.RecordBatch.from_arrays([*(part.column(c).take(row) for c in range(3)), pa.array(start.astype(np.int32)),
+                                                  pa.array(piece, pa.int64())], ["h", "digest", "owner", "start", "piece"])
     return run
 
 
@@ -184,8 +184,8 @@ class FMIndex:
         """Occurrences of ``symbol`` among the first ``at`` of the transform."""
         return self.tree.walk(symbol, at) - self.base[symbol]
 
-    def search(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(matched, low, high) of each row of symbols: how many of its last symbols occur, and their interval."""
+    def search(self, patterns: np.ndarray, least: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(matched, low, high) of each row of symbols: how many of its last symbols occur ``least`` times, and their interval."""
         n, m = patterns.shape
         low, high = np.zeros(n, np.int64), np.full(n, len(self.suffixes), np.int64)
         matched = np.zeros(n, np.int64)
@@ -193,9 +193,10 @@ class FMIndex:
         for k in range(m - 1, -1, -1):
             live = live[patterns[live, k] < len(self.base)]
             c = patterns[live, k]
-            a = self.before[c] + self.rank(c, low[live])
-            z = self.before[c] + self.rank(c, high[live])
-            go = z > a
+            a, z = self.before[c], self.before[c + 1]
+            if k < m - 1:  # of the last symbol, all occurrences
+                a, z = a + self.rank(c, low[live]), a + self.rank(c, high[live])
+            go = z - a >= least
             live = live[go]
             low[live], high[live] = a[go], z[go]
             matched[live] += 1
@@ -221,8 +222,12 @@ def _suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
 def repeated(words: list[np.ndarray], owner: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
     """(context, start) of each window that also occurs in a context of a smaller ``owner``.
 
-    ``words``: the word hashes of each context; the contexts are indexed, then streamed through the index.
+    ``words``: the word hashes of each context; the contexts are indexed, then
+    streamed through the index. As each occurs there itself, a window is
+    followed only as long as it occurs twice.
     """
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     symbols = [run_hashes(mixed(w.astype(np.uint64)), gram) for w in words]
     size = np.array([len(s) for s in symbols])
     at = np.concatenate([[0], np.cumsum(size)])
@@ -242,11 +247,13 @@ def repeated(words: list[np.ndarray], owner: np.ndarray, window: int, gram: int)
     query = np.flatnonzero(offset + spans < size[context])
     hit_context, hit_start = [], []
     for q in np.array_split(query, max(1, math.ceil(len(query) / 200_000))):
-        matched, low, high = index.search(code[q[:, None] + gram * np.arange(steps)])
+        matched, low, high = index.search(code[q[:, None] + gram * np.arange(steps)], least=2)
+        whole = matched == steps
+        q, low, high = q[whole], low[whole], high[whole]
         intervals = np.unique(np.stack([low, high], 1), axis=0)  # equal or apart, as all have one length
         least = np.minimum.reduceat(np.append(holder, np.iinfo(np.int64).max), intervals.ravel())[::2]
         least = least[np.searchsorted(intervals[:, 0], low)]
-        hit = (matched == steps) & (least < owner[context[q]])
+        hit = least < owner[context[q]]
         hit_context.append(context[q[hit]])
         hit_start.append(offset[q[hit]])
     return np.concatenate(hit_context), np.concatenate(hit_start)
@@ -260,10 +267,12 @@ def _shard_spans(window: int, gram: int):
             return
         t = pa.Table.from_batches(parts)
         owner = t.column("owner").to_numpy()
-        words = [np.frombuffer(w, "<u4") for w in t.column("words").to_pylist()]
-        context, start = repeated(words, owner, window, gram)
-        spans = [[] for _ in words]
-        for c, s in zip(context.tolist(), start.tolist(), strict=True):
+        _, of, count = np.unique(t.column("h").to_numpy(), return_inverse=True, return_counts=True)
+        some = np.flatnonzero(count[of] > 1)  # the only context of an anchor has no windows in others
+        words = [np.frombuffer(t.column("words")[int(i)].as_py(), "<u4") for i in some]
+        context, start = repeated(words, owner[some], window, gram)
+        spans = [[] for _ in owner]
+        for c, s in zip(some[context].tolist(), start.tolist(), strict=True):
             have = spans[c]
             if have and s <= have[-1]["z"]:
                 have[-1]["z"] = s + window
