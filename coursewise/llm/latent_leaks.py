@@ -1,26 +1,30 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 1. Passages are windows of documents; the benchmark's items are passages too,
-   and weigh as much as the corpus together, so that the leading dimensions
-   tell them apart. TF-IDF runs over the rarest words of every item, with
-   document frequencies counted over all passages; a passage with fewer than
-   two of them is near no item.
+   long ones several, and weigh as much as the corpus together, so that the
+   leading dimensions tell them apart. TF-IDF runs over all words of the items,
+   with document frequencies counted over all passages.
 2. A randomised SVD of the passage matrix A: every task adds up its passages'
-   share of Y = A'(A W) for a fixed random W; Y and W'Y give the leading right
-   singular vectors (Nystroem's form, so one pass over the corpus does).
+   share of Y = A'(A W) for a fixed W of the items and random columns; Y and
+   W'Y give the leading right singular vectors (Nystroem's form, so one pass
+   over the corpus does). An item that loses much of its norm there gets a
+   dimension of its own.
 3. Passages and items meet in the latent space: pairs with a cosine of
-   ``min_cosine`` or more are candidates.
+   ``min_cosine`` or more are candidates, and those where the passage holds
+   half of the item's weight, however much it says besides.
 4. A candidate leaks when the longest common subsequence of words holds enough
    of the item, or somewhat less of it but its answer (its last words) too.
 
-The benchmark is worked on in blocks of items, so what travels to the tasks is
+The benchmark is worked on in blocks of item passages, so what travels to the tasks is
 bounded by the block, whatever the size of either side.
 """
 
 from __future__ import annotations
 
+import copy
 import math
 from collections import defaultdict
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
@@ -29,8 +33,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PASSAGE, STRIDE = 64, 32
-#: Items in a block, rare words kept of each, latent dimensions and the sketch's extra ones.
-BLOCK, RARE, RANK, EXTRA = 200, 8, 224, 16
+#: Item passages in a block, latent dimensions (more where a block has more passages) and the sketch's extra ones.
+BLOCK, RANK, EXTRA = 200, 224, 16
+#: Least share of its norm that an item passage keeps in the latent space, and least share of it that a passage holds.
+MIN_KEPT, MIN_HELD = 0.8, 0.5
 MIN_COSINE, MIN_LCS, MIN_LCS_WITH_ANSWER, MIN_ANSWER, ANSWER_WORDS = 0.25, 0.8, 0.6, 0.75, 8
 
 #: ASCII letters and digits and all bytes of other scripts stay; all else parts words.
@@ -48,7 +54,21 @@ class Items:
     def __init__(self, rows: list[tuple[int, str | None]]):
         kept = [(i, w) for i, w in ((i, normal_words(t)) for i, t in rows) if w]
         self.ids, self.words = [i for i, _ in kept], [w for _, w in kept]
-        self.number = {w: k for k, w in enumerate(sorted({w for ws in self.words for w in ws}))}
+        self._take([(k, p * STRIDE) for k, w in enumerate(self.words) for p in range(max(1, 1 - (PASSAGE - len(w)) // STRIDE))])
+
+    def _take(self, places: list[tuple[int, int]]) -> None:
+        """Works on the passages at ``places``, pairs of (item, first word)."""
+        self.places = places
+        self.bags = [self.words[k][a:a + PASSAGE] for k, a in places]
+        self.number = {w: k for k, w in enumerate(sorted({w for ws in self.bags for w in ws}))}
+
+    def parts(self, most: int) -> Iterator[Items]:
+        """The same items in even parts of ``most`` passages at most; a long item may be in several."""
+        n = -(-len(self.places) // most)
+        for k in range(n):
+            part = copy.copy(self)
+            part._take(self.places[len(self.places) * k // n:len(self.places) * (k + 1) // n])
+            yield part
 
     def matcher(self, k: int) -> tuple[dict[bytes, int], int]:
         """Bit masks of the places of each word of item ``k``, and its length."""
@@ -77,55 +97,81 @@ def _strides(n: int) -> int:
     return max(1, -(-n // STRIDE))
 
 
-def passages(numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(passage, word, count, text) of the words numbered 0 or more of some texts.
-
-    Passage p of a text takes words p * STRIDE up to PASSAGE more; passages are
-    numbered through; ``text`` gives each passage's text.
-    """
+def _strided(numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(stride, word) of every word numbered 0 or more of some texts, and the text of each stride; strides are numbered through."""
     sizes = np.array([_strides(len(x)) for x in numbers], np.int64)
     base = np.concatenate([[0], np.cumsum(sizes)])
-    places, words = [], []
-    for b, x in zip(base, numbers, strict=False):
-        at = np.flatnonzero(x >= 0)
-        own = b + at // STRIDE
-        again = own[at >= STRIDE] - 1  # the passage before reaches over this stride
-        places += [own, again]
-        words += [x[at], x[at[at >= STRIDE]]]
-    if not places:
-        return (np.zeros(0, np.int64),) * 4
-    place, word = np.concatenate(places), np.concatenate(words)
-    span = int(word.max(initial=0)) + 1
-    key, count = np.unique(place * span + word, return_counts=True)
-    return key // span, key % span, count, np.repeat(np.arange(len(numbers)), sizes)
+    at = [np.flatnonzero(x >= 0) for x in numbers]
+    stride = np.concatenate([b + a // STRIDE for b, a in zip(base, at, strict=False)] or [np.zeros(0, np.int64)])
+    word = np.concatenate([x[a] for x, a in zip(numbers, at, strict=True)] or [np.zeros(0, np.int64)])
+    return stride, word, np.repeat(np.arange(len(numbers)), sizes)
 
 
 class Weights:
-    """TF-IDF over the kept words: rows of unit length."""
+    """TF-IDF over the words of a block's items."""
+
+    def __init__(self, number: dict[bytes, int], idf: np.ndarray):
+        self.number, self.idf = number, idf
+
+    def _counted(self, place: np.ndarray, word: np.ndarray):
+        key, count = np.unique(place * len(self.idf) + word, return_counts=True)
+        place, word = key // len(self.idf), key % len(self.idf)
+        return key, place, word, (count * self.idf[word]).astype(np.float32)
+
+    def items(self, items: Items):
+        """(row, word, weight, size) of the block's passages, of unit length; ``size`` is what they were."""
+        numbers = [_numbers(w, self.number) for w in items.bags]
+        _, row, word, x = self._counted(np.repeat(np.arange(len(numbers)), [len(v) for v in numbers]), np.concatenate(numbers))
+        size = np.sqrt(np.bincount(row, x * x, minlength=len(numbers)))
+        return row, word, (x / size[row]).astype(np.float32), size.astype(np.float32)
+
+    def strides(self, numbers: list[np.ndarray]):
+        """(stride, word, weight, size of each passage, text of each stride).
+
+        Passage p is stride p and the one behind it in the same text, and its
+        row is the sum of their rows: so each word is projected once.
+        """
+        stride, word, text = _strided(numbers)
+        key, stride, word, x = self._counted(stride, word)
+        own = np.bincount(stride, x * x, minlength=len(text))
+        size = own + _behind(own, text)
+        if len(key):
+            other = np.minimum(np.searchsorted(key, key + len(self.idf)), len(key) - 1)
+            both = (key[other] == key + len(self.idf)) & (text[stride] == text[np.minimum(stride + 1, len(text) - 1)])
+            size += np.bincount(stride[both], 2 * x[both] * x[other[both]], minlength=len(text))
+        return stride, word, x, np.sqrt(size).astype(np.float32), text
+
+
+def _behind(values: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Of each stride, the value of the next one of its text, or 0."""
+    out = np.zeros_like(values)
+    same = np.flatnonzero(text[1:] == text[:-1])
+    out[same] = values[same + 1]
+    return out
+
+
+def _before(values: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Of each stride, the value of the one before it in its text, or 0."""
+    out = np.zeros_like(values)
+    same = np.flatnonzero(text[1:] == text[:-1])
+    out[same + 1] = values[same]
+    return out
 
-    def __init__(self, number: dict[bytes, int], idf: np.ndarray, least: int):
-        self.number, self.idf, self.least = number, idf, least
 
-    def rows(self, numbers: list[np.ndarray], least: int | None = None):
-        """(row, word, weight, passage of each row, text of each passage): passages with ``least`` different words or more."""
-        least = least or self.least
-        passage, word, count, text = passages(numbers)
-        first = np.flatnonzero(np.diff(passage, prepend=-1))
-        many = np.diff(np.append(first, len(passage)))
-        keep = np.repeat(many >= least, many)
-        passage, word, count = passage[keep], word[keep], count[keep]
-        which, row = np.unique(passage, return_inverse=True)
-        x = count * self.idf[word]
-        norm = np.sqrt(np.bincount(row, x * x, minlength=len(which)))
-        return row, word, (x / norm[row]).astype(np.float32) if len(row) else x.astype(np.float32), which, text
+def _sum_into(out: np.ndarray, to: np.ndarray, of: np.ndarray, weight: np.ndarray, vectors: np.ndarray, size: int = 1024) -> None:
+    """out[to] += weight * vectors[of]; ``to`` ascends. A block at a time, as the products of many pairs leave the cache."""
+    for at in range(0, len(to), size):
+        t = to[at:at + size]
+        first = np.flatnonzero(np.diff(t, prepend=-1))
+        products = vectors[of[at:at + size]]
+        products *= weight[at:at + size, None]
+        out[t[first]] += np.add.reduceat(products, first, axis=0)
 
 
 def _project(row: np.ndarray, word: np.ndarray, weight: np.ndarray, n: int, to: np.ndarray) -> np.ndarray:
     """Rows times ``to``; ``row`` ascends."""
     out = np.zeros((n, to.shape[1]), np.float32)
-    if len(row):
-        first = np.flatnonzero(np.diff(row, prepend=-1))
-        out[row[first]] = np.add.reduceat(weight[:, None] * to[word], first, axis=0)
+    _sum_into(out, row, word, weight, to)
     return out
 
 
@@ -157,9 +203,10 @@ def _sketch(weights: Weights, test: np.ndarray):
         y = np.zeros(test.shape, np.float64)
         for b in batches:
             for _, texts in _batches(b, 0):
-                row, word, x, which, _ = weights.rows([_numbers(w, weights.number) for w in texts])
-                z = _project(row, word, x, len(which), test)
-                _add(y, row, word, x, z)
+                stride, word, x, size, text = weights.strides([_numbers(w, weights.number) for w in texts])
+                z = _project(stride, word, x, len(text), test)
+                z = (z + _behind(z, text)) / np.maximum(size * size, 1e-12)[:, None]
+                _add(y, stride, word, x, z + _before(z, text))
         some = np.flatnonzero(np.abs(y).sum(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int64)), pa.array([v.astype("<f4").tobytes() for v in y[some]], pa.binary())],
                                          ["word", "vector"])
@@ -167,10 +214,8 @@ def _sketch(weights: Weights, test: np.ndarray):
 
 
 def _add(y: np.ndarray, row: np.ndarray, word: np.ndarray, x: np.ndarray, z: np.ndarray) -> None:
-    if len(row):
-        order = np.argsort(word, kind="stable")
-        first = np.flatnonzero(np.diff(word[order], prepend=-1))
-        y[word[order][first]] += np.add.reduceat(x[order, None] * z[row[order]], first, axis=0)
+    order = np.argsort(word, kind="stable")
+    _sum_into(y, word[order], row[order], x[order], z)
 
 
 def _summed(df: DataFrame) -> DataFrame:
@@ -191,31 +236,36 @@ def _summed(df: DataFrame) -> DataFrame:
 
 
 def latent_space(docs: DataFrame, items: Items, text_col: str) -> tuple[Weights, np.ndarray]:
-    """(weights, vectors): TF-IDF of the block's rare words, and the leading right singular vectors of all passages."""
+    """(weights, vectors): TF-IDF of the block's words, and the leading right singular vectors of all passages.
+
+    The test matrix holds the block's passages beside random columns, so that
+    the sketch is exact on them. An item passage that still keeps less than
+    MIN_KEPT of its norm gets a dimension of its own.
+    """
     text = docs.select(F.col(text_col).cast("string").alias("text"))
     counted = (text.mapInArrow(_frequencies(items.number), "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
                .collect())  # a row for each word of the block
     seen = {r.word: r.n for r in counted}
-    total = seen.pop(-1, 0) + len(items.ids)
-    held = np.array([seen.get(k, 0) + 1 for k in range(len(items.number))])
-    rare = sorted({w for words in items.words for w in sorted(set(words), key=lambda w: (held[items.number[w]], w))[:RARE]})
-    idf = np.log((1 + total) / held[[items.number[w] for w in rare]]) if rare else np.zeros(0)
-    short = any(len(set(words)) < 4 for words in items.words)
-    weights = Weights({w: k for k, w in enumerate(rare)}, idf, 1 if short else 2)
-    test = np.random.default_rng(11).standard_normal((len(rare), min(len(rare), RANK + EXTRA))).astype(np.float32)
+    n = len(items.bags)
+    total = seen.pop(-1, 0) + n
+    weights = Weights(items.number, np.log1p(total / np.array([seen.get(k, 0) + 1 for k in range(len(items.number))])))
+    row, word, x, _ = weights.items(items)
+    own = np.zeros((len(items.number), n), np.float32)
+    own[word, row] = x
+    rank = max(RANK, n + RANK - BLOCK)
+    some = np.random.default_rng(11).standard_normal((len(own), rank + EXTRA - n)) / math.sqrt(len(own))
+    test = np.ascontiguousarray(np.hstack([own, some]), np.float32)
     y = np.zeros(test.shape)
     for r in _summed(text.mapInArrow(_sketch(weights, test), "word long, vector binary")).collect():  # a row for each word
         y[r.word] += np.frombuffer(r.vector, "<f4")
-    row, word, x, which, _ = weights.rows([_numbers(w, weights.number) for w in items.words], 1)
-    share = np.zeros(test.shape)
-    _add(share, row, word, x, _project(row, word, x, len(which), test))
-    return weights, _vectors(y + share * (total / max(1, len(which))), test)
+    vectors = _vectors(y + own @ (own.T @ test) * (total / n), test, rank)
+    lost = own - vectors @ (vectors.T @ own)
+    lost = lost[:, (lost * lost).sum(axis=0) > 1 - MIN_KEPT * MIN_KEPT]
+    return weights, np.ascontiguousarray(np.hstack([vectors, np.linalg.qr(lost)[0]]), np.float32)
 
 
-def _vectors(y: np.ndarray, test: np.ndarray, rank: int = RANK) -> np.ndarray:
+def _vectors(y: np.ndarray, test: np.ndarray, rank: int) -> np.ndarray:
     """Leading eigenvectors of G from Y = G W: those of Y (W'Y)^-1 Y'."""
-    if not y.size:
-        return np.zeros(y.shape, np.float32)
     core = test.T.astype(np.float64) @ y
     values, basis = np.linalg.eigh((core + core.T) / 2)
     good = values > values[-1] * 1e-7
@@ -232,25 +282,36 @@ FOUND = "doc_id long, xh long, item_id long, start int, cosine double, lcs doubl
 
 def candidates(docs: DataFrame, items: Items, weights: Weights, vectors: np.ndarray, id_col: str, text_col: str,
                min_cosine: float) -> DataFrame:
-    """FOUND: every passage and item with a cosine of ``min_cosine`` or more, with the checks of their words."""
-    row, word, x, which, text = weights.rows([_numbers(w, weights.number) for w in items.words], 1)
-    latent = _unit(_project(row, word, x, len(which), vectors))
-    item_of = text[which]  # a long item has several passages
-    matchers = [items.matcher(k) for k in range(len(items.ids))]
+    """FOUND: every passage and item that are near, with the checks of their words.
+
+    Near is a cosine of ``min_cosine`` or more, or a passage that holds MIN_HELD
+    of the item passage's length, whatever else the passage says.
+    """
+    row, word, x, own_size = weights.items(items)
+    latent = _unit(_project(row, word, x, len(own_size), vectors))
+    item_of = [k for k, _ in items.places]  # a long item has several passages
+    matchers = {k: items.matcher(k) for k in set(item_of)}
+    ids_of = {k: items.ids[k] for k in matchers}
     names = [c.split()[0] for c in FOUND.split(", ")]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.float64(), pa.bool_()]
 
     def run(batches):
         for b in batches:
             for part, texts in _batches(b, 2):
-                row, word, x, which, text = weights.rows([_numbers(w, weights.number) for w in texts])
-                z = _project(row, word, x, len(which), vectors)  # of rows of unit length
+                stride, word, x, size, text = weights.strides([_numbers(w, weights.number) for w in texts])
+                z = _project(stride, word, x, len(text), vectors)
+                z += _behind(z, text)
+                size = np.maximum(size, 1e-6)[:, None]
                 first = np.searchsorted(text, text)  # of each passage's text, its first passage
                 ids, keys, out = part.column(0).to_pylist(), part.column(1).to_pylist(), [[] for _ in names]
                 for at in range(0, len(z), 2048):
-                    near = z[at:at + 2048] @ latent.T
-                    for r, i in zip(*np.nonzero(near >= min_cosine), strict=True):
-                        p, k = which[at + r], int(item_of[i])
+                    along = z[at:at + 2048] @ latent.T
+                    near = along / size[at:at + 2048]
+                    best: dict[tuple[int, int], float] = {}
+                    for r, i in zip(*np.nonzero((near >= min_cosine) | (along >= MIN_HELD * own_size)), strict=True):
+                        pair = at + int(r), item_of[i]
+                        best[pair] = max(best.get(pair, -1.0), float(near[r, i]))
+                    for (p, k), cosine in best.items():
                         t, start = int(text[p]), int(p - first[p]) * STRIDE
                         masks, n = matchers[k]
                         v = common_subsequence(masks, n, texts[t][max(0, start - n):start + PASSAGE + n])
@@ -258,7 +319,7 @@ def candidates(docs: DataFrame, items: Items, weights: Weights, vectors: np.ndar
                         tail = min(n, ANSWER_WORDS)
                         answer = (tail - (v >> (n - tail)).bit_count()) / tail
                         leaks = share >= MIN_LCS or (share >= MIN_LCS_WITH_ANSWER and answer >= MIN_ANSWER)
-                        for c, value in zip(out, (ids[t], keys[t], items.ids[k], start, float(near[r, i]), share, answer, leaks), strict=True):
+                        for c, value in zip(out, (ids[t], keys[t], ids_of[k], start, cosine, share, answer, leaks), strict=True):
                             c.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names)
 
@@ -282,8 +343,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     out = None
     for k in range(blocks):
         some = rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).collect()  # a block of the query set
-        items = Items(sorted(((r.i, r.t) for r in some), key=repr))
-        if items.ids:
+        for items in Items(sorted(((r.i, r.t) for r in some), key=repr)).parts(block + block // 4):
             found = candidates(docs, items, *latent_space(docs, items, text_col), id_col, text_col, min_cosine).where("leaks")
             out = found if out is None else out.union(found)
     if out is None:

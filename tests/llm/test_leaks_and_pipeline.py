@@ -64,6 +64,32 @@ def test_blocks_of_items_give_the_same(spark):
     assert key(L.leaks(docs, bench, block=4)) == key(L.leaks(docs, bench))
 
 
+def zipf(rng, n, vocabulary=4000):
+    """Words of which few are common and most are rare."""
+    return [f"w{int(vocabulary ** rng.random())}" for _ in range(n)]
+
+
+def test_copies_of_short_items_beside_long_ones(spark):
+    rng = random.Random(21)
+    items = [(k, " ".join(zipf(rng, 400 if k < 40 else rng.randint(15, 40), 10**6))) for k in range(200)]
+    rows = [(1000 + i, " ".join(zipf(rng, 150))) for i in range(150)]
+    rows += [(k, " ".join(zipf(rng, 40) + t.split() + zipf(rng, 40))) for k, t in items]
+    got = {(r.doc_id, r.item_id) for r in L.leaks(documents(spark, rows), benchmark(spark, items)).collect()}
+    assert got >= {(k, k) for k in range(200)}
+
+
+def test_every_item_keeps_its_norm(spark):
+    rng = random.Random(23)
+    items = L.Items([(k, " ".join(zipf(rng, 700 if k < 5 else 12))) for k in range(80)] + [(90, "one"), (91, None)])
+    assert sum(len(x.places) for x in items.parts(60)) == len(items.places) and all(len(x.places) <= 60 for x in items.parts(60))
+    docs = documents(spark, [(i, " ".join(zipf(rng, 200))) for i in range(100)])
+    for part in items.parts(60):
+        weights, vectors = L.latent_space(docs, part, "text")
+        row, word, x, size = weights.items(part)
+        kept = (L._project(row, word, x, len(size), vectors) ** 2).sum(axis=1) ** 0.5
+        assert (kept > L.MIN_KEPT - 0.01).all()
+
+
 def test_empty_sides(spark):
     rows, items = planted()
     assert L.leaks(none(spark), benchmark(spark, items)).count() == 0
