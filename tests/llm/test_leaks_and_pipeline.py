@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import corpus_pipeline
 from coursewise.llm import latent_leaks as L
@@ -78,6 +79,20 @@ def test_copies_of_short_items_beside_long_ones(spark):
     assert got >= {(k, k) for k in range(200)}
 
 
+def test_paraphrases_without_the_rarest_words(spark):
+    rng = random.Random(22)
+    items = [(k, " ".join(zipf(rng, 40))) for k in range(60)]
+    rows = [(1000 + i, " ".join(zipf(rng, 150))) for i in range(200)]
+    often = Counter(w for _, t in rows for w in t.split())
+    for k, t in items:
+        w = t.split()
+        for p in sorted(range(40), key=lambda p: often[w[p]])[:8]:
+            w[p] = f"other{rng.random()}"
+        rows.append((k, " ".join(zipf(rng, 40) + w + zipf(rng, 40))))
+    got = {(r.doc_id, r.item_id) for r in L.leaks(documents(spark, rows), benchmark(spark, items)).collect()}
+    assert got >= {(k, k) for k in range(60)}
+
+
 def test_every_item_keeps_its_norm(spark):
     rng = random.Random(23)
     items = L.Items([(k, " ".join(zipf(rng, 700 if k < 5 else 12))) for k in range(80)] + [(90, "one"), (91, None)])
