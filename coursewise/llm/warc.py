@@ -26,10 +26,11 @@ MIN_SHARED = 100
 VERSION = b"WARC/1.1\r\n"
 GZIP = b"\x1f\x8b\x08"
 _VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
+_HEADER_END = re.compile(rb"\r\n\r\n")
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 #: An empty gzip member, which closes each line that Spark's text writer puts out.
 _EMPTY_MEMBER = bytes([0x1F, 0x8B, 8, 0, 0, 0, 0, 0, 0, 3, 3, 0, 0, 0, 0, 0, 0, 0, 0, 0])
-_MAX_HEADER, _BLOCK = 1 << 16, 1 << 20
+_HEADER, _BLOCK = 1 << 16, 1 << 20
 
 
 # ---- writing ---------------------------------------------------------------
@@ -118,7 +119,7 @@ def parse(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
     m = _VERSION_LINE.match(data, at)
     if not m:
         raise Damaged("version line")
-    stop = data.find(b"\r\n\r\n", m.end(), m.end() + _MAX_HEADER)
+    stop = data.find(b"\r\n\r\n", m.end())
     if stop < 0:
         raise Damaged("header end")
     head = {}
@@ -221,12 +222,15 @@ def salvage(read, size: int) -> Iterator[tuple]:
 
 def _plain(read, at: int, size: int) -> tuple[list, int]:
     """The uncompressed record at ``at``, read only as far as its headers say."""
-    start = read(at, _MAX_HEADER + 64)
-    stop = start.find(b"\r\n\r\n")
+    start = read(at, _HEADER)
     if not _VERSION_LINE.match(start):
         raise Damaged("version line")
-    if stop < 0:
-        raise Damaged("header end")
+    stop = start.find(b"\r\n\r\n")
+    if stop < 0:  # a very long header
+        stop = _find(read, at, size, _HEADER_END) - at
+        if at + stop >= size:
+            raise Damaged("header end")
+        start = read(at, stop + 4)
     m = re.search(rb"\r\ncontent-length:[ \t]*([0-9]{1,18})[ \t]*(?=\r\n)", start[:stop + 2], re.I)
     if not m:
         raise Damaged("content length")

@@ -95,6 +95,23 @@ def test_pages_round_trip(spark, compress):
     assert sorted(found, key=repr) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("compress", [True, False])
+def test_very_long_urls(spark, compress):
+    urls = {k: "http://a/" + "é?" * n for k, n in enumerate((5, 21_800, 21_900, 70_000, 800_000))}
+    rows = [(k, u, "<p>" + "b" * 300, "x", 1) for k, u in urls.items()]
+    path = scratch_path(spark, "warc")
+    W.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string, digest string, length int"), path, compress=compress)
+    got = W.read_archives(spark, path).collect()
+    assert {r.kind for r in got} == {"record"} and {r.page_id: r.uri for r in got} == urls
+
+
+def test_header_end_between_two_reads():
+    p = b"x" * 10
+    for n in range(W._HEADER - 450, W._HEADER + 8):
+        r = W.record(1, "u" * n, p, hashlib.sha256(p).hexdigest(), None, len(p))
+        assert [x[0] for x in salvaged(r)] == ["record"]
+
+
 def test_empty(spark):
     _, df = pages(spark)
     path = scratch_path(spark, "warc")
