@@ -7,9 +7,11 @@ is what ``bytes.split()`` gives on UTF-8 text.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,6 +67,49 @@ def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[Chunk]:
         at = to
 
 
+#: States that meet in one task of a fold.
+FAN = 16
+
+
+def folded(rows: DataFrame, start, join, fan: int = FAN) -> np.ndarray | None:
+    """One array from all rows: ``start(batches)`` of each task, joined in pairs by ``join``.
+
+    States meet in rounds of groups of ``fan`` tasks, in the tasks' order, so
+    no task and not the driver holds more than ``fan`` of them. A task without
+    rows takes no part, nor does one whose state is None; None if none does.
+    """
+    def state(part: int, x: np.ndarray) -> pa.RecordBatch:
+        shape = pa.array([list(x.shape)], pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([x.dtype.str]), shape,
+                                           pa.array([np.ascontiguousarray(x).tobytes()], pa.binary())], ["part", "kind", "shape", "state"])
+
+    def array(t, i: int) -> np.ndarray:
+        return np.frombuffer(t.column("state")[i].as_py(), t.column("kind")[i].as_py()).reshape(t.column("shape")[i].as_py())
+
+    def first(batches):
+        filled = (b for b in batches if b.num_rows)
+        head = next(filled, None)
+        if head is not None:
+            x = start(chain([head], filled))
+            if x is not None:
+                yield state(TaskContext.get().partitionId(), x)
+
+    def meet(key, t):
+        order = np.argsort(t.column("part").to_numpy())
+        x = array(t, int(order[0]))
+        for i in order[1:]:
+            x = join(x, array(t, int(i)))
+        return pa.Table.from_batches([state(key[0].as_py(), x)])
+
+    schema = "part long, kind string, shape array<long>, state binary"
+    states, parts = rows.mapInArrow(first, schema), max(2, rows.rdd.getNumPartitions())
+    while parts > 1:
+        states = states.groupBy(F.floor(F.col("part") / fan).alias("group")).applyInArrow(meet, schema)
+        parts = -(-parts // fan)
+    t = states.toArrow()
+    return array(t, 0) if t.num_rows else None
+
+
 _R = np.uint64(0x9E3779B97F4A7C15 | 1)
 _R_INV = np.uint64(pow(int(_R), -1, 1 << 64))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
