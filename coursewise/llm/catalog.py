@@ -10,6 +10,7 @@ from coursewise.llm.hilbert_shards import op9_hilbert_shards
 from coursewise.llm.language_mixture import op5_language_mixture
 from coursewise.llm.latent_leaks import op4_latent_leaks
 from coursewise.llm.packing import op3_reduced_packing
+from coursewise.llm.pigeonhole_join import op11_jaccard_join
 from coursewise.llm.simhash_pivot import op6_simhash_pivot
 from coursewise.llm.spelling import op12_spelling_variants
 from coursewise.llm.trie_tokens import op10_trie_token_counts
@@ -19,7 +20,7 @@ from coursewise.llm.whitening import op13_embedding_whitening
 QUERIES = {f.__name__: f for f in (
     op1_warc_salvage, op2_distribution_divergence, op3_reduced_packing, op4_latent_leaks, op5_language_mixture,
     op6_simhash_pivot, op7_fm_dedup, op8_factorization_machine, op9_hilbert_shards, op10_trie_token_counts,
-    op12_spelling_variants, op13_embedding_whitening)}
+    op11_jaccard_join, op12_spelling_variants, op13_embedding_whitening)}
 
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"

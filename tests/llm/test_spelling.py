@@ -68,6 +68,7 @@ def corpus(seed=3):
                 w = typo(w)
             out.append(w.upper() if rng.random() < 0.1 else w)
         rows.append((i, rng.choice((" ", ", ", "1", "\n", "ā")).join(out)))
+    rows.append((300, "chainabc " * 900 + "chainabd " * 60 + "chainaed " * 4))  # a path of two steps
     return rows + [(None, "abcdeil abcdeil abcdeil"), (9, rows[9][1]), (9, rows[9][1]), (200, None), (201, ""), (202, "...")]
 
 
