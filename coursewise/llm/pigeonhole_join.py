@@ -17,13 +17,16 @@ Two sets of sizes a >= b link only if their symmetric difference is at most
 * Entries of a signature meet in one task, packed as bytes; what the sketch knows as hot is
   dealt out by set as well, and kept unseen. Only signatures that a probe and another set share
   go on.
-* Candidates are verified on whole sets. A few rounds of stars (every set against one
-  leader of its signatures) connect groups of near copies without their pairs; only pairs of
+* Sketches of a bit or two a shingle bound the difference of a pair from below; what they don't
+  rule out is verified on whole sets. A few rounds of stars (every set against a
+  leader of each of its signatures) connect groups of near copies without their pairs; only pairs of
   sets that are still apart are then enumerated. No link between different components is left.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,11 +34,14 @@ from pyspark.sql import functions as F
 
 from coursewise.llm.common import Words, chunks, components, folded, mixed, run_hashes, written
 
-#: Entries of a task that meets signatures; sketch cells; bytes of the filter of sets to re-read.
-ENTRIES, CELLS, FILTER = 1 << 20, 1 << 18, 16 << 20
+#: Entries of a task that meets signatures, and that a task holds before it deals them; sketch cells; bytes of the filter of
+#: sets to re-read.
+ENTRIES, HELD, CELLS, FILTER = 1 << 19, 1 << 18, 1 << 18, 16 << 20
+#: Bytes of the sketches that travel with signatures; sets of a signature that one task compares.
+BRIEF, BLOCK = 64, 2048
 #: Roles of an entry: a subset or a deletion in the index; a probe of subsets, and of deletions too.
 SUBSET, DELETION, PROBE, NEAR = 1, 2, 4, 8
-SALT = np.uint64(0x5851F42D4C957F2D)
+SALT, ROLELESS = np.uint64(0x5851F42D4C957F2D), ~np.uint64(15)
 
 
 # ---- sets ------------------------------------------------------------------
@@ -66,6 +72,7 @@ class Bands:
     def __init__(self, percent: int):
         self.percent = percent
         self.low = [max(1, -(-percent // (100 - percent)))]  # a smaller set links with equal ones only
+        self.made: dict[int, tuple[int, int, np.ndarray]] = {}
 
     def largest_difference(self, a: int, b: int) -> int:
         return (a + b) * (100 - self.percent) // (100 + self.percent)
@@ -74,16 +81,18 @@ class Bands:
         """The band of size ``n``; -1 below all."""
         while self.low[-1] <= n:
             self.low.append(-(-3 * self.low[-1] // 2))
-        return int(np.searchsorted(self.low, n, "right")) - 1
-
-    def segments(self, band: int) -> tuple[int, int]:
-        """(segments, how many of them have deletions in the index)."""
-        self.of(self.low[band] * 3)
-        top = self.low[band + 1] - 1
-        need = self.largest_difference(top * 100 // self.percent, top) + 1
-        if need <= 6:
-            return need, need
-        return need + need // 20 + 2, 2
+        return bisect_right(self.low, n) - 1
+
+    def segments(self, band: int) -> tuple[int, int, np.ndarray]:
+        """(segments, how many of them have deletions in the index, a hash of each one's place)."""
+        if band not in self.made:
+            self.of(self.low[band] * 3)
+            top = self.low[band + 1] - 1
+            m = near = self.largest_difference(top * 100 // self.percent, top) + 1
+            if m > 6:
+                m, near = m + m // 20 + 2, 2
+            self.made[band] = m, near, mixed(np.arange(m).astype(np.uint64) + np.uint64(band << 32) + SALT)
+        return self.made[band]
 
     def probes(self, n: int) -> list[tuple[int, int]]:
         """(band, units) of the bands in which a set of ``n`` looks for sets of its size and below."""
@@ -96,27 +105,30 @@ class Bands:
         return out
 
 
-def signatures(s: np.ndarray, band: int, m: int):
-    """(subset signature and size of each segment; the shingles' segments and signatures without them)."""
-    h = mixed(s + SALT)
-    segment = (((h >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)).astype(np.int64)
-    order = np.argsort(segment, kind="stable")
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(s)[order])])
-    edge = np.searchsorted(segment[order], np.arange(m + 1))
-    sums = total[edge[1:]] - total[edge[:-1]]
-    place = mixed(np.arange(m).astype(np.uint64) + np.uint64(band << 32) + SALT)
-    return sums, np.diff(edge), segment, place
+class Tokens:
+    """A set's shingles, hashed twice: for their segment and for the sum that names a subset."""
+
+    def __init__(self, s: np.ndarray):
+        self.spread, self.term = mixed(s + SALT) >> np.uint64(32), mixed(s)
 
+    def subsets(self, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(sum of the terms and size of each of ``m`` segments, the shingles' segments)."""
+        segment = ((self.spread * np.uint64(m)) >> np.uint64(32)).astype(np.uint16 if m < 1 << 16 else np.int64)
+        total = np.zeros(len(segment) + 1, np.uint64)
+        np.cumsum(self.term[np.argsort(segment, kind="stable")], out=total[1:])
+        size = np.bincount(segment, minlength=m)
+        edge = np.zeros(m + 1, np.int64)
+        np.cumsum(size, out=edge[1:])
+        return total[edge[1:]] - total[edge[:-1]], size, segment
 
-def allocate(cost: np.ndarray, size: np.ndarray, near: int, units: int) -> np.ndarray:
+
+def allocate(cost: np.ndarray, less: np.ndarray, units: int) -> np.ndarray:
     """Units (0, 1 or 2) for each segment, ``units`` in all, at least cost.
 
-    The first unit of a segment costs its partners and a probe, the second (in the first ``near`` segments)
-    a probe for each of its shingles.
+    ``cost`` is the price of a segment's first unit, ``less`` that of the second, in the segments that have one.
     """
-    first = cost + 1.0 + np.where(size == 0, 1e15, 0.0)  # an empty subset only if all else is spent
-    second = np.maximum(first[:near], size[:near].astype(float))
-    price = np.concatenate([first, second])
+    first = cost + 1.0
+    price = np.concatenate([first, np.maximum(first[:len(less)], less)])
     chosen = np.argsort(price, kind="stable")[:units]  # a second unit never comes before its first
     out = np.zeros(len(first), np.int64)
     np.add.at(out, np.where(chosen < len(first), chosen, chosen - len(first)), 1)
@@ -126,21 +138,24 @@ def allocate(cost: np.ndarray, size: np.ndarray, near: int, units: int) -> np.nd
 def entries(s: np.ndarray, bands: Bands, counts) -> np.ndarray:
     """Signatures of a set, the role in the last four bits; ``counts`` tells how often subsets occur."""
     out = []
-    own = bands.of(len(s))
+    own, tokens = bands.of(len(s)), Tokens(s)
     for band, units in bands.probes(len(s)):
-        m, near = bands.segments(band)
-        sums, size, segment, place = signatures(s, band, m)
-        whole = mixed(sums ^ place) & ~np.uint64(15)
-        spent = allocate(counts(whole), size, near, units)
-        role = np.where(spent > 1, NEAR, np.where(spent > 0, PROBE, 0)).astype(np.uint64)
-        if band == own:
-            role |= np.uint64(SUBSET)
-        out.append((whole | role)[role > 0])
+        m, near, place = bands.segments(band)
+        sums, size, segment = tokens.subsets(m)
+        whole = mixed(sums ^ place) & ROLELESS
         some = np.flatnonzero(segment < near)
         here = segment[some]
-        less = mixed((sums[here] - mixed(s[some])) ^ place[here]) & ~np.uint64(15)
-        role = np.where(spent[here] > 1, PROBE, 0) + (DELETION if band == own else 0)
-        out.append((less | role.astype(np.uint64))[role > 0])
+        less = mixed((sums[here] - tokens.term[some]) ^ place[here]) & ROLELESS
+        # the first unit costs a probe and the subset's partners, the second that for each deletion
+        cost = counts(whole).astype(float)
+        cost[size == 0] = 1e15  # an empty subset only if all else is spent
+        spent = allocate(cost, np.bincount(here, 1.0 + counts(less), minlength=near), units)
+        role = np.array([0, PROBE, NEAR], np.uint64)[spent]
+        low = np.array([0, 0, PROBE], np.uint64)[spent[here]]
+        if band == own:
+            role |= np.uint64(SUBSET)
+            low |= np.uint64(DELETION)
+        out += [(whole | role)[role > 0], (less | low)[low > 0]]
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -148,7 +163,7 @@ def count_entries(n: int, bands: Bands) -> int:
     """About how many entries a set of ``n`` has."""
     out = 0
     for band, units in bands.probes(n):
-        m, near = bands.segments(band)
+        m, near, _ = bands.segments(band)
         out += (m if band == bands.of(n) else units) + n * near // m
     return out
 
@@ -168,8 +183,8 @@ def _profile(shingle: int, bands: Bands):
                 n[row], key[row], m[row] = len(s), set_key(s), count_entries(len(s), bands)
                 band = bands.of(len(s))
                 if band >= 0:
-                    sums, _, _, place = signatures(s, band, bands.segments(band)[0])
-                    found.append(_cell(mixed(sums ^ place)))
+                    m_, _, place = bands.segments(band)
+                    found.append(_cell(mixed(Tokens(s).subsets(m_)[0] ^ place)))
             if found:
                 cells += np.bincount(np.concatenate(found), minlength=CELLS).astype(np.uint32)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), pa.array(key), pa.array(m), pa.nulls(b.num_rows, pa.binary())], names)
@@ -189,7 +204,7 @@ def _packed(shingle: int, bands: Bands, counts: np.ndarray, hot: float, parts: i
 
         def out():
             sig, of = np.concatenate(held), np.concatenate(sets)
-            plain = sig & ~np.uint64(15)
+            plain = sig & ROLELESS
             key = np.where(counts[_cell(plain)] > hot, plain ^ mixed(of.view(np.uint64)), plain)
             part = (mixed(key) % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
@@ -212,7 +227,7 @@ def _packed(shingle: int, bands: Bands, counts: np.ndarray, hot: float, parts: i
                 held.append(e)
                 sets.append(np.full(len(e), key))
                 size += len(e)
-                if size > ENTRIES:
+                if size > HELD:
                     yield from out()
                     held, sets, size = [], [], 0
         if size:
@@ -261,19 +276,132 @@ def _probes(k: np.ndarray):
         yield ((h >> np.uint64(shift)) & np.uint64(0xFFFFFFFF)).astype(np.int64) % (8 * FILTER)
 
 
+def odd_sketch(s: np.ndarray) -> bytes:
+    """A bit for each of two cells a shingle: set when an odd number of shingles fall there."""
+    cells = max(8 * BRIEF, 1 << int(2 * len(s) - 1).bit_length())
+    return np.packbits(np.bincount((mixed(s ^ SALT) & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1, bitorder="little").tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """A lower bound of the symmetric difference of two sets, from their sketches: each shingle turns one bit."""
+    x, y = (np.frombuffer(folded_to(v, min(len(x), len(y))), "<u8") for v in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def folded_to(sketch: bytes, size: int) -> bytes:
+    """The sketch in ``size`` bytes at most; cells are taken modulo their number, so halves add up."""
+    while len(sketch) > size:
+        x = np.frombuffer(sketch, "<u8")
+        sketch = (x[:len(x) // 2] ^ x[len(x) // 2:]).tobytes()
+    return sketch
+
+
+def _plausible(bands: Bands):
+    """(a, b) of the pairs (a, b, n and sketch of both) that their sketches don't rule out."""
+    def run(batches):
+        for b in batches:
+            n, m, x, y = (b.column(i).to_pylist() for i in (2, 3, 4, 5))
+            keep = [least_difference(*p) <= bands.largest_difference(i, j) for i, j, *p in zip(n, m, x, y, strict=True)]
+            yield pa.RecordBatch.from_arrays(b.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    return run
+
+
+def _briefs(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(x.as_buffer() for x in column), "<u8").reshape(-1, BRIEF // 8)
+
+
+def _ordered(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """Different pairs (a > b)."""
+    pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)], 1), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+
+def _star(bands: Bands):
+    """Pairs of a set and a leader of its signatures that their brief sketches don't rule out."""
+    def run(batches):
+        for b in batches:
+            a, to, n, m = (b.column(i).to_numpy() for i in range(4))
+            near = np.bitwise_count(_briefs(b.column(4)) ^ _briefs(b.column(5))).sum(axis=1)
+            keep = near <= bands.largest_difference(n, m)
+            yield _ordered(a[keep], to[keep])
+    return run
+
+
+def _pairs(bands: Bands, nearest: bool):
+    """Plausible pairs of sets of a signature that are in different components.
+
+    Rows come sorted by ``key``; step k compares row i with row i + k of its key, all keys
+    at once. With ``nearest``, each row's partner of least difference only.
+    """
+    def meets(x, y):
+        return ((x & (PROBE | NEAR) > 0) & (y & SUBSET > 0)) | ((x & NEAR > 0) & (y & DELETION > 0))
+
+    def run(batches):
+        t = pa.Table.from_batches(list(batches)).combine_chunks()
+        if not t.num_rows:
+            return
+        key, side, of, role, n, label = (t.column(c).to_numpy() for c in ("key", "side", "id", "role", "n", "label"))
+        brief = _briefs(t.column("brief"))
+        best, to = np.full(len(key), np.iinfo(np.int64).max), np.full(len(key), -1)
+        live, k, held = np.arange(len(key)), 1, 0
+        a, b = [], []
+        while True:
+            live = live[live + k < len(key)]
+            live = live[key[live] == key[live + k]]
+            if not len(live):
+                break
+            for i in np.array_split(live, -(-len(live) // (1 << 16))):
+                j = i + k
+                fit = (label[i] != label[j]) & ((side[i] != side[j]) | (side[i] == 0))
+                fit &= np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * bands.percent
+                fit &= meets(role[i], role[j]) | meets(role[j], role[i])
+                i, j = i[fit], j[fit]
+                apart = np.bitwise_count(brief[i] ^ brief[j]).sum(axis=1).astype(np.int64)
+                may = apart <= bands.largest_difference(n[i], n[j])
+                i, j, apart = i[may], j[may], apart[may]
+                if nearest:
+                    for x, y in ((i, j), (j, i)):
+                        less = apart < best[x]
+                        best[x[less]], to[x[less]] = apart[less], y[less]
+                elif len(i):
+                    a.append(of[i])
+                    b.append(of[j])
+                    held += len(i)
+                    if held > 1 << 20:
+                        yield _ordered(np.concatenate(a), np.concatenate(b))
+                        a, b, held = [], [], 0
+            k += 1
+        if nearest:
+            has = np.flatnonzero(to >= 0)
+            a, b = [of[has]], [of[to[has]]]
+        if a:
+            yield _ordered(np.concatenate(a), np.concatenate(b))
+    return run
+
+
 def _chosen_sets(shingle: int, wanted):
-    """(id, items) of the texts whose (doc_id, text) the filter holds."""
+    """(id, n, brief sketch, sketch, items) of the texts whose (doc_id, text) the filter holds, once a task."""
     def run(batches):
+        sent: set[int] = set()
         for b in batches:
             hit = np.ones(b.num_rows, bool)
             for at in _probes(b.column(0).to_numpy()):
                 hit &= wanted.value[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
-            found = [(set_key(s), s.tobytes()) for _, s in _sets(b.column(1).filter(pa.array(hit)), shingle)]
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int64()), pa.array([x for _, x in found], pa.binary())], ["id", "items"])
+            found = []
+            for _, s in _sets(b.column(1).filter(pa.array(hit)), shingle):
+                key = set_key(s)
+                if key not in sent:
+                    sketch = odd_sketch(s)
+                    found.append((key, len(s), folded_to(sketch, BRIEF), sketch, s.tobytes()))
+                    if len(sent) > 200_000:
+                        sent.clear()
+                    sent.add(key)
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], k) for i, k in enumerate([pa.int64()] * 2 + [pa.binary()] * 3)],
+                                             ["id", "n", "brief", "sketch", "items"])
     return run
 
 
-def _links(percent: int):
+def _links(bands: Bands):
     """(a, b) of the pairs whose sets link."""
     def run(batches):
         for b in batches:
@@ -282,14 +410,14 @@ def _links(percent: int):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 at = np.searchsorted(x, y)
                 common = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
+                keep.append(100 * common >= bands.percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays(b.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
 # ---- the operator ----------------------------------------------------------
 
-def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, stars: int = 3,
+def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, stars: int = 1,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row.
 
@@ -333,53 +461,73 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, sta
 def _edges(rows: DataFrame, classes: DataFrame, bands: Bands, counts: np.ndarray, total: int, shingle: int, stars: int) -> DataFrame:
     """Links (a, b) that connect what all links connect."""
     spark = rows.sparkSession
-    hot = max(ENTRIES // 8, 4 * counts.sum() / CELLS)
+    hot = max(ENTRIES // 4, 4 * counts.sum() / CELLS)
     parts = max(1, -(-total // ENTRIES))
     packed = rows.select("text").mapInArrow(_packed(shingle, bands, counts, hot, parts), "part long, entries binary")
     shared = written(packed.groupBy("part").applyInArrow(_shared(counts, hot), "sig long, id long, role int"), "pigeonhole-shared")
-    members = written(shared.select("id").distinct().join(classes, "id").select(
-        "id", "n", F.xxhash64("s.doc_id", "s.xh").alias("k")), "pigeonhole-members")
+    members = written(shared.select("id").distinct().join(classes, "id").select(F.xxhash64("s.doc_id", "s.xh").alias("k")), "pigeonhole-members")
     wanted = spark.sparkContext.broadcast(_wanted(members))
-    sets = written(rows.select(F.xxhash64("doc_id", "xh").alias("k"), "text").mapInArrow(_chosen_sets(shingle, wanted), "id long, items binary")
-                   .dropDuplicates(["id"]), "pigeonhole-items")
+    sets = written(rows.select(F.xxhash64("doc_id", "xh").alias("k"), "text").mapInArrow(
+        _chosen_sets(shingle, wanted), "id long, n long, brief binary, sketch binary, items binary"), "pigeonhole-items")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        both = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a").join(
-            sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y")
-        return written(both.mapInArrow(_links(bands.percent), "a long, b long"), name)
+        """Those that link: whole sketches first, then sets."""
+        for step, columns in ((_plausible, ("n", "sketch")), (_links, ("items",))):
+            both = pairs
+            for side in "ab":
+                both = both.join(sets.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+            both = both.select("a", "b", *[f"{c}_{side}" for c in columns for side in "ab"])
+            pairs = written(both.mapInArrow(step(bands), "a long, b long").distinct(), f"{name}{step.__name__}")
+        return pairs
+
+    def sided(side: str):
+        return [F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "label", "brief")]
 
-    p = bands.percent
     edges, tested = spark.createDataFrame([], "a long, b long"), None
-    of = members.select("id", "n", F.col("id").alias("label"))
-    apart = shared.join(of, "id")
-    for k in range(stars + 1):
+    member = sets.groupBy("id").agg(F.min("n").alias("n"), F.min("brief").alias("brief"))
+    apart = shared.join(member, "id").withColumn("label", F.col("id"))
+    steps = [*["star"] * stars, "nearest", "all"]
+    for k, step in enumerate(steps):
         # signatures whose sets are not yet one component
-        several = apart.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                           F.min(F.struct(F.xxhash64(F.lit(k), "id").alias("h"), "id", "label", "n")).alias("lead")).where("lo < hi")
-        apart = apart.join(several.select("sig", "lead"), "sig")
-        if k < stars:
-            size = (F.least("n", "lead.n") * 100 >= F.greatest("n", "lead.n") * p) & (F.col("label") != F.col("lead.label"))
-            star = apart.where(size).groupBy("id").agg(F.min(F.struct(F.col("lead.h"), F.col("lead.id").alias("to"))).alias("lead"))
-            pairs = star.select(F.greatest("id", "lead.to").alias("a"), F.least("id", "lead.to").alias("b")).distinct()
+        lead = F.min(F.struct(F.xxhash64(F.lit(k), "id").alias("h"), *sided("b"))).alias("lead")
+        several = written(apart.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("sets"), lead)
+                          .where("lo < hi").select("sig", "sets", "lead.*"), f"pigeonhole-leaders-{k}")
+        apart = apart.join(several.select("sig", "sets"), "sig")
+        if step == "star":
+            star = apart.select("sig", *sided("a")).join(several, "sig").where(
+                f"label_a <> label_b and least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {bands.percent}")
+            pairs = star.select("id_a", "id_b", "n_a", "n_b", "brief_a", "brief_b").mapInArrow(_star(bands), "a long, b long")
         else:
-            one, two = (apart.select("sig", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "role", "n", "label")]) for s in "ab")
-            role = ((F.col("role_a").bitwiseAND(F.lit(PROBE | NEAR)) > 0) & (F.col("role_b").bitwiseAND(F.lit(SUBSET)) > 0)) | (
-                (F.col("role_a").bitwiseAND(F.lit(NEAR)) > 0) & (F.col("role_b").bitwiseAND(F.lit(DELETION)) > 0))
-            on = (one.sig == two.sig) & F.expr(f"label_a <> label_b and n_a >= n_b and n_b * 100 >= n_a * {p}") & role
-            pairs = one.join(two, on).select(F.greatest("id_a", "id_b").alias("a"), F.least("id_a", "id_b").alias("b")).distinct()
+            pairs = _dealt(apart).mapInArrow(_pairs(bands, step == "nearest"), "a long, b long")
+        pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, f"pigeonhole-pairs-{k}")
-        good = verified(pairs, f"pigeonhole-links-{k}")
+        edges = edges.union(verified(pairs, f"pigeonhole-{k}"))
         tested = pairs if tested is None else tested.union(pairs)
-        edges = edges.union(good)
-        if k < stars:
-            label = components(edges, "pigeonhole")
-            of = written(members.join(label, members.id == label.v, "left").select("id", "n", F.coalesce("label", "id").alias("label")), "pigeonhole-labels")
-            apart = written(apart.select("sig", "id", "role").join(of, "id"), f"pigeonhole-apart-{k}")
+        if step != "all":
+            found = components(edges, "pigeonhole")
+            apart = written(apart.join(found, F.col("id") == F.col("v"), "left").select(
+                "sig", "id", "role", "n", "brief", F.coalesce(found.label, "id").alias("label")), f"pigeonhole-apart-{k}")
     return edges
 
 
+def _dealt(apart: DataFrame) -> DataFrame:
+    """Rows so that two of a signature meet in some task, sorted by ``key`` there.
+
+    The sets of a signature of more than ``BLOCK`` are dealt to blocks, and every two
+    blocks meet under a key of their own (``side`` 1 and 2; 0 where a block meets itself).
+    """
+    blocks = F.ceil(F.col("sets") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    rows = apart.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side")
+    key = F.xxhash64("sig", F.least("own", "other"), F.greatest("own", "other")).alias("key")
+    rows = rows.select(key, side, "id", "role", "n", "label", "brief")
+    size = apart.agg(F.sum(blocks.cast("long"))).first()[0] or 0
+    return rows.repartition(max(1, -(-size // 100_000)), "key").sortWithinPartitions("key")
+
+
 def op11_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """Set size and component of every document."""
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))

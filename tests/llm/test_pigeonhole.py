@@ -69,9 +69,10 @@ def test_all_links_are_found(spark, seed, n, sizes, copies, edits):
 def test_enumeration_alone_and_hot_signatures(spark, monkeypatch):
     rows = near_copies(4, 12, (9, 20, 50, 100), 10, 20)
     rows += [(2000 + i, rows[3][1]) for i in range(30)]
-    monkeypatch.setattr(J, "ENTRIES", 64)  # many parts; subsets seen more than 8 times are hot
+    monkeypatch.setattr(J, "ENTRIES", 64)  # many parts; subsets seen more than 16 times are hot
+    monkeypatch.setattr(J, "BLOCK", 4)
     assert result(J.jaccard_components(documents(spark, rows), stars=0)) == expected(rows)
-    assert result(J.jaccard_components(documents(spark, rows), stars=1)) == expected(rows)
+    assert result(J.jaccard_components(documents(spark, rows), stars=2)) == expected(rows)
 
 
 def test_awkward_rows_and_no_rows(spark):
@@ -103,11 +104,22 @@ def test_every_partner_is_met():
         assert any((x & 12 and roles.get(x >> 4, 0) & 1) or (x & 8 and roles.get(x >> 4, 0) & 2) for x in one.tolist())
 
 
+def test_sketches_never_exceed_the_difference():
+    rng = np.random.default_rng(2)
+    for n in (1, 5, 100, 129, 700):
+        for _ in range(50):
+            x = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+            y = np.unique(np.concatenate([x[rng.random(len(x)) < 0.8], rng.integers(0, 1 << 63, int(rng.integers(0, n + 1))).astype(np.uint64)]))
+            if len(y):
+                assert J.least_difference(J.odd_sketch(x), J.odd_sketch(y)) <= len(np.setxor1d(x, y))
+
+
 def test_allocation_spends_where_few_partners_are():
-    cost = np.array([50.0, 0, 7, 0])
-    size = np.array([3, 2, 9, 0])
-    assert J.allocate(cost, size, 4, 2).tolist() == [0, 2, 0, 0]
-    assert J.allocate(cost, size, 4, 3).tolist() == [0, 2, 1, 0]
-    assert J.allocate(cost, size, 2, 3).tolist() == [0, 2, 1, 0]
-    assert J.allocate(cost, size, 0, 3).tolist() == [1, 1, 1, 0]
-    assert J.allocate(cost, size, 0, 4).tolist() == [1, 1, 1, 1]
+    cost = np.array([50.0, 0, 7, 1e15])
+    less = np.array([3.0, 2, 9, 1])
+    assert J.allocate(cost, less, 2).tolist() == [0, 2, 0, 0]
+    assert J.allocate(cost, less, 3).tolist() == [0, 2, 1, 0]
+    assert J.allocate(cost, less, 4).tolist() == [0, 2, 2, 0]
+    assert J.allocate(cost, less[:2], 4).tolist() == [1, 2, 1, 0]
+    assert J.allocate(cost, less[:0], 3).tolist() == [1, 1, 1, 0]
+    assert J.allocate(cost, less[:0], 4).tolist() == [1, 1, 1, 1]
