@@ -36,6 +36,17 @@ def written(df: DataFrame, name: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until they are no columns of ``df`` (in any case) nor one another."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def texts(column: pa.Array) -> list[bytes | None]:
     """A string column's values as UTF-8 bytes."""
     return column.cast(pa.large_string()).cast(pa.large_binary()).to_pylist()

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursewise.llm.common import Chunk, Words, chunks, mixed, run_hashes, texts, written
+from coursewise.llm.common import Chunk, Words, chunks, free_names, run_hashes, texts, written
 
 WINDOW, GRAM = 50, 10
 
@@ -103,7 +103,7 @@ def _context_rows(window: int, gram: int):
                     w = Words(whole)
                     places = anchors(w.hash, w.first, window, gram)
                     symbol = run_hashes(w.hash, gram)[places].view(np.int64) if len(places) else np.zeros(0, np.int64)
-                    word = (w.hash >> np.uint64(32)).astype("<u4")
+                    word = w.hash.astype("<u8")
                     here: dict[int, tuple] = {}
                     keep = np.isin(symbol, shared.values.to_numpy())
                     for pos, h in zip(places[keep].tolist(), symbol[keep].tolist(), strict=True):
@@ -129,10 +129,10 @@ def _windows(window: int):
             for at in range(0, b.num_rows, 500):
                 part = b.slice(at, 500)
                 words = part.column(3).to_pylist()
-                each = np.array([len(w) // 4 - window + 1 for w in words])
+                each = np.array([len(w) // 8 - window + 1 for w in words])
                 row = pa.array(np.repeat(np.arange(len(words)), each))
                 start = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-                piece = [xxhash.xxh3_64_intdigest(w[4 * s:4 * (s + window)]) - 2**63 for w, n in zip(words, each, strict=True) for s in range(n)]
+                piece = [xxhash.xxh3_64_intdigest(w[8 * s:8 * (s + window)]) - 2**63 for w, n in zip(words, each, strict=True) for s in range(n)]
                 yield pa.RecordBatch.from_arrays([*(part.column(c).take(row) for c in range(3)), pa.array(start.astype(np.int32)),
                                                   pa.array(piece, pa.int64())], ["h", "digest", "owner", "start", "piece"])
     return run
@@ -228,7 +228,7 @@ def repeated(words: list[np.ndarray], owner: np.ndarray, window: int, gram: int)
     """
     if not words:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    symbols = [run_hashes(mixed(w.astype(np.uint64)), gram) for w in words]
+    symbols = [run_hashes(w, gram) for w in words]
     size = np.array([len(s) for s in symbols])
     at = np.concatenate([[0], np.cumsum(size)])
     value, code = np.unique(np.concatenate(symbols), return_inverse=True)
@@ -269,7 +269,7 @@ def _shard_spans(window: int, gram: int):
         owner = t.column("owner").to_numpy()
         _, of, count = np.unique(t.column("h").to_numpy(), return_inverse=True, return_counts=True)
         some = np.flatnonzero(count[of] > 1)  # the only context of an anchor has no windows in others
-        words = [np.frombuffer(t.column("words")[int(i)].as_py(), "<u4") for i in some]
+        words = [np.frombuffer(t.column("words")[int(i)].as_py(), "<u8") for i in some]
         context, start = repeated(words, owner[some], window, gram)
         spans = [[] for _ in owner]
         for c, s in zip(some[context].tolist(), start.tolist(), strict=True):
@@ -394,9 +394,10 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_
     other texts stay as they are.
     """
     spans = repeated_spans(docs, window, gram, id_col=id_col, text_col=text_col)
-    spans = spans.select(F.col("doc_id").alias("_gone_id"), F.col("xh").alias("_gone_xh"), F.col("spans").alias("_gone"))
+    id_, xh, gone, left = free_names(docs, "_gone_id", "_gone_xh", "_gone", "_left")
+    spans = spans.select(F.col("doc_id").alias(id_), F.col("xh").alias(xh), F.col("spans").alias(gone))
     text = F.col(text_col).cast("string")
-    joined = docs.join(spans, (F.col(id_col).cast("long") == F.col("_gone_id")) & (F.xxhash64(text) == F.col("_gone_xh")), "left")
+    joined = docs.join(spans, (F.col(id_col).cast("long") == F.col(id_)) & (F.xxhash64(text) == F.col(xh)), "left")
 
     @F.arrow_udf("string")
     def kept(text: pa.Array, found: pa.Array) -> pa.Array:
@@ -406,14 +407,14 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_
                 out.append(None)
                 continue
             words = (t or b"").split()
-            gone = covered(len(words), f)
-            out.append(b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g).decode())
+            cut = covered(len(words), f)
+            out.append(b" ".join(w for w, g in zip(words, cut.tolist(), strict=True) if not g).decode())
         return pa.array(out, pa.string())
 
-    joined = joined.withColumn("_kept", kept(text, F.col("_gone")))
-    new = {text_col: F.coalesce("_kept", text)}
+    joined = joined.withColumn(left, kept(text, F.col(gone)))
+    new = {text_col: F.coalesce(F.col(left), text)}
     if chars_col in docs.columns:
-        new[chars_col] = F.when(F.col("_kept").isNotNull(), F.length("_kept")).otherwise(F.col(chars_col)).cast(docs.schema[chars_col].dataType)
+        new[chars_col] = F.when(F.col(left).isNotNull(), F.length(left)).otherwise(F.col(chars_col)).cast(docs.schema[chars_col].dataType)
     return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from coursewise.llm.common import written
+from coursewise.llm.common import free_names, written
 
 #: Bytes a row counts besides its text.
 ROW_BYTES = 16
@@ -83,8 +83,8 @@ def ranked(df: DataFrame, order: list[str], name: str) -> tuple[DataFrame, int]:
 
 
 def hilbert_shards(docs: DataFrame, shards: int = 40, bits: int = 7, id_col: str = "doc_id",
-                   text_col: str = "text", label_cols: tuple[str, ...] = ("lang", "source")) -> DataFrame:
-    """(doc_id, size, text_crc32, hilbert, shard, slot) of every row.
+                   text_col: str = "text", label_cols: tuple[str, ...] = ("lang", "source"), row_col: str | None = None) -> DataFrame:
+    """(doc_id, size, text_crc32, hilbert, shard, slot) of every row, and as ``row`` its ``row_col`` (a long) where one is named.
 
     Dimensions: size of the text, the place of the id in the range of all ids,
     and the hash of each label column. Rows are ordered by Hilbert index, equal
@@ -98,6 +98,7 @@ def hilbert_shards(docs: DataFrame, shards: int = 40, bits: int = 7, id_col: str
                        (F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)) + ROW_BYTES)
                        .cast("long").alias("size"),
                        F.crc32(F.col(text_col).cast("string")).alias("text_crc32"),
+                       (F.col(row_col).cast("long") if row_col else F.lit(0).cast("long")).alias("row"),
                        *[F.col(c).cast("string").alias(f"_l{i}") for i, c in enumerate(label_cols)])
     low, high = rows.agg(F.min("doc_id"), F.max("doc_id")).first()
     low, span = low or 0, max(1, (high or 0) - (low or 0) + 1)
@@ -108,11 +109,11 @@ def hilbert_shards(docs: DataFrame, shards: int = 40, bits: int = 7, id_col: str
             ids = b.column(0).fill_null(low).to_numpy(zero_copy_only=False).astype(np.int64)
             place = ((ids - low).astype(np.float64) * (side / span)).astype(np.int64)
             axes = [size_cell(b.column(1).to_numpy(zero_copy_only=False), bits), np.minimum(place, side - 1),
-                    *(label_cell(b.column(3 + i), bits) for i in range(len(label_cols)))]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(hilbert_index(np.stack(axes, 1), bits))],
-                                             ["doc_id", "size", "text_crc32", "hilbert"])
+                    *(label_cell(b.column(4 + i), bits) for i in range(len(label_cols)))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(hilbert_index(np.stack(axes, 1), bits))],
+                                             ["doc_id", "size", "text_crc32", "row", "hilbert"])
 
-    cells = rows.mapInArrow(run, "doc_id long, size long, text_crc32 long, hilbert long")
+    cells = rows.mapInArrow(run, "doc_id long, size long, text_crc32 long, row long, hilbert long")
     out, total = ranked(cells, ["hilbert", "text_crc32", "doc_id"], "hilbert")
     each, more = divmod(total, shards)
     edge = more * (each + 1)  # the first ``more`` shards have a row more
@@ -120,18 +121,26 @@ def hilbert_shards(docs: DataFrame, shards: int = 40, bits: int = 7, id_col: str
     shard = F.when(r < edge, F.floor(r / (each + 1))).otherwise(more + F.floor((r - edge) / max(1, each)))
     start = F.when(r < edge, F.col("shard") * (each + 1)).otherwise(edge + (F.col("shard") - more) * each)
     return (out.withColumn("shard", shard.cast("int")).withColumn("slot", (r - start).cast("long"))
-            .select("doc_id", "size", "text_crc32", "hilbert", "shard", "slot"))
+            .select("doc_id", "size", "text_crc32", "hilbert", "shard", "slot", *(["row"] if row_col else [])))
 
 
-def write_shards(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """Writes the rows of ``docs`` (unique ids) as one folder for each shard, in curve order.
+def write_shards(docs: DataFrame, path: str, **options) -> list[str]:
+    """Writes every row of ``docs`` into one folder for each shard, in curve order.
 
-    Readers that filter on ``shard`` or on any of the ordered columns skip the
-    files and row groups whose statistics rule the filter out.
+    Rows are numbered in a written copy and joined with their places by that
+    number, so null and repeated ids keep each their row. Readers that filter
+    on the shard or on any of the ordered columns skip the files and row groups
+    whose statistics rule the filter out. Returns the names of the columns that
+    hold shard, slot and index (``shard``, ``slot``, ``hilbert`` unless ``docs``
+    has columns of these names). ``options`` are those of ``hilbert_shards``.
     """
-    at = placed.select(F.col("doc_id").alias(id_col), "shard", "slot", "hilbert")
-    (docs.join(at, id_col).repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
-     .write.partitionBy("shard").parquet(path))
+    row, at, *names = free_names(docs, "_row", "_at", "shard", "slot", "hilbert")
+    kept = written(docs.withColumn(row, F.monotonically_increasing_id()), "shard-rows")
+    placed = hilbert_shards(kept, row_col=row, **options).select(
+        F.col("row").alias(at), *[F.col(c).alias(n) for c, n in zip(("shard", "slot", "hilbert"), names, strict=True)])
+    (kept.join(placed, F.col(row) == F.col(at)).drop(row, at).repartitionByRange(*names[:2]).sortWithinPartitions(*names[:2])
+     .write.partitionBy(names[0]).parquet(path))
+    return names
 
 
 def op9_hilbert_shards(spark, sf_dir: str) -> DataFrame:

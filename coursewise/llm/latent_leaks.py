@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coursewise.llm.common import free_names
+
 PASSAGE, STRIDE = 64, 32
 #: Item passages in a block, latent dimensions (more where a block has more passages) and the sketch's extra ones.
 BLOCK, RANK, EXTRA = 200, 224, 16
@@ -355,8 +357,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text holds no item of ``benchmark``; rows with null texts stay."""
-    found = leaks(docs, benchmark, id_col, text_col).select(F.col("xh").alias("_leak_xh")).distinct()
-    return docs.join(found, F.xxhash64(F.col(text_col).cast("string")) == F.col("_leak_xh"), "left_anti")
+    (xh,) = free_names(docs, "_leak_xh")
+    found = leaks(docs, benchmark, id_col, text_col).select(F.col("xh").alias(xh)).distinct()
+    return docs.join(found, F.xxhash64(F.col(text_col).cast("string")) == F.col(xh), "left_anti")
 
 
 def op4_latent_leaks(spark, sf_dir: str) -> DataFrame:

@@ -67,7 +67,8 @@ class TokenIds:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # their strings in a text are one token each, found before any pattern
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model, self.alphabet = self.tokenizer.model, _byte_alphabet()
         self.space = self.alphabet[32]
         self.remember = remember
@@ -110,6 +111,8 @@ class TokenIds:
     def encode(self, text: str) -> bytes:
         if len(self.words) + len(self.parts) > self.remember:
             self._forget()
+        if any(t in text for t in self.added):
+            return self._encoded(text)
         flat = text.replace("\n", " ")
         # only single spaces and line breaks, and none at the ends
         if flat.isprintable() and "  " not in flat and flat.strip(" ") == flat:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursewise.llm.common import components, texts, written
+from coursewise.llm.common import components, free_names, texts, written
 
 #: Reference fingerprints of the pair filter: fixed pseudo-random 64-bit values.
 PIVOTS = np.array([xxhash.xxh64_intdigest(bytes([i]), 7) for i in range(16)], np.uint64)
@@ -218,10 +218,11 @@ def one_of_each(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: st
     rows with equal ids that with the smallest text hash, of equal rows one.
     """
     of = written(simhash_components(docs, shingle, max_bits, id_col=id_col, text_col=text_col), "simhash-components")
+    id_, xh = free_names(docs, "_stay_id", "_stay_xh")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "xh")).alias("s")
-    stay = of.groupBy("component").agg(first).select(F.col("s.doc_id").alias("_stay_id"), F.col("s.xh").alias("_stay_xh"))
+    stay = of.groupBy("component").agg(first).select(F.col("s.doc_id").alias(id_), F.col("s.xh").alias(xh))
     key = [F.col(id_col).cast("long"), F.xxhash64(F.col(text_col).cast("string"))]
-    kept = docs.join(stay, key[0].eqNullSafe(F.col("_stay_id")) & (key[1] == F.col("_stay_xh")), "left_semi")
+    kept = docs.join(stay, key[0].eqNullSafe(F.col(id_)) & (key[1] == F.col(xh)), "left_semi")
     again = of.groupBy("doc_id", "xh").count().where("count > 1").limit(1).count()
     return kept.dropDuplicates([id_col, text_col]) if again else kept
 

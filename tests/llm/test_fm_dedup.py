@@ -1,10 +1,13 @@
 import hashlib
+import random
 
 import numpy as np
 import pytest
 from coursewise.llm import fm_dedup as D
+from coursewise.llm.common import Words
+from pyspark.sql import functions as F
 
-from .corpora import awkward, documents, none, words
+from .corpora import awkward, documents, none, prose, words
 
 
 def brute(rows, window):
@@ -58,15 +61,30 @@ def test_index_finds_every_occurrence():
                 assert k < m
 
 
+def test_words_with_half_a_hash_in_common_stay_apart(spark):
+    pair = ("k31378", "k3c564")
+    h = [int(Words(D._whole(w.encode())).hash[0]) for w in pair]
+    assert h[0] != h[1] and h[0] >> 32 == h[1] >> 32
+    rest = prose(random.Random(4), 49)
+    for place in ("{} " + rest, rest + " {}"):
+        rows = [(i, place.format(w)) for i, w in enumerate((*pair, "zzz"), 1)]
+        got = D.remove_repeats(documents(spark, rows)).collect()
+        assert sorted(map(tuple, got)) == sorted(brute(rows, 50)) and not any(r.n_removed for r in got)
+
+
 def test_documents_keep_columns_and_rows(spark):
     rows = awkward()
     docs = documents(spark, rows)
+    for name in ("_gone_id", "_gone_xh", "_GONE", "_left"):
+        docs = docs.withColumn(name, F.lit(name))
     out = D.without_repeats(docs)
     assert out.schema.names == docs.schema.names
     want = sorted(((i, kept if gone else t) for (i, t), (_, _, gone, _, kept) in zip(rows, brute(rows, 50))), key=repr)
     got = out.collect()
     assert sorted(((r.doc_id, r.text) for r in got), key=repr) == want
     assert all(r.n_chars == len(r.text or "") for r in got)
+    others = [c for c in docs.columns if c not in ("text", "n_chars")]
+    assert sorted(map(tuple, out.select(others).collect()), key=repr) == sorted(map(tuple, docs.select(others).collect()), key=repr)
 
 
 def test_empty(spark):

@@ -2,7 +2,9 @@ import itertools
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 from coursewise.llm import hilbert_shards as H
+from pyspark.sql import functions as F
 
 from .corpora import awkward, documents, none
 
@@ -37,8 +39,28 @@ def test_few_rows_and_none(spark):
 
 
 def test_files_prune(spark, tmp_path):
-    docs = documents(spark, [(i, "x" * (i * 7 % 900)) for i in range(400)])
-    placed = H.hilbert_shards(docs, shards=8)
-    H.write_shards(docs, placed, str(tmp_path / "s"))
+    """The statistics of the files rule many of them out for a value of any dimension."""
+    docs = documents(spark, [(i, "x" * 2 ** (i * 5 % 13)) for i in range(2000)])
+    H.write_shards(docs, str(tmp_path / "s"), shards=64)
     back = spark.read.parquet(str(tmp_path / "s"))
-    assert back.count() == 400 and back.select("shard").distinct().count() == 8
+    assert back.count() == 2000 and back.select("shard").distinct().count() == 64
+    bounds = {"doc_id": [], "n_chars": []}
+    for f in sorted((tmp_path / "s").rglob("*.parquet")):
+        meta = pq.ParquetFile(f).metadata
+        for g in range(meta.num_row_groups):
+            for c in range(meta.num_columns):
+                col = meta.row_group(g).column(c)
+                if col.path_in_schema in bounds:
+                    bounds[col.path_in_schema].append((col.statistics.min, col.statistics.max))
+    for name, values in (("doc_id", range(0, 2000, 100)), ("n_chars", [2 ** k for k in range(13)])):
+        hit = [sum(a <= v <= z for a, z in bounds[name]) / len(bounds[name]) for v in values]
+        assert sum(hit) / len(hit) < 0.6, (name, hit)
+
+
+def test_written_rows_are_the_rows(spark, tmp_path):
+    rows = awkward() + [(None, "again"), (None, "again"), (3, "other")]
+    docs = documents(spark, rows).withColumn("shard", F.lit("mine")).withColumn("Slot", F.col("doc_id") * 2)
+    names = H.write_shards(docs, str(tmp_path / "s"), shards=5)
+    assert not {n.lower() for n in names} & {c.lower() for c in docs.columns}
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert sorted(map(tuple, back.select(docs.columns).collect()), key=repr) == sorted(map(tuple, docs.collect()), key=repr)

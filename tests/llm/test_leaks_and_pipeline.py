@@ -4,8 +4,9 @@ from collections import Counter
 import corpus_pipeline
 from coursewise.llm import latent_leaks as L
 from coursewise.llm.catalog import ORACLES, QUERIES
+from pyspark.sql import functions as F
 
-from .corpora import awkward, documents, none, prose
+from .corpora import awkward, documents, none, prose, words
 from .test_divergence import english
 from .test_simhash import brute_fingerprint
 
@@ -109,7 +110,9 @@ def test_empty_sides(spark):
     rows, items = planted()
     assert L.leaks(none(spark), benchmark(spark, items)).count() == 0
     assert L.leaks(documents(spark, rows), benchmark(spark, items).limit(0)).count() == 0
-    kept = L.without_leaks(documents(spark, rows), benchmark(spark, items))
+    docs = documents(spark, rows).withColumn("_leak_xh", F.lit(1))
+    kept = L.without_leaks(docs, benchmark(spark, items))
+    assert kept.columns == docs.columns
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([i for i, _ in rows if i is not None and (i < 100 or i >= 500)], key=repr)
 
 
@@ -161,17 +164,36 @@ def test_stages_one_by_one(spark, tmp_path):
     assert key(out) == key(seen[4])
 
 
-def test_stages_take_empty_tables(spark):
-    for _, stage in corpus_pipeline.STAGES[:3] + corpus_pipeline.STAGES[4:]:
-        assert stage(spark, none(spark), "").count() == 0
+def test_stages_take_empty_tables(spark, tmp_path):
+    benchmark(spark, [(1, "some words of an item that no document holds")]).write.parquet(str(tmp_path / "benchmark.parquet"))
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none(spark), str(tmp_path)).count() == 0
 
 
-def test_stages_take_awkward_rows(spark):
-    docs = documents(spark, awkward())
-    for _, stage in corpus_pipeline.STAGES[:3] + corpus_pipeline.STAGES[4:]:
-        assert stage(spark, docs, "").count() >= 0
+def test_stages_take_awkward_rows(spark, tmp_path):
+    """Each stage on nulls, empty texts, repeated rows and ids, and columns named like its own."""
+    rows = awkward()
+    benchmark(spark, [(1, "some words of an item that no document holds"), (2, None)]).write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = documents(spark, rows)
+    for name in ("_quality", "_stay_id", "_gone", "_left", "_leak_xh"):
+        docs = docs.withColumn(name, F.lit(name))
+    whole = {(r.doc_id, r.text): r for r in docs.collect()}
+    quality, near, repeats, leaks, packing = (stage(spark, docs, str(tmp_path)) for _, stage in corpus_pipeline.STAGES)
+    assert all(x.columns == docs.columns for x in (quality, near, repeats, leaks))
+    for part in (quality, near, leaks):  # rows as they were
+        assert all(whole[r.doc_id, r.text] == r for r in part.collect())
+    assert all(len(words(r.text)) >= 50 for r in quality.collect())
+    left = near.collect()
+    assert len({(r.doc_id, r.text) for r in left}) == len(left) < len(rows)
+    assert leaks.count() == len(rows) == repeats.count()
+    gone = {r.doc_id for r in repeats.collect() if r.text != dict(rows).get(r.doc_id)}
+    assert gone and all(r["_left"] == "_left" and r["_kept"] == 1 for r in repeats.collect())
+    length = {}
+    for r in packing.collect():
+        length[r.doc_id] = length.get(r.doc_id, 0) + r.length
+    assert set(length) == {i for i, _ in rows} and length[100] == length[101] == 1
 
 
 def test_every_operator_has_a_query():
-    assert [int(q[2:].split("_")[0]) for q in QUERIES] == list(range(1, 11))
+    assert [int(q[2:].split("_")[0]) for q in QUERIES] == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)

@@ -12,14 +12,13 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def reference():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def test_ids_are_the_tokenizers():
     t, mine = reference(), P.TokenIds(PATH, remember=50)
-    odd = ["", "a", "  a  b\n\nc <|endoftext|> d's\t x\0y", " x\n", " \n a \n b\n c  ", "it's 12 34\n5   z q", "a. b, 3.5 c'd. ?! x?!\n... y\n.",
+    odd = ["", "a", "  a  b\n\nc <|endoftext|> d's\t x\0y", "x <|endoftext|> y", "<|endoftext|>", "a<|endoftext|><|endoftext|>. b <|endof text|>",
+           " x\n", " \n a \n b\n c  ", "it's 12 34\n5   z q", "a. b, 3.5 c'd. ?! x?!\n... y\n.",
            "a\x1cb\xa0c 　d", "don't, I'll: we've! 'tis's.", "日本。 語, ½. ².", "x\n", "\n", "a\nb", "é ü\nß.", "x" * 3000]
     for text in odd + [x or "" for _, x in awkward()]:
         assert np.frombuffer(mine.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids

@@ -3,6 +3,7 @@ import re
 import pytest
 import xxhash
 from coursewise.llm import simhash_pivot as S
+from pyspark.sql import functions as F
 
 from .corpora import awkward, documents, none, words
 
@@ -70,7 +71,10 @@ def test_links_survive_splitting_of_large_keys(spark):
 def test_one_of_each(spark):
     rows = awkward()
     comp = brute_components(rows)
-    got = [(r.doc_id, r.text) for r in S.one_of_each(documents(spark, rows)).collect()]
+    clash = documents(spark, rows).withColumn("_stay_id", F.lit(1)).withColumn("_STAY_xh", F.lit("x"))
+    left = S.one_of_each(clash)
+    assert left.columns == clash.columns
+    got = [(r.doc_id, r.text) for r in left.collect()]
     assert len(got) == len(set(got))
     fps = [brute_fingerprint(t) for _, t in got]
     # one left of every component: no two of the rest link, and each component keeps its smallest id
