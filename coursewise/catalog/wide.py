@@ -118,7 +118,7 @@ def _reader(name: str, table: str, **also) -> str:
 
 
 # every joined row; the smallest of a member (columns in their declared order, NULL first) gives the plain columns
-_PLAIN = MB.MEMBER_COLS + MB.REG_COLS + MB.SITE_COLS + ("adname", "vip_id")
+_PLAIN = MB.MEMBER_COLS + MB.REG_COLS + MB.SITE_COLS + ("adname", "vip_id", "vip_max_free", "vip_min_free", "vip_operator")
 _JOINED = f"""
 SELECT * FROM {_reader('member', 'dwd_member')} m
 LEFT JOIN (SELECT r.* EXCLUDE (siteid), w.* EXCLUDE (dn)
@@ -132,7 +132,7 @@ _M1_SQL = dwd_ctes(*_MB_FEEDS) + f""", joined AS ({_JOINED})
 , placed AS (SELECT *, row_number() OVER (PARTITION BY uid, dn, dt ORDER BY {', '.join(f'{c} NULLS FIRST' for c in _PLAIN)}) AS place
              FROM joined)
 SELECT uid, dn, dt, {', '.join(f'max({c}) FILTER (place = 1) AS {c}' for c in _PLAIN)},
-       {', '.join(f'max({c}) AS {c}' for c in MB.VIP_MAX)}, {', '.join(f'min({c}) AS {c}' for c in MB.VIP_MIN)},
+       {', '.join(f'max({c}) AS {c}' for c in MB.VIP_MAX)}, min(vip_start_time) AS vip_start_time,
        CAST(sum(paymoney) AS DECIMAL(20,4)) AS paymoney
 FROM placed GROUP BY uid, dn, dt"""
 

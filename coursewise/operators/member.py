@@ -33,13 +33,14 @@ MEMBER_WIDE = ("uid", "ad_id", "fullname", "iconurl", "lastlogin", "mailaddr", "
                "vip_level", "vip_start_time", "vip_end_time", "vip_last_modify_time", "vip_max_free",
                "vip_min_free", "vip_next_level", "vip_operator", "dt", "dn")
 
-# The columns each side contributes, and the two rules of the VIP columns.
+# The columns each side contributes, and the three rules of the VIP columns.
 MEMBER_COLS = ("ad_id", "fullname", "iconurl", "lastlogin", "mailaddr", "memberlevel", "password", "phone", "qq",
                "register", "regupdatetime", "unitname", "userip", "zipcode")
 REG_COLS = ("appkey", "appregurl", "bdp_uuid", "reg_createtime", "isranreg", "regsource", "regsourcename")
 SITE_COLS = ("siteid", "sitename", "siteurl", "site_delete", "site_createtime", "site_creator")
 VIP_MAX = ("vip_level", "vip_end_time", "vip_last_modify_time", "vip_next_level")
-VIP_MIN = ("vip_start_time", "vip_max_free", "vip_min_free", "vip_operator")
+VIP_MIN = ("vip_start_time",)
+VIP_FIRST = ("vip_max_free", "vip_min_free", "vip_operator")  # of one row, with the vip_id
 
 
 # Columns the readers R1-R6 take, as names or (source, alias).
@@ -99,12 +100,13 @@ def member_wide(member, regtype, base_ad, website, paymoney, vip_level, dt=None)
            .agg(F.sum("paymoney").alias("pay_sum")))
     vip = (read("vip_level", vip_level).groupBy("vip_id", "dn")
            .agg(F.count(F.lit(1)).alias("n_vip"),
+                F.min(F.struct(*VIP_FIRST)).alias("vip_row"),
                 *[F.max(c).alias(c) for c in VIP_MAX], *[F.min(c).alias(c) for c in VIP_MIN]))
     pv = pay.join(vip.withColumn("vip_key", F.col("vip_id")), ["vip_id", "dn"], "left")
     mult = F.coalesce(F.col("n_vip"), F.lit(1))
     per_pay = (pv.groupBy("uid", "dn")
                .agg(F.sum(F.col("pay_sum") * mult).alias("pay_sum"),
-                    F.min(F.struct("vip_key"))["vip_key"].alias("vip_id"),
+                    F.min(F.struct(F.col("vip_key").alias("vip_id"), *[F.col("vip_row")[c].alias(c) for c in VIP_FIRST])).alias("vip"),
                     *[F.max(c).alias(c) for c in VIP_MAX], *[F.min(c).alias(c) for c in VIP_MIN]))
 
     rows = (mem.join(reg_site, ["uid", "dn"], "left")
@@ -112,11 +114,11 @@ def member_wide(member, regtype, base_ad, website, paymoney, vip_level, dt=None)
             .join(per_pay, ["uid", "dn"], "left"))
     weight = F.coalesce(F.col("n_reg"), F.lit(1)) * F.coalesce(F.col("n_ad"), F.lit(1))
     out = rows.groupBy("uid", "dn", "dt").agg(
-        F.min(F.struct(F.struct(*MEMBER_COLS).alias("member"), "reg_site", "adname", "vip_id")).alias("row"),
+        F.min(F.struct(F.struct(*MEMBER_COLS).alias("member"), "reg_site", "adname", "vip")).alias("row"),
         *[F.min(c).alias(c) for c in VIP_MIN], *[F.max(c).alias(c) for c in VIP_MAX],
         F.sum(F.col("pay_sum") * weight).try_cast("decimal(20,4)").alias("paymoney"))
     return out.select("uid", "dn", "dt", "paymoney", *VIP_MIN, *VIP_MAX, "row.member.*", "row.reg_site.*", "row.adname",
-                      "row.vip_id").select(*MEMBER_WIDE)
+                      "row.vip.*").select(*MEMBER_WIDE)
 
 
 def member_wide_views(spark, member, regtype, base_ad, website, paymoney, vip_level, dt=None) -> DataFrame:

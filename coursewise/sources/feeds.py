@@ -136,6 +136,8 @@ FEEDS = {s.feed: s for s in [
           "istrue:s lasttime:s opertype:s paperid:i spendtime:i score:d1 question_answer:i"),
 ]}
 
+#: Key that marks the element put behind a line.
+_END = "__end"
 _MAP = T.MapType(T.StringType(), T.StringType())
 
 
@@ -144,11 +146,18 @@ def parsed_line(line, schema: T.DataType) -> Column:
 
     A JSON parser stops after the first value and ignores what follows, so
     the line is read as the first of two elements of an array: any other
-    text in it breaks the array or changes its length.
+    text in it breaks the array or changes its length. The second element holds
+    the line's length; if the line closes the array early, its own text stands
+    there instead. The parsed array is bound once, as the only element of
+    another: named twice, it would be parsed twice.
     """
     c = F.col(line) if isinstance(line, str) else line
-    both = F.from_json(F.concat(F.lit("["), c, F.lit(",{}]")), T.ArrayType(schema))
-    return F.filter(both, lambda x, i: (i == 0) & x.isNotNull() & (F.size(both) == 2))
+    end = F.length(c).cast("string")
+    if isinstance(schema, T.StructType):
+        schema = T.StructType([*schema.fields, T.StructField(_END, T.StringType())])
+    both = F.from_json(F.concat(F.lit("["), c, F.lit(f',{{"{_END}":"'), end, F.lit('"}]')), T.ArrayType(schema))
+    whole = F.transform(F.array(both), lambda b: F.when((F.size(b) == 2) & (F.get(b, F.lit(1))[_END] == end), F.get(b, F.lit(0))))
+    return F.filter(whole, lambda x: x.isNotNull())
 
 
 def json_object(line) -> Column:

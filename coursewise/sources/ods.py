@@ -136,7 +136,7 @@ SOURCES = {
 
 # The damaged line texts, by damage kind 0-4 (kind 5 is '{}').
 BROKEN_LINES = ("this is not json", "", "[1, 2, 3]", '"just text"', '{"broken": ', '{"dn": "webA"} and more',
-                '{"dn": "webA"}{"dn": "webB"}', '{"dn": "webA"}]')
+                '{"dn": "webA"}{"dn": "webB"}', '{"dn": "webA"}]', '{"dn": "webA"},{}],[')
 KINDS = len(BROKEN_LINES) + 1   # the last kind is the empty object
 DAMAGE_MOD, DAMAGE_AT, MISSING_MOD = 23, 5, 29
 

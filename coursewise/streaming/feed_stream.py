@@ -14,9 +14,11 @@ query. Checkpoints live in the shared folder.
 
 from __future__ import annotations
 
-import uuid
+import threading
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import cleaning
@@ -39,10 +41,12 @@ def start_feed_ingest(spark: SparkSession, feed: str, landing: str, target: str,
     Append-mode feeds go through the file sink (exactly-once appends).
     Overwrite-mode feeds (dimension snapshots) replace the partitions that a
     run touches, with all rows of the run, however many micro-batches it takes:
-    every batch is staged beside the checkpoint, and the partitions it touches
-    are replaced by what the run has staged for them so far. ``run`` names the
-    run (default: a new name each time); a run that was cut off goes on under
-    its old name.
+    every batch is staged beside the checkpoint, by partition, and the
+    partitions it touches are replaced by what the run has staged for them so
+    far. A run belongs to its checkpoint: it is closed when an
+    ``available_now`` query ends without an error (or by ``close_run``), and
+    only then the next one begins; a run that was cut off goes on where it
+    stopped. ``run`` gives a run a name of its own instead.
     """
     spec = FD.FEEDS[feed]
     rows = FD.ingest(_text_stream(spark, landing, max_files), spec)
@@ -52,17 +56,58 @@ def start_feed_ingest(spark: SparkSession, feed: str, landing: str, target: str,
         return (w.format("parquet").partitionBy(*spec.partition).option("compression", "snappy")
                 .outputMode("append").start(target))
 
-    stage = f"{checkpoint.rstrip('/')}-staged/{run or uuid.uuid4().hex}"
+    _closing(checkpoint)
+    number = _closed_runs(spark, checkpoint)
+    stage = f"{checkpoint.rstrip('/')}-staged/{run or f'run-{number}'}"
+    layout = T.StructType([T.StructField("batch", T.LongType()), *rows.schema.fields])
 
     def replace(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{stage}/batch={epoch}")  # a repeated batch replaces itself
-        spark_ = batch.sparkSession
-        touched = spark_.read.schema(batch.schema).parquet(f"{stage}/batch={epoch}").select(*spec.partition).distinct()
-        staged = spark_.read.schema(batch.schema).option("recursiveFileLookup", "true").parquet(stage)
+        # a repeated batch replaces itself
+        batch.write.mode("overwrite").partitionBy(*spec.partition).parquet(f"{stage}/batch={epoch}")
+        staged = batch.sparkSession.read.schema(layout).parquet(stage)
+        touched = staged.where(f"batch = {epoch}").select(*spec.partition).distinct()
         same = [staged[c].eqNullSafe(touched[c]) for c in spec.partition]
-        sinks.overwrite_partitions(staged.join(touched, same, "left_semi"), target, spec.partition)
+        sinks.overwrite_partitions(staged.join(touched, same, "left_semi").select(*batch.columns), target, spec.partition)
 
-    return w.foreachBatch(replace).start()
+    query = w.foreachBatch(replace).start()
+    if available_now and run is None:
+        def close() -> None:
+            try:
+                query.awaitTermination()
+            except Exception:  # the caller sees it; the run stays open
+                return
+            close_run(spark, checkpoint, number)
+
+        _CLOSERS[checkpoint] = threading.Thread(target=close)
+        _CLOSERS[checkpoint].start()
+    return query
+
+
+#: Threads that wait for the end of this process's runs, by checkpoint.
+_CLOSERS: dict[str, threading.Thread] = {}
+
+
+def _closing(checkpoint: str) -> None:
+    """Waits until a run of this process that has ended is closed."""
+    thread = _CLOSERS.pop(checkpoint, None)
+    if thread is not None:
+        thread.join()
+
+
+def _closed_runs(spark: SparkSession, checkpoint: str) -> int:
+    try:
+        done = spark.read.schema("run long").parquet(f"{checkpoint.rstrip('/')}-closed")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0
+    return done.distinct().count()
+
+
+def close_run(spark: SparkSession, checkpoint: str, number: int | None = None) -> None:
+    """Ends the snapshot that a checkpoint's runs collect: what comes next replaces it (for queries without ``available_now``)."""
+    number = _closed_runs(spark, checkpoint) if number is None else number
+    spark.createDataFrame([(number,)], "run long").coalesce(1).write.mode("append").parquet(f"{checkpoint.rstrip('/')}-closed")
 
 
 def start_behavior_clean(spark: SparkSession, landing: str, target: str, checkpoint: str,

@@ -16,6 +16,23 @@ def test_object_filter(spark):
     assert sorted(r.questionid for r in out) == [0, 1]          # '{}' kept with defaults
 
 
+def test_text_behind_the_object_is_refused(spark):
+    good = ['{"questionid": 1}', ' {"questionid": 2}\t', '{"questionid": 3, "content": "},{}],["}']
+    bad = ['{"questionid": 4},{}],[', '{"questionid": 5},{}],[{"a": 1}', '{"questionid": 6},{}]  {}', '{"questionid": 7},{}]//{}',
+           '{"questionid": 8},{"a": 2}', '{"questionid": 9}]', '{"questionid": 10},{"__end":"9"}],[{}', "null", "}"]
+    assert sorted(r.questionid for r in ingest(spark, "QzQuestion", good + bad)) == [1, 2, 3]
+    m = spark.createDataFrame([(x,) for x in good + bad], "value string").select(FD.json_object("value").alias("m")).where("m is not null")
+    assert sorted(r.m["questionid"] for r in m.collect()) == ["1", "2", "3"]
+
+
+def test_a_line_is_parsed_once(spark):
+    for feed, spec in FD.FEEDS.items():
+        lines = spark.createDataFrame([("{}",)], "value string")
+        for df in (FD.ingest(lines, spec), FD.rejects(lines, spec), FD.object_line_counts(lines)):
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("from_json(") == 1, feed
+
+
 def test_int_string_decimal_rules(spark):
     lines = [
         '{"questionid": "12", "parentid": 3.7, "optnum": "", "content": 5, "score": 0.25, "splitscore": -0.25,'

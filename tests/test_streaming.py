@@ -1,5 +1,6 @@
 """The feed ingest as an incremental (availableNow) stream: exactly-once over restarts."""
 
+import pytest
 from coursewise.plans import sinks as S
 from coursewise.session import scratch_path
 from coursewise.sources import feeds as FD
@@ -46,6 +47,28 @@ def test_overwrite_feed_keeps_all_rows_of_a_run(spark):
     assert [r.adid for r in S.read_table(spark, target, ("dn",)).collect()] == [9]     # the next run replaces
 
 
+def test_cut_off_run_goes_on_with_default_arguments(spark, monkeypatch):
+    landing, target, ckpt = (scratch_path(spark, n) for n in ("landing", "target", "ckpt"))
+    for i in (1, 2):
+        write_batch(spark, landing, [f'{{"adid": {i}, "adname": "a{i}", "dn": "w"}}'])
+    whole, calls = S.overwrite_partitions, []
+
+    def fails_once(df, path, cols):
+        calls.append(path)
+        if len(calls) == 2:
+            raise RuntimeError("executor lost")
+        return whole(df, path, cols)
+
+    monkeypatch.setattr(S, "overwrite_partitions", fails_once)
+    with pytest.raises(Exception, match="executor lost"):
+        FS.start_feed_ingest(spark, "baseadlog", landing, target, ckpt, max_files=1).awaitTermination()
+    FS.start_feed_ingest(spark, "baseadlog", landing, target, ckpt, max_files=1).awaitTermination()
+    assert sorted(r.adid for r in S.read_table(spark, target, ("dn",)).collect()) == [1, 2]
+    write_batch(spark, landing, ['{"adid": 5, "adname": "c", "dn": "w"}', '{"adid": 6, "adname": "d"}'])
+    FS.start_feed_ingest(spark, "baseadlog", landing, target, ckpt, max_files=1).awaitTermination()
+    assert sorted(r.adid for r in S.read_table(spark, target, ("dn",)).collect()) == [5, 6]
+
+
 def test_behavior_clean_stream(spark):
     from coursewise.sources.driver import BEHAVIOR_COLUMNS
     landing, target, ckpt = (scratch_path(spark, n) for n in ("landing", "clean", "ckpt"))
