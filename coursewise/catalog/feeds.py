@@ -20,24 +20,21 @@ for _feed, _spec in FD.FEEDS.items():
     register(f"feed_{_spec.target[len('dwd_'):]}", ods.expected_sql(_feed))(_feed_query(_feed))
 
 
-def _line_counts(spark, sf):
-    # the feeds of one table differ in their fields, not in which lines are objects: one pass over each table
-    by_table = {}
-    for f in FD.FEEDS:
-        by_table.setdefault(ods.SOURCES[f][:2], []).append(f)
-    out = None
-    for feeds in by_table.values():
-        one = FD.object_line_counts(ods.ods_lines(spark, sf, feeds[0])).select(
-            F.explode(F.array(*[F.lit(f) for f in feeds])).alias("feed"), "lines", "kept")
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
-register("json_object_filter", "\nUNION ALL\n".join(ods.line_counts_sql(f) for f in FD.FEEDS))(_line_counts)
-
-
-register("feed_rejects", ods.rejects_sql("member"))(
-    lambda spark, sf: FD.rejects(ods.ods_lines(spark, sf, "member"), FD.FEEDS["member"]))
+def _each_feed(build):
+    """``build(lines, spec)`` of every feed, with the feed's name."""
+    def run(spark, sf):
+        out = None
+        for feed, spec in FD.FEEDS.items():
+            one = build(ods.ods_lines(spark, sf, feed), spec).select(F.lit(feed).alias("feed"), "*")
+            out = one if out is None else out.unionByName(one)
+        return out
+    return run
+
+
+register("json_object_filter", "\nUNION ALL\n".join(ods.line_counts_sql(f) for f in FD.FEEDS))(
+    _each_feed(lambda lines, spec: FD.object_line_counts(lines)))
+register("feed_rejects", "\nUNION ALL\n".join(f"SELECT '{f}' AS feed, * FROM ({ods.rejects_sql(f)}) t" for f in FD.FEEDS))(
+    _each_feed(FD.rejects))
 
 
 def _feed_columns(feed: str, cols):

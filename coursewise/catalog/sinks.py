@@ -60,6 +60,27 @@ def _sink_tsv(spark, sf):
 register("sink_tsv", ORACLES["retention_7d"])(_sink_tsv)
 
 
+def _result_table(spark, sf):
+    """Text with NULL, empty, tab, line break and backslash through a declared table, filled twice."""
+    import uuid
+    part = driver.table(spark, sf, "part")
+    k = F.col("p_partkey") % 7
+    note = (F.when(k == 0, F.lit(None)).when(k == 1, F.lit("")).when(k == 2, F.concat("p_name", F.lit("\t"), "p_brand"))
+            .when(k == 3, F.concat(F.lit("a\nb\r"), "p_name")).when(k == 4, F.lit("\\N")).when(k == 5, F.concat(F.lit("\\t\\\\"), "p_name"))
+            .otherwise(F.col("p_name")))
+    rows = part.select("p_partkey", note.alias("note"), F.col("p_retailprice").cast("decimal(12,2)").alias("price"))
+    name = f"result_{uuid.uuid4().hex[:12]}"
+    table = SK.ResultTable(spark, name, "p_partkey long, note string, price decimal(12,2)", scratch_path(spark, name)).create()
+    table.insert_overwrite(rows.limit(3))
+    return table.insert_overwrite(rows).read()
+
+
+register("result_table", """
+SELECT p_partkey, CASE p_partkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN p_name || chr(9) || p_brand
+       WHEN 3 THEN 'a' || chr(10) || 'b' || chr(13) || p_name WHEN 4 THEN '\\N' WHEN 5 THEN '\\t\\\\' || p_name ELSE p_name END AS note,
+       CAST(p_retailprice AS DECIMAL(12,2)) AS price FROM part""")(_result_table)
+
+
 def _sink_ctas(spark, sf):
     import uuid
     name = "tmp_app_access_count_" + uuid.uuid4().hex[:12]
@@ -114,6 +135,18 @@ def _second_load(spark, sf):
 register("append_second_load", f"{_PQ}\nUNION ALL\n{_PQ}")(_second_load)
 
 
+def _named_loads(spark, sf):
+    # one load run twice and another: the rows of both, once each
+    from ..plans.warehouse import Warehouse
+    wh = Warehouse(spark)
+    for load in ("day-1", "day-1", "day-2"):
+        wh.ingest("QzPointQuestion", ods.ods_lines(spark, sf, "QzPointQuestion"), load)
+    return wh.dwd("QzPointQuestion").select(*[c.name for c in FD.FEEDS["QzPointQuestion"].cols])
+
+
+register("named_loads", f"{_PQ}\nUNION ALL\n{_PQ}")(_named_loads)
+
+
 def _preview(spark, sf):
     # S16 looks at the first rows and leaves the data as they are
     df = driver.table(spark, sf, "region")

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import member as MB
 from ..operators import quiz as QZ
 from ..operators import reports
 from ..plans import sinks as SK
 from ..plans.warehouse import Warehouse
 from ..session import scratch_path
+from ..sources import feeds as FD
 from ..sources import ods
-from .base import dwd_ctes, dwd_input, reader_sql, register, stored
+from .base import ORACLES, dwd_ctes, dwd_input, reader_sql, register, stored
 from .reports import AVG_SQL, BANDS_SQL, ERROR_RATE_SQL, LOW3_SQL, MIN_MAX_SQL, PASS_RATE_SQL, TOP3_SQL
 
 
@@ -162,10 +165,15 @@ LEFT JOIN {_reader('vip_level', 'dwd_vip_level')} USING (vip_id, dn)""")(
 
 def _layers(spark, sf, feeds):
     wh = Warehouse(spark)
-    wh.ingest_all({feed: ods.ods_lines(spark, sf, feed) for feed in feeds})
+    wh.ingest_all({feed: ods.ods_lines(spark, sf, feed) for feed in feeds}, load="first")
     return wh
 
 
+def _member_layers(spark, sf):
+    """The member warehouse of ``sf``, built once in a session."""
+    return stored(spark, ("member", sf), lambda: _layers(spark, sf, _MB_FEEDS))
+
+
 def _quiz_layers(spark, sf):
     """The quiz warehouse of ``sf``, built once in a session."""
     def build():
@@ -194,10 +202,67 @@ for _name, _fn, _sql in (("paper_avg", reports.paper_avg, AVG_SQL), ("paper_min_
     register(f"day_{_name}", _DETAIL_CTE + f", one AS (SELECT * FROM detail WHERE dt = '{QUIZ_DAY}')"
              + _sql.replace("FROM detail", "FROM one"))(_report(_fn, QUIZ_DAY))
 register("stored_paper_top3", _DETAIL_CTE + TOP3_SQL)(_report(reports.paper_top3))
+# the list form of A5: an entry for each answer, sorted
+register("paper_bands_list", _DETAIL_CTE + f""", bands AS (SELECT * FROM (WITH x AS (SELECT 1){BANDS_SQL}) t)
+SELECT paperviewid, paperviewname, score_segment, dt, dn,
+       array_to_string(list_sort(flatten(list(list_resize([userid], answers, userid)))), ',') AS userids
+FROM bands GROUP BY ALL""")(_report(lambda d: reports.paper_bands(d, as_list=True)))
+
+
+# Q1-Q6, M1 and M3 for a day, over the stored detail tables: ``dt`` prunes their partitions
+def _day_wide(build, feeds, layers):
+    def run(spark, sf):
+        wh = layers(spark, sf)
+        return build(*[wh.dwd(f) for f in feeds])
+    return run
+
+
+for _name, _build, _feeds, _sql in (("chapter_wide", QZ.chapter_wide, _CH_FEEDS, _CHAPTER_SQL), ("course_wide", QZ.course_wide, _CO_FEEDS, _COURSE_SQL),
+                                    ("major_wide", QZ.major_wide, _MA_FEEDS, _MAJOR_SQL), ("paper_wide", QZ.paper_wide, _PA_FEEDS, _PAPER_SQL),
+                                    ("question_wide", QZ.question_wide, _QU_FEEDS, _QUESTION_SQL)):
+    register(f"day_{_name}", f"{dwd_ctes(*_feeds)}SELECT * FROM ({_sql}) t WHERE dt = '{QUIZ_DAY}'")(
+        _day_wide(lambda *d, b=_build: b(*d, dt=QUIZ_DAY), _feeds, _quiz_layers))
+
+
+def _day_detail(spark, sf):
+    wh = _quiz_layers(spark, sf)
+    wide = [wh.table("dws", f"dws_qz_{n}") for n in ("chapter", "course", "major", "paper", "question")]
+    return QZ.user_paper_detail(wh.dwd("QzMemberPaperQuestion"), *wide, QUIZ_DAY)
+
+
+register("day_paper_detail", f"SELECT * FROM ({_DETAIL_SQL}) t WHERE dt = '{QUIZ_DAY}'")(_day_detail)
+register("day_member_wide", f"SELECT * FROM ({_M1_SQL}) t WHERE dt = '{QUIZ_DAY}'")(
+    _day_wide(lambda *d: MB.member_wide(*d, dt=QUIZ_DAY), _MB_FEEDS, _member_layers))
+register("day_member_join", f"SELECT * FROM ({ORACLES['member_join_broadcast']}) t WHERE dt = '{QUIZ_DAY}'")(
+    _day_wide(lambda *d: MB.member_join(*d, dt=QUIZ_DAY), _MB_FEEDS, _member_layers))
+
+
+def _ingest_counts(spark, sf):
+    """The ledger of the loads of all 23 feeds."""
+    both = _quiz_layers(spark, sf).ledger().unionByName(_member_layers(spark, sf).ledger())
+    return both.select("feed", "lines", "rows", "rejected")
+
+
+register("ingest_counts", "\nUNION ALL\n".join(
+    f"SELECT feed, lines, kept AS rows, lines - kept AS rejected FROM ({ods.line_counts_sql(f)}) t" for f in FD.FEEDS))(_ingest_counts)
+
+
+def _kept_rejects(spark, sf):
+    """What the loads of all 23 feeds kept out, from the stored rejects."""
+    out = None
+    for feed in FD.FEEDS:
+        wh = (_member_layers if feed in _MB_FEEDS else _quiz_layers)(spark, sf)
+        one = wh.rejects(feed).select(F.lit(feed).alias("feed"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+register("ingest_rejects", ORACLES["feed_rejects"])(_kept_rejects)
 
 
 def _member_layered(spark, sf):
-    wh = _layers(spark, sf, _MB_FEEDS)
+    wh = _member_layers(spark, sf)
+    wh.mode = "overwrite"  # the member table only; the loads stay
     wh.build_member()
     return wh.table("dws", "dws_member")
 

@@ -11,6 +11,7 @@ partition size: small outputs become one file, large or hot partitions several.
 
 from __future__ import annotations
 
+import re
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,6 +95,61 @@ def read_tsv(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).option("sep", "\t").csv(path)
 
 
+# Text of a result table: fields between tabs, one row a line, NULL as \N, and these characters escaped.
+NULL_MARK, ESCAPED = "\\N", (("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+class ResultTable:
+    """A catalog table of plain delimited text with declared columns, NULL mark and location.
+
+    The text table ``<name>_text`` is created by DDL at ``path`` and filled by
+    INSERT OVERWRITE; its properties record delimiter, NULL mark and columns.
+    Every value survives: NULL, empty text, tabs, line breaks and backslashes.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, schema, path: str, sep: str = "\t"):
+        from pyspark.sql import types as T
+        self.spark, self.name, self.path, self.sep = spark, name, path, sep
+        self.schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+        self.marks = ESCAPED if sep == "\t" else (*ESCAPED, (sep, "\\s"))
+
+    def create(self) -> "ResultTable":
+        quoted = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'").replace("\t", "\\t") + "'"
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in self.schema.fields)
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name}_text (value STRING) USING text LOCATION {quoted(self.path)} TBLPROPERTIES ("
+                       f"'field.delim' = {quoted(self.sep)}, 'null.mark' = {quoted(NULL_MARK)}, 'columns' = {quoted(columns)})")
+        return self
+
+    def insert_overwrite(self, df: DataFrame) -> "ResultTable":
+        """Fills the table with the rows of ``df``, columns by name."""
+        fields = []
+        for f in self.schema.fields:
+            v = F.replace(F.col(f.name).cast(f.dataType).cast("string"), F.lit("\\"), F.lit("\\\\"))
+            for raw, mark in self.marks:
+                v = F.replace(v, F.lit(raw), F.lit(mark))
+            fields.append(F.coalesce(v, F.lit(NULL_MARK)))
+        view = f"{self.name}_rows"
+        df.select(F.concat_ws(self.sep, *fields).alias("value")).createOrReplaceTempView(view)
+        self.spark.sql(f"INSERT OVERWRITE TABLE {self.name}_text SELECT value FROM {view}")
+        self.spark.catalog.dropTempView(view)
+        return self
+
+    def read(self) -> DataFrame:
+        """The rows with their declared types."""
+        part = F.split(F.col("value"), re.escape(self.sep), -1)
+        out = []
+        for i, f in enumerate(self.schema.fields):
+            raw = part[i]
+            # a doubled backslash is one; between those, marks are what they stand for
+            def plain(x):
+                for c, mark in self.marks:
+                    x = F.replace(x, F.lit(mark), F.lit(c))
+                return x
+            text = F.array_join(F.transform(F.split(raw, r"\\\\", -1), plain), "\\")
+            out.append(F.when(raw != NULL_MARK, text).cast(f.dataType).alias(f.name))
+        return self.spark.table(f"{self.name}_text").select(*out)
+
+
 def register_views(views: dict) -> None:
     """Name -> DataFrame as temp views."""
     for name, df in views.items():

@@ -7,11 +7,19 @@ lineage: a lost executor only re-runs the current step. Tables that the
 reference appends to are appended to, so a second load of a day adds its rows;
 ``mode='overwrite'`` asks for steps that replace the partitions they write
 (dynamic partition overwrite) and may be run again.
+
+A feed load may carry a name. Its rows, its rejects and its line of the ledger
+then lie in folders of that load, and running it again replaces them: the same
+load twice adds its rows once, two loads add both.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import cleaning as CL
 from ..operators import member as MB
@@ -21,11 +29,15 @@ from ..session import scratch_path
 from . import sinks
 
 
+LEDGER = "feed string, load string, lines long, rows long, rejected long"
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str | None = None, mode: str = "append"):
         self.spark = spark
         self.root = (root or scratch_path(spark, "warehouse")).rstrip("/")
         self.mode = mode
+        self.counts: dict = {}     # feed -> lines, rows and rejected lines of this run's last load
         self._schemas: dict = {}   # path -> schema written by this run (partition columns as text)
 
     # ------------------------------------------------------------ storage
@@ -37,27 +49,70 @@ class Warehouse:
         if p in self._schemas:   # known layout: no schema inference pass over the folder
             df = self.spark.read.schema(self._schemas[p]).parquet(p)
         else:
-            df = sinks.read_table(self.spark, p, partition_cols)
-        return df
+            df = sinks.read_table(self.spark, p, (*partition_cols, "load"))
+        return df.drop("load")
 
-    def _write(self, df: DataFrame, layer: str, table: str, partition_cols, mode: str | None = None) -> str:
+    def _write(self, df: DataFrame, layer: str, table: str, partition_cols, mode: str | None = None,
+               load: str | None = None) -> str:
         mode = mode or self.mode
         p = self.path(layer, table)
         from pyspark.sql import types as T
         data = [f for f in df.schema.fields if f.name not in partition_cols]
-        self._schemas[p] = T.StructType(data + [T.StructField(c, T.StringType(), True) for c in partition_cols])
+        levels = [*(["load"] if load else []), *partition_cols]
+        self._schemas[p] = T.StructType(data + [T.StructField(c, T.StringType(), True) for c in levels])
+        if load:
+            sinks.compact(df, partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+                *partition_cols).parquet(f"{p}/load={load}")
+            return p
         if mode == "append":
             return sinks.append_partitioned(df, p, partition_cols)
         return sinks.overwrite_partitions(df, p, partition_cols)
 
     # ------------------------------------------------------------ DWD
-    def ingest(self, feed: str, lines: DataFrame) -> str:
-        """One feed job (F1-F23): parse, then append / overwrite per the spec."""
+    def ingest(self, feed: str, lines: DataFrame, load: str | None = None) -> str:
+        """One feed job (F1-F23): parse, then append / overwrite per the spec.
+
+        Lines are parsed once, into a written intermediate that feeds the table
+        and its rejects; ``counts[feed]`` has the lines read, the rows and the
+        lines with a reject. A named ``load`` may be run again (append feeds; the
+        tables of a feed take either named loads or nameless ones).
+        """
         spec = FD.FEEDS[feed]
         mode = "overwrite" if spec.mode == "overwrite" else self.mode
-        return self._write(FD.ingest(lines, spec), "dwd", spec.target, spec.partition, mode)
+        if load is not None and not re.fullmatch(r"[\w.-]+", load):
+            raise ValueError(f"a load is named by letters, digits and ._-: {load!r}")
+        load = load if spec.mode == "append" else None  # snapshots replace anyway
+        counted, parsed = Observation(), FD.parsed(lines, spec)
+        path = scratch_path(self.spark, f"parsed-{spec.target}")
+        parsed.observe(counted, F.count(F.lit(1)).alias("lines"), F.count(F.when(F.col("_kept"), 1)).alias("rows"),
+                       F.count(F.when(F.size("_reasons") > 0, 1)).alias("rejected")).write.parquet(path)
+        staged = self.spark.read.schema(parsed.schema).parquet(path)
+        rejects = staged.where(F.size("_reasons") > 0).select(F.col("_line").alias("line"), F.explode("_reasons").alias("reason"))
+        own = f"/load={load}" if load else ""
+        sinks.compact(rejects).write.mode("overwrite" if load else mode).option("partitionOverwriteMode", "static").parquet(
+            self.path("dwd_rejects", spec.target) + own)
+        out = self._write(staged.where("_kept").drop("_kept", "_reasons", "_line"), "dwd", spec.target, spec.partition, mode, load)
+        self.counts[feed] = c = counted.get
+        # last: a load is in the ledger when its rows and rejects are written
+        ledger = self.spark.createDataFrame([(feed, load, c["lines"], c["rows"], c["rejected"])], LEDGER)
+        ledger.coalesce(1).write.mode("overwrite" if load else mode).parquet(f"{self.path('dwd_ledger', feed)}/{load or 'nameless'}")
+        return out
 
-    def ingest_all(self, lines_by_feed: dict, parallel: int = 4) -> dict:
+    def rejects(self, feed: str) -> DataFrame:
+        """(line, reason) of the lines that the loads of a feed dropped or changed."""
+        return self.spark.read.schema("line string, reason string").option("recursiveFileLookup", "true").parquet(
+            self.path("dwd_rejects", FD.FEEDS[feed].target))
+
+    def ledger(self) -> DataFrame:
+        """(feed, load, lines, rows, rejected) of every load."""
+        try:
+            return self.spark.read.schema(LEDGER).option("recursiveFileLookup", "true").parquet(self.path("dwd_ledger", ""))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], LEDGER)
+
+    def ingest_all(self, lines_by_feed: dict, parallel: int = 4, load: str | None = None) -> dict:
         """Run independent feed jobs concurrently (one Spark job per feed).
 
         The feeds do not depend on each other; submitting several at once
@@ -66,7 +121,7 @@ class Warehouse:
         """
         from concurrent.futures import ThreadPoolExecutor
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-            futures = {feed: pool.submit(self.ingest, feed, lines) for feed, lines in lines_by_feed.items()}
+            futures = {feed: pool.submit(self.ingest, feed, lines, load) for feed, lines in lines_by_feed.items()}
             return {feed: f.result() for feed, f in futures.items()}
 
     def dwd(self, feed: str) -> DataFrame:
@@ -90,7 +145,6 @@ class Warehouse:
         return self.spark.read.parquet(self.path("dwd", "user_behavior_rejects"))
 
     def behavior(self) -> DataFrame:
-        from pyspark.sql import functions as F
         t = self.spark.read.parquet(self.path("dwd", "user_behavior"))
         return t.withColumn("dt", F.col("dt").cast("int"))
 

@@ -219,17 +219,8 @@ def line_schema(spec: FeedSpec) -> T.StructType:
     return T.StructType([T.StructField(k, T.StringType()) for k in keys])
 
 
-def ingest(lines: DataFrame, spec: FeedSpec, col: str = "value") -> DataFrame:
-    """Raw feed lines -> typed DWD rows (columns in table order).
-
-    Each line is parsed straight into a struct of the feed's keys (field
-    access, not a key search per column). A line that is not one JSON object
-    is dropped (``rejects`` has it); ``{}`` is an object and is kept. The drop
-    happens inside a 0/1-element ``explode``: a plain filter on the parsed
-    value would be pushed below the projection and parse every line twice.
-    """
-    objs = lines.select(F.explode(parsed_line(col, line_schema(spec))).alias("_m"))
-    m = F.col("_m")
+def _columns(m: Column, spec: FeedSpec) -> list[Column]:
+    """The table's columns of a parsed line, in order."""
     # every column read from the line, including the raw inputs of masks
     parsed_cols = {c.name: _typed(m, c) for c in spec.cols
                    if spec.derived.get(c.name) != "regsource_label"}
@@ -237,18 +228,12 @@ def ingest(lines: DataFrame, spec: FeedSpec, col: str = "value") -> DataFrame:
     for c in spec.cols:
         expr = _derived(spec.derived[c.name], parsed_cols) if c.name in spec.derived else parsed_cols[c.name]
         out.append(expr.alias(c.name))
-    return objs.select(*out)
+    return out
 
 
-def rejects(lines: DataFrame, spec: FeedSpec, col: str = "value") -> DataFrame:
-    """(line, reason) of what ``ingest`` drops or changes without a trace in its rows, a row for each reason.
-
-    ``not_an_object``: the line is dropped. ``bad_number:<key>``: an integer
-    field holds other text and became 0. ``short_phone`` and ``empty_name``:
-    the masked field became NULL.
-    """
-    m = F.get(F.col("_p"), F.lit(0))
-    found = [F.when(F.size("_p") == 1, F.lit(None)).otherwise(F.lit("not_an_object"))]
+def _reasons(m: Column, spec: FeedSpec) -> Column:
+    """What a row of the parsed line (NULL: no object) doesn't show, as an array of reasons."""
+    found = [F.when(m.isNull(), F.lit("not_an_object"))]
     for c in spec.cols:
         rule = spec.derived.get(c.name)
         if c.kind == "i" and rule is None:
@@ -261,8 +246,44 @@ def rejects(lines: DataFrame, spec: FeedSpec, col: str = "value") -> DataFrame:
         elif rule == "mask_name":
             v = json_string(m, *c.json_keys)
             found.append(F.when(F.length(v) < 1, F.lit("empty_name")))
-    parsed = lines.select(F.col(col).alias("line"), F.coalesce(parsed_line(col, line_schema(spec)), F.array()).alias("_p"))
-    return parsed.select("line", F.explode(F.array_compact(F.array(*found))).alias("reason"))
+    return F.array_compact(F.array(*found))
+
+
+def ingest(lines: DataFrame, spec: FeedSpec, col: str = "value") -> DataFrame:
+    """Raw feed lines -> typed DWD rows (columns in table order).
+
+    Each line is parsed straight into a struct of the feed's keys (field
+    access, not a key search per column). A line that is not one JSON object
+    is dropped (``rejects`` has it); ``{}`` is an object and is kept. The drop
+    happens inside a 0/1-element ``explode``: a plain filter on the parsed
+    value would be pushed below the projection and parse every line twice.
+    """
+    objs = lines.select(F.explode(parsed_line(col, line_schema(spec))).alias("_m"))
+    return objs.select(*_columns(F.col("_m"), spec))
+
+
+def parsed(lines: DataFrame, spec: FeedSpec, col: str = "value") -> DataFrame:
+    """Rows and rejects from one parse: the table's columns, ``_kept`` (the line is an object), ``_reasons``, ``_line``.
+
+    The line itself is there only with a reason. Written once, it feeds the
+    table and its rejects (``Warehouse.ingest``).
+    """
+    m = F.col("_m")
+    objs = lines.select(F.col(col).alias("_line"), F.explode_outer(parsed_line(col, line_schema(spec))).alias("_m"))
+    with_reasons = objs.select("_line", "_m", _reasons(m, spec).alias("_reasons"))
+    return with_reasons.select(*_columns(m, spec), m.isNotNull().alias("_kept"), "_reasons",
+                               F.when(F.size("_reasons") > 0, F.col("_line")).alias("_line"))
+
+
+def rejects(lines: DataFrame, spec: FeedSpec, col: str = "value") -> DataFrame:
+    """(line, reason) of what ``ingest`` drops or changes without a trace in its rows, a row for each reason.
+
+    ``not_an_object``: the line is dropped. ``bad_number:<key>``: an integer
+    field holds other text and became 0. ``short_phone`` and ``empty_name``:
+    the masked field became NULL.
+    """
+    objs = lines.select(F.col(col).alias("line"), F.explode_outer(parsed_line(col, line_schema(spec))).alias("_m"))
+    return objs.select("line", F.explode(_reasons(F.col("_m"), spec)).alias("reason"))
 
 
 def object_line_counts(lines: DataFrame, col: str = "value") -> DataFrame:

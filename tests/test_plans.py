@@ -9,7 +9,7 @@ from coursewise import catalog
 SF = "/root/testdata/sf0.001"
 SIDE_EFFECTS = {"sink_orc", "sink_append", "sink_dynamic_overwrite", "sink_tsv", "sink_ctas", "partition_copy",
                 "paper_report_layered", "member_wide_layered", "feed_stream_ingest", "member_wide_views",
-                "behavior_table_funnel", "behavior_table_retention", "clean_typed_projection"}
+                "behavior_table_funnel", "behavior_table_retention", "clean_typed_projection", "result_table", "named_loads"}
 
 
 def plan(df) -> str:

@@ -84,3 +84,18 @@ def test_warehouse_appends_unless_asked_to_replace(spark):
     old.ingest("QzPointQuestion", lines)
     old.ingest("QzPointQuestion", lines)
     assert old.dwd("QzPointQuestion").count() == 4
+
+
+def test_result_table_keeps_every_text(spark, tmp_path):
+    rows = [(1, None), (2, ""), (3, "a\tb"), (4, "x\ny\r\nz"), (5, "\\N"), (6, "\\t\\\\n"), (7, "|;|"), (8, "\\"), (None, "é\x0b")]
+    df = spark.createDataFrame(rows, "k int, v string")
+    for sep in ("\t", "|"):
+        name = f"result_{'tab' if sep == chr(9) else 'bar'}"
+        t = S.ResultTable(spark, name, "k int, v string", str(tmp_path / name), sep).create()
+        t.insert_overwrite(df.limit(2))
+        t.insert_overwrite(df)
+        key = lambda r: repr(r)
+        assert sorted(map(tuple, t.read().collect()), key=key) == sorted(rows, key=key)
+        lines = [r.value for r in spark.read.text(str(tmp_path / name)).collect()]
+        assert len(lines) == len(rows) and all(x.count(sep) == 1 for x in lines)
+        spark.sql(f"DROP TABLE {name}_text")

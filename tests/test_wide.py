@@ -111,3 +111,12 @@ def test_paper_without_centre_kept(spark):
 
 def test_paper_detail_columns(spark):
     assert len(QZ.PAPER_DETAIL) == 119 and len(set(QZ.PAPER_DETAIL)) == 119
+
+
+def test_vip_columns_come_from_one_joined_row(spark):
+    member, reg, ad, site, pay, _ = member_inputs(spark)
+    vip = dwd(spark, "pcenterMemViplevel", [
+        {"vip_id": 1, "max_free": "9", "min_free": "9", "operator": "zoe", "dn": "w"},
+        {"vip_id": 2, "max_free": "1", "min_free": "1", "operator": "amy", "dn": "w"}])
+    row = MB.member_wide(member, reg, ad, site, pay, vip).where("uid = 1").first()
+    assert (row.vip_id, row.vip_max_free, row.vip_min_free, row.vip_operator) == (1, "9", "9", "zoe")
