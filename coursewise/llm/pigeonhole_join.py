@@ -36,7 +36,7 @@ from coursewise.llm.common import Words, chunks, components, folded, mixed, run_
 
 #: Entries of a task that meets signatures, and that a task holds before it deals them; sketch cells; bytes of the filter of
 #: sets to re-read.
-ENTRIES, HELD, CELLS, FILTER = 1 << 19, 1 << 18, 1 << 18, 16 << 20
+ENTRIES, HELD, CELLS, FILTER = 1 << 19, 1 << 18, 1 << 18, 4 << 20
 #: Bytes of the sketches that travel with signatures; sets of a signature that one task compares.
 BRIEF, BLOCK = 64, 2048
 #: Roles of an entry: a subset or a deletion in the index; a probe of subsets, and of deletions too.
