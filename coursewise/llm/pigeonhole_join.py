@@ -316,17 +316,6 @@ def _ordered(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
-def _star(bands: Bands):
-    """Pairs of a set and a leader of its signatures that their brief sketches don't rule out."""
-    def run(batches):
-        for b in batches:
-            a, to, n, m = (b.column(i).to_numpy() for i in range(4))
-            near = np.bitwise_count(_briefs(b.column(4)) ^ _briefs(b.column(5))).sum(axis=1)
-            keep = near <= bands.largest_difference(n, m)
-            yield _ordered(a[keep], to[keep])
-    return run
-
-
 def _pairs(bands: Bands, nearest: bool):
     """Plausible pairs of sets of a signature that are in different components.
 
@@ -481,11 +470,11 @@ def _edges(rows: DataFrame, classes: DataFrame, bands: Bands, counts: np.ndarray
         return pairs
 
     def sided(side: str):
-        return [F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "label", "brief")]
+        return [F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "label")]
 
     edges, tested = spark.createDataFrame([], "a long, b long"), None
     member = sets.groupBy("id").agg(F.min("n").alias("n"), F.min("brief").alias("brief"))
-    apart = shared.join(member, "id").withColumn("label", F.col("id"))
+    apart = shared.join(member.select("id", "n"), "id").withColumn("label", F.col("id"))
     steps = [*["star"] * stars, "nearest", "all"]
     for k, step in enumerate(steps):
         # signatures whose sets are not yet one component
@@ -496,9 +485,9 @@ def _edges(rows: DataFrame, classes: DataFrame, bands: Bands, counts: np.ndarray
         if step == "star":
             star = apart.select("sig", *sided("a")).join(several, "sig").where(
                 f"label_a <> label_b and least(n_a, n_b) * 100 >= greatest(n_a, n_b) * {bands.percent}")
-            pairs = star.select("id_a", "id_b", "n_a", "n_b", "brief_a", "brief_b").mapInArrow(_star(bands), "a long, b long")
+            pairs = star.select(F.greatest("id_a", "id_b").alias("a"), F.least("id_a", "id_b").alias("b"))
         else:
-            pairs = _dealt(apart).mapInArrow(_pairs(bands, step == "nearest"), "a long, b long")
+            pairs = _dealt(apart.join(member.select("id", "brief"), "id")).mapInArrow(_pairs(bands, step == "nearest"), "a long, b long")
         pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -508,7 +497,7 @@ def _edges(rows: DataFrame, classes: DataFrame, bands: Bands, counts: np.ndarray
         if step != "all":
             found = components(edges, "pigeonhole")
             apart = written(apart.join(found, F.col("id") == F.col("v"), "left").select(
-                "sig", "id", "role", "n", "brief", F.coalesce(found.label, "id").alias("label")), f"pigeonhole-apart-{k}")
+                "sig", "id", "role", "n", F.coalesce(found.label, "id").alias("label")), f"pigeonhole-apart-{k}")
     return edges
 
 
