@@ -37,6 +37,8 @@ from coursewise.llm.common import Words, chunks, components, folded, mixed, run_
 #: Entries of a task that meets signatures, and that a task holds before it deals them; sketch cells; bytes of the filter of
 #: sets to re-read.
 ENTRIES, HELD, CELLS, FILTER = 1 << 19, 1 << 18, 1 << 18, 4 << 20
+#: Bytes of text hashed at a time (working arrays take some 80 times as much).
+CHUNK = 1 << 19
 #: Bytes of the sketches that travel with signatures; sets of a signature that one task compares.
 BRIEF, BLOCK = 64, 2048
 #: Roles of an entry: a subset or a deletion in the index; a probe of subsets, and of deletions too.
@@ -48,7 +50,7 @@ SALT, ROLELESS = np.uint64(0x5851F42D4C957F2D), ~np.uint64(15)
 
 def _sets(column: pa.Array, shingle: int):
     """(row, sorted distinct shingle hashes) of the texts of a batch that have words."""
-    for c in chunks(column):
+    for c in chunks(column, CHUNK):
         w = Words(c, lower=True)
         many = run_hashes(w.hash, shingle)
         for i in range(c.rows):
