@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..operators import behavior
+from ..operators import behavior, bitmaps
 from ..plans import sinks as SK
 from ..plans.warehouse import Warehouse
 from ..session import scratch_path
@@ -99,3 +99,33 @@ register("window_retention", stored_sql(LOG_CTE) + retention_sql(f"dt BETWEEN {W
     lambda spark, sf: behavior.retention_7d(_stored_log(spark, sf), *WINDOW))
 register("behavior_rejects", clean_sql(False, TEXT_LINES_CTE))(
     lambda spark, sf: stored(spark, ("log", sf), lambda: _load_log(spark, sf)).behavior_rejects())
+
+
+# users as stored bitmaps of each day: the counts of each day, and distinct counts over a window of days
+def _bitmaps(spark, sf, *window):
+    def build():
+        wh = stored(spark, ("log", sf), lambda: _load_log(spark, sf))
+        wh.store_user_bitmaps()
+        wh.store_user_bitmaps(DAY)  # a day run again replaces its own
+        return wh
+    return stored(spark, ("bitmaps", sf), build).user_bitmaps(*window)
+
+
+_RANGE = stored_sql(LOG_CTE) + f", range_log AS (SELECT * REPLACE (0 AS dt) FROM log WHERE dt BETWEEN {WINDOW[0]} AND {WINDOW[1]})"
+for _name, _fn, _sql in (("video_feedback", bitmaps.video_feedback, VIDEO_SQL),
+                         ("channel_new_users", bitmaps.channel_new_users, CHANNEL_SQL),
+                         ("study_funnel", bitmaps.study_funnel, FUNNEL_SQL)):
+    register(f"bitmap_{_name}", stored_sql(LOG_CTE) + _sql)(lambda spark, sf, f=_fn: f(_bitmaps(spark, sf), by_day=True))
+    register(f"range_{_name}", f"SELECT * EXCLUDE (dt) FROM ({_RANGE + _sql.replace('FROM log', 'FROM range_log')})")(
+        lambda spark, sf, f=_fn: f(_bitmaps(spark, sf, *WINDOW)))
+
+
+def _daily_retention(spark, sf):
+    # a day at a time, the third run twice
+    wh = stored(spark, ("log", sf), lambda: _load_log(spark, sf))
+    for day in (*range(WINDOW[0], WINDOW[1] + 1), WINDOW[0] + 2):
+        wh.update_retention(day)
+    return wh.retention(*WINDOW)
+
+
+register("daily_retention", ORACLES["window_retention"])(_daily_retention)

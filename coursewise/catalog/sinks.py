@@ -155,3 +155,17 @@ def _preview(spark, sf):
 
 
 register("preview_rows", "SELECT r_regionkey, r_name FROM region")(_preview)
+
+
+def _replaced_table(spark, sf):
+    # filled, and filled anew in one catalog change
+    import uuid
+    name = "replaced_" + uuid.uuid4().hex[:12]
+    root, log = scratch_path(spark, name), behavior_input(spark, sf)
+    counts = log.groupBy("uid", "dt").agg(F.count(F.lit(1)).alias("access_count"))
+    SK.replace_table(counts.where("access_count > 1"), name, root)
+    return spark.table(SK.replace_table(counts, name, root))
+
+
+register("replaced_table", f"SELECT uid, dt, count(*) AS access_count FROM ({driver.behavior_log_sql()}) t GROUP BY uid, dt")(
+    _replaced_table)

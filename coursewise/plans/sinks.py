@@ -85,6 +85,33 @@ def save_table(df: DataFrame, name: str, path: str, fmt: str = "parquet") -> str
     return name
 
 
+def replace_table(df: DataFrame, name: str, root: str, fmt: str = "parquet") -> str:
+    """S9 without a gap: fill a catalog table anew while readers keep the old rows.
+
+    The rows go to a fresh folder under ``root``; when they are all written,
+    the table's location is set to it in one catalog change. A write that
+    fails leaves the table as it was. Older folders stay for queries still
+    reading them (remove them when those have ended). The columns of an
+    existing table must stay the same; otherwise ``save_table`` makes it anew.
+    """
+    import uuid
+    spark = df.sparkSession
+    old = spark.table(name).schema if spark.catalog.tableExists(name) else None
+    shape = lambda schema: [(f.name, f.dataType.simpleString()) for f in schema.fields]
+    if old is not None and shape(old) != shape(df.schema):
+        raise ValueError(f"{name} has other columns than the new rows")
+    path = f"{root.rstrip('/')}/{uuid.uuid4().hex[:12]}"
+    compact(df).write.mode("errorifexists").format(fmt).save(path)
+    at = path.replace("\\", "\\\\").replace("'", "\\'")
+    if old is None:
+        columns = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING {fmt} LOCATION '{at}'")
+    else:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{at}'")
+        spark.catalog.refreshTable(name)
+    return name
+
+
 def write_tsv(df: DataFrame, path: str) -> str:
     """Tab-delimited text result (overwrite)."""
     df.write.mode("overwrite").option("sep", "\t").option("header", "false").csv(path)

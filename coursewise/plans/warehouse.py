@@ -21,9 +21,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import bitmaps as BM
 from ..operators import cleaning as CL
 from ..operators import member as MB
 from ..operators import quiz as QZ
+from ..operators import retention_state as RS
 from ..sources import feeds as FD
 from ..session import scratch_path
 from . import sinks
@@ -148,6 +150,32 @@ class Warehouse:
         t = self.spark.read.parquet(self.path("dwd", "user_behavior"))
         return t.withColumn("dt", F.col("dt").cast("int"))
 
+    def store_user_bitmaps(self, day=None) -> str:
+        """The bitmaps of a day's users (every day of the log when None); a day run again replaces its own."""
+        log = self.behavior()
+        days = log if day is None else log.where(F.col("dt") == int(day))
+        return sinks.overwrite_partitions(BM.user_bitmaps(days), self.path("dws", "user_bitmaps"), ("dt",))
+
+    def user_bitmaps(self, start_day=None, end_day=None) -> DataFrame:
+        """The stored bitmaps of a range of days: other days' folders aren't read."""
+        return self._days(self.spark.read.parquet(self.path("dws", "user_bitmaps")), start_day, end_day)
+
+    def update_retention(self, day: int) -> str:
+        """Adds a day to the retention state, from its log and the registrations of the six days before."""
+        state = RS.day_state(self.behavior(), int(day))
+        return sinks.overwrite_partitions(state, self.path("dws", "retention_state"), ("dt",))
+
+    def retention(self, start_day: int, end_day: int) -> DataFrame:
+        """B6 over a window of days that are in the state."""
+        state = self.spark.read.schema(RS.STATE).parquet(self.path("dws", "retention_state"))
+        return RS.retention(state, int(start_day), int(end_day))
+
+    @staticmethod
+    def _days(df: DataFrame, start_day, end_day) -> DataFrame:
+        if start_day is not None:
+            df = df.where(F.col("dt") >= int(start_day))
+        return df if end_day is None else df.where(F.col("dt") <= int(end_day))
+
     # ------------------------------------------------------------ DWS
     def build_quiz(self, dt=None) -> dict:
         """Q1-Q6 from the DWD tables of day ``dt`` (every day when None)."""
