@@ -153,92 +153,208 @@ def payload_of(head: dict[str, str], block: bytes) -> bytes:
     return block
 
 
-def _member(read, at: int, size: int) -> tuple[bytes, int]:
-    """(content, end) of the gzip member at ``at``; raises Damaged if it isn't whole."""
-    z, out, pos = zlib.decompressobj(31), [], at
-    while not z.eof:
-        got = read(pos, _BLOCK)
-        if not got:
-            raise Damaged("member cut off")
-        try:
-            out.append(z.decompress(got))
-        except zlib.error as e:
-            raise Damaged("gzip member") from e
-        pos += len(got)
-    return b"".join(out), pos - len(z.unused_data)
+class _Inflated:
+    """The content of the gzip member at an offset of an archive, inflated as it is read.
+
+    ``end`` is the member's end once it is reached, ``error`` what broke the
+    member off; what was inflated before the damage can still be read.
+    """
 
+    def __init__(self, read, at: int):
+        self._read, self._pos, self._z, self._tail = read, at, zlib.decompressobj(31), b""
+        self._held, self._from = bytearray(), 0
+        self.end, self.error = None, None
 
-def _find(read, at: int, size: int, pattern) -> int:
-    """Where ``pattern`` next matches at or after ``at``; ``size`` if nowhere. Reads a block at a time."""
+    def _more(self) -> bool:
+        if self.end is not None or self.error is not None:
+            return False
+        got = self._tail
+        if not got:
+            got = self._read(self._pos, _BLOCK)
+            self._pos += len(got)
+        if not got:
+            self.error = "member cut off"
+            return False
+        before = self._z.copy()
+        try:
+            self._held += self._z.decompress(got, _BLOCK)
+        except zlib.error:
+            self.error = "gzip member"
+            try:
+                for i in range(len(got)):  # up to the byte that fails
+                    self._held += before.decompress(got[i:i + 1])
+            except zlib.error:
+                pass
+            return True
+        self._tail = self._z.unconsumed_tail
+        if self._z.eof:
+            self.end = self._pos - len(self._z.unused_data)
+        return True
+
+    def read(self, at: int, n: int) -> bytes:
+        while self._from + len(self._held) < at + n and self._more():
+            pass
+        return bytes(self._held[at - self._from:at - self._from + n])
+
+    def forget(self, before: int) -> None:
+        del self._held[:before - self._from]
+        self._from = before
+
+
+def _find(read, at: int, pattern) -> int | None:
+    """Where ``pattern`` next matches at or after ``at``, if anywhere. Reads a block at a time."""
     keep = 16
-    while at < size:
-        got = read(at, _BLOCK + keep)
+    while got := read(at, _BLOCK + keep):
         if m := pattern.search(got):
             return at + m.start()
-        at += max(1, len(got) - keep)
-    return size
+        if len(got) <= keep:
+            break
+        at += len(got) - keep
+    return None
 
 
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
+_LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*([0-9]{1,18})[ \t]*(?=\r\n)", re.I)
+#: Records that are followed from a candidate start on, to see whether they are a payload's.
+_CHAIN = 64
+
+
+def _resume(read, at: int, first: bool) -> int | None:
+    """Where to go on after a failed record at ``at``: the next start that isn't part of a payload.
+
+    If the Content-Length of the headers here (without a start among them)
+    leads to a start (or the end), all that lies before is its payload; that is only asked of the ``first``
+    record of a gap. Else the next candidate counts, unless the records from
+    it on end at the closing lines of another record: these are the end of
+    the damaged one's payload.
+    """
+    if first:
+        start = read(at, _HEADER)
+        stop = start.find(b"\r\n\r\n")
+        if stop >= 0 and not _START.search(start, 1, stop) and (m := _LENGTH.search(start[:stop + 2])):
+            end = at + stop + 8 + int(m[1])
+            if read(end - 4, 4) == b"\r\n\r\n" and (not (after := read(end, 16)) or _START.match(after)):
+                return end
+    here = _find(read, at + 1, _START)
+    while here is not None and (end := _payload_end(read, here)) is not None:
+        here = _find(read, end, _START)
+    return here
+
+
+def _payload_end(read, at: int) -> int | None:
+    """Where the record ends whose payload ends with the records from ``at`` on; None if they are nobody's payload."""
+    for _ in range(_CHAIN):
+        try:
+            at = _plain(read, at)[2]
+        except Damaged:
+            return None
+        after = read(at, 16)
+        if after[:4] == b"\r\n\r\n" and (len(after) == 4 or _START.match(after, 4)):
+            return at + 4
+    return None
+
+
+def _inside(content: _Inflated) -> Iterator[tuple]:
+    """(headers, block, None) of each record of a member's content, (None, None, reason) of what lies between."""
+    at, amid = 0, False
+    while content.read(at, 1):
+        try:
+            head, block, end = _plain(content.read, at)
+        except Damaged as e:
+            end = _resume(content.read, at, not amid)
+            yield None, None, f"{e} at byte {at} of the member's content, to {'its end' if end is None else end}"
+            if end is None:
+                return
+            amid = True
+        else:
+            amid = False
+            yield head, block, None
+        at = end
+        content.forget(at)
+
+
+def _digested(head: dict[str, str]) -> bool:
+    names = ["warc-block-digest"] + ["warc-payload-digest"] * (head.get("warc-type") == "response")
+    return any(head.get(n, "").lower().startswith("sha256:") for n in names)
 
 
 def salvage(read, size: int) -> Iterator[tuple]:
     """("record", offset, headers, block) and ("gap", offset, length, reason) of an archive, in order.
 
     ``read(offset, n)`` gives up to n bytes of it; no more than the record at
-    hand and one block is held. A candidate start counts only when the record
-    there passes every check, so a member or version line inside a payload
-    misleads nothing.
+    hand and one block is held, also of a member with many records (unless its
+    records have no digests: those wait for the member's own check). Records
+    of a member are taken one by one, also before the place where it breaks
+    off; a record lost in a whole member is logged as a gap at the member,
+    with its place in the content as the reason. A candidate start counts only
+    when the record there passes every check. Whole records in the payload of
+    a damaged plain record aren't taken for the archive's where that record's
+    length or its closing lines show them to be payload; a whole member that
+    lies uncompressed in a damaged member can't be told from one of the archive.
     """
     at, gap, reason = 0, -1, ""
     while at < size:
-        try:
-            head3 = read(at, 3)
-            if head3 == GZIP:
-                content, end = _member(read, at, size)
-                found, pos = [], 0
-                while pos < len(content):
-                    head, block, pos = parse(content, pos)
-                    found.append((head, block))
-            else:
-                found, end = _plain(read, at, size)
-        except Damaged as e:
+        records, lost, why, end = [], [], None, None
+        if read(at, 3) == GZIP:
+            member = _Inflated(read, at)
+            for head, block, damage in _inside(member):
+                if damage:
+                    lost.append(damage)
+                elif records or not _digested(head):
+                    records.append((head, block))
+                else:
+                    if gap >= 0:
+                        yield "gap", gap, at - gap, reason
+                        gap = -1
+                    yield "record", at, head, block
+            if member.error:
+                records, why = [], member.error
+            end = member.end
+        else:
+            try:
+                head, block, end = _plain(read, at)
+                records = [(head, block)]
+            except Damaged as e:
+                why = str(e)
+        if why:
+            goes_on = _resume(read, at, gap < 0)
             if gap < 0:
-                gap, reason = at, str(e)
-            at = _find(read, at + 1, size, _START)
-            continue
-        if not found and gap >= 0:  # an empty member proves nothing amid damage
-            at = end
+                gap, reason = at, why
+            at = size if goes_on is None else goes_on
             continue
-        if gap >= 0:
+        if records and gap >= 0:  # an empty member proves nothing amid damage
             yield "gap", gap, at - gap, reason
             gap = -1
-        for head, block in found:
+        for head, block in records:
             yield "record", at, head, block
+        if gap < 0:
+            for damage in lost:
+                yield "gap", at, end - at, damage
         at = end
     if gap >= 0:
         yield "gap", gap, size - gap, reason
 
 
-def _plain(read, at: int, size: int) -> tuple[list, int]:
-    """The uncompressed record at ``at``, read only as far as its headers say."""
+def _plain(read, at: int) -> tuple[dict[str, str], bytes, int]:
+    """(headers, block, end) of the uncompressed record at ``at``, read only as far as its headers say."""
     start = read(at, _HEADER)
     if not _VERSION_LINE.match(start):
         raise Damaged("version line")
     stop = start.find(b"\r\n\r\n")
     if stop < 0:  # a very long header
-        stop = _find(read, at, size, _HEADER_END) - at
-        if at + stop >= size:
+        stop = _find(read, at, _HEADER_END)
+        if stop is None:
             raise Damaged("header end")
+        stop -= at
         start = read(at, stop + 4)
-    m = re.search(rb"\r\ncontent-length:[ \t]*([0-9]{1,18})[ \t]*(?=\r\n)", start[:stop + 2], re.I)
+    m = _LENGTH.search(start[:stop + 2])
     if not m:
         raise Damaged("content length")
     end = stop + 4 + int(m[1])
-    if at + end + 4 > size or read(at + end, 4) != b"\r\n\r\n":
+    if read(at + end, 4) != b"\r\n\r\n":
         raise Damaged("record end")
     head, block, end = parse(start[:end + 4] if end + 4 <= len(start) else read(at, end + 4))
-    return [(head, block)], at + end
+    return head, block, at + end
 
 
 RECORDS = ("kind string, archive string, offset long, length long, reason string, record_type string, page_id long, "
@@ -309,8 +425,11 @@ def op1_warc_salvage(spark, sf_dir: str) -> DataFrame:
     """The pages written to archives and read back by the salvage reader.
 
     A null html is an empty payload; a row without page_id comes back without.
+    Archives just written have no gaps: one fails the query, so no page is lost unnoticed.
     """
     path = scratch_path(spark, "llm-warc")
     write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
-    out = read_archives(spark, path, payloads=False).where("kind = 'record'")
+    out = read_archives(spark, path, payloads=False)
+    whole = F.assert_true(F.col("kind") == "record", F.concat_ws(" ", "archive", "offset", "reason"))
+    out = out.where(F.coalesce(whole.cast("boolean"), F.lit(True)))
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -16,7 +16,7 @@ def salvaged(data):
 
 
 def ids(found):
-    return [int(x[2]["warc-record-id"][10:-1]) for x in found if x[0] == "record" and "warc-record-id" in x[2]]
+    return [n for x in found if x[0] == "record" and (n := W._page(x[2].get("warc-record-id"))) is not None]
 
 
 PAYLOADS = [random.Random(7).randbytes(k * 97 % 3000) for k in range(25)] + [
@@ -36,7 +36,7 @@ def test_later_records_are_recovered(gz, damage):
     rng = random.Random(f"{gz}{damage}")
     parts = archive(PAYLOADS, gz)
     for _ in range(40):
-        k = rng.randrange(len(parts) - 2)  # the last two hold records and members of their own
+        k = rng.randrange(len(parts))  # the last two hold records and members of their own
         start = sum(map(len, parts[:k]))
         n = len(parts[k]) - (len(W._EMPTY_MEMBER) if gz else 0)
         data = bytearray(b"".join(parts))
@@ -60,9 +60,53 @@ def test_later_records_are_recovered(gz, damage):
         assert all(a < z <= len(data) for a, z in gaps)
         if sum(x[0] == "record" for x in found) < len(parts) or damage == "junk":
             assert gaps and gaps[0][0] >= start
+        if damage != "truncate":  # an archive that ends in a payload leaves open whose its records are
+            assert all(x[3] != b"abc" for x in found if x[0] == "record")
         for x in found:
-            if x[0] == "record" and damage != "flip":
-                assert W.payload_of(x[2], x[3]) == PAYLOADS[int(x[2]["warc-record-id"][10:-1])]
+            if x[0] == "record" and damage != "flip" and x[3] != b"abc" and (n := W._page(x[2].get("warc-record-id"))) is not None:
+                assert W.payload_of(x[2], x[3]) == PAYLOADS[n]
+
+
+def test_records_of_one_member():
+    records = archive(PAYLOADS, False)
+    for k in range(len(records)):
+        broken = bytearray(records[k])
+        broken[-10] ^= 1
+        found = salvaged(W.gzip_member(b"".join([*records[:k], bytes(broken), *records[k + 1:]])))
+        assert ids(found) == [i for i in range(len(records)) if i != k]
+        assert [x[0] for x in found].count("gap") == 1 and len(found) == len(records)
+
+
+def test_member_that_breaks_off():
+    rng = random.Random(9)
+    records = archive([rng.randbytes(20_000) for _ in range(40)], False)
+    member, later = W.gzip_member(b"".join(records)), W.gzip_member(archive([b"later"], False)[0])
+    for _ in range(20):
+        at = rng.randrange(len(member) // 4, len(member) - 10)
+        for data in (member[:at], member[:at] + later, member[:at] + bytes([member[at] ^ 255]) + member[at + 1:] + later):
+            got = ids(salvaged(data))
+            whole = at // (len(member) // 40) - 2
+            assert got[:whole] == list(range(whole)) and any(x[0] == "gap" for x in salvaged(data))
+            assert data is member[:at] or got[-1] == 0 or len(data) == at
+
+
+def test_records_without_digests_wait_for_the_member():
+    plain = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:7>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    member = W.gzip_member(plain * 3)
+    assert len(ids(salvaged(member))) == 3
+    assert [x[0] for x in salvaged(member[:-8] + bytes(8))] == ["gap"]
+
+
+def test_whole_record_inside_a_damaged_one():
+    inner = W.record(777, "http://a/", b"inner" * 30, hashlib.sha256(b"inner" * 30).hexdigest(), None, 150)
+    for payload in (inner, b"before " + inner, inner * 3):
+        parts = archive([b"first", payload, b"last"], False)
+        for at in (2, 30, len(parts[1]) - len(payload) - 4 + 3, len(parts[1]) - 6):
+            broken = bytearray(parts[1])
+            broken[at] ^= 1
+            for lost in (0, 5):
+                data = parts[0] + bytes(broken[:40]) + bytes(broken[40 + lost:]) + parts[2]
+                assert set(ids(salvaged(data))) <= {0, 1, 2} and {0, 2} <= set(ids(salvaged(data)))
 
 
 def pages(spark):
