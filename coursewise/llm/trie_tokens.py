@@ -3,9 +3,9 @@
 A text's pre-tokens are its words behind a word mark. Their best segmentation
 into pieces is a forward pass over the characters: the score of a prefix is the
 best over its last piece of the score before it plus the piece's log
-probability. Pre-tokens of a batch that haven't been met yet go into a trie; a
-prefix that several share is one node and is scored once, and the node where a
-pre-token ends keeps its count of tokens.
+probability. Distinct pre-tokens are inserted in a trie that a task keeps across
+its batches: a prefix that several share is one node and is scored once, and the
+node where a pre-token ends has its count of tokens.
 
 Pieces and their order come from a public vocabulary file; its order of merges
 stands for frequency, so the piece of rank r (from 0) has probability
@@ -42,66 +42,77 @@ class Unigram:
 
 
 class Trie:
-    """The trie of a set of pre-tokens, walked depth first: sorted, a pre-token
-    shares with its predecessor the nodes of their common prefix, and those
-    keep their scores."""
+    """A trie of pre-tokens whose nodes keep the forward scores of their prefixes.
+
+    A node is known by its parent and its character. Inserting a pre-token
+    walks the nodes it shares with those inserted before, and scores only the
+    prefixes that are new; the node where it ends has its count of tokens and
+    its score.
+    """
 
     def __init__(self, model: Unigram):
         self.model = model
-
-    def forward(self, words: list[str]) -> dict[str, tuple[int, float]]:
-        """(tokens, score) of each word. Of equally good last pieces the longest is taken."""
+        self.child: dict[int, int] = {}
+        self.best, self.count = [0.0], [0]
+
+    def __len__(self) -> int:
+        return len(self.best)
+
+    def insert(self, word: str) -> int:
+        """The node where ``word`` ends. Of equally good last pieces the longest is taken."""
+        child, all_best, all_count = self.child, self.best, self.count
+        path = [0]
+        for c in word:
+            node = child.get(path[-1] << 21 | ord(c))
+            if node is None:
+                break
+            path.append(node)
         logp, longest, byte = self.model.logp.get, self.model.longest, self.model.byte
-        best, count, ends = [0.0], [0], {}
-        before = ""
-        for word in sorted(words):
-            shared = 0
-            for a, b in zip(word, before):
-                if a != b:
-                    break
-                shared += 1
-            del best[shared + 1:], count[shared + 1:]
-            for d in range(shared + 1, len(word) + 1):
-                top, n = -math.inf, 0
-                for a in range(max(0, d - longest), d):
-                    p = logp(word[a:d])
-                    if p is not None and best[a] + p > top:
-                        top, n = best[a] + p, count[a] + 1
-                if n == 0:
-                    width = len(word[d - 1].encode("utf-8", "surrogatepass"))
-                    top, n = best[d - 1] + width * byte, count[d - 1] + width
-                best.append(top)
-                count.append(n)
-            ends[word] = count[-1], best[-1]
-            before = word
-        return ends
-
-
-def token_counts(docs: DataFrame, path: str | None = None, remember: int = 400_000,
+        best, count = [all_best[n] for n in path], [all_count[n] for n in path]
+        for d in range(len(path), len(word) + 1):
+            top, n = -math.inf, 0
+            for a in range(max(0, d - longest), d):
+                p = logp(word[a:d])
+                if p is not None and best[a] + p > top:
+                    top, n = best[a] + p, count[a] + 1
+            if n == 0:
+                width = len(word[d - 1].encode("utf-8", "surrogatepass"))
+                top, n = best[d - 1] + width * byte, count[d - 1] + width
+            best.append(top)
+            count.append(n)
+            child[path[-1] << 21 | ord(word[d - 1])] = len(all_best)
+            path.append(len(all_best))
+            all_best.append(top)
+            all_count.append(n)
+        return path[-1]
+
+
+def token_counts(docs: DataFrame, path: str | None = None, max_nodes: int = 600_000,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_pretokens, n_tokens, score) of every row.
 
     ``score`` is the log probability of the best segmentation of all
     pre-tokens. A null or empty text has none: 0, 0, 0.0. Repeated rows get
     equal results, null ids stay null, other columns aren't looked at.
-    Terminal counts are remembered between batches of a task, ``remember`` of
-    them at most; which are doesn't change any result.
+    A task has one trie. Beyond ``max_nodes`` nodes it begins a new one, and as
+    many pre-tokens stay known by their counts; neither changes any result.
     """
     path = path or public_tokenizers.path("piece_bpe_32k.model")
 
     def run(batches):
-        trie = Trie(Unigram(path))
-        tokens: dict[bytes, int] = {}
-        scores: dict[bytes, float] = {}
+        model = Unigram(path)
+        trie, tokens, scores = Trie(model), {}, {}
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 rows = b.slice(at, 500)
                 split = [(t or b"").split() for t in texts(rows.column(1))]
-                if len(tokens) > remember:
+                if len(tokens) > max_nodes:
                     tokens, scores = {}, {}
-                new = {w for words in split for w in words if w not in tokens}
-                for word, (n, s) in trie.forward([MARK + w.decode() for w in new]).items():
-                    tokens[word[1:].encode()], scores[word[1:].encode()] = n, s
+                for w in {w for words in split for w in words if w not in tokens}:
+                    if len(trie) > max_nodes:
+                        trie = Trie(model)
+                    end = trie.insert(MARK + w.decode())
+                    tokens[w], scores[w] = trie.count[end], trie.best[end]  # the terminals by their bytes
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), pa.array([len(w) for w in split], pa.int64()),
                      pa.array([sum(map(tokens.__getitem__, w)) for w in split], pa.int64()),

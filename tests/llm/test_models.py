@@ -102,7 +102,7 @@ def brute_tokens(word, model):
 def test_token_counts_word_by_word(spark):
     model = T.Unigram(public_tokenizers.path("piece_bpe_32k.model"))
     rows = awkward()
-    got = T.token_counts(documents(spark, rows), remember=100).collect()
+    got = T.token_counts(documents(spark, rows), max_nodes=100).collect()
     want = []
     for i, text in rows:
         each = [brute_tokens(T.MARK + w, model) for w in words(text)]
@@ -115,4 +115,8 @@ def test_trie_shares_prefixes():
     model = T.Unigram(public_tokenizers.path("piece_bpe_32k.model"))
     rng = random.Random(2)
     some = ["".join(rng.choice("abet") for _ in range(rng.randint(1, 9))) for _ in range(300)]
-    assert T.Trie(model).forward(some) == {w: brute_tokens(w, model) for w in some}
+    trie = T.Trie(model)
+    ends = {w: trie.insert(w) for w in some}
+    assert {w: (trie.count[n], trie.best[n]) for w, n in ends.items()} == {w: brute_tokens(w, model) for w in some}
+    assert len(trie) == 1 + len({w[:d] for w in some for d in range(1, len(w) + 1)})  # a node for each prefix
+    assert {w: trie.insert(w) for w in some} == ends
