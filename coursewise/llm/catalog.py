@@ -95,10 +95,11 @@ hist AS (SELECT r, kind, CAST(unnest(l) AS DOUBLE) AS v, generate_subscripts(l,
 {references('ref2', f'JOIN b USING (r) JOIN dist1 USING (r) WHERE NOT b.base_failed AND dist1.c < {D.NEAR_CHARS} AND dist1.w < {D.NEAR_WORDS}')},
 {distances('dist2', 'ref2')}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT (coalesce(lang IS NULL OR lang IN (SELECT lang FROM ref2), false)
-         AND n_words + word_chars >= {D.MIN_CHARS}
-         AND (c > {D.CHARS_ALONE} OR (n_words >= {D.MIN_WORDS} AND c > {D.CHARS_BOTH}
-              AND w * w - {D.CHANCE} / greatest(n_words, 1) > {D.WORDS_BOTH} * {D.WORDS_BOTH}))) AS kept
+       NOT base_failed AND NOT coalesce(n_words + word_chars >= {D.MIN_CHARS} AND CASE
+         WHEN lang IS NULL OR lang IN (SELECT lang FROM ref2) THEN c > {D.CHARS_ALONE}
+           OR (n_words >= {D.MIN_WORDS} AND c > {D.CHARS_BOTH} AND w * w - {D.CHANCE} / greatest(n_words, 1) > {D.WORDS_BOTH} * {D.WORDS_BOTH})
+           OR (lang IS NOT NULL AND n_words >= {D.MIN_WORDS_ALONE} AND w * w - {D.CHANCE} / n_words > {D.WORDS_ALONE} * {D.WORDS_ALONE})
+         ELSE c > {D.CHARS_FOREIGN} END, false) AS kept
 FROM b LEFT JOIN dist2 USING (r)"""
 
 

@@ -38,6 +38,8 @@ SPACES = r"[\x20\x09-\x0D]"
 #: Distances (not squared) over which a document is rejected, and guards.
 CHARS_ALONE = 0.28  # of the character classes, alone
 CHARS_BOTH, WORDS_BOTH = 0.17, 0.17  # of characters and words, together
+CHARS_FOREIGN = 0.38  # of the characters of a language without references
+WORDS_ALONE, MIN_WORDS_ALONE = 0.30, 200  # of the words alone, where the language's words are known
 NEAR_CHARS, NEAR_WORDS = 0.14, 0.25  # documents that make the second references
 MIN_CHARS, MIN_WORDS = 200, 60
 #: Share of the word divergence that chance alone gives: this over the number of words.
@@ -145,10 +147,13 @@ def quality_rules(docs: DataFrame, carry: list[str], text_col: str = "text", lan
     base_failed, char_distance, word_distance, kept. ``kept`` is false for a
     row that fails the base rule or whose histograms diverge. Guards: the
     characters of a text of under MIN_CHARS and the words of one of under
-    MIN_WORDS aren't judged, what chance gives over few words is taken off,
-    and a document of a language without references isn't judged at all. A
-    null text is empty (and fails the base rule); a null language is judged
-    by the nearest reference, like any other. Repeated rows get equal results. ``name``
+    MIN_WORDS aren't judged, and what chance gives over few words is taken off.
+    Words alone reject a document (ordinary characters, but not the language's
+    words) from MIN_WORDS_ALONE words on. A document of a language without
+    references is judged by its characters only, with a wider bound, as
+    scripts differ. A null text is empty (and fails the base rule); a null
+    language is judged by the nearest references, but not by words alone.
+    Repeated rows get equal results. ``name``
     is chosen to be none of the columns of ``docs``. The features are written
     once, as the references need all documents before the first verdict.
     """
@@ -166,13 +171,16 @@ def quality_rules(docs: DataFrame, carry: list[str], text_col: str = "text", lan
     chars, words = _nearest(name, refs)
     scored = made.withColumns({f"{name}_c": chars, f"{name}_w": words})
     c, w = F.col(f"{name}_c"), F.col(f"{name}_w")
-    beyond_chance = w * w - CHANCE / F.greatest(q["n_words"], F.lit(1)) > WORDS_BOTH * WORDS_BOTH
+    n = F.greatest(q["n_words"], F.lit(1))
+    known = F.coalesce(F.col(lang).isin(list(refs)), F.lit(False))
+    words_differ = lambda bound: w * w - CHANCE / n > bound * bound
+    diverges = F.when(known | F.col(lang).isNull(),
+                      (c > CHARS_ALONE) | ((n >= MIN_WORDS) & (c > CHARS_BOTH) & words_differ(WORDS_BOTH))
+                      | (known & (n >= MIN_WORDS_ALONE) & words_differ(WORDS_ALONE))).otherwise(c > CHARS_FOREIGN)
     long_enough = q["n_words"] + q["word_chars"] >= MIN_CHARS
-    diverges = long_enough & ((c > CHARS_ALONE) | ((q["n_words"] >= MIN_WORDS) & (c > CHARS_BOTH) & beyond_chance))
-    judged = F.col(lang).isNull() | F.col(lang).isin(list(refs))
     verdict = F.struct(*[q[n].alias(n) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
                        base.alias("base_failed"), c.alias("char_distance"), w.alias("word_distance"),
-                       (~base & ~(judged & diverges)).alias("kept"))
+                       (~base & ~(long_enough & diverges)).alias("kept"))
     return scored.select(*[F.col(x) for x in carry], verdict.alias(name)), name
 
 

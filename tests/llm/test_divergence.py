@@ -65,12 +65,34 @@ def test_distance_by_hand(spark):
     assert math.isclose(got[0], want, rel_tol=1e-12) and got[1] == 1.0
 
 
-def test_language_without_reference_is_not_judged(spark):
+def salad(rng, n, letters="abcdefghijklmnopqrstuvwxyz"):
+    out = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(n)]
+    return " ".join(x.capitalize() if i % 12 == 0 else x + "." if i % 12 == 11 else x for i, x in enumerate(out))
+
+
+def test_characters_of_any_language_are_judged(spark):
     rows, junk = corpus()
-    docs = documents(spark, rows + junk).selectExpr("doc_id", "text", "CASE WHEN doc_id = 203 THEN 'xx' ELSE 'en' END AS lang", "1 AS _quality_x")
+    rng = random.Random(8)
+    prose = [(300, salad(rng, 300, "abcdefghiopqrstuvwz")), (301, " ".join("一二三四五六七八九十" * 3 + "。" for _ in range(60)) + "一丁七万三上下不与世" * 90)]
+    docs = documents(spark, rows + junk + prose).selectExpr(
+        "doc_id", "text", "CASE WHEN doc_id IN (200, 203, 300, 301) THEN 'xx' ELSE 'en' END AS lang", "1 AS _quality_x")
     out, name = D.quality_rules(docs, ["doc_id"])
-    got = {r.doc_id: r[name].kept for r in out.collect()}
-    assert got[203] and not got[202]
+    got = {r.doc_id: r[name] for r in out.collect()}
+    assert not any(got[i].kept for i in (200, 202, 203)) and got[300].kept
+    assert got[301].kept or got[301].base_failed
+
+
+def test_word_salad_of_ordinary_characters_goes(spark):
+    rows, _ = corpus()
+    rng = random.Random(4)
+    docs = [(i, t, "en") for i, t in rows] + [(400, salad(rng, 500), "en"), (401, salad(rng, 500), None), (402, salad(rng, 80), "en"),
+                                             (403, english(rng, 500), "en")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    out, name = D.quality_rules(df, ["doc_id"])
+    got = {r.doc_id: r[name] for r in out.collect()}
+    assert not got[400].kept and got[400].char_distance < D.CHARS_BOTH  # its words alone
+    assert got[401].kept and got[402].kept and got[403].kept  # unknown language, too short, prose
+    assert all(got[i].kept for i, _ in rows)
 
 
 def test_empty_and_all_failed(spark):
