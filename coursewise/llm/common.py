@@ -192,6 +192,14 @@ def run_hashes(word_hash: np.ndarray, length: int) -> np.ndarray:
     return mixed((total[length:] - total[:n]) * down[:n])
 
 
+def span_hashes(word_hash: np.ndarray, a: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """Hash of the consecutive word hashes a .. z (without z) of each span."""
+    up, down = powers(len(word_hash) + 1)
+    total = np.zeros(len(word_hash) + 1, np.uint64)
+    np.cumsum(word_hash * up[:len(word_hash)], out=total[1:])
+    return mixed(((total[z] - total[a]) * down[a]) ^ ((z - a).astype(np.uint64) << np.uint64(56)))
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """Connected components of ``edges`` (a, b: long) as rows (v, label).
 

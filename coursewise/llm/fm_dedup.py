@@ -5,11 +5,12 @@ window that covers it has a word sequence that also starts in a document with
 a smaller id; windows are judged on the input, not on what is left.
 
 * Runs of ``gram`` words are the symbols. Every window has the smallest symbol
-  hash it contains as its anchor, so equal windows have equal anchors. Anchors
-  seen in one document only are done with; what remains meets by anchor.
-* A context is the part of a document that the windows of one anchor occupy.
+  hash it contains as its anchor, so equal windows have equal anchors.
+* A context is the part of a document that the windows of one anchor occupy. One
+  pass over the texts gives each context's digest and places, without its words.
   Equal contexts are one, known by the smallest id that has them; a document
-  that repeats one lists the places.
+  that repeats one lists the places. Only contexts of anchors that several
+  documents own go on, and the words of each are then cut from one text, once.
 * A shard indexes the contexts of its anchors: the symbols of each context,
   taken every ``gram`` words in ``gram`` interleaved sequences, form the text;
   an FM-index (Burrows-Wheeler transform in a wavelet tree over packed bits)
@@ -31,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursewise.llm.common import Chunk, Words, chunks, free_names, run_hashes, texts, written
+from coursewise.llm.common import Words, chunks, free_names, run_hashes, span_hashes, texts, written
 
 WINDOW, GRAM = 50, 10
 
@@ -63,62 +64,64 @@ def anchors(hashes: np.ndarray, first: np.ndarray, window: int, gram: int) -> np
     return np.flatnonzero((_slide(padded, width, np.maximum) == symbol) & (symbol > 0))
 
 
-def _anchor_rows(window: int, gram: int):
-    """(h, doc_id, xh): the different anchors of each text."""
+# ---- contexts --------------------------------------------------------------
+
+CONTEXT = "h long, digest long, doc_id long, xh long, starts array<int>, length int"
+PLACE = ("h", "digest", "start", "length", "hot")
+
+
+def _context_rows(window: int, gram: int):
+    """The different contexts of each text (doc_id, xh, text), with their places."""
+    names, reach = [c.split()[0] for c in CONTEXT.split(", ")], window - gram
+
     def run(batches):
         for b in batches:
             ids, keys = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             for c in chunks(b.column(2)):
                 w = Words(c)
                 at = anchors(w.hash, w.first, window, gram)
-                found = np.stack([run_hashes(w.hash, gram)[at].view(np.int64), np.searchsorted(w.first, at, "right") - 1], 1)
-                found = np.unique(found, axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(ids[c.row + found[:, 1]]),
-                                                  pa.array(keys[c.row + found[:, 1]])], ["h", "doc_id", "xh"])
+                h = run_hashes(w.hash, gram)[at].view(np.int64)
+                row = np.searchsorted(w.first, at, "right") - 1
+                a, z = np.maximum(w.first[row], at - reach), np.minimum(w.first[row + 1], at + window)
+                digest = span_hashes(w.hash, a, z).view(np.int64)
+                order = np.lexsort((a, digest, h, row))
+                a, z, h, digest, row = a[order], z[order], h[order], digest[order], row[order]
+                new = np.ones(len(a), bool)
+                new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1]) | (digest[1:] != digest[:-1])
+                one = np.flatnonzero(new)
+                starts = pa.ListArray.from_arrays(pa.array(np.append(one, len(a)).astype(np.int32)),
+                                                  pa.array((a - w.first[row]).astype(np.int32)))
+                of = c.row + row[one]
+                yield pa.RecordBatch.from_arrays([pa.array(h[one]), pa.array(digest[one]), pa.array(ids[of]), pa.array(keys[of]), starts,
+                                                  pa.array((z - a)[one].astype(np.int32))], names)
     return run
 
 
-# ---- contexts --------------------------------------------------------------
-
-CONTEXT = "h long, digest long, doc_id long, xh long, starts array<int>, length int, words binary"
-
+def _context_words():
+    """(h, digest, owner, hot, words) of the places of each text (doc_id, xh, text, places).
 
-def _context_rows(window: int, gram: int):
-    """The different contexts of each document's shared anchors, with their places.
-
-    The words of a context are sent once by each task and after that only its digest.
+    A task sends a repeated row's words once.
     """
-    reach = window - gram
-    kinds = [pa.int64()] * 4 + [pa.list_(pa.int32()), pa.int32(), pa.binary()]
-    names = [c.split()[0] for c in CONTEXT.split(", ")]
-
     def run(batches):
-        sent: set[int] = set()
+        sent: set[tuple[int, int]] = set()
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part, out = b.slice(at, 500), []
-                for doc, key, text, shared in zip(part.column(0).to_pylist(), part.column(1).to_pylist(),
-                                                  texts(part.column(2)), part.column(3), strict=True):
-                    whole = _whole(text)
-                    w = Words(whole)
-                    places = anchors(w.hash, w.first, window, gram)
-                    symbol = run_hashes(w.hash, gram)[places].view(np.int64) if len(places) else np.zeros(0, np.int64)
-                    word = w.hash.astype("<u8")
-                    here: dict[int, tuple] = {}
-                    keep = np.isin(symbol, shared.values.to_numpy())
-                    for pos, h in zip(places[keep].tolist(), symbol[keep].tolist(), strict=True):
-                        a, z = max(0, pos - reach), min(len(word), pos + window)
-                        words = word[a:z].tobytes()
-                        digest = xxhash.xxh3_64_intdigest(words, h & (2**63 - 1)) - 2**63
-                        if digest in here:
-                            here[digest][4].append(a)
-                        else:
-                            here[digest] = (h, digest, doc, key, [a], z - a, None if digest in sent else words)
+            ids, keys = (b.column(i).to_pylist() for i in (0, 1))
+            for c in chunks(b.column(2)):
+                w, out = Words(c), []
+                first, word = w.first.tolist(), w.hash.astype("<u8")
+                for i in range(c.rows):
+                    row = ids[c.row + i], keys[c.row + i]
+                    if row in sent:
+                        continue
                     if len(sent) > 200_000:
                         sent.clear()
-                    sent.update(here)
-                    out += here.values()
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 7, kinds, strict=True)], names)
+                    sent.add(row)
+                    for p in b.column(3)[c.row + i].as_py():
+                        at = first[i] + p["start"]
+                        out.append((p["h"], p["digest"], row[0], p["hot"], word[at:at + p["length"]].tobytes()))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)],
+                                                 ["h", "digest", "owner", "hot", "words"])
     return run
 
 
@@ -138,11 +141,6 @@ def _windows(window: int):
     return run
 
 
-def _whole(text: bytes | None) -> Chunk:
-    data = np.frombuffer(text or b"", np.uint8)
-    return Chunk(0, data, np.array([0, len(data)]))
-
-
 # ---- the index -------------------------------------------------------------
 
 class WaveletTree:
@@ -266,6 +264,8 @@ def _shard_spans(window: int, gram: int):
         if not parts:
             return
         t = pa.Table.from_batches(parts)
+        _, once = np.unique(np.stack([t.column(c).to_numpy() for c in ("h", "digest")], 1), axis=0, return_index=True)
+        t = t.take(once)  # several tasks may have sent the words of a repeated row
         owner = t.column("owner").to_numpy()
         _, of, count = np.unique(t.column("h").to_numpy(), return_inverse=True, return_counts=True)
         some = np.flatnonzero(count[of] > 1)  # the only context of an anchor has no windows in others
@@ -278,10 +278,11 @@ def _shard_spans(window: int, gram: int):
                 have[-1]["z"] = s + window
             else:
                 have.append({"a": s, "z": s + window})
-        yield pa.RecordBatch.from_arrays(
-            [*(t.column(c).combine_chunks() for c in ("h", "digest", "owner")),
+        found = pa.RecordBatch.from_arrays(
+            [*(t.column(c).combine_chunks() for c in ("h", "digest")),
              pa.array(spans, pa.list_(pa.struct([("a", pa.int32()), ("z", pa.int32())])))],
-            ["h", "digest", "owner", "spans"])
+            ["h", "digest", "spans"])
+        yield found.filter(pa.array([bool(s) for s in spans], pa.bool_()))
     return run
 
 
@@ -299,43 +300,44 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shar
         raise ValueError("window must be a multiple of gram, two grams at least")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("xh"),
                        F.col(text_col).cast("string").alias("text")).where("doc_id is not null and text is not null")
-    seen = written(rows.mapInArrow(_anchor_rows(window, gram), "h long, doc_id long, xh long"), "fm-anchors")
-    shared = written(seen.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("h"),
-                     "fm-shared")
-    of_text = seen.join(shared, "h").groupBy("doc_id", "xh").agg(F.collect_set("h").alias("shared"))
-    made = written(rows.join(of_text, ["doc_id", "xh"]).select("doc_id", "xh", "text", "shared")
-                   .mapInArrow(_context_rows(window, gram), CONTEXT), "fm-contexts")
-    distinct = written(made.groupBy("h", "digest").agg(F.min("doc_id").alias("owner"),
-                                                       F.first("words", ignorenulls=True).alias("words")), "fm-distinct")
-    spans = _spans(distinct, window, gram, shard_rows)
+    made = written(rows.mapInArrow(_context_rows(window, gram), CONTEXT), "fm-contexts")
+    first = F.min(F.struct("doc_id", "xh", F.col("starts")[0].alias("start"), "length")).alias("first")
+    distinct = written(made.groupBy("h", "digest").agg(first, F.max("doc_id").alias("hi"))
+                       .select("h", "digest", "first.*", "hi"), "fm-distinct")
+    spans = _spans(rows, distinct, window, gram, shard_rows)
+    found = written(distinct.select("h", "digest", F.col("doc_id").alias("owner"), "hi").join(spans, ["h", "digest"], "left")
+                    .where("hi > owner or spans is not null").drop("hi"), "fm-found")
     whole = F.array(F.struct(F.lit(0).alias("a"), F.col("length").alias("z")))
-    out = (made.select("h", "digest", "doc_id", "xh", "starts", "length").join(spans, ["h", "digest"])
+    out = (made.join(found, ["h", "digest"])
            .withColumn("spans", F.when(F.col("doc_id") > F.col("owner"), whole).otherwise(F.col("spans")))
-           .where("size(spans) > 0"))
+           .where("spans is not null"))
     return written(out.groupBy("doc_id", "xh").agg(F.collect_list(F.struct("starts", "spans")).alias("spans")), "fm-spans")
 
 
-def _spans(distinct: DataFrame, window: int, gram: int, shard_rows: int) -> DataFrame:
-    """(h, digest, owner, spans) of each distinct context, its spans held by a smaller owner too.
+def _spans(rows: DataFrame, distinct: DataFrame, window: int, gram: int, shard_rows: int) -> DataFrame:
+    """(h, digest, spans) of each context of ``distinct`` with spans that a smaller owner has too.
 
     Anchors meet whole in one shard. An anchor with more contexts than several
     shards hold is split instead: its windows are told apart by digests of
     their own, which spread, and the smallest owner of each is looked up.
     """
-    schema = "h long, digest long, owner long, spans array<struct<a:int,z:int>>"
-    many = written(distinct.groupBy("h").count().where(F.col("count") > 4 * shard_rows).select("h"), "fm-many")
-    split = many.limit(1).count() > 0
-    some = distinct.join(many, "h", "left_anti") if split else distinct
-    shards = max(1, math.ceil(distinct.count() / shard_rows))
-    out = some.repartition(shards, "h").select("h", "digest", "owner", "words").mapInArrow(_shard_spans(window, gram), schema)
+    several = distinct.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("top"), F.count("*").alias("contexts"))
+    several = several.where("lo < top").select("h", (F.col("contexts") > 4 * shard_rows).alias("hot"))
+    indexed = written(distinct.drop("hi").join(several, "h"), "fm-indexed")
+    size, split = indexed.agg(F.count("*"), F.max("hot")).first()
+    places = indexed.groupBy("doc_id", "xh").agg(F.collect_list(F.struct(*PLACE)).alias("places"))
+    words = rows.join(places, ["doc_id", "xh"]).select("doc_id", "xh", "text", "places").mapInArrow(
+        _context_words(), "h long, digest long, owner long, hot boolean, words binary")
+    if split:
+        words = written(words, "fm-words")
+    out = words.where("not hot").select("h", "digest", "owner", "words").repartition(max(1, math.ceil(size / shard_rows)), "h").mapInArrow(
+        _shard_spans(window, gram), "h long, digest long, spans array<struct<a:int,z:int>>")
     if split:
-        pieces = written(distinct.join(many, "h").select("h", "digest", "owner", "words").mapInArrow(
+        pieces = written(words.where("hot").select("h", "digest", "owner", "words").mapInArrow(
             _windows(window), "h long, digest long, owner long, start int, piece long"), "fm-pieces")
         lowest = pieces.groupBy("piece").agg(F.min("owner").alias("lowest"))
-        repeats = pieces.join(lowest, "piece").where("lowest < owner").groupBy("h", "digest", "owner").agg(
-            F.collect_list(F.struct(F.col("start").alias("a"), (F.col("start") + window).alias("z"))).alias("spans"))
-        rest = distinct.join(many, "h").select("h", "digest", "owner").join(repeats, ["h", "digest", "owner"], "left")
-        out = out.union(rest.select("h", "digest", "owner", F.coalesce("spans", F.array().cast("array<struct<a:int,z:int>>"))))
+        out = out.union(pieces.join(lowest, "piece").where("lowest < owner").groupBy("h", "digest").agg(
+            F.collect_set(F.struct(F.col("start").alias("a"), (F.col("start") + window).alias("z"))).alias("spans")))
     return out
 
 

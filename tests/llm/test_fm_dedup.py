@@ -2,9 +2,10 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from coursewise.llm import fm_dedup as D
-from coursewise.llm.common import Words
+from coursewise.llm.common import Words, chunks
 from pyspark.sql import functions as F
 
 from .corpora import awkward, documents, none, prose, words
@@ -63,7 +64,7 @@ def test_index_finds_every_occurrence():
 
 def test_words_with_half_a_hash_in_common_stay_apart(spark):
     pair = ("k31378", "k3c564")
-    h = [int(Words(D._whole(w.encode())).hash[0]) for w in pair]
+    h = [int(Words(next(chunks(pa.array([w])))).hash[0]) for w in pair]
     assert h[0] != h[1] and h[0] >> 32 == h[1] >> 32
     rest = prose(random.Random(4), 49)
     for place in ("{} " + rest, rest + " {}"):
@@ -90,3 +91,27 @@ def test_documents_keep_columns_and_rows(spark):
 def test_empty(spark):
     assert D.remove_repeats(none(spark)).count() == 0
     assert D.without_repeats(none(spark)).count() == 0
+
+
+def test_a_row_repeated_over_tasks_and_a_hot_anchor(spark):
+    passage = [f"p{i}" for i in range(24)]
+    rows = [(i, " ".join([f"a{i}-{k}" for k in range(25)] + passage + [f"z{i}-{k}" for k in range(25)])) for i in range(40)]
+    rows += [rows[7]] * 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    want = sorted((i, brute_removed(rows, i, t, 20)) for i, t in rows)
+    for shard_rows in (8000, 2):
+        spans = D.repeated_spans(docs, 20, 5, shard_rows=shard_rows)
+        got = {(r.doc_id, r.xh): r.spans for r in spans.collect()}
+        keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("xh")).collect()
+        found = sorted((r.doc_id, int(D.covered(len(r.text.split()), got.get((r.doc_id, r.xh))).sum())) for r in keyed)
+        assert found == want
+
+
+def brute_removed(rows, doc_id, text, window):
+    w, smaller = words(text), set()
+    for i, t in rows:
+        if i < doc_id:
+            o = words(t)
+            smaller |= {tuple(o[s:s + window]) for s in range(len(o) - window + 1)}
+    gone = {k for s in range(len(w) - window + 1) if tuple(w[s:s + window]) in smaller for k in range(s, s + window)}
+    return len(gone)
