@@ -144,7 +144,7 @@ class Powers:
 
     def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, CHUNK_BYTES + 1)
+            size = max(n, 2 * len(self.up))
             up, down = np.full(size, _R), np.full(size, _R_INV)
             up[0] = down[0] = 1
             self.up, self.down = np.cumprod(up), np.cumprod(down)

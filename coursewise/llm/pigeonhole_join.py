@@ -36,9 +36,9 @@ from coursewise.llm.common import Words, chunks, components, folded, mixed, run_
 
 #: Entries of a task that meets signatures, and that a task holds before it deals them; sketch cells; bytes of the filter of
 #: sets to re-read.
-ENTRIES, HELD, CELLS, FILTER = 1 << 19, 1 << 18, 1 << 18, 4 << 20
+ENTRIES, HELD, CELLS, FILTER = 1 << 18, 1 << 17, 1 << 18, 4 << 20
 #: Bytes of text hashed at a time (working arrays take some 80 times as much).
-CHUNK = 1 << 19
+CHUNK = 1 << 17
 #: Bytes of the sketches that travel with signatures; sets of a signature that one task compares.
 BRIEF, BLOCK = 64, 2048
 #: Roles of an entry: a subset or a deletion in the index; a probe of subsets, and of deletions too.
@@ -358,7 +358,7 @@ def _pairs(bands: Bands, nearest: bool):
                     a.append(of[i])
                     b.append(of[j])
                     held += len(i)
-                    if held > 1 << 20:
+                    if held > 1 << 18:
                         yield _ordered(np.concatenate(a), np.concatenate(b))
                         a, b, held = [], [], 0
             k += 1
@@ -452,7 +452,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80, sta
 def _edges(rows: DataFrame, classes: DataFrame, bands: Bands, counts: np.ndarray, total: int, shingle: int, stars: int) -> DataFrame:
     """Links (a, b) that connect what all links connect."""
     spark = rows.sparkSession
-    hot = max(ENTRIES // 4, 4 * counts.sum() / CELLS)
+    hot = max(ENTRIES // 2, 4 * counts.sum() / CELLS)
     parts = max(1, -(-total // ENTRIES))
     packed = rows.select("text").mapInArrow(_packed(shingle, bands, counts, hot, parts), "part long, entries binary")
     shared = written(packed.groupBy("part").applyInArrow(_shared(counts, hot), "sig long, id long, role int"), "pigeonhole-shared")
@@ -516,7 +516,7 @@ def _dealt(apart: DataFrame) -> DataFrame:
     key = F.xxhash64("sig", F.least("own", "other"), F.greatest("own", "other")).alias("key")
     rows = rows.select(key, side, "id", "role", "n", "label", "brief")
     size = apart.agg(F.sum(blocks.cast("long"))).first()[0] or 0
-    return rows.repartition(max(1, -(-size // 100_000)), "key").sortWithinPartitions("key")
+    return rows.repartition(max(1, -(-size // 50_000)), "key").sortWithinPartitions("key")
 
 
 def op11_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -69,7 +69,7 @@ def test_all_links_are_found(spark, seed, n, sizes, copies, edits):
 def test_enumeration_alone_and_hot_signatures(spark, monkeypatch):
     rows = near_copies(4, 12, (9, 20, 50, 100), 10, 20)
     rows += [(2000 + i, rows[3][1]) for i in range(30)]
-    monkeypatch.setattr(J, "ENTRIES", 64)  # many parts; subsets seen more than 16 times are hot
+    monkeypatch.setattr(J, "ENTRIES", 32)  # many parts; subsets seen more than 16 times are hot
     monkeypatch.setattr(J, "BLOCK", 4)
     assert result(J.jaccard_components(documents(spark, rows), stars=0)) == expected(rows)
     assert result(J.jaccard_components(documents(spark, rows), stars=2)) == expected(rows)
