@@ -120,3 +120,41 @@ def test_vip_columns_come_from_one_joined_row(spark):
         {"vip_id": 2, "max_free": "1", "min_free": "1", "operator": "amy", "dn": "w"}])
     row = MB.member_wide(member, reg, ad, site, pay, vip).where("uid = 1").first()
     assert (row.vip_id, row.vip_max_free, row.vip_min_free, row.vip_operator) == (1, "9", "9", "zoe")
+
+
+def detail_inputs(spark):
+    answers = q(spark, "QzMemberPaperQuestion", [
+        {"userid": u, "chapterid": c, "questionid": x, "sitecourseid": 1, "majorid": 1, "paperviewid": 1}
+        for u, c, x in ((1, 1, 100), (2, 1, 100), (3, 1, 101), (4, 2, 100), (5, None, 100), (6, 1, 999))])
+    chapter = QZ.chapter_wide(
+        q(spark, "QzChapter", [{"chapterid": 1, "chapterlistid": 5}, {"chapterid": 2, "chapterlistid": 5}]),
+        q(spark, "QzChapterList", [{"chapterlistid": 5}]),
+        q(spark, "QzPoint", [{"pointid": 10, "chapterid": 1}, {"pointid": 11, "chapterid": 1}, {"pointid": 12, "chapterid": 2}]),
+        q(spark, "QzPointQuestion", [{"pointid": p, "questionid": 100} for p in (10, 11, 12)]))
+    course = QZ.course_wide(q(spark, "QzSiteCourse", [{"sitecourseid": 1, "courseid": 3}]), q(spark, "QzCourse", [{"courseid": 3}]),
+                            q(spark, "QzCourseEduSubject", [{"courseid": 3}]))
+    major = QZ.major_wide(q(spark, "QzMajor", [{"majorid": 1, "siteid": 2, "businessid": 2}]), q(spark, "QzWebsite", [{"siteid": 2}]),
+                          q(spark, "QzBusiness", [{"businessid": 2}]))
+    paper = QZ.paper_wide(q(spark, "QzPaperView", [{"paperviewid": 1, "paperid": 4}]), q(spark, "QzCenterPaper", []),
+                          q(spark, "QzCenter", []), q(spark, "QzPaper", [{"paperid": 4}]))
+    question = QZ.question_wide(q(spark, "QzQuestion", [{"questionid": x, "questypeid": 0} for x in (100, 101, 101)]),
+                                q(spark, "QzQuestionType", [{"questypeid": 0}]))
+    return answers, chapter, course, major, paper, question
+
+
+def test_detail_fans_out_over_points_and_repeated_questions(spark):
+    want = sorted([(1, 10, 100), (1, 11, 100), (2, 10, 100), (2, 11, 100), (4, 12, 100)]
+                  + 2 * [(3, 10, 101), (3, 11, 101)])
+    for dt in (None, "20190722"):
+        out = QZ.user_paper_detail(*detail_inputs(spark), dt).collect()
+        assert sorted((r.userid, r.pointid, r.questionid) for r in out) == want
+
+
+def test_sides_that_grow_are_not_broadcast(spark):
+    # Catalyst takes their wide rows for a fraction of their size, and the driver would hold them
+    plan = QZ.user_paper_detail(*detail_inputs(spark))._jdf.queryExecution().executedPlan().toString()
+    merged = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    for key in ("chapterid", "questionid", "pointid"):
+        assert any(key in line for line in merged), key
+    broadcast = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    assert not any(k in line for line in broadcast for k in ("[chapterid", "questionid", "pointid"))
