@@ -99,3 +99,24 @@ def test_result_table_keeps_every_text(spark, tmp_path):
         lines = [r.value for r in spark.read.text(str(tmp_path / name)).collect()]
         assert len(lines) == len(rows) and all(x.count(sep) == 1 for x in lines)
         spark.sql(f"DROP TABLE {name}_text")
+
+
+def test_few_folders_are_written_without_a_shuffle(spark):
+    days = lambda n: spark.range(400).selectExpr("id", f"cast(id % {n} as string) AS dt", "'w' AS dn")
+    assert S.few_folders(days(S.FEW_FOLDERS), ("dt", "dn")) and not S.few_folders(days(S.FEW_FOLDERS + 1), ("dt", "dn"))
+    p = scratch_path(spark, "shaped")
+    S.append_partitioned(days(2).repartition(3, "id"), p, shaped=True)
+    assert len(S.read_table(spark, p).inputFiles()) == 6      # each task wrote its own
+    assert S.read_table(spark, p).count() == 400
+
+
+def test_feed_load_of_one_day_does_not_shuffle_its_rows(spark, monkeypatch):
+    from coursewise.plans.warehouse import Warehouse
+    shuffled = []
+    monkeypatch.setattr(S, "compact", lambda df, cols=(): shuffled.append(cols) or df)
+    for n, folders in ((1, 1), (20, 20)):
+        lines = [(f'{{"courseid": {k}, "dt": "201907{k % n:02d}", "dn": "w"}}',) for k in range(40)]
+        wh = Warehouse(spark)
+        wh.ingest("QzCourse", spark.createDataFrame(lines, "value string"))
+        assert wh.dwd("QzCourse").count() == 40
+    assert [c for c in shuffled if c] == [("dt", "dn")]           # the load of twenty days only
