@@ -52,7 +52,7 @@ for _name, _feed, _cols in (
 
 def _feed_stream(spark, sf):
     feed = "QzMemberPaperQuestion"
-    landing = SK.write_lines(ods.ods_lines(spark, sf, feed), scratch_path(spark, "landing"))
+    landing = SK.write_lines(ods.ods_lines(spark, sf, feed), scratch_path(spark, "landing"), packed=True)
     target, ckpt = scratch_path(spark, "dwd_stream"), scratch_path(spark, "ckpt")
     q = FS.start_feed_ingest(spark, feed, landing, target, ckpt)
     q.awaitTermination()

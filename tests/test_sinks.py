@@ -120,3 +120,10 @@ def test_feed_load_of_one_day_does_not_shuffle_its_rows(spark, monkeypatch):
         wh.ingest("QzCourse", spark.createDataFrame(lines, "value string"))
         assert wh.dwd("QzCourse").count() == 40
     assert [c for c in shuffled if c] == [("dt", "dn")]           # the load of twenty days only
+
+
+def test_packed_lines_keep_their_text(spark):
+    lines = spark.createDataFrame([("a\tb",), ("",), ("\u00e9 c",)], "value string")
+    p = S.write_lines(lines, scratch_path(spark, "packed"), packed=True)
+    assert all(f.endswith(".gz") for f in S.read_lines(spark, p).inputFiles())
+    assert sorted(r.value for r in S.read_lines(spark, p).collect()) == ["", "a\tb", "\u00e9 c"]
