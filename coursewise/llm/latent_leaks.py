@@ -37,6 +37,8 @@ from coursewise.llm.common import free_names
 PASSAGE, STRIDE = 64, 32
 #: Item passages in a block, latent dimensions (more where a block has more passages) and the sketch's extra ones.
 BLOCK, RANK, EXTRA = 200, 224, 16
+#: Rows that are multiplied as one dense matrix of the words they have.
+ROWS = 96
 #: Least share of its norm that an item passage keeps in the latent space, and least share of it that a passage holds.
 MIN_KEPT, MIN_HELD = 0.8, 0.5
 MIN_COSINE, MIN_LCS, MIN_LCS_WITH_ANSWER, MIN_ANSWER, ANSWER_WORDS = 0.25, 0.8, 0.6, 0.75, 8
@@ -160,20 +162,21 @@ def _before(values: np.ndarray, text: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sum_into(out: np.ndarray, to: np.ndarray, of: np.ndarray, weight: np.ndarray, vectors: np.ndarray, size: int = 1024) -> None:
-    """out[to] += weight * vectors[of]; ``to`` ascends. A block at a time, as the products of many pairs leave the cache."""
-    for at in range(0, len(to), size):
-        t = to[at:at + size]
-        first = np.flatnonzero(np.diff(t, prepend=-1))
-        products = vectors[of[at:at + size]]
-        products *= weight[at:at + size, None]
-        out[t[first]] += np.add.reduceat(products, first, axis=0)
+def _blocks(row: np.ndarray, word: np.ndarray, weight: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, words, dense matrix of these rows and words) of some rows at a time; ``row`` ascends, and a pair comes once."""
+    ends = np.searchsorted(row, np.arange(0, n + ROWS, ROWS))
+    for at, a, b in zip(range(0, n, ROWS), ends, ends[1:], strict=False):
+        words, column = np.unique(word[a:b], return_inverse=True)
+        matrix = np.zeros((min(ROWS, n - at), len(words)), np.float32)
+        matrix[row[a:b] - at, column] = weight[a:b]
+        yield at, words, matrix
 
 
 def _project(row: np.ndarray, word: np.ndarray, weight: np.ndarray, n: int, to: np.ndarray) -> np.ndarray:
     """Rows times ``to``; ``row`` ascends."""
-    out = np.zeros((n, to.shape[1]), np.float32)
-    _sum_into(out, row, word, weight, to)
+    out = np.empty((n, to.shape[1]), np.float32)
+    for at, words, matrix in _blocks(row, word, weight, n):
+        np.matmul(matrix, to[words], out=out[at:at + ROWS])
     return out
 
 
@@ -215,9 +218,10 @@ def _sketch(weights: Weights, test: np.ndarray):
     return run
 
 
-def _add(y: np.ndarray, row: np.ndarray, word: np.ndarray, x: np.ndarray, z: np.ndarray) -> None:
-    order = np.argsort(word, kind="stable")
-    _sum_into(y, word[order], row[order], x[order], z)
+def _add(y: np.ndarray, row: np.ndarray, word: np.ndarray, weight: np.ndarray, z: np.ndarray) -> None:
+    """``y`` grows by the transposed rows times ``z``; ``row`` ascends."""
+    for at, words, matrix in _blocks(row, word, weight, len(z)):
+        y[words] += matrix.T @ z[at:at + ROWS]
 
 
 def _summed(df: DataFrame) -> DataFrame:
@@ -292,6 +296,7 @@ def candidates(docs: DataFrame, items: Items, weights: Weights, vectors: np.ndar
     row, word, x, own_size = weights.items(items)
     latent = _unit(_project(row, word, x, len(own_size), vectors))
     item_of = [k for k, _ in items.places]  # a long item has several passages
+    gain = np.ascontiguousarray(vectors @ latent.T)  # of each word and item passage: the word's share of their product in the latent space
     matchers = {k: items.matcher(k) for k in set(item_of)}
     ids_of = {k: items.ids[k] for k in matchers}
     names = [c.split()[0] for c in FOUND.split(", ")]
@@ -301,13 +306,13 @@ def candidates(docs: DataFrame, items: Items, weights: Weights, vectors: np.ndar
         for b in batches:
             for part, texts in _batches(b, 2):
                 stride, word, x, size, text = weights.strides([_numbers(w, weights.number) for w in texts])
-                z = _project(stride, word, x, len(text), vectors)
-                z += _behind(z, text)
+                products = _project(stride, word, x, len(text), gain)
+                products += _behind(products, text)
                 size = np.maximum(size, 1e-6)[:, None]
                 first = np.searchsorted(text, text)  # of each passage's text, its first passage
                 ids, keys, out = part.column(0).to_pylist(), part.column(1).to_pylist(), [[] for _ in names]
-                for at in range(0, len(z), 2048):
-                    along = z[at:at + 2048] @ latent.T
+                for at in range(0, len(products), 2048):
+                    along = products[at:at + 2048]
                     near = along / size[at:at + 2048]
                     best: dict[tuple[int, int], float] = {}
                     for r, i in zip(*np.nonzero((near >= min_cosine) | (along >= MIN_HELD * own_size)), strict=True):

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import corpus_pipeline
+import numpy as np
 from coursewise.llm import latent_leaks as L
 from coursewise.llm.catalog import ORACLES, QUERIES
 from pyspark.sql import functions as F
@@ -106,6 +107,21 @@ def test_every_item_keeps_its_norm(spark):
         assert (kept > L.MIN_KEPT - 0.01).all()
 
 
+def test_rows_are_multiplied_in_small_dense_blocks():
+    rng = np.random.default_rng(4)
+    for n in (1, L.ROWS, 2 * L.ROWS + 7):
+        full = rng.random((n, 300), np.float32) * (rng.random((n, 300)) < 0.05)
+        full[n // 2] = 0  # a row without words
+        row, word = np.nonzero(full)
+        weight = full[row, word]
+        for at, words, matrix in L._blocks(row, word, weight, n):
+            assert matrix.shape == (min(L.ROWS, n - at), len(words)) and (full[at:at + L.ROWS, words] == matrix).all()
+        to, y = rng.random((300, 9), np.float32), np.ones((300, 9))
+        z = L._project(row, word, weight, n, to)
+        L._add(y, row, word, weight, z)
+        assert np.allclose(z, full @ to, rtol=1e-4) and np.allclose(y, 1 + full.T @ z, rtol=1e-4)
+
+
 def test_empty_sides(spark):
     rows, items = planted()
     assert L.leaks(none(spark), benchmark(spark, items)).count() == 0
