@@ -50,3 +50,20 @@ def test_masks_trims_and_rejects(spark):
     assert good[5].username == "nick"
     assert good[6].gender == "F"
     assert good[1].event_time == "1555000000"
+
+
+def test_lines_are_split_once(spark):
+    import itertools
+
+    from coursewise.functions import text as T
+    from coursewise.operators import cleaning as C
+    from pyspark.sql import functions as F
+    shapes = ["\t".join(x) + "\t" * k for n in range(5) for x in itertools.product(("a", ""), repeat=n) for k in range(4)]
+    lines = spark.createDataFrame([(x,) for x in [*shapes, None]], "value string")
+    for n in (2, 3, 4):
+        kept = lines.select("value", F.coalesce(T.field_count_ok("value", n), F.lit(False)).alias("a"),
+                            F.coalesce(T.fields_ok(T.split_fields("value"), n), F.lit(False)).alias("b"))
+        assert kept.where("a != b").count() == 0 and kept.where("a").count() > 0
+    for one in (C.clean_behavior(lines), C.behavior_rejects(lines)):
+        plan = one._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("split(") == 1 and r"+\z" not in plan.replace(r"[0-9]+\z", "")
