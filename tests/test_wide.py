@@ -158,3 +158,29 @@ def test_sides_that_grow_are_not_broadcast(spark):
         assert any(key in line for line in merged), key
     broadcast = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
     assert not any(k in line for line in broadcast for k in ("[chapterid", "questionid", "pointid"))
+
+
+def test_rows_with_all_columns_are_not_shuffled(spark):
+    # a paper table of any size is joined onto the narrow answers, not by a shuffle of what the other sides widened
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QZ.user_paper_detail(*detail_inputs(spark))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    joins = [(len(line) - len(line.lstrip(" :+-")), line) for line in plan.splitlines() if "SortMergeJoin" in line and "Inner" in line]
+    paper = min(depth for depth, line in joins if "paperviewid" in line)
+    pair = min(depth for depth, line in joins if "chapterid" in line and "questionid" in line)
+    assert paper > pair
+
+
+def test_detail_takes_columns_from_their_sides_and_repeated_papers(spark):
+    answers, chapter, course, major, _, question = detail_inputs(spark)
+    paper = QZ.paper_wide(q(spark, "QzPaperView", [{"paperviewid": 1, "paperid": p, "paperviewname": f"view {p}"} for p in (4, 5)]),
+                          q(spark, "QzCenterPaper", [{"paperviewid": 1, "centerid": 9}]), q(spark, "QzCenter", [{"centerid": 9, "centername": "c9"}]),
+                          q(spark, "QzPaper", [{"paperid": p, "courseid": 77, "papername": f"paper {p}"} for p in (4, 5)]))
+    out = QZ.user_paper_detail(answers, chapter, course, major, paper, question).where("userid = 1")
+    assert out.columns == list(QZ.PAPER_DETAIL)
+    cols = ("pointid", "paperid", "paperviewname", "papername", "centername", "courseid", "chapterlistid", "businessid", "questypeid", "dn")
+    assert sorted(map(tuple, out.select(*cols).collect())) == [
+        (point, p, f"view {p}", f"paper {p}", "c9", 3, 5, 2, 0, "w") for point in (10, 11) for p in (4, 5)]
