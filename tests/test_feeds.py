@@ -98,3 +98,16 @@ def test_decimal_via_double_or_text(spark):
     mp = ingest(spark, "QzMemberPaperQuestion", [f'{{"userid": 1, "score": "{long_text}"}}'])[0]
     assert pt.score == Decimal("1234567.1")    # via double (point score)
     assert mp.score == Decimal("1234567.0")    # from the exact text (answer score)
+
+
+def test_reasons_are_listed_only_where_there_are_some(spark):
+    spec = FD.FEEDS["QzPointQuestion"]
+    lines = ['{"pointid":1,"questionid":"2","questtype":null}', '{"pointid":"x","questionid":" ","questtype":"true"}',
+             '{"pointid":"x","questionid":"1.5","questtype":"y"}', "no json", "{}", None]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    out = FD.parsed(df, spec)
+    want = [(None, []), (lines[1], ["bad_number:pointid"]), (lines[2], ["bad_number:pointid", "bad_number:questtype"]),
+            (lines[3], ["not_an_object"]), (None, []), (None, ["not_an_object"])]
+    assert [(r["_line"], r["_reasons"]) for r in out.collect()] == want
+    # the array is built by expressions that aren't compiled: not for a line without a reason
+    assert "ELSE [] END AS _reasons" in out._jdf.queryExecution().optimizedPlan().toString()
